@@ -44,8 +44,8 @@ def generate_candidates(level: DataFrame, rows: int | None = None) -> DataFrame:
         cut = F.coalesce(F.col("cut"), F.lit(1))
         blocks = (
             parts.join(hot, "stem", "left")
-            .withColumn("own", F.pmod(F.xxhash64("last"), cut))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), cut - 1)).cast("bigint"))
+            .withColumn("own", F.pmod(F.xxhash64("last"), cut).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), cut - 1)))
         )
         left = blocks.select(
             "stem", F.col("own").alias("i"), F.col("other").alias("j"), F.col("last").alias("a")

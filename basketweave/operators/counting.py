@@ -23,9 +23,14 @@ def transaction_count(data: DataFrame) -> DataFrame:
     return data.select("tid").distinct().agg(F.count(F.lit(1)).alias("n"))
 
 
+def count_items(rows: DataFrame) -> DataFrame:
+    """`item_counts` of rows that are known to be distinct."""
+    return rows.groupBy("item").agg(F.count(F.lit(1)).alias("freq"))
+
+
 def item_counts(data: DataFrame) -> DataFrame:
     """The number of transactions that hold each item: ``(item, freq)``."""
-    return long_rows(data).groupBy("item").agg(F.count(F.lit(1)).alias("freq"))
+    return count_items(long_rows(data))
 
 
 def frequent_items(data: DataFrame, min_support: int) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketweave.functions import expand_positions, lookup_join, project
-from basketweave.sources.transactions import transactions_from_rows
+from basketweave.operators.counting import count_items
+from basketweave.sources.transactions import long_rows
 
 
 def pattern_base(compressed: DataFrame) -> DataFrame:
@@ -157,13 +158,19 @@ def count_pairs(base: DataFrame, min_support: int, width: int | None = None) ->
 def pair_counts(data: DataFrame, min_support: int = 1) -> DataFrame:
     """Co-occurrence count of every item pair: ``(item_a, item_b, freq)``, a < b.
 
-    Equal baskets are merged first, so many copies of one basket are paired once.
+    Items that are infrequent on their own go first, and equal baskets are merged,
+    so many copies of one basket are paired once.
     """
-    if "items" in data.columns:
-        baskets = data.select(F.array_sort(F.array_distinct("items")).alias("prefix"))
-    else:
-        baskets = transactions_from_rows(data, "tid", "item").select(F.col("items").alias("prefix"))
-    merged = baskets.groupBy("prefix").agg(F.count(F.lit(1)).alias("w"))
+    rows = long_rows(data)
+    if min_support > 1:
+        frequent = count_items(rows).filter(F.col("freq") >= min_support)
+        rows = rows.join(frequent, "item", "left_semi")
+    merged = (
+        rows.groupBy("tid")
+        .agg(F.array_sort(F.collect_list("item")).alias("prefix"))
+        .groupBy("prefix")
+        .agg(F.count(F.lit(1)).alias("w"))
+    )
     return count_pairs(merged.withColumn("suffix", F.lit(0)), min_support).select(
         F.col("left").alias("item_a"), F.col("right").alias("item_b"), "freq"
     )

@@ -17,6 +17,7 @@ from basketweave.plans.encode import (
     decode,
     empty_itemsets,
     encode_baskets,
+    prepare_rows,
     rank_dictionary,
     single_itemsets,
 )
@@ -41,14 +42,15 @@ def mine_apriori(
     pair of frequent items is a candidate; pruned baskets hold no other pairs, so
     that level is counted without listing them.
     """
-    items = rank_dictionary(ws, data, min_support)
+    rows = prepare_rows(ws, data)
+    items = rank_dictionary(ws, rows, min_support)
     if items is None:
         return empty_itemsets(ws.spark)
     levels = [single_itemsets(items)]
     if max_len == 1:
         return decode(items, levels)
 
-    baskets = encode_baskets(ws, data, items)
+    baskets = encode_baskets(ws, rows, items)
     whole = baskets.df.select(
         F.array().cast("array<int>").alias("itemset"), F.col("prefix").alias("rest"), "w"
     )

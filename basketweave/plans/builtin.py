@@ -30,13 +30,12 @@ def fit_builtin(
     n = baskets.count()
     if min_support > n:
         return None
-    model = FPGrowth(
-        itemsCol="items",
-        minSupport=(min_support - 0.5) / n,
-        minConfidence=min_confidence,
-        numPartitions=num_groups,
+    mining = FPGrowth(
+        itemsCol="items", minSupport=(min_support - 0.5) / n, minConfidence=min_confidence
     )
-    return model.fit(baskets)
+    if num_groups is not None:
+        mining.setNumPartitions(num_groups)
+    return mining.fit(baskets)
 
 
 def mine_builtin(

@@ -14,7 +14,13 @@ from basketweave.operators.tidlists import (
     intersect_tid_lists,
     tid_list_sizes,
 )
-from basketweave.plans.encode import decode, empty_itemsets, rank_dictionary, single_itemsets
+from basketweave.plans.encode import (
+    decode,
+    empty_itemsets,
+    prepare_rows,
+    rank_dictionary,
+    single_itemsets,
+)
 from basketweave.workspace import Workspace
 
 
@@ -31,7 +37,8 @@ def mine_eclat(
     The frequent pairs are counted from the baskets first: lists are intersected
     only for pairs that are frequent, never for every pair of items.
     """
-    items = rank_dictionary(ws, data, min_support)
+    rows = prepare_rows(ws, data)
+    items = rank_dictionary(ws, rows, min_support)
     if items is None:
         return empty_itemsets(ws.spark)
     levels = [single_itemsets(items)]
@@ -39,7 +46,7 @@ def mine_eclat(
         return decode(items, levels)
 
     # Numbered here once and read back, so the ids cannot change later.
-    numbered = prune_transactions(data, items.df, items.rows).select(
+    numbered = prune_transactions(rows, items.df, items.rows).select(
         F.monotonically_increasing_id().alias("tid"), "items"
     )
     baskets = ws.write("baskets", numbered, width=F.max(F.size("items")))
@@ -58,8 +65,8 @@ def mine_eclat(
         if not candidates.rows:
             break
         if lists is None:
-            rows = baskets.df.select("tid", F.explode("items").alias("item"))
-            singles = ws.write("lists", bucketed_lists(rows, buckets or bucket_count(baskets.rows)))
+            held = baskets.df.select("tid", F.explode("items").alias("item"))
+            singles = ws.write("lists", bucketed_lists(held, buckets or bucket_count(baskets.rows)))
             lists = ws.write("lists", intersect_tid_lists(singles.df, level.df, level.rows, k))
             ws.drop(singles)
         k += 1

@@ -23,8 +23,9 @@ from basketweave.operators.patterns import (
 from basketweave.plans.encode import (
     Dictionary,
     decode,
-    encode_baskets,
     empty_itemsets,
+    encode_baskets,
+    prepare_rows,
     rank_dictionary,
     single_itemsets,
 )
@@ -72,45 +73,56 @@ def grow(
 ) -> list[DataFrame]:
     """Frequent itemsets of more than `k` items from the bases of all k-suffixes."""
     levels: list[DataFrame] = []
-    while base.rows and (max_len is None or k < max_len):
-        counts = ws.write("counts", extension_counts(base.df, min_support))
-        if not counts.rows:
-            break
-        levels.append(
-            counts.df.select(F.concat(F.array("item"), "suffix").alias("itemset"), "freq")
-        )
-        k += 1
-        if max_len is not None and k >= max_len:
-            break
-
+    while base.rows:
         small = (F.max("width") <= finish_width) & (
             F.sum("emits") <= finish_factor * F.sum("rows")
         )
-        keep = ws.write(
-            "keep",
-            counts.df.groupBy("suffix").agg(
-                F.collect_list("item").alias("keep"), small.alias("small")
+        # One row per suffix; one that keeps a single item cannot grow further.
+        counts = ws.write(
+            "counts",
+            extension_counts(base.df, min_support)
+            .groupBy("suffix")
+            .agg(
+                F.collect_list("item").alias("keep"),
+                F.collect_list("freq").alias("freqs"),
+                F.sum("rows").alias("rows"),
+                (F.size(F.collect_list("item")) > 1).alias("grows"),
+                small.alias("small"),
             ),
-            small=F.count_if("small"),
+            pairs=F.sum(F.size("keep")),
+            grows=F.count_if("grows"),
+            smalls=F.count_if(F.col("grows") & F.col("small")),
+            rows_growing=F.sum(F.when(F.col("grows"), F.col("rows"))),
+            rows_small=F.sum(F.when(F.col("grows") & F.col("small"), F.col("rows"))),
         )
-        row_bytes = _keep_bytes(k, counts.rows, keep.rows)
-        smalls = keep.stats["small"]
-        if smalls:
-            rest = project_prefixes(
-                base.df, keep.df.filter("small").drop("small"), smalls, row_bytes
+        if counts.rows:
+            levels.append(
+                counts.df.select("suffix", F.explode(F.arrays_zip("keep", "freqs")).alias("e")).select(
+                    F.concat(F.array("e.keep"), "suffix").alias("itemset"),
+                    F.col("e.freqs").alias("freq"),
+                )
             )
+        k += 1
+        grows = counts.stats["grows"]
+        if not grows or (max_len is not None and k >= max_len):
+            break
+
+        row_bytes = _keep_bytes(k, counts.stats["pairs"], counts.rows)
+        keep = counts.df.filter("grows").select("suffix", "keep", "small")
+        # Splitting the bases costs a pass, worth it if a good part can leave.
+        split = counts.stats["rows_small"] >= counts.stats["rows_growing"] / 2
+        if split:
+            rest = project_prefixes(base.df, keep.filter("small"), grows, row_bytes)
             longest = None if max_len is None else max_len - k + 1
             direct = ws.write("direct", _count_subsets(rest, min_support, 2, longest))
             levels.append(direct.df)
-        larges = keep.rows - smalls
-        if not larges:
-            break
-        projected = project_prefixes(
-            base.df, keep.df.filter("not small").drop("small"), larges, row_bytes
-        )
-        before, base = base, _write_base(
-            ws, conditional_pattern_base(projected, base.stats["width"])
-        )
+            keep = keep.filter("not small")
+        before = base
+        if split and counts.stats["smalls"] == grows:
+            base = Table(base.df, base.path, 0)
+        else:
+            projected = project_prefixes(base.df, keep, grows, row_bytes)
+            base = _write_base(ws, conditional_pattern_base(projected, base.stats["width"]))
         ws.drop(before)
     return levels
 
@@ -124,12 +136,13 @@ def _is_small(baskets: Table, finish_width: int, finish_factor: float) -> bool:
 
 def _mine(ws, data, min_support, max_len, first_base, finish_width, finish_factor):
     """Shared outline: dictionary, baskets, first pattern bases, growth, names."""
-    items = rank_dictionary(ws, data, min_support)
+    rows = prepare_rows(ws, data)
+    items = rank_dictionary(ws, rows, min_support)
     if items is None:
         return empty_itemsets(ws.spark)
     levels = [single_itemsets(items)]
     if max_len is None or max_len > 1:
-        baskets = encode_baskets(ws, data, items)
+        baskets = encode_baskets(ws, rows, items)
         if _is_small(baskets, finish_width, finish_factor):
             direct = _count_subsets(pattern_base(baskets.df), min_support, 2, max_len)
             levels.append(ws.write("direct", direct).df)
@@ -209,13 +222,14 @@ def mine_pair_pruned(
     keeping. The next bases are therefore pruned before they are shuffled and
     need no counting pass of their own.
     """
-    items = rank_dictionary(ws, data, min_support)
+    rows = prepare_rows(ws, data)
+    items = rank_dictionary(ws, rows, min_support)
     if items is None:
         return empty_itemsets(ws.spark)
     levels = [single_itemsets(items)]
     k = 0
     if max_len is None or max_len > 1:
-        baskets = encode_baskets(ws, data, items)
+        baskets = encode_baskets(ws, rows, items)
         base = Table(pattern_base(baskets.df), baskets.path, baskets.rows, baskets.stats)
         while base.rows and base.stats["width"] >= 2:
             width = base.stats["width"]

@@ -33,10 +33,18 @@ def userday_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of each document: its whole text, split at single spaces."""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        F.col("doc_id").alias("tid"), F.explode(F.split("text", " ")).alias("item")
+    )
+
+
 BASKET_VIEWS = {
     "order_brand": order_brand,
     "order_type": order_type,
     "userday_event": userday_event,
+    "document_words": document_words,
 }
 
 
