@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketweave.functions import expand_positions, fits_broadcast, lookup_join, without_each
+from basketweave.workspace import Table, Workspace
 
 # A group of itemsets with a common stem is paired in blocks of this many.
 PAIR_BLOCK = 5000
@@ -77,6 +78,20 @@ def prune_candidates(
     )
 
 
+def next_candidates(ws: Workspace, level: Table, k: int) -> tuple[DataFrame, int]:
+    """Pruned candidates of `k` items from a written level, and a bound on their number.
+
+    A small level's candidates are left to the plan that uses them, bounded by the
+    pairs there are; those of a larger one are written and counted.
+    """
+    found = prune_candidates(generate_candidates(level.df, level.rows), level.df, level.rows, k - 1)
+    bound = level.rows * (level.rows - 1) // 2
+    if fits_broadcast(bound, itemset_bytes(k)):
+        return found, bound
+    written = ws.write("candidates", found)
+    return written.df, written.rows
+
+
 def extend_occurrences(occurrences: DataFrame, width: int | None = None) -> DataFrame:
     """Every occurrence with each further item of its transaction put in front.
 

@@ -93,7 +93,7 @@ def prune_transactions(
         coded = rows.join(ranks, "item")
     else:
         coded = lookup_join(rows, ranks, "item", rank_rows, ITEM_BYTES, salt_on=["tid"])
-    return coded.groupBy("tid").agg(F.array_sort(F.collect_set("rk")).alias("items"))
+    return coded.groupBy("tid").agg(F.sort_array(F.collect_set("rk")).alias("items"))
 
 
 def compress_transactions(pruned: DataFrame) -> DataFrame:

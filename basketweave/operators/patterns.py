@@ -167,7 +167,7 @@ def pair_counts(data: DataFrame, min_support: int = 1) -> DataFrame:
         rows = rows.join(frequent, "item", "left_semi")
     merged = (
         rows.groupBy("tid")
-        .agg(F.array_sort(F.collect_list("item")).alias("prefix"))
+        .agg(F.sort_array(F.collect_list("item")).alias("prefix"))
         .groupBy("prefix")
         .agg(F.count(F.lit(1)).alias("w"))
     )

@@ -9,9 +9,8 @@ from basketweave.functions import lookup_join
 from basketweave.operators.candidates import (
     count_candidates,
     extend_occurrences,
-    generate_candidates,
     itemset_bytes,
-    prune_candidates,
+    next_candidates,
 )
 from basketweave.plans.encode import (
     decode,
@@ -51,35 +50,36 @@ def mine_apriori(
         return decode(items, levels)
 
     baskets = encode_baskets(ws, rows, items)
-    whole = baskets.df.select(
+    whole = baskets.spread().select(
         F.array().cast("array<int>").alias("itemset"), F.col("prefix").alias("rest"), "w"
     )
     held = _write_occurrences(ws, extend_occurrences(whole, baskets.stats["width"]))
     ws.drop(baskets)
 
-    k = 2
-    candidates = None
+    k, candidates, bound = 2, None, 0
     while held.rows:
         if candidates is None:
-            counted = held.df.select(F.explode("rest").alias("item"), "itemset", "w").groupBy(
-                F.concat(F.array("item"), "itemset").alias("itemset")
+            grown = held.spread().select(F.explode("rest").alias("item"), "itemset", "w")
+            counts = (
+                grown.groupBy(F.concat(F.array("item"), "itemset").alias("itemset"))
+                .agg(F.sum("w").alias("freq"))
+                .filter(F.col("freq") >= min_support)
             )
-            counts = counted.agg(F.sum("w").alias("freq")).filter(F.col("freq") >= min_support)
         else:
-            counts = count_candidates(held.df, candidates.df, min_support, candidates.rows, k)
+            counts = count_candidates(held.spread(), candidates, min_support, bound, k)
         level = ws.write("level", counts)
         if not level.rows:
             break
         levels.append(level.df)
         k += 1
-        if max_len is not None and k > max_len:
+        # A k-itemset has k subsets of k - 1 items, all of them in the level.
+        if level.rows < k or (max_len is not None and k > max_len):
             break
-        found = generate_candidates(level.df, level.rows)
-        candidates = ws.write("candidates", prune_candidates(found, level.df, level.rows, k - 1))
-        if not candidates.rows:
+        candidates, bound = next_candidates(ws, level, k)
+        if not bound:
             break
         extended = lookup_join(
-            extend_occurrences(held.df, held.stats["width"]),
+            extend_occurrences(held.spread(), held.stats["width"]),
             level.df.select("itemset"),
             "itemset",
             level.rows,
@@ -89,4 +89,5 @@ def mine_apriori(
         )
         before, held = held, _write_occurrences(ws, extended)
         ws.drop(before)
+    ws.drop(held)
     return decode(items, levels)

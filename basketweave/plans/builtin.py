@@ -48,7 +48,7 @@ def mine_builtin(
     if model is None:
         return empty_itemsets(data.sparkSession)
     found = model.freqItemsets.select(
-        F.array_sort("items").alias("itemset"), F.size("items").alias("k"), "freq"
+        F.sort_array("items").alias("itemset"), F.size("items").alias("k"), "freq"
     )
     return found if max_len is None else found.filter(F.col("k") <= max_len)
 
@@ -63,7 +63,7 @@ def association_rules_builtin(
     model = fit_builtin(data, min_support, num_groups, min_confidence)
     if model is None:
         return empty_rules(data.sparkSession)
-    return model.associationRules.withColumn("antecedent", F.array_sort("antecedent"))
+    return model.associationRules.withColumn("antecedent", F.sort_array("antecedent"))
 
 
 def empty_rules(spark: SparkSession) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketweave.operators.candidates import generate_candidates, prune_candidates
+from basketweave.operators.candidates import next_candidates
 from basketweave.operators.counting import prune_transactions
 from basketweave.operators.patterns import count_pairs
 from basketweave.operators.tidlists import (
@@ -50,7 +50,7 @@ def mine_eclat(
         F.monotonically_increasing_id().alias("tid"), "items"
     )
     baskets = ws.write("baskets", numbered, width=F.max(F.size("items")))
-    merged = baskets.df.groupBy(F.col("items").alias("prefix")).agg(F.count(F.lit(1)).alias("w"))
+    merged = baskets.spread().groupBy(F.col("items").alias("prefix")).agg(F.count(F.lit(1)).alias("w"))
     pairs = count_pairs(
         merged.withColumn("suffix", F.lit(0)), min_support, baskets.stats["width"]
     ).select(F.array("left", "right").alias("itemset"), "freq")
@@ -59,10 +59,10 @@ def mine_eclat(
         levels.append(level.df)
 
     lists, k = None, 2
-    while level.rows and (max_len is None or k < max_len):
-        found = generate_candidates(level.df, level.rows)
-        candidates = ws.write("candidates", prune_candidates(found, level.df, level.rows, k))
-        if not candidates.rows:
+    # A (k+1)-itemset has k + 1 subsets of k items, all of them in the level.
+    while level.rows > k and (max_len is None or k < max_len):
+        candidates, bound = next_candidates(ws, level, k + 1)
+        if not bound:
             break
         if lists is None:
             held = baskets.df.select("tid", F.explode("items").alias("item"))
@@ -71,7 +71,7 @@ def mine_eclat(
             ws.drop(singles)
         k += 1
         before, lists = lists, ws.write(
-            "lists", intersect_tid_lists(lists.df, candidates.df, candidates.rows, k)
+            "lists", intersect_tid_lists(lists.df, candidates, bound, k)
         )
         ws.drop(before)
         level = ws.write("level", tid_list_sizes(lists.df, min_support))

@@ -87,5 +87,5 @@ def decode(items: Dictionary, levels: list[DataFrame]) -> DataFrame:
             .agg(F.collect_list("item").alias("itemset"))
         )
     return named.select(
-        F.array_sort("itemset").alias("itemset"), F.size("itemset").alias("k"), "freq"
+        F.sort_array("itemset").alias("itemset"), F.size("itemset").alias("k"), "freq"
     )

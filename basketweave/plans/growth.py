@@ -11,7 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketweave.functions import expand_positions, lookup_join, project, subsets
+from basketweave.functions import (
+    expand_positions,
+    fits_broadcast,
+    lookup_join,
+    project,
+    subsets,
+)
 from basketweave.operators.patterns import (
     conditional_pattern_base,
     conditional_transactions,
@@ -31,16 +37,24 @@ from basketweave.plans.encode import (
 )
 from basketweave.workspace import Table, Workspace
 
-# Subsets of a base are counted directly if no prefix is wider than this …
+# Bases leave the rounds if no prefix is wider than this …
 FINISH_WIDTH = 16
-# … and its rows have at most this many subsets on average.
-FINISH_FACTOR = 16.0
-# The subset strategy enumerates every base up to this width.
-SUBSET_WIDTH = 12
+# … and their rows have at most this many subsets on average.
+FINISH_FACTOR = 32.0
+# The subset strategy enumerates all bases up to this width.
+SUBSET_WIDTH = 14
 
 
 def _write_base(ws: Workspace, base: DataFrame) -> Table:
-    return ws.write("base", base, width=F.max(F.size("prefix")))
+    """Write a pattern base, observing what `_is_small` asks for."""
+    size = F.size("prefix")
+    return ws.write(
+        "base", base, width=F.max(size), emits=F.sum(F.pow(F.lit(2.0), F.least(size, F.lit(62))))
+    )
+
+
+def _is_small(width: int, emits: float, rows: float, finish_width: int, finish_factor: float) -> bool:
+    return width <= finish_width and emits <= finish_factor * rows
 
 
 def _count_subsets(
@@ -74,68 +88,63 @@ def grow(
     """Frequent itemsets of more than `k` items from the bases of all k-suffixes."""
     levels: list[DataFrame] = []
     while base.rows:
-        small = (F.max("width") <= finish_width) & (
-            F.sum("emits") <= finish_factor * F.sum("rows")
-        )
         # One row per suffix; one that keeps a single item cannot grow further.
+        grows = F.size("keep") > 1
         counts = ws.write(
             "counts",
-            extension_counts(base.df, min_support)
+            extension_counts(base.spread(), min_support)
             .groupBy("suffix")
             .agg(
                 F.collect_list("item").alias("keep"),
                 F.collect_list("freq").alias("freqs"),
                 F.sum("rows").alias("rows"),
-                (F.size(F.collect_list("item")) > 1).alias("grows"),
-                small.alias("small"),
+                F.sum("emits").alias("emits"),
+                F.max("width").alias("width"),
             ),
-            pairs=F.sum(F.size("keep")),
-            grows=F.count_if("grows"),
-            smalls=F.count_if(F.col("grows") & F.col("small")),
-            rows_growing=F.sum(F.when(F.col("grows"), F.col("rows"))),
-            rows_small=F.sum(F.when(F.col("grows") & F.col("small"), F.col("rows"))),
+            found=F.sum(F.size("keep")),
+            grows=F.count_if(grows),
+            rows_left=F.sum(F.when(grows, F.col("rows"))),
+            emits_left=F.sum(F.when(grows, F.col("emits"))),
+            width_left=F.max(F.when(grows, F.col("width"))),
         )
+        stats = counts.stats
         if counts.rows:
+            found = F.explode(F.arrays_zip("keep", "freqs")).alias("found")
             levels.append(
-                counts.df.select("suffix", F.explode(F.arrays_zip("keep", "freqs")).alias("e")).select(
-                    F.concat(F.array("e.keep"), "suffix").alias("itemset"),
-                    F.col("e.freqs").alias("freq"),
+                counts.df.select("suffix", found).select(
+                    F.concat(F.array("found.keep"), "suffix").alias("itemset"),
+                    F.col("found.freqs").alias("freq"),
                 )
             )
         k += 1
-        grows = counts.stats["grows"]
-        if not grows or (max_len is not None and k >= max_len):
+        if not stats["grows"] or (max_len is not None and k >= max_len):
             break
 
-        row_bytes = _keep_bytes(k, counts.stats["pairs"], counts.rows)
-        keep = counts.df.filter("grows").select("suffix", "keep", "small")
-        # Splitting the bases costs a pass, worth it if a good part can leave.
-        split = counts.stats["rows_small"] >= counts.stats["rows_growing"] / 2
-        if split:
-            rest = project_prefixes(base.df, keep.filter("small"), grows, row_bytes)
+        projected = project_prefixes(
+            base.spread(),
+            counts.df.filter(grows).select("suffix", "keep"),
+            stats["grows"],
+            _keep_bytes(k, stats["found"], counts.rows),
+        )
+        if _is_small(
+            stats["width_left"], stats["emits_left"], stats["rows_left"], finish_width, finish_factor
+        ):
             longest = None if max_len is None else max_len - k + 1
-            direct = ws.write("direct", _count_subsets(rest, min_support, 2, longest))
-            levels.append(direct.df)
-            keep = keep.filter("not small")
-        before = base
-        if split and counts.stats["smalls"] == grows:
-            base = Table(base.df, base.path, 0)
-        else:
-            projected = project_prefixes(base.df, keep, grows, row_bytes)
-            base = _write_base(ws, conditional_pattern_base(projected, base.stats["width"]))
+            levels.append(ws.write("direct", _count_subsets(projected, min_support, 2, longest)).df)
+            break
+        before, base = base, _write_base(
+            ws, conditional_pattern_base(projected, base.stats["width"])
+        )
         ws.drop(before)
+    ws.drop(base)
     return levels
 
 
-def _is_small(baskets: Table, finish_width: int, finish_factor: float) -> bool:
-    return (
-        baskets.stats["width"] <= finish_width
-        and baskets.stats["emits"] <= finish_factor * baskets.rows
-    )
-
+def _mine(ws, data, min_support, max_len, grow_rest, finish_width, finish_factor) -> DataFrame:
+    """Shared outline: dictionary, merged baskets, their longer itemsets, names.
 
-def _mine(ws, data, min_support, max_len, first_base, finish_width, finish_factor):
-    """Shared outline: dictionary, baskets, first pattern bases, growth, names."""
+    `grow_rest` takes the baskets unless their subsets can be counted directly.
+    """
     rows = prepare_rows(ws, data)
     items = rank_dictionary(ws, rows, min_support)
     if items is None:
@@ -143,12 +152,12 @@ def _mine(ws, data, min_support, max_len, first_base, finish_width, finish_facto
     levels = [single_itemsets(items)]
     if max_len is None or max_len > 1:
         baskets = encode_baskets(ws, rows, items)
-        if _is_small(baskets, finish_width, finish_factor):
-            direct = _count_subsets(pattern_base(baskets.df), min_support, 2, max_len)
+        stats = baskets.stats
+        if _is_small(stats["width"], stats["emits"], baskets.rows, finish_width, finish_factor):
+            direct = _count_subsets(pattern_base(baskets.spread()), min_support, 2, max_len)
             levels.append(ws.write("direct", direct).df)
         else:
-            base = _write_base(ws, first_base(baskets))
-            levels += grow(ws, base, 1, min_support, max_len, finish_width, finish_factor)
+            levels += grow_rest(baskets)
         ws.drop(baskets)
     return decode(items, levels)
 
@@ -163,10 +172,12 @@ def mine_prefix_array(
 ) -> DataFrame:
     """Growth keyed by suffix over merged rank arrays."""
 
-    def first_base(baskets: Table) -> DataFrame:
-        return conditional_pattern_base(pattern_base(baskets.df), baskets.stats["width"])
+    def grow_rest(baskets: Table) -> list[DataFrame]:
+        first = conditional_pattern_base(pattern_base(baskets.spread()), baskets.stats["width"])
+        base = _write_base(ws, first)
+        return grow(ws, base, 1, min_support, max_len, finish_width, finish_factor)
 
-    return _mine(ws, data, min_support, max_len, first_base, finish_width, finish_factor)
+    return _mine(ws, data, min_support, max_len, grow_rest, finish_width, finish_factor)
 
 
 def mine_fpgrowth(
@@ -180,17 +191,19 @@ def mine_fpgrowth(
 ) -> DataFrame:
     """Growth sharded by item group: a group grows only the suffixes it owns."""
 
-    def first_base(baskets: Table) -> DataFrame:
+    def grow_rest(baskets: Table) -> list[DataFrame]:
         sharded = (
-            conditional_transactions(baskets.df, num_groups, array="prefix")
+            conditional_transactions(baskets.spread(), num_groups, array="prefix")
             .groupBy("grp", "prefix")
             .agg(F.sum("w").alias("w"))
+            .withColumn("suffix", F.array().cast("array<int>"))
         )
         owner = F.col("item") % num_groups == F.col("grp")
-        base = sharded.withColumn("suffix", F.array().cast("array<int>"))
-        return conditional_pattern_base(base, baskets.stats["width"], owner)
+        first = conditional_pattern_base(sharded, baskets.stats["width"], owner)
+        base = _write_base(ws, first)
+        return grow(ws, base, 1, min_support, max_len, finish_width, finish_factor)
 
-    return _mine(ws, data, min_support, max_len, first_base, finish_width, finish_factor)
+    return _mine(ws, data, min_support, max_len, grow_rest, finish_width, finish_factor)
 
 
 def mine_subsets(
@@ -202,18 +215,19 @@ def mine_subsets(
 ) -> DataFrame:
     """Enumerate the subsets of each prefix and sum their weights.
 
-    Exponential in the prefix length, so only bases up to `subset_width` wide are
-    enumerated; wider ones first grow by one suffix item until they are narrow.
+    Exponential in the prefix length, so bases are enumerated only once none is
+    wider than `subset_width`; until then they grow by one suffix item.
     """
-
-    def first_base(baskets: Table) -> DataFrame:
-        return conditional_pattern_base(pattern_base(baskets.df), baskets.stats["width"])
-
-    return _mine(ws, data, min_support, max_len, first_base, subset_width, float("inf"))
+    return mine_prefix_array(ws, data, min_support, max_len, subset_width, float("inf"))
 
 
 def mine_pair_pruned(
-    ws: Workspace, data: DataFrame, min_support: int, max_len: int | None = None
+    ws: Workspace,
+    data: DataFrame,
+    min_support: int,
+    max_len: int | None = None,
+    finish_width: int = FINISH_WIDTH,
+    finish_factor: float = FINISH_FACTOR,
 ) -> DataFrame:
     """Growth where pair counts decide which items enter a pattern base.
 
@@ -222,46 +236,57 @@ def mine_pair_pruned(
     keeping. The next bases are therefore pruned before they are shuffled and
     need no counting pass of their own.
     """
-    rows = prepare_rows(ws, data)
-    items = rank_dictionary(ws, rows, min_support)
-    if items is None:
-        return empty_itemsets(ws.spark)
-    levels = [single_itemsets(items)]
-    k = 0
-    if max_len is None or max_len > 1:
-        baskets = encode_baskets(ws, rows, items)
-        base = Table(pattern_base(baskets.df), baskets.path, baskets.rows, baskets.stats)
-        while base.rows and base.stats["width"] >= 2:
-            width = base.stats["width"]
-            pairs = ws.write("pairs", count_pairs(base.df, min_support, width))
+
+    def grow_rest(baskets: Table) -> list[DataFrame]:
+        levels: list[DataFrame] = []
+        base = Table(pattern_base(baskets.df), "", baskets.rows, baskets.stats)
+        k = 0
+        while base.rows:
+            stats = base.stats
+            if k and _is_small(
+                stats["width"], stats["emits"], base.rows, finish_width, finish_factor
+            ):
+                longest = None if max_len is None else max_len - k
+                direct = _count_subsets(base.spread(), min_support, 2, longest)
+                levels.append(ws.write("direct", direct).df)
+                break
+            pairs = ws.write("pairs", count_pairs(base.spread(), min_support, stats["width"]))
             if not pairs.rows:
                 break
             levels.append(
-                pairs.df.select(F.concat(F.array("left", "right"), "suffix").alias("itemset"), "freq")
+                pairs.df.select(
+                    F.concat(F.array("left", "right"), "suffix").alias("itemset"), "freq"
+                )
             )
             k += 1
-            # A suffix of k items with one kept item gives no further pair.
             if max_len is not None and k + 1 >= max_len:
                 break
-            keep = ws.write(
-                "keep",
-                pairs.df.groupBy(F.concat(F.array("right"), "suffix").alias("suffix"))
-                .agg(F.collect_list("left").alias("keep"))
-                .filter(F.size("keep") > 1),
-            )
-            if not keep.rows:
-                break
-            before, base = base, _write_base(
-                ws, _pruned_bases(base, keep, _keep_bytes(k, pairs.rows, keep.rows))
-            )
-            ws.drop(before)
-    return decode(items, levels)
+            before, base = base, _write_base(ws, _pruned_bases(ws, base, pairs, k))
+            if k > 1:
+                ws.drop(before)
+        if k:
+            ws.drop(base)
+        return levels
 
+    return _mine(ws, data, min_support, max_len, grow_rest, finish_width, finish_factor)
 
-def _pruned_bases(base: Table, keep: Table, row_bytes: int) -> DataFrame:
-    """The bases of the suffixes in `keep`, holding their kept items only."""
+
+def _pruned_bases(ws: Workspace, base: Table, pairs: Table, k: int) -> DataFrame:
+    """The bases of the k-item suffixes, holding the items of frequent pairs only.
+
+    A suffix with one kept item has no further pair and gets no base.
+    """
+    keep = (
+        pairs.df.groupBy(F.concat(F.array("right"), "suffix").alias("suffix"))
+        .agg(F.collect_list("left").alias("keep"))
+        .filter(F.size("keep") > 1)
+    )
+    suffixes = pairs.rows
+    if not fits_broadcast(suffixes, _keep_bytes(k, 1, 1)):
+        written = ws.write("keep", keep)
+        keep, suffixes = written.df, written.rows
     rows = (
-        expand_positions(base.df, "prefix", base.stats["width"])
+        expand_positions(base.spread(), "prefix", base.stats["width"])
         .filter("pos > 1")
         .select(
             F.concat(F.array("item"), "suffix").alias("suffix"),
@@ -270,8 +295,9 @@ def _pruned_bases(base: Table, keep: Table, row_bytes: int) -> DataFrame:
             "w",
         )
     )
+    row_bytes = _keep_bytes(k, pairs.rows, max(suffixes, 1))
     return (
-        lookup_join(rows, keep.df, "suffix", keep.rows, row_bytes, salt_on=["whole"])
+        lookup_join(rows, keep, "suffix", suffixes, row_bytes, salt_on=["whole"])
         .select("suffix", project(F.col("prefix"), F.col("keep")).alias("prefix"), "w")
         .filter(F.size("prefix") > 1)
         .groupBy("suffix", "prefix")

@@ -22,7 +22,7 @@ def read_transactions(
     pass None to leave it out where only the item arrays matter.
     """
     tokens = F.split("value", re.escape(delimiter))
-    items = F.array_sort(F.array_distinct(F.filter(tokens, lambda x: x != "")))
+    items = F.sort_array(F.array_distinct(F.filter(tokens, lambda x: x != "")))
     lines = spark.read.text(path).select(items.alias("items"))
     return lines if tid is None else assign_tids(lines, tid)
 
@@ -48,7 +48,7 @@ def transactions_from_rows(rows: DataFrame, key: str, item: str) -> DataFrame:
     """Relational rows to ``(tid, items)``: one basket per `key`, items sorted."""
     kept = rows.filter(F.col(item).isNotNull() & (F.col(item) != ""))
     return kept.groupBy(F.col(key).alias("tid")).agg(
-        F.array_sort(F.collect_set(item)).alias("items")
+        F.sort_array(F.collect_set(item)).alias("items")
     )
 
 

@@ -15,6 +15,9 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+# Rows that are worth a task of their own when each of them is expanded.
+SPREAD_ROWS = 1000
+
 
 @dataclass(frozen=True)
 class Table:
@@ -25,6 +28,18 @@ class Table:
     rows: int
     stats: dict = field(default_factory=dict)
 
+    def spread(self) -> DataFrame:
+        """The table over more tasks, where it has few files.
+
+        For steps that turn one row into many: a small table would be expanded by
+        one or two tasks. A table that already reads as enough tasks is left alone.
+        """
+        limit = int(self.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = min(limit, self.rows // SPREAD_ROWS)
+        if tasks < 2 or self.df.rdd.getNumPartitions() >= tasks:
+            return self.df
+        return self.df.repartition(tasks, *self.df.columns)
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
