@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 # A lookup side is broadcast only below this estimated size.
 BROADCAST_BYTES = 32 * 1024 * 1024
-# A key is hot if it holds more than 1/HOT_SHARE of the large side, so there are
-# at most HOT_SHARE hot keys, whatever the data; each is spread over SALTS tasks.
-HOT_SHARE = 1000
-SALTS = 64
+# A key with more rows than this is spread over several tasks. There are at most
+# rows / HOT_ROWS such keys, so their list stays small.
+HOT_ROWS = 5_000_000
 
 
 def fits_broadcast(rows: int, row_bytes: int) -> bool:
@@ -30,18 +29,17 @@ def lookup_join(
 
     `small_rows` is the known row count of `small`. If that many rows of about
     `row_bytes` bytes fit the limit, `small` is broadcast. Otherwise both sides
-    are shuffled and the rows of every hot key are spread over several tasks by
-    a hash of `salt_on`, with one copy of the matching lookup rows in each.
+    are shuffled, and a key with too many rows for one task is split by a hash of
+    `salt_on` into pieces of about HOT_ROWS, each with a copy of its lookup row.
     """
     if fits_broadcast(small_rows, row_bytes):
         return big.join(F.broadcast(small), key, how)
 
-    total = big.agg(F.count(F.lit(1))).scalar()
+    rows = F.count(F.lit(1))
     hot = (
         big.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > total / F.lit(HOT_SHARE))
-        .select(key, F.lit(SALTS).alias("_salts"))
+        .agg(F.ceil(rows / HOT_ROWS).cast("int").alias("_salts"))
+        .filter("_salts > 1")
     )
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     spread = big.join(F.broadcast(hot), key, "left").withColumn(

@@ -205,8 +205,7 @@ def test_wide_rows_are_cut(spark, monkeypatch):
 
 @pytest.mark.parametrize("how", ["inner", "left_semi"])
 def test_lookup_join_with_a_hot_key(spark, monkeypatch, how):
-    monkeypatch.setattr(joins, "HOT_SHARE", 4)
-    monkeypatch.setattr(joins, "SALTS", 5)
+    monkeypatch.setattr(joins, "HOT_ROWS", 30)
     big = spark.range(300).select(
         F.when(F.col("id") < 200, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key"), "id"
     )
@@ -219,9 +218,33 @@ def test_lookup_join_with_a_hot_key(spark, monkeypatch, how):
         monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
         found = lookup_join(big, small, "key", 3, 100, ["id"], how)
         assert sorted(tuple(r) for r in found.collect()) == expected
-        if not limit:
-            spread = found.select("id").filter(F.col("key") == "hot") if "key" in found.columns else found
-            assert spread.count() == 200
+
+
+def test_hot_key_is_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 30)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    big = spark.range(300).select(F.lit("hot").alias("key"), "id")
+    small = spark.createDataFrame([("hot", 1)], "key STRING, v INT")
+    found = lookup_join(big, small, "key", 1, 100, ["id"])
+    assert "_salt" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 300
+
+
+def test_no_plan_has_a_cross_join(spark, baskets):
+    rows = rows_frame(spark, baskets)
+    level = ops.frequent_items(rows, 2).select(F.array("item").alias("itemset"), "freq")
+    n = bw.transaction_count(rows)
+    found = level.withColumn("k", F.size("itemset"))
+    for frame in (
+        ops.generate_candidates(level),
+        ops.prune_candidates(ops.generate_candidates(level), level),
+        ops.pair_counts(rows),
+        ops.intersect_tid_lists(ops.tid_lists(rows, 2, 3), ops.generate_candidates(level)),
+        bw.itemset_support(found, n),
+        bw.association_rules(found, n),
+    ):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_workspace(spark):

@@ -34,15 +34,15 @@ def test_letter_files(spark, tmp_path, lines, min_support, sizes):
 
 
 @pytest.mark.parametrize("algorithm", ALGORITHMS)
-@pytest.mark.parametrize("seed,min_support", [(1, 3), (2, 8)])
-def test_random_baskets(spark, algorithm, seed, min_support):
-    baskets = random_baskets(seed)
-    expected = brute_force(baskets, min_support)
-    assert collected(bw.frequent_itemsets(rows_frame(spark, baskets), min_support, algorithm)) == expected
+def test_random_baskets(spark, algorithm):
+    baskets = random_baskets(1)
+    found = bw.frequent_itemsets(rows_frame(spark, baskets), 3, algorithm)
+    assert collected(found) == brute_force(baskets, 3)
 
 
-@pytest.mark.parametrize("algorithm", ALGORITHMS)
-@pytest.mark.parametrize("max_len", [1, 2, 3])
+@pytest.mark.parametrize(
+    "algorithm,max_len", [(a, n) for a in ALGORITHMS for n in (2, 3)] + [("pair_pruned", 1)]
+)
 def test_max_len(spark, algorithm, max_len):
     baskets = random_baskets(3)
     found = bw.frequent_itemsets(rows_frame(spark, baskets), 4, algorithm, max_len=max_len)
@@ -50,15 +50,11 @@ def test_max_len(spark, algorithm, max_len):
 
 
 @pytest.mark.parametrize("algorithm", ALGORITHMS)
-def test_nothing_frequent(spark, algorithm):
-    none = bw.frequent_itemsets(baskets_frame(spark, [["a"], ["b"]]), 3, algorithm)
-    assert none.collect() == []
-    assert none.dtypes == [("itemset", "array<string>"), ("k", "int"), ("freq", "bigint")]
-
-
-@pytest.mark.parametrize("algorithm", ALGORITHMS)
-def test_empty_input(spark, algorithm):
-    assert bw.frequent_itemsets(baskets_frame(spark, []), 1, algorithm).collect() == []
+def test_nothing_frequent_and_empty_input(spark, algorithm):
+    for baskets, min_support in (([["a"], ["b"]], 3), ([], 1)):
+        none = bw.frequent_itemsets(baskets_frame(spark, baskets), min_support, algorithm)
+        assert none.collect() == []
+        assert none.dtypes == [("itemset", "array<string>"), ("k", "int"), ("freq", "bigint")]
 
 
 @pytest.mark.parametrize("algorithm", ALGORITHMS)
@@ -69,7 +65,7 @@ def test_equal_baskets_duplicates_and_blanks(spark, algorithm):
     assert found[("a", "b", "c")] == 6 and found[("a",)] == 7
 
 
-@pytest.mark.parametrize("algorithm", ALGORITHMS)
+@pytest.mark.parametrize("algorithm", ["apriori", "eclat", "pair_pruned", "prefix_array"])
 def test_single_items_only(spark, algorithm):
     found = collected(bw.frequent_itemsets(baskets_frame(spark, [["a"], ["a"], ["b"]]), 1, algorithm))
     assert found == {("a",): 2, ("b",): 1}
@@ -81,30 +77,30 @@ def test_one_basket_holds_a_third_of_all_rows(spark, algorithm):
     wide = [f"i{n:03d}" for n in range(120)]
     baskets = [wide] + [rng.sample(wide, 4) for _ in range(60)]
     found = bw.frequent_itemsets(rows_frame(spark, baskets), 4, algorithm)
-    small = [[x for x in b] for b in baskets[1:]]
-    expected = {
-        s: n + 1 for s, n in brute_force(small, 3, 4).items() if n + 1 >= 4
-    }
+    # Every itemset of the other baskets is in the wide one too.
+    expected = {s: n + 1 for s, n in brute_force(baskets[1:], 3).items()}
     assert collected(found) == expected
 
 
 @pytest.mark.parametrize("algorithm", ["fpgrowth", "builtin"])
-@pytest.mark.parametrize("groups", [1, 4, 36])
+@pytest.mark.parametrize("groups", [1, 36])
 def test_groups_do_not_matter(spark, algorithm, groups):
     baskets = random_baskets(4)
     found = bw.frequent_itemsets(rows_frame(spark, baskets), 5, algorithm, num_groups=groups)
     assert collected(found) == brute_force(baskets, 5)
 
 
-@pytest.mark.parametrize("factor", [0.0, 1.5, 3.0, 1e9])
-@pytest.mark.parametrize("mine", [growth.mine_prefix_array, growth.mine_fpgrowth])
+@pytest.mark.parametrize("factor", [0.0, 3.0, 1e9])
+@pytest.mark.parametrize(
+    "mine", [growth.mine_prefix_array, growth.mine_fpgrowth, growth.mine_pair_pruned]
+)
 def test_rounds_and_direct_counting_agree(spark, mine, factor):
     baskets = random_baskets(5, n=80)
     found = mine(bw.Workspace(spark), rows_frame(spark, baskets), 3, finish_factor=factor)
     assert collected(found) == brute_force(baskets, 3)
 
 
-@pytest.mark.parametrize("width", [1, 3, 12])
+@pytest.mark.parametrize("width", [1, 4])
 def test_subsets_of_wide_baskets_grow_first(spark, width):
     baskets = random_baskets(6)
     found = growth.mine_subsets(
@@ -113,7 +109,7 @@ def test_subsets_of_wide_baskets_grow_first(spark, width):
     assert collected(found) == brute_force(baskets, 3)
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 8])
+@pytest.mark.parametrize("buckets", [1, 8])
 def test_tid_buckets_do_not_matter(spark, buckets):
     from basketweave.plans import mine_eclat
 
@@ -165,8 +161,7 @@ def test_large_dictionary_and_unbroadcast_lookups(spark, monkeypatch):
     from basketweave.plans import encode
 
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(joins, "HOT_SHARE", 10)
-    monkeypatch.setattr(joins, "SALTS", 3)
+    monkeypatch.setattr(joins, "HOT_ROWS", 4)
     monkeypatch.setattr(counting, "RANK_WINDOW_ROWS", 0)
     monkeypatch.setattr(encode, "DICTIONARY_ITEMS", 0)
     monkeypatch.setattr(candidates, "PAIR_BLOCK", 2)
