@@ -9,11 +9,15 @@ from basketweave.functions import lookup_join
 from basketweave.sources.transactions import long_rows
 
 # Transactions per bucket, on average: the length limit of one tid array.
-BUCKET_TIDS = 32_768
+BUCKET_TIDS = 131_072
+# Smaller buckets are used down to this size while there are fewer than tasks.
+SMALL_BUCKET_TIDS = 8_192
 
 
-def bucket_count(transactions: int) -> int:
-    return max(1, -(-transactions // BUCKET_TIDS))
+def bucket_count(transactions: int, tasks: int) -> int:
+    """Enough buckets to bound the arrays, and to give every task some."""
+    bounded = -(-transactions // BUCKET_TIDS)
+    return max(1, bounded, min(tasks, -(-transactions // SMALL_BUCKET_TIDS)))
 
 
 def tid_lists(data: DataFrame, min_support: int, buckets: int = 1) -> DataFrame:
@@ -37,12 +41,17 @@ def bucketed_lists(rows: DataFrame, buckets: int) -> DataFrame:
 
 
 def intersect_tid_lists(
-    lists: DataFrame, candidates: DataFrame, candidate_rows: int | None = None, k: int = 2
+    lists: DataFrame,
+    candidates: DataFrame,
+    candidate_rows: int | None = None,
+    k: int = 2,
+    spread_lists: DataFrame | None = None,
 ) -> DataFrame:
     """Tid lists of `candidates` from those of their two parents.
 
     The parents of a k-itemset are the itemset without its last and without its
     last but one item; both lists together hold exactly its transactions.
+    `spread_lists` is `lists` over more tasks, to share out the intersections.
     """
     parents = candidates.select(
         "itemset",
@@ -51,7 +60,8 @@ def intersect_tid_lists(
             "concat(slice(itemset, 1, size(itemset) - 2), array(element_at(itemset, -1)))"
         ).alias("right"),
     )
-    first = lists.select(F.col("itemset").alias("left"), "bucket", F.col("tids").alias("one"))
+    first = lists if spread_lists is None else spread_lists
+    first = first.select(F.col("itemset").alias("left"), "bucket", F.col("tids").alias("one"))
     second = lists.select(F.col("itemset").alias("right"), "bucket", F.col("tids").alias("two"))
     if candidate_rows is None:
         met = first.join(parents, "left")

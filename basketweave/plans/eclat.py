@@ -21,7 +21,16 @@ from basketweave.plans.encode import (
     rank_dictionary,
     single_itemsets,
 )
-from basketweave.workspace import Workspace
+from basketweave.workspace import Table, Workspace
+
+
+# Tid arrays that are worth a task of their own.
+LISTS_PER_TASK = 8
+
+
+def _intersect(lists: Table, candidates: DataFrame, rows: int, k: int) -> DataFrame:
+    spread = lists.spread(LISTS_PER_TASK)
+    return intersect_tid_lists(lists.df, candidates, rows, k, spread)
 
 
 def mine_eclat(
@@ -66,13 +75,13 @@ def mine_eclat(
             break
         if lists is None:
             held = baskets.df.select("tid", F.explode("items").alias("item"))
-            singles = ws.write("lists", bucketed_lists(held, buckets or bucket_count(baskets.rows)))
-            lists = ws.write("lists", intersect_tid_lists(singles.df, level.df, level.rows, k))
+            tasks = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
+            cut = buckets or bucket_count(baskets.rows, tasks)
+            singles = ws.write("lists", bucketed_lists(held, cut))
+            lists = ws.write("lists", _intersect(singles, level.df, level.rows, k))
             ws.drop(singles)
         k += 1
-        before, lists = lists, ws.write(
-            "lists", intersect_tid_lists(lists.df, candidates, bound, k)
-        )
+        before, lists = lists, ws.write("lists", _intersect(lists, candidates, bound, k))
         ws.drop(before)
         level = ws.write("level", tid_list_sizes(lists.df, min_support))
         if level.rows:

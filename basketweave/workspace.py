@@ -28,14 +28,15 @@ class Table:
     rows: int
     stats: dict = field(default_factory=dict)
 
-    def spread(self) -> DataFrame:
+    def spread(self, rows_per_task: int = SPREAD_ROWS) -> DataFrame:
         """The table over more tasks, where it has few files.
 
-        For steps that turn one row into many: a small table would be expanded by
-        one or two tasks. A table that already reads as enough tasks is left alone.
+        For steps that do much work per row, such as turning one row into many: a
+        small table would be left to one or two tasks. A table that already reads
+        as enough tasks stays as it is.
         """
         limit = int(self.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        tasks = min(limit, self.rows // SPREAD_ROWS)
+        tasks = min(limit, self.rows // rows_per_task)
         if tasks < 2 or self.df.rdd.getNumPartitions() >= tasks:
             return self.df
         return self.df.repartition(tasks, *self.df.columns)
