@@ -12,11 +12,10 @@ from basketweave.functions import lookup_join
 from basketweave.operators.counting import (
     ITEM_BYTES,
     compress_transactions,
-    count_items,
+    frequent_items,
     prune_transactions,
     rank_items,
 )
-from basketweave.sources.transactions import long_rows
 from basketweave.workspace import Table, Workspace
 
 ITEMSETS_SCHEMA = "itemset ARRAY<STRING>, k INT, freq BIGINT"
@@ -36,31 +35,23 @@ def empty_itemsets(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], ITEMSETS_SCHEMA)
 
 
-def prepare_rows(ws: Workspace, data: DataFrame) -> DataFrame:
-    """`data` as distinct ``(tid, item)`` rows, to be counted and then encoded.
-
-    Arrays are only exploded. Long rows are made distinct once and written, so
-    their source is scanned and shuffled a single time.
-    """
-    rows = long_rows(data)
-    return rows if "items" in data.columns else ws.write("rows", rows).df
-
-
-def rank_dictionary(ws: Workspace, rows: DataFrame, min_support: int) -> Dictionary | None:
-    """Count, threshold and rank the items of distinct rows; None if none is frequent."""
-    items = ws.write("items", count_items(rows).filter(F.col("freq") >= min_support))
+def rank_dictionary(ws: Workspace, data: DataFrame, min_support: int) -> Dictionary | None:
+    """Count, threshold and rank the items; None if none is frequent."""
+    items = ws.write("items", frequent_items(data, min_support))
     return Dictionary(rank_items(ws, items), items.rows) if items.rows else None
 
 
-def encode_baskets(ws: Workspace, rows: DataFrame, items: Dictionary) -> Table:
+def encode_baskets(ws: Workspace, data: DataFrame, items: Dictionary) -> Table:
     """Merged transactions as rank arrays: ``(prefix, w)``.
 
+    Reads `data` a second time rather than a copy of its distinct rows: infrequent
+    items then go right after the scan, before anything is shuffled or written.
     Observes `width` (longest array) and `emits` (number of subsets of all rows).
     """
     size = F.size("prefix")
     return ws.write(
         "baskets",
-        compress_transactions(prune_transactions(rows, items.df, items.rows)),
+        compress_transactions(prune_transactions(data, items.df, items.rows)),
         width=F.max(size),
         emits=F.sum(F.pow(F.lit(2.0), F.least(size, F.lit(62)))),
     )

@@ -31,7 +31,6 @@ from basketweave.plans.encode import (
     decode,
     empty_itemsets,
     encode_baskets,
-    prepare_rows,
     rank_dictionary,
     single_itemsets,
 )
@@ -145,13 +144,12 @@ def _mine(ws, data, min_support, max_len, grow_rest, finish_width, finish_factor
 
     `grow_rest` takes the baskets unless their subsets can be counted directly.
     """
-    rows = prepare_rows(ws, data)
-    items = rank_dictionary(ws, rows, min_support)
+    items = rank_dictionary(ws, data, min_support)
     if items is None:
         return empty_itemsets(ws.spark)
     levels = [single_itemsets(items)]
     if max_len is None or max_len > 1:
-        baskets = encode_baskets(ws, rows, items)
+        baskets = encode_baskets(ws, data, items)
         stats = baskets.stats
         if _is_small(stats["width"], stats["emits"], baskets.rows, finish_width, finish_factor):
             direct = _count_subsets(pattern_base(baskets.spread()), min_support, 2, max_len)
@@ -262,10 +260,8 @@ def mine_pair_pruned(
             if max_len is not None and k + 1 >= max_len:
                 break
             before, base = base, _write_base(ws, _pruned_bases(ws, base, pairs, k))
-            if k > 1:
-                ws.drop(before)
-        if k:
-            ws.drop(base)
+            ws.drop(before)
+        ws.drop(base)
         return levels
 
     return _mine(ws, data, min_support, max_len, grow_rest, finish_width, finish_factor)

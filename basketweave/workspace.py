@@ -80,7 +80,9 @@ class Workspace:
         return Table(back, path, rows, {n: v or 0 for n, v in stats.items()})
 
     def drop(self, table: Table) -> None:
-        """Delete a table that no later plan reads."""
+        """Delete a table that no later plan reads; a frame without a path is left."""
+        if not table.path:
+            return
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(table.path)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
