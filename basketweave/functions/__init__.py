@@ -1,10 +1,11 @@
-from basketweave.functions.arrays import expand_positions, project, subsets, without_each
+from basketweave.functions.arrays import expand_positions, once, project, subsets, without_each
 from basketweave.functions.joins import fits_broadcast, lookup_join
 
 __all__ = [
     "expand_positions",
     "fits_broadcast",
     "lookup_join",
+    "once",
     "project",
     "subsets",
     "without_each",

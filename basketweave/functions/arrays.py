@@ -39,6 +39,15 @@ def project(prefix: Column, keep: Column) -> Column:
     return F.when(F.size(keep) > PROJECT_ITEMS, prefix).otherwise(F.array_intersect(prefix, keep))
 
 
+def once(value: Column) -> Column:
+    """`value` as the output of a one-element explode.
+
+    The optimizer moves a filter on a computed column below the projection and so
+    evaluates the column twice; it does not move one below an explode.
+    """
+    return F.explode(F.array(value))
+
+
 def expand_positions(df: DataFrame, array: str, width: int | None = None) -> DataFrame:
     """One row per array element: adds `pos` (0-based) and `item`.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketweave.functions import expand_positions, lookup_join, project
+from basketweave.functions import expand_positions, lookup_join, once, project
 from basketweave.operators.counting import count_items
 from basketweave.sources.transactions import long_rows
 
@@ -130,9 +130,8 @@ def project_prefixes(
         rows = base.join(keep, "suffix")
     else:
         rows = lookup_join(base, keep, "suffix", keep_rows, row_bytes, salt_on=["prefix"])
-    return rows.select("suffix", project(F.col("prefix"), F.col("keep")).alias("prefix"), "w").filter(
-        F.size("prefix") > 0
-    )
+    projected = once(project(F.col("prefix"), F.col("keep"))).alias("prefix")
+    return rows.select("suffix", projected, "w").filter(F.size("prefix") > 0)
 
 
 def count_pairs(base: DataFrame, min_support: int, width: int | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from basketweave.functions import (
     expand_positions,
     fits_broadcast,
     lookup_join,
+    once,
     project,
     subsets,
 )
@@ -294,7 +295,7 @@ def _pruned_bases(ws: Workspace, base: Table, pairs: Table, k: int) -> DataFrame
     row_bytes = _keep_bytes(k, pairs.rows, max(suffixes, 1))
     return (
         lookup_join(rows, keep, "suffix", suffixes, row_bytes, salt_on=["whole"])
-        .select("suffix", project(F.col("prefix"), F.col("keep")).alias("prefix"), "w")
+        .select("suffix", once(project(F.col("prefix"), F.col("keep"))).alias("prefix"), "w")
         .filter(F.size("prefix") > 1)
         .groupBy("suffix", "prefix")
         .agg(F.sum("w").alias("w"))
