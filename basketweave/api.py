@@ -24,7 +24,7 @@ DEFAULT_GROUPS = 36
 def frequent_itemsets(
     data: DataFrame,
     min_support: int,
-    algorithm: str = "prefix_array",
+    algorithm: str = "pair_pruned",
     num_groups: int = DEFAULT_GROUPS,
     max_len: int | None = None,
     workspace: Workspace | None = None,

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basketweave.functions import lookup_join
+from basketweave.functions import dense_numbers, lookup_join
 from basketweave.sources.transactions import long_rows
 from basketweave.workspace import Table, Workspace
 
 # A dictionary up to this size is numbered by one window; a larger one by a sort.
 RANK_WINDOW_ROWS = 1_000_000
-# Estimated size of one dictionary entry in memory.
-ITEM_BYTES = 96
+# Estimated size of one dictionary entry in memory, besides the name itself.
+ENTRY_BYTES = 80
 
 
 def transaction_count(data: DataFrame) -> DataFrame:
@@ -49,26 +49,9 @@ def item_rank(items: DataFrame) -> DataFrame:
 
 
 def item_rank_sorted(ws: Workspace, items: DataFrame) -> DataFrame:
-    """`item_rank` by a distributed sort, for a dictionary of any size.
-
-    After the sort a row's running id holds its partition and its place in it;
-    adding the sizes of the partitions before gives the rank. The frame of
-    partition sizes has one row per sort partition.
-    """
-    ordered = items.orderBy(F.desc("freq"), "item").select(
-        "item", "freq", F.monotonically_increasing_id().alias("_id")
-    )
-    # The running id is (partition << 33) + place.
-    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
-    placed = ws.write("sorted_items", ordered).df.select(
-        "item", "freq", part.alias("_part"), place.alias("_place")
-    )
-    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = F.sum("_size").over(W.orderBy("_part")) - F.col("_size")
-    starts = sizes.select("_part", before.alias("_start"))
-    return placed.join(F.broadcast(starts), "_part").select(
-        "item", "freq", (F.col("_start") + F.col("_place")).cast("int").alias("rk")
-    )
+    """`item_rank` by a distributed sort, for a dictionary of any size."""
+    ordered = items.select("item", "freq").orderBy(F.desc("freq"), "item")
+    return dense_numbers(ws, ordered, "rk").select("item", "freq", F.col("rk").cast("int"))
 
 
 def rank_items(ws: Workspace, items: Table) -> DataFrame:
@@ -79,7 +62,7 @@ def rank_items(ws: Workspace, items: Table) -> DataFrame:
 
 
 def prune_transactions(
-    data: DataFrame, rank: DataFrame, rank_rows: int | None = None
+    data: DataFrame, rank: DataFrame, rank_rows: int | None = None, row_bytes: int = ENTRY_BYTES
 ) -> DataFrame:
     """Keep frequent items only, as ranks in rank order: ``(tid, items ARRAY<INT>)``.
 
@@ -92,7 +75,7 @@ def prune_transactions(
     if rank_rows is None:
         coded = rows.join(ranks, "item")
     else:
-        coded = lookup_join(rows, ranks, "item", rank_rows, ITEM_BYTES, salt_on=["tid"])
+        coded = lookup_join(rows, ranks, "item", rank_rows, row_bytes, salt_on=["tid"])
     return coded.groupBy("tid").agg(F.sort_array(F.collect_set("rk")).alias("items"))
 
 

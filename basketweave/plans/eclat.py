@@ -53,7 +53,7 @@ def mine_eclat(
         return decode(items, levels)
 
     # Numbered here once and read back, so the ids cannot change later.
-    numbered = prune_transactions(data, items.df, items.rows).select(
+    numbered = prune_transactions(data, items.df, items.rows, items.row_bytes).select(
         F.monotonically_increasing_id().alias("tid"), "items"
     )
     baskets = ws.write("baskets", numbered, width=F.max(F.size("items")))

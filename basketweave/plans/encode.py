@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from basketweave.functions import lookup_join
 from basketweave.operators.counting import (
-    ITEM_BYTES,
+    ENTRY_BYTES,
     compress_transactions,
     frequent_items,
     prune_transactions,
@@ -19,8 +19,8 @@ from basketweave.operators.counting import (
 from basketweave.workspace import Table, Workspace
 
 ITEMSETS_SCHEMA = "itemset ARRAY<STRING>, k INT, freq BIGINT"
-# Up to this many items the dictionary is one array that rows index in place.
-DICTIONARY_ITEMS = 100_000
+# Up to this size the dictionary is one array that rows index in place.
+DICTIONARY_BYTES = 8 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -29,6 +29,7 @@ class Dictionary:
 
     df: DataFrame
     rows: int
+    row_bytes: int
 
 
 def empty_itemsets(spark: SparkSession) -> DataFrame:
@@ -37,8 +38,13 @@ def empty_itemsets(spark: SparkSession) -> DataFrame:
 
 def rank_dictionary(ws: Workspace, data: DataFrame, min_support: int) -> Dictionary | None:
     """Count, threshold and rank the items; None if none is frequent."""
-    items = ws.write("items", frequent_items(data, min_support))
-    return Dictionary(rank_items(ws, items), items.rows) if items.rows else None
+    items = ws.write(
+        "items", frequent_items(data, min_support), bytes=F.sum(F.octet_length("item"))
+    )
+    if not items.rows:
+        return None
+    row_bytes = ENTRY_BYTES + -(-items.stats["bytes"] // items.rows)
+    return Dictionary(rank_items(ws, items), items.rows, row_bytes)
 
 
 def encode_baskets(ws: Workspace, data: DataFrame, items: Dictionary) -> Table:
@@ -51,7 +57,7 @@ def encode_baskets(ws: Workspace, data: DataFrame, items: Dictionary) -> Table:
     size = F.size("prefix")
     return ws.write(
         "baskets",
-        compress_transactions(prune_transactions(data, items.df, items.rows)),
+        compress_transactions(prune_transactions(data, items.df, items.rows, items.row_bytes)),
         width=F.max(size),
         emits=F.sum(F.pow(F.lit(2.0), F.least(size, F.lit(62)))),
     )
@@ -64,7 +70,7 @@ def single_itemsets(items: Dictionary) -> DataFrame:
 def decode(items: Dictionary, levels: list[DataFrame]) -> DataFrame:
     """Frames of rank itemsets ``(itemset, freq)`` as one frame of item names."""
     found = reduce(DataFrame.unionByName, levels)
-    if items.rows <= DICTIONARY_ITEMS:
+    if items.rows * items.row_bytes <= DICTIONARY_BYTES:
         entries = F.array_sort(F.collect_list(F.struct("rk", "item")))
         names = items.df.agg(F.transform(entries, lambda e: e["item"])).scalar()
         named = found.withColumn("names", names).select(
@@ -72,8 +78,9 @@ def decode(items: Dictionary, levels: list[DataFrame]) -> DataFrame:
         )
     else:
         rows = found.select("itemset", "freq", F.explode("itemset").alias("rk"))
+        names = items.df.select("rk", "item")
         named = (
-            lookup_join(rows, items.df.select("rk", "item"), "rk", items.rows, ITEM_BYTES, ["itemset"])
+            lookup_join(rows, names, "rk", items.rows, items.row_bytes, ["itemset"])
             .groupBy(F.col("itemset").alias("ranks"), "freq")
             .agg(F.collect_list("item").alias("itemset"))
         )

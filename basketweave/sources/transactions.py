@@ -12,6 +12,9 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketweave.functions import dense_numbers
+from basketweave.workspace import Workspace
+
 
 def read_transactions(
     spark: SparkSession, path: str | list[str], delimiter: str = " ", tid: str | None = "tid"
@@ -27,21 +30,18 @@ def read_transactions(
     return lines if tid is None else assign_tids(lines, tid)
 
 
-def assign_tids(transactions: DataFrame, tid: str = "tid", dense: bool = False) -> DataFrame:
+def assign_tids(
+    transactions: DataFrame, tid: str = "tid", dense: bool = False, workspace: Workspace | None = None
+) -> DataFrame:
     """Number the transactions.
 
     The default numbers are unique, not consecutive, and cost no shuffle. They
     depend on the partitioning of the input, so write the result before it is
-    read twice. `dense` gives 0..n-1 at the price of one job for the partition
-    sizes.
+    read twice. `dense` gives 0..n-1, from a copy written to `workspace`.
     """
-    if not dense:
-        return transactions.select(F.monotonically_increasing_id().alias(tid), "*")
-    schema = f"{tid} BIGINT NOT NULL, " + ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in transactions.schema.fields
-    )
-    numbered = transactions.rdd.zipWithIndex().map(lambda pair: (pair[1], *pair[0]))
-    return transactions.sparkSession.createDataFrame(numbered, schema)
+    if dense:
+        return dense_numbers(workspace or Workspace(transactions.sparkSession), transactions, tid)
+    return transactions.select(F.monotonically_increasing_id().alias(tid), "*")
 
 
 def transactions_from_rows(rows: DataFrame, key: str, item: str) -> DataFrame:

@@ -163,7 +163,7 @@ def test_large_dictionary_and_unbroadcast_lookups(spark, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(joins, "HOT_ROWS", 4)
     monkeypatch.setattr(counting, "RANK_WINDOW_ROWS", 0)
-    monkeypatch.setattr(encode, "DICTIONARY_ITEMS", 0)
+    monkeypatch.setattr(encode, "DICTIONARY_BYTES", 0)
     monkeypatch.setattr(candidates, "PAIR_BLOCK", 2)
     baskets = random_baskets(11, n=40, items="aaaabcdef")
     for algorithm in ("apriori", "eclat", "pair_pruned", "prefix_array"):
