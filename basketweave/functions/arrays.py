@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Beyond this many kept items the per-row intersection costs more than it saves.
 PROJECT_ITEMS = 4096
 # A row with a wider array is cut into pieces of this many positions.
-WIDE_ROW = 4096
+WIDE_ROW = 1024
 
 
 def subsets(items: Column, max_len: int | None = None, element: str = "int") -> Column:

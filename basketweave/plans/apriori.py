@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketweave.functions import lookup_join
 from basketweave.operators.candidates import (
     count_candidates,
     extend_occurrences,
     itemset_bytes,
     next_candidates,
 )
+from basketweave.operators.patterns import project_prefixes
 from basketweave.plans.encode import (
     decode,
     empty_itemsets,
@@ -30,6 +30,23 @@ def _write_occurrences(ws: Workspace, extended: DataFrame) -> Table:
     return ws.write("occurrences", merged, width=F.max(F.size("rest")))
 
 
+def _frequent_rest(held: Table, level: Table, k: int) -> DataFrame:
+    """Occurrences of the last level, their rest cut to the items that grew them.
+
+    Any further item must be frequent with the shorter itemset too, so cutting
+    before the rows are extended loses nothing, nor does leaving out itemsets that
+    a single item grew.
+    """
+    keep = (
+        level.df.groupBy(F.expr("slice(itemset, 2, size(itemset) - 1)").alias("suffix"))
+        .agg(F.collect_list(F.element_at("itemset", 1)).alias("keep"))
+        .filter(F.size("keep") > 1)
+    )
+    base = held.spread().select(F.col("itemset").alias("suffix"), F.col("rest").alias("prefix"), "w")
+    projected = project_prefixes(base, keep, level.rows, itemset_bytes(k))
+    return projected.select(F.col("suffix").alias("itemset"), F.col("prefix").alias("rest"), "w")
+
+
 def mine_apriori(
     ws: Workspace, data: DataFrame, min_support: int, max_len: int | None = None
 ) -> DataFrame:
@@ -76,15 +93,7 @@ def mine_apriori(
         candidates, bound = next_candidates(ws, level, k)
         if not bound:
             break
-        extended = lookup_join(
-            extend_occurrences(held.spread(), held.stats["width"]),
-            level.df.select("itemset"),
-            "itemset",
-            level.rows,
-            itemset_bytes(k - 1),
-            salt_on=["rest"],
-            how="left_semi",
-        )
+        extended = extend_occurrences(_frequent_rest(held, level, k), held.stats["width"])
         before, held = held, _write_occurrences(ws, extended)
         ws.drop(before)
     ws.drop(held)
