@@ -28,7 +28,6 @@ from basketweave.operators.patterns import (
     project_prefixes,
 )
 from basketweave.plans.encode import (
-    Dictionary,
     decode,
     empty_itemsets,
     encode_baskets,

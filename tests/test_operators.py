@@ -23,7 +23,10 @@ def baskets():
 
 
 def as_dict(df, *keys, value):
-    return {tuple(tuple(r[k]) if isinstance(r[k], list) else r[k] for k in keys): r[value] for r in df.collect()}
+    def key(row):
+        return tuple(tuple(row[k]) if isinstance(row[k], list) else row[k] for k in keys)
+
+    return {key(r): r[value] for r in df.collect()}
 
 
 def ranked(baskets, min_support):
@@ -115,7 +118,11 @@ def test_candidates(spark, baskets, monkeypatch, block):
         level = {s for s in brute_force(baskets, min_support, k - 1) if len(s) == k - 1}
         frame = spark.createDataFrame([(list(s),) for s in level], "itemset ARRAY<STRING>")
         items = sorted({x for s in level for x in s})
-        joined = {c for c in itertools.combinations(items, k) if c[:-1] in level and c[:-2] + c[-1:] in level}
+        joined = {
+            c
+            for c in itertools.combinations(items, k)
+            if c[:-1] in level and c[:-2] + c[-1:] in level
+        }
         pruned = {c for c in joined if all(s in level for s in itertools.combinations(c, k - 1))}
         found = ops.generate_candidates(frame)
         rows = [tuple(r["itemset"]) for r in found.collect()]
@@ -207,7 +214,10 @@ def test_wide_rows_are_cut(spark, monkeypatch):
 def test_lookup_join_with_a_hot_key(spark, monkeypatch, how):
     monkeypatch.setattr(joins, "HOT_ROWS", 30)
     big = spark.range(300).select(
-        F.when(F.col("id") < 200, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key"), "id"
+        F.when(F.col("id") < 200, "hot")
+        .otherwise(F.concat(F.lit("k"), F.col("id") % 50))
+        .alias("key"),
+        "id",
     )
     keys = [("hot", 1), ("k3", 2), ("none", 3)]
     small = spark.createDataFrame(keys, "key STRING, v INT")
