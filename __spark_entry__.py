@@ -15,6 +15,16 @@ import basketweave as bw
 from basketweave import operators as ops
 from basketweave import sources as src
 
+# The driver may delete corpus_pipeline.py and basketweave/llm; all else works without them.
+try:
+    from basketweave.llm import queries as llm
+except ImportError:
+    llm = None
+try:
+    import corpus_pipeline
+except ImportError:
+    corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Thresholds that the queries and their SQL share.
@@ -321,6 +331,10 @@ def queries() -> dict[str, Query]:
         found[f"frequent_itemsets_{algorithm}"] = mined("order_brand", BRAND, algorithm)
         found[f"frequent_itemsets_{algorithm}_deep"] = mined("order_type", TYPE, algorithm)
         found[f"frequent_itemsets_{algorithm}_words"] = mined_words(algorithm)
+    if llm:
+        found |= llm.QUERIES
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
     return found
 
 
@@ -528,4 +542,8 @@ def oracle_sql() -> dict[str, str]:
         sql[f"frequent_itemsets_{algorithm}"] = itemsets_sql("order_brand", BRAND)
         sql[f"frequent_itemsets_{algorithm}_deep"] = itemsets_sql("order_type", TYPE)
         sql[f"frequent_itemsets_{algorithm}_words"] = itemsets_sql("document_words", WORD_SUPPORT)
+    if llm:
+        sql |= llm.SQL
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
