@@ -9,6 +9,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from basketweave.workspace import Workspace
 
@@ -42,7 +43,7 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))
 
 
-def map_arrow(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` by a function of this package, which the workers must import.
 
     A cluster ships the package with ``--py-files``; workers on this machine find it
@@ -78,3 +79,21 @@ def map_batches(
             )
 
     return map_arrow(df, run, schema)
+
+
+def filter_batches(
+    df: DataFrame, column: str, make: Callable[[], Callable[[list], list[bool]]]
+) -> DataFrame:
+    """The rows of `df` for which a Python function of `column` holds; all columns stay.
+
+    `make` runs once per task and gives a function from the values of one Arrow batch
+    to whether each row stays. No row is shuffled or matched by an id.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds = make()
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(holds(batch.column(column).to_pylist()), pa.bool_()))
+
+    return map_arrow(df, run, df.schema)

@@ -19,10 +19,10 @@ from functools import reduce
 from uuid import uuid4
 
 import ahocorasick
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketweave.llm.common import map_batches
+from basketweave.llm.common import filter_batches, map_batches
 
 # Edits that are allowed, as a share of an item's normalised characters.
 ERROR_RATE = 0.06
@@ -175,6 +175,13 @@ def _blocks(items: DataFrame, limit: int) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
+def _finders(spark: SparkSession, items: DataFrame, error_rate: float, block_chars: int):
+    """For each block of items what makes its finder in a task."""
+    for block in _blocks(items, block_chars):
+        shared, key = spark.sparkContext.broadcast(block), uuid4().hex
+        yield lambda shared=shared, key=key: _cached(key, shared.value, error_rate)
+
+
 def find_matches(
     docs: DataFrame,
     items: DataFrame,
@@ -192,40 +199,47 @@ def find_matches(
     exactly. Empty tables give an empty frame.
     """
     schema = "doc_id bigint, item_id bigint, distance int, start int, end int"
-    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     found = []
-    for block in _blocks(items, block_chars):
-        shared = spark.sparkContext.broadcast(block)
+    for finder_of in _finders(docs.sparkSession, items, error_rate, block_chars):
 
-        def make(shared=shared, key=uuid4().hex):
-            finder = _cached(key, shared.value, error_rate)
+        def make(finder_of=finder_of):
+            finder = finder_of()
 
             def step(ids, rows):
-                out = {n: [] for n in ("doc_id", "item_id", "distance", "start", "end")}
+                hits = []
                 for doc_id, text in zip(ids, rows, strict=True):
                     best: dict[int, tuple] = {}
-                    for item_id, *hit in finder.matches(text) if text else ():
+                    for item_id, *hit in finder.matches(text):
                         best[item_id] = min(best.get(item_id, tuple(hit)), tuple(hit))
-                    for item_id, (distance, start, end) in best.items():
-                        for name, value in zip(
-                            out, (doc_id, item_id, distance, start, end), strict=True
-                        ):
-                            out[name].append(value)
-                return out
+                    hits += [(doc_id, item_id, *hit) for item_id, hit in best.items()]
+                names = ("doc_id", "item_id", "distance", "start", "end")
+                return {name: [hit[i] for hit in hits] for i, name in enumerate(names)}
 
             return step
 
         found.append(map_batches(texts, make, schema))
     if not found:
-        return spark.createDataFrame([], schema)
+        return docs.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionAll, found)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents of `docs` without those that hold an item; all columns stay.
+def decontaminate(
+    docs: DataFrame,
+    items: DataFrame,
+    error_rate: float = ERROR_RATE,
+    block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """The rows of `docs` whose ``text`` holds no item; all columns stay.
 
-    A document without an id or without text is kept.
+    Each row is judged by its text alone, so null and repeated ids do no harm; a row
+    without text stays.
     """
-    held = find_matches(docs, items, **options).select(F.col("doc_id").alias("_held")).distinct()
-    return docs.join(held, docs["doc_id"] == held["_held"], "left_anti")
+    for finder_of in _finders(docs.sparkSession, items, error_rate, block_chars):
+
+        def make(finder_of=finder_of):
+            finder = finder_of()
+            return lambda texts: [next(finder.matches(t), None) is None for t in texts]
+
+        docs = filter_batches(docs, "text", make)
+    return docs

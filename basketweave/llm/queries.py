@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketweave.llm import decontaminate, mixing, pii, tokens
+from basketweave.llm import decontaminate, minhash, mixing, pii, tokens, toxicity
 from basketweave.llm.common import table, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near copies of every document."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), workspace(spark))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data per document, with the mean score of its spans."""
     found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -39,6 +44,19 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, by a model of the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "passages",
+    )
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded, written as binary files and read back."""
     files = tokens.write_token_files(
@@ -64,7 +82,9 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_pii": op3_pii,
+    "op5_toxicity": op5_toxicity,
     "op6_token_files": op6_token_files,
     "op7_mixing": op7_mixing,
 }
