@@ -31,8 +31,9 @@ from basketweave.llm.common import filter_batches, map_batches
 # Labels are learned where the CRC of the document's id, modulo FOLDS, is not HELD_OUT.
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
-# Weight of the prior, in tokens, and standard errors by which log-odds are reduced.
-PRIOR, CAUTION = 500.0, 1.96
+# Weight of the prior, in tokens, shared out by frequency; what each feature gets besides;
+# and the standard errors by which log-odds are reduced.
+PRIOR, EACH, CAUTION = 500.0, 0.5, 1.96
 # What each token costs a segment.
 DRIFT = 0.5
 # Beginnings of a word that count as features, in characters.
@@ -173,7 +174,7 @@ def _log_odds(counts: DataFrame) -> dict[str, tuple[float, float]]:
     n1, n0 = counts.agg(F.sum("y1"), F.sum("y0")).first()
     if not n1 or not n0:
         return {}
-    prior = PRIOR * (F.col("y1") + F.col("y0")) / (n1 + n0)
+    prior = EACH + PRIOR * (F.col("y1") + F.col("y0")) / (n1 + n0)
 
     def side(seen: str, whole: float) -> Column:
         return F.log((F.col(seen) + prior) / (whole + PRIOR - F.col(seen) - prior))
