@@ -64,7 +64,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         workspace(spark),
         public_tokenizers.path(TOKENIZER),
         END_ID,
-        split=True,
+        words=True,
     )
     return tokens.read_token_files(files)
 

@@ -17,7 +17,9 @@ shards before it, a prefix sum over one manifest row per shard.
 from __future__ import annotations
 
 import os
+import sys
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,7 +36,9 @@ from basketweave.workspace import Workspace
 # Stands for a null doc_id in a .doc file.
 NO_ID = -(1 << 63)
 # Distinct pieces of text whose ids a worker remembers; it forgets them all beyond.
-CACHE_PIECES = 800_000
+CACHE_PIECES = 300_000
+# Letters below this one have no special cases of case or composition.
+LATIN_END = "\u0180"
 # Documents that are encoded together.
 SLICE = 256
 
@@ -44,71 +48,96 @@ MANIFEST = (
 MANIFEST_NAMES = [column.split()[0] for column in MANIFEST.split(", ")]
 
 
+class Letters(dict):
+    """Characters as the byte-level alphabet writes them.
+
+    Bytes that print stand for themselves, the others for characters from U+0100 on.
+    """
+
+    def __init__(self):
+        super().__init__()
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in set(shown)]
+        self._of = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+    def __missing__(self, letter: str) -> str:
+        self[letter] = "".join(self._of[b] for b in letter.encode())
+        return self[letter]
+
+
 class Encoder:
-    """Encodes texts with a file of the tokenizers library, blank by blank.
+    """Encodes texts with a file of the tokenizers library.
 
-    With `split`, a text is cut at blanks and line ends, and each distinct piece is
-    encoded once. This suits tokenizers that drop white space before they look at
-    words; others must encode whole texts.
+    With `words`, a text is cut at blanks and line ends, and each distinct piece is
+    encoded once. A piece of lower-case Latin letters goes straight to the library's
+    model, spelt in the byte-level alphabet; any other piece goes through the whole
+    tokenizer. This suits byte-level tokenizers that lower-case, drop white space and
+    part letters from the rest; others must encode whole texts.
     """
 
-    def __init__(self, path: str, split: bool):
+    def __init__(self, path: str, words: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.split = split
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self._cache: dict[str, bytes] = {}
+        self.words = words
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.width = array(self.code).itemsize
+        self._letters, self._cache = Letters(), {}
+
+    def pack(self, ids: list[int]) -> bytes:
+        values = array(self.code, ids)
+        if sys.byteorder == "big":
+            values.byteswap()
+        return values.tobytes()
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
+        return [self.pack(x.ids) for x in found]
 
-    @staticmethod
-    def _core(piece: str) -> tuple[str, str]:
-        """A piece without a stop after its last letter, and that stop.
+    def _learn(self, pieces: set[str]) -> None:
+        """Remember the ids of `pieces`.
 
-        A letter and a stop never meet in a token, so the two are encoded apart.
+        A letter and a stop after it never meet in a token, so they are encoded apart.
         """
-        if len(piece) > 1 and piece[-1] in ".,!?;:" and piece[-2].isalpha():
-            return piece[:-1], piece[-1]
-        return piece, ""
-
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self._cache) + len(pieces) > CACHE_PIECES:
-            self._cache.clear()
-        cores = {p: self._core(p) for p in pieces}
-        new = list({x for core in cores.values() for x in core if x and x not in self._cache})
-        cache = self._cache
-        cache.update(zip(new, self._raw(new), strict=True))
-        for piece, (core, stop) in cores.items():
-            if stop:
-                cache[piece] = cache[core] + cache[stop]
+        cache, model, spelt = self._cache, self.tokenizer.model, self._letters
+        if len(cache) + len(pieces) > CACHE_PIECES:
+            cache.clear()
+        stops = {p: p[-1] for p in pieces if len(p) > 1 and p[-1] in ".,!?;:" and p[-2].isalpha()}
+        new = {p[:-1] if p in stops else p for p in pieces} | set(stops.values())
+        other = []
+        for piece in new:
+            word = piece.lower()
+            if word.isalpha() and max(word) < LATIN_END and max(piece) < LATIN_END:
+                spelling = word if word.isascii() else "".join([spelt[c] for c in word])
+                cache[piece] = self.pack([x.id for x in model.tokenize(spelling)])
+            else:
+                other.append(piece)
+        cache.update(zip(other, self._raw(other), strict=True))
+        for piece, stop in stops.items():
+            cache[piece] = cache[piece[:-1]] + cache[stop]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.split:
+        if not self.words:
             return self._raw(texts)
         cut = [[p for p in t.replace("\n", " ").split(" ") if p] for t in texts]
-        self._learn(set().union(*cut) - self._cache.keys() if cut else set())
-        cache, out = self._cache, []
+        out = []
         for pieces in cut:
-            if all(p in cache for p in pieces):
-                out.append(b"".join([cache[p] for p in pieces]))
-            else:  # the cache was cleared for this slice
-                self._learn(set(pieces) - cache.keys())
-                out.append(b"".join([cache[p] for p in pieces]))
+            new = set(pieces).difference(self._cache)
+            if new:
+                self._learn(new | set(pieces) if len(self._cache) + len(new) > CACHE_PIECES else new)
+            out.append(b"".join([self._cache[p] for p in pieces]))
         return out
 
 
 _encoders: dict[tuple, Encoder] = {}
 
 
-def _encoder(path: str, split: bool) -> Encoder:
+def _encoder(path: str, words: bool) -> Encoder:
     """The worker's encoder, kept for its next task."""
-    if (path, split) not in _encoders:
-        _encoders[path, split] = Encoder(path, split)
-    return _encoders[path, split]
+    if (path, words) not in _encoders:
+        _encoders[path, words] = Encoder(path, words)
+    return _encoders[path, words]
 
 
 @dataclass(frozen=True)
@@ -117,6 +146,7 @@ class TokenFiles:
 
     folder: str
     manifest: DataFrame
+    shards: int
 
 
 def write_token_files(
@@ -124,7 +154,7 @@ def write_token_files(
     ws: Workspace,
     tokenizer: str,
     end_id: int,
-    split: bool = False,
+    words: bool = False,
     folder: str | None = None,
 ) -> TokenFiles:
     """Encode `docs` (``doc_id``, ``text``; other columns are ignored) into a folder.
@@ -142,11 +172,11 @@ def write_token_files(
     )
 
     def run(batches):
-        encoder, context = _encoder(tokenizer, split), TaskContext.get()
+        encoder, context = _encoder(tokenizer, words), TaskContext.get()
         name = f"{context.partitionId():06d}-{context.taskAttemptId()}"
         store, root = fs.FileSystem.from_uri(folder)
         ends, ids, out = [0], [], None
-        end = np.array([end_id], encoder.dtype).tobytes()
+        end = encoder.pack([end_id])
         for batch in batches:
             if out is None:
                 store.create_dir(root, recursive=True)
@@ -173,9 +203,9 @@ def write_token_files(
             names=MANIFEST_NAMES,
         )
 
-    shards = ws.write("manifest", map_arrow(ordered, run, MANIFEST)).df
+    written = ws.write("manifest", map_arrow(ordered, run, MANIFEST))
     before = F.sum("tokens").over(W.orderBy("shard")) - F.col("tokens")
-    return TokenFiles(folder, shards.withColumn("base", before))
+    return TokenFiles(folder, written.df.withColumn("base", before), written.rows)
 
 
 def _bytes(store: fs.FileSystem, path: str, dtype: str) -> np.ndarray:
@@ -219,4 +249,4 @@ def read_token_files(files: TokenFiles, with_ids: bool = False) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
     spread = files.manifest.select("shard", "name", "width", "base")
-    return map_arrow(spread.repartition("shard"), run, schema)
+    return map_arrow(spread.repartition(max(1, files.shards)), run, schema)
