@@ -43,16 +43,21 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))
 
 
-def map_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` by a function of this package, which the workers must import.
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package.
 
-    A cluster ships the package with ``--py-files``; workers on this machine find it
-    where the driver has it.
+    A cluster ships it with ``--py-files``; workers on this machine find it where the
+    driver has it.
     """
-    env = df.sparkSession.sparkContext.environment
+    env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` by a function of this package."""
+    importable(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

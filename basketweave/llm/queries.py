@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketweave.llm import decontaminate, minhash, mixing, pii, tokens, toxicity
+from basketweave.llm import decontaminate, language, minhash, mixing, neighbours, pii, tokens, toxicity, urls, warc
 from basketweave.llm.common import table, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,12 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, F.col("vec_id") % 20 == 0, workspace(spark), k=20)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document, by a model of the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -80,13 +86,63 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "mix_tokens", "mix_epoch", "mix_position")
 
 
+RULES = (
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+)
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page."""
+    return urls.judge(table(spark, sf_dir, "pages"), workspace(spark), RULES)
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by a model of those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(docs))
+    return found.select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "languages"
+    )
+
+
+# The audit drill damages the copies of records whose page_id has a CRC divisible by this.
+DRILL = 97
+
+
+def op10_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records in two replicas, one damaged in a drill, and audited.
+
+    Per record its stored size and hash, and whether the replicas agree on it.
+    """
+    ws = workspace(spark)
+    first, second = f"{ws.path}/replica-1", f"{ws.path}/replica-2"
+    ledger = warc.write_archive(table(spark, sf_dir, "pages"), ws, first)
+    warc.copy_archive(ledger, ws, first, second, drill=DRILL)
+    trees = [warc.build_tree(warc.hash_records(ledger, f), ws) for f in (first, second)]
+    bad = warc.audit(*trees, ws).select("file", F.col("node").alias("seq"), F.lit(False).alias("intact"))
+    return ledger.join(bad, ["file", "seq"], "left").select(
+        "page_id",
+        (F.col("end") - F.col("start")).alias("record_bytes"),
+        "sha256",
+        F.coalesce("intact", F.lit(True)).alias("intact"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_pii": op3_pii,
+    "op4_neighbours": op4_neighbours,
     "op5_toxicity": op5_toxicity,
     "op6_token_files": op6_token_files,
     "op7_mixing": op7_mixing,
+    "op8_url_filters": op8_url_filters,
+    "op9_language": op9_language,
+    "op10_warc_audit": op10_warc_audit,
 }
 
 SQL: dict[str, str] = {}
