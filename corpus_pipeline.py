@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token files, read back as one row per document."""
     files = tokens.write_token_files(
-        docs, workspace(spark), public_tokenizers.path(TOKENIZER), END_ID, split=True
+        docs, workspace(spark), public_tokenizers.path(TOKENIZER), END_ID, words=True
     )
     return tokens.read_token_files(files)
 
