@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import basketweave as bw
+from basketweave import job
 from basketweave import operators as ops
 from basketweave import sources as src
 
@@ -29,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Thresholds that the queries and their SQL share.
 BRAND, BRAND_HIGH, TYPE, EVENT = 50, 300, 100, 5
+BLANK, DENSE = 10, 300
 GROUPS = 4
 BUCKETS = 8
 # Words count as frequent from this share of all documents on.
@@ -77,6 +79,20 @@ def q_assign_tids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_assign_tids_rows(dense: bool) -> Query:
+    """Numbers joined back to the baskets that they were given to."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ws = bw.Workspace(spark)
+        baskets = src.transactions_from_rows(event(spark, sf_dir), "tid", "item")
+        numbered = src.assign_tids(baskets.withColumnRenamed("tid", "key"), "tid", dense, ws)
+        numbered = ws.write("numbered_baskets", numbered.select("tid", "key", "items")).df
+        once = numbered.groupBy("tid").agg(F.count(F.lit(1)).alias("n")).filter("n = 1")
+        return numbered.join(once, "tid").select(F.col("key").alias("tid"), joined("items"))
+
+    return run
+
+
 def q_basket_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.transactions_from_rows(brand(spark, sf_dir), "tid", "item").select(
         "tid", joined("items")
@@ -110,6 +126,69 @@ def q_write_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown_rules(spark.read.schema(found.schema).parquet(path))
 
 
+LINE_SCHEMA = "value STRING"
+
+
+def q_write_itemsets_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Itemsets with support, saved as text lines and read back."""
+    rows = event(spark, sf_dir)
+    found = bw.itemset_support(
+        bw.frequent_itemsets(rows, EVENT, "prefix_array"), bw.transaction_count(rows)
+    )
+    path = f"{bw.Workspace(spark).path}/itemsets"
+    bw.write_itemsets(found, path, fmt="text")
+    return read_itemset_lines(spark, path)
+
+
+def read_itemset_lines(spark: SparkSession, path: str) -> DataFrame:
+    part = r"^\(Set\((.*)\),\((\d+),(.*)\)\)$"
+    lines = spark.read.schema(LINE_SCHEMA).text(path)
+    return lines.select(
+        F.replace(F.regexp_extract("value", part, 1), F.lit(", "), F.lit(",")).alias("itemset"),
+        F.regexp_extract("value", part, 2).cast("bigint").alias("freq"),
+        F.round(F.regexp_extract("value", part, 3).cast("double"), 6).alias("support"),
+    )
+
+
+def q_write_rules_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules saved as text lines and read back."""
+    rows = event(spark, sf_dir)
+    found = bw.association_rules(
+        bw.frequent_itemsets(rows, EVENT, "prefix_array"), bw.transaction_count(rows)
+    )
+    path = f"{bw.Workspace(spark).path}/rules"
+    bw.write_rules(found, path, fmt="text")
+    return read_rule_lines(spark, path)
+
+
+def read_rule_lines(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.schema(LINE_SCHEMA).text(path)
+    part = (
+        r"Set\((.*)\) Successivo: Set\((.*)\) Supporto antecedente: (.*)"
+        r" Supporto successivo: (.*) Supporto: (.*) Confidence: (.*)$"
+    )
+    sets = [F.replace(F.regexp_extract("value", part, i), F.lit(", "), F.lit(",")) for i in (1, 2)]
+    names = ("antecedent_support", "consequent_support", "support", "confidence")
+    return lines.select(
+        sets[0].alias("antecedent"),
+        sets[1].alias("consequent"),
+        *[
+            F.round(F.regexp_extract("value", part, i).cast("double"), 6).alias(name)
+            for i, name in enumerate(names, 3)
+        ],
+    )
+
+
+def q_mine_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job from a parquet table to its text output, read back."""
+    ws = bw.Workspace(spark)
+    source = ws.write("source", brand(spark, sf_dir)).path
+    arguments = ["--key", "tid", "--item", "item", "--format", "text"]
+    options = job.parse_arguments([source, f"{ws.path}/out", "nonordfp", str(BRAND_HIGH), *arguments])
+    job.mine_job(spark, options)
+    return read_itemset_lines(spark, f"{ws.path}/out/nonordfp_itemsets")
+
+
 # --- counting --------------------------------------------------------------
 
 
@@ -198,6 +277,14 @@ def q_tid_intersections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.tid_list_sizes(met, BRAND).select(joined("itemset"), "freq")
 
 
+def q_tid_intersections_k3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists of frequent pairs met into those of triples."""
+    lists = ops.tid_lists(brand(spark, sf_dir), BRAND_HIGH, BUCKETS)
+    pairs = ops.intersect_tid_lists(lists, brand_pairs(spark, sf_dir, BRAND_HIGH))
+    met = ops.intersect_tid_lists(pairs, brand_candidates_k3(spark, sf_dir), k=3)
+    return ops.tid_list_sizes(met).select(joined("itemset"), "freq")
+
+
 # --- pattern growth --------------------------------------------------------
 
 
@@ -278,10 +365,15 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "read_transactions": q_read_transactions,
         "assign_tids": q_assign_tids,
+        "assign_tids_rows": q_assign_tids_rows(False),
+        "assign_tids_dense_rows": q_assign_tids_rows(True),
         "basket_items": q_basket_items,
         "basket_long": q_basket_long,
         "write_itemsets": q_write_itemsets,
         "write_rules": q_write_rules,
+        "write_itemsets_text": q_write_itemsets_text,
+        "write_rules_text": q_write_rules_text,
+        "mine_job": q_mine_job,
         "transaction_count": lambda s, d: bw.transaction_count(brand(s, d)),
         "item_counts": lambda s, d: ops.item_counts(brand(s, d)),
         "item_counts_words": lambda s, d: ops.item_counts(
@@ -291,8 +383,8 @@ def queries() -> dict[str, Query]:
         "item_rank": lambda s, d: brand_rank(s, d).select(
             "item", "freq", F.col("rk").cast("bigint").alias("rk")
         ),
-        "item_rank_sorted": lambda s, d: ops.item_rank_sorted(
-            bw.Workspace(s), ops.item_counts(src.basket_view(s, d, "document_words"))
+        "item_rank_sorted": lambda s, d: ops.item_rank(
+            ops.item_counts(src.basket_view(s, d, "document_words"))
         ).select("item", "freq", F.col("rk").cast("bigint").alias("rk")),
         "pruned_transactions": lambda s, d: brand_pruned(s, d).select("tid", joined("items")),
         "compressed_transactions": lambda s, d: ops.compress_transactions(
@@ -310,10 +402,14 @@ def queries() -> dict[str, Query]:
         "tid_lists": q_tid_lists,
         "tid_list_sizes": q_tid_list_sizes,
         "tid_intersections_k2": q_tid_intersections,
+        "tid_intersections_k3": q_tid_intersections_k3,
         "conditional_transactions": q_conditional_transactions,
         "conditional_pattern_base": lambda s, d: brand_base(s, d, BRAND).select(
             joined("suffix"), joined("prefix"), "w"
         ),
+        "conditional_pattern_base_k2": lambda s, d: ops.conditional_pattern_base(
+            brand_base(s, d, BRAND_HIGH)
+        ).select(joined("suffix"), joined("prefix"), "w"),
         "conditional_item_counts": q_conditional_item_counts,
         "projected_prefixes": q_project_prefixes,
         "pair_counts": lambda s, d: ops.pair_counts(brand(s, d)),
@@ -324,6 +420,8 @@ def queries() -> dict[str, Query]:
         "association_rules_lift": ruled("userday_event", EVENT, lift=True),
         "association_rules_confident": ruled("order_type", TYPE, min_confidence=0.5),
         "association_rules_builtin": ruled_builtin("userday_event", EVENT),
+        "association_rules_blank": ruled("order_small_brand", BLANK, lift=True),
+        "association_rules_builtin_blank": ruled_builtin("order_small_brand", BLANK),
         "frequent_itemsets_pairs_only": mined("order_type", TYPE, "fpgrowth", max_len=2),
         "frequent_itemsets_one_group": mined("order_brand", BRAND_HIGH, "fpgrowth", num_groups=1),
     }
@@ -331,6 +429,9 @@ def queries() -> dict[str, Query]:
         found[f"frequent_itemsets_{algorithm}"] = mined("order_brand", BRAND, algorithm)
         found[f"frequent_itemsets_{algorithm}_deep"] = mined("order_type", TYPE, algorithm)
         found[f"frequent_itemsets_{algorithm}_words"] = mined_words(algorithm)
+        found[f"frequent_itemsets_{algorithm}_dense"] = mined(
+            "customer_brand", DENSE, algorithm, max_len=3
+        )
     if llm:
         found |= llm.QUERIES
     if corpus_pipeline:
@@ -353,6 +454,14 @@ VIEWS = {
         "SELECT DISTINCT CAST(user_id AS VARCHAR) || '|' || strftime(ts, '%Y-%m-%d') AS tid,"
         " event_type AS item FROM events"
     ),
+    "order_small_brand": (
+        "SELECT DISTINCT l_orderkey AS tid, CASE WHEN p_size <= 10 THEN p_brand ELSE '' END AS item"
+        " FROM lineitem JOIN part ON l_partkey = p_partkey"
+    ),
+    "customer_brand": (
+        "SELECT DISTINCT o_custkey AS tid, p_brand AS item FROM lineitem"
+        " JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey"
+    ),
     "document_words": (
         "SELECT DISTINCT tid, item FROM (SELECT doc_id AS tid,"
         " unnest(string_split(text, ' ')) AS item FROM documents) WHERE item <> ''"
@@ -380,8 +489,8 @@ def itemsets(view: str, min_support, max_len: int | None = None) -> tuple[str, .
     """All subsets of all baskets of frequent items, counted: `f`."""
     stop = "" if max_len is None else f" AND s.k < {max_len}"
     return (
-        "d AS (SELECT tid, item FROM b WHERE item IN"
-        f" (SELECT item FROM b GROUP BY item HAVING count(*) >= {min_support}))",
+        "d AS (SELECT tid, item FROM b WHERE item IN (SELECT item FROM b"
+        f" WHERE item <> '' GROUP BY item HAVING count(*) >= {min_support}))",
         "s AS (SELECT tid, item AS last, item AS itemset, 1 AS k FROM d"
         " UNION ALL SELECT s.tid, d.item, s.itemset || ',' || d.item, s.k + 1"
         f" FROM s JOIN d ON d.tid = s.tid AND d.item > s.last{stop})",
@@ -453,6 +562,11 @@ def oracle_sql() -> dict[str, str]:
         " count(DISTINCT tid) AS n FROM b",
         "basket_items": base + baskets,
         "basket_long": base + "SELECT tid, item FROM b",
+        "assign_tids_rows": with_baskets("userday_event") + baskets,
+        "assign_tids_dense_rows": with_baskets("userday_event") + baskets,
+        "write_itemsets_text": support_sql("userday_event", EVENT),
+        "write_rules_text": rules_sql("userday_event", EVENT, RULE_COLUMNS),
+        "mine_job": support_sql("order_brand", BRAND_HIGH),
         "write_itemsets": support_sql("userday_event", EVENT),
         "write_rules": rules_sql("userday_event", EVENT, RULE_COLUMNS),
         "transaction_count": base + "SELECT count(DISTINCT tid) AS n FROM b",
@@ -506,6 +620,18 @@ def oracle_sql() -> dict[str, str]:
             " FROM p AS x LEFT JOIN p AS y ON x.tid = y.tid AND y.rk < x.rk GROUP BY 1, 2)",
         )
         + "SELECT CAST(rk AS VARCHAR) AS suffix, prefix, count(*) AS w FROM g GROUP BY 1, 2",
+        "tid_intersections_k3": with_baskets("order_brand", pairs_high, triples)
+        + "SELECT a || ',' || c.b || ',' || c AS itemset, count(*) AS freq FROM c"
+        " JOIN b AS x ON x.item = a JOIN b AS y ON y.tid = x.tid AND y.item = c.b"
+        " JOIN b AS z ON z.tid = x.tid AND z.item = c GROUP BY 1",
+        "conditional_pattern_base_k2": with_baskets(
+            "order_brand",
+            *ranks(BRAND_HIGH),
+            "g AS (SELECT x.tid, y.rk AS a, x.rk AS b, string_agg(z.rk, ',' ORDER BY z.rk) AS prefix"
+            " FROM p AS x JOIN p AS y ON x.tid = y.tid AND y.rk < x.rk"
+            " JOIN p AS z ON x.tid = z.tid AND z.rk < y.rk GROUP BY 1, 2, 3)",
+        )
+        + "SELECT a || ',' || b AS suffix, prefix, count(*) AS w FROM g GROUP BY 1, 2",
         "conditional_item_counts": ranked_high
         + "SELECT CAST(x.rk AS VARCHAR) AS suffix, y.rk AS item, count(*) AS freq"
         " FROM p AS x JOIN p AS y ON x.tid = y.tid AND y.rk < x.rk"
@@ -535,6 +661,10 @@ def oracle_sql() -> dict[str, str]:
         "association_rules_builtin": rules_sql(
             "userday_event", EVENT, "support, confidence, lift"
         ),
+        "association_rules_blank": rules_sql("order_small_brand", BLANK, RULE_COLUMNS + ", lift"),
+        "association_rules_builtin_blank": rules_sql(
+            "order_small_brand", BLANK, "support, confidence, lift"
+        ),
         "frequent_itemsets_pairs_only": itemsets_sql("order_type", TYPE, max_len=2),
         "frequent_itemsets_one_group": itemsets_sql("order_brand", BRAND_HIGH),
     }
@@ -542,6 +672,9 @@ def oracle_sql() -> dict[str, str]:
         sql[f"frequent_itemsets_{algorithm}"] = itemsets_sql("order_brand", BRAND)
         sql[f"frequent_itemsets_{algorithm}_deep"] = itemsets_sql("order_type", TYPE)
         sql[f"frequent_itemsets_{algorithm}_words"] = itemsets_sql("document_words", WORD_SUPPORT)
+        sql[f"frequent_itemsets_{algorithm}_dense"] = itemsets_sql(
+            "customer_brand", DENSE, max_len=3
+        )
     if llm:
         sql |= llm.SQL
     if corpus_pipeline and corpus_pipeline.ORACLE_SQL:

@@ -28,11 +28,16 @@ def frequent_itemsets(
     num_groups: int = DEFAULT_GROUPS,
     max_len: int | None = None,
     workspace: Workspace | None = None,
+    subset_width: int = plans.SUBSET_WIDTH,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Every itemset in at least `min_support` transactions: ``(itemset, k, freq)``.
 
     `data` has either ``(tid, items)`` or ``(tid, item)`` columns. All algorithms
-    return the same rows; `num_groups` concerns `fpgrowth` and `builtin` only.
+    return the same rows; `num_groups` concerns `fpgrowth` and `builtin` only,
+    `subset_width`, the widest prefix whose subsets are enumerated, `subsets`, and
+    `buckets`, into which tid lists are cut, `eclat`. `max_len` bounds the itemsets; all
+    but `builtin`, which mines them all first, save work by it.
     Intermediate tables go to `workspace`, by default a new folder under
     ``spark.checkpoint.dir``; the result reads from there.
     """
@@ -45,16 +50,18 @@ def frequent_itemsets(
     name = ALIASES.get(algorithm, algorithm)
     if name not in ALGORITHMS:
         raise ValueError(f"unknown algorithm {algorithm!r}, expected one of {ALGORITHMS}")
-    if name == "builtin":
-        return plans.mine_builtin(data, min_support, max_len, num_groups)
     ws = workspace or Workspace(data.sparkSession)
+    if name == "builtin":
+        return plans.mine_builtin(ws, data, min_support, max_len, num_groups)
     if name == "fpgrowth":
         return plans.mine_fpgrowth(ws, data, min_support, max_len, num_groups)
+    if name == "subsets":
+        return plans.mine_subsets(ws, data, min_support, max_len, subset_width)
+    if name == "eclat":
+        return plans.mine_eclat(ws, data, min_support, max_len, buckets)
     mine = {
         "apriori": plans.mine_apriori,
-        "eclat": plans.mine_eclat,
         "pair_pruned": plans.mine_pair_pruned,
         "prefix_array": plans.mine_prefix_array,
-        "subsets": plans.mine_subsets,
     }[name]
     return mine(ws, data, min_support, max_len)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Beyond this many kept items the per-row intersection costs more than it saves.
-PROJECT_ITEMS = 4096
 # A row with a wider array is cut into pieces of this many positions.
 WIDE_ROW = 1024
 
@@ -31,12 +29,8 @@ def without_each(items: Column) -> Column:
 
 
 def project(prefix: Column, keep: Column) -> Column:
-    """`prefix` without the items outside `keep`, in its own order.
-
-    Dropping them early is optional (the threshold drops them later), so a very
-    long `keep` is skipped rather than scanned once per row.
-    """
-    return F.when(F.size(keep) > PROJECT_ITEMS, prefix).otherwise(F.array_intersect(prefix, keep))
+    """`prefix` without the items outside `keep`, in its own order."""
+    return F.array_intersect(prefix, keep)
 
 
 def once(value: Column) -> Column:
@@ -51,21 +45,20 @@ def once(value: Column) -> Column:
 def expand_positions(df: DataFrame, array: str, width: int | None = None) -> DataFrame:
     """One row per array element: adds `pos` (0-based) and `item`.
 
-    `width` is the longest array, if known. When some are longer than WIDE_ROW,
-    those rows are cut into ranges of positions and spread over the tasks first,
-    so one huge basket is not expanded by a single task.
+    `width` is the longest array, if known. When some are longer than WIDE_ROW, arrays
+    are cut into pieces first, which are dealt to all tasks, so one huge basket is not
+    expanded by a single task. The input is read once, and a piece of a wide row holds
+    its own items only, unless the other columns hold more.
     """
     if width is None or width <= WIDE_ROW:
         return df.select("*", F.posexplode(array).alias("pos", "item"))
-    size = F.size(array)
-    narrow = df.filter(size <= WIDE_ROW).select("*", F.posexplode(array).alias("pos", "item"))
-    pieces = df.filter(size > WIDE_ROW).withColumn(
-        "_from", F.explode(F.sequence(F.lit(0), size - 1, F.lit(WIDE_ROW)))
-    )
+    starts = F.sequence(F.lit(0), F.greatest(F.size(array) - 1, F.lit(0)), F.lit(WIDE_ROW))
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wide = (
-        pieces.repartition(tasks, F.xxhash64(array), F.col("_from"))
-        .select("*", F.posexplode(F.slice(array, F.col("_from") + 1, WIDE_ROW)).alias("_i", "item"))
+    return (
+        df.withColumn("_from", F.explode(starts))
+        .withColumn("_piece", F.slice(array, F.col("_from") + 1, WIDE_ROW))
+        .repartition(tasks, F.xxhash64("_piece"), F.col("_from"))
+        .select("*", F.posexplode("_piece").alias("_i", "item"))
         .withColumn("pos", F.col("_from") + F.col("_i"))
+        .drop("_from", "_piece", "_i")
     )
-    return narrow.unionByName(wide.drop("_from", "_i"))

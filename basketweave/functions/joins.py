@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 # A lookup side is broadcast only below this estimated size.
 BROADCAST_BYTES = 32 * 1024 * 1024
-# A key with more rows than this is spread over several tasks. There are at most
-# rows / HOT_ROWS such keys, so their list stays small.
-HOT_ROWS = 5_000_000
+# A key's rows are dealt to this many pieces in a join that must shuffle. AQE splits
+# what is still too large; the lookup side is copied as often.
+PIECES = 8
 
 
 def fits_broadcast(rows: int, row_bytes: int) -> bool:
@@ -28,26 +28,14 @@ def lookup_join(
     """Join `big` with `small` on `key` (`how`: inner or left_semi).
 
     `small_rows` is the known row count of `small`. If that many rows of about
-    `row_bytes` bytes fit the limit, `small` is broadcast. Otherwise both sides
-    are shuffled, and a key with too many rows for one task is split by a hash of
-    `salt_on` into pieces of about HOT_ROWS, each with a copy of its lookup row.
+    `row_bytes` bytes fit the limit, `small` is broadcast. Otherwise both sides are
+    shuffled, by the key and by PIECES pieces of a hash of `salt_on`, each with a copy
+    of its lookup row, so no key ends up in one task. Neither side is evaluated to find
+    out which keys are hot.
     """
     if fits_broadcast(small_rows, row_bytes):
         return big.join(F.broadcast(small), key, how)
 
-    rows = F.count(F.lit(1))
-    hot = (
-        big.groupBy(key)
-        .agg(F.ceil(rows / HOT_ROWS).cast("int").alias("_salts"))
-        .filter("_salts > 1")
-    )
-    salts = F.coalesce(F.col("_salts"), F.lit(1))
-    spread = big.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*salt_on), salts).cast("int")
-    )
-    copies = (
-        small.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-        .drop("_salts")
-    )
-    return spread.join(copies, [key, "_salt"], how).drop("_salt", "_salts")
+    spread = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(PIECES)).cast("int"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1)))
+    return spread.join(small.withColumn("_salt", salts), [key, "_salt"], how).drop("_salt")

@@ -18,6 +18,7 @@ from basketweave.api import ALGORITHMS, ALIASES, DEFAULT_GROUPS, frequent_itemse
 from basketweave.operators import association_rules, itemset_support, transaction_count
 from basketweave.sources import read_transactions, write_itemsets, write_rules
 from basketweave.sources.writers import FORMATS
+from basketweave.workspace import Workspace
 
 
 def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -53,13 +54,15 @@ def read_input(spark: SparkSession, arguments: argparse.Namespace) -> DataFrame:
 def mine_job(spark: SparkSession, arguments: argparse.Namespace) -> DataFrame:
     """Run the job and return the itemsets with their support."""
     data = read_input(spark, arguments)
-    n = transaction_count(data)
+    ws = Workspace(spark)
+    n = ws.write("transaction_count", transaction_count(data)).df
     found = frequent_itemsets(
         data,
         arguments.min_support,
         arguments.algorithm,
         num_groups=arguments.num_groups,
         max_len=arguments.max_len,
+        workspace=ws,
     )
     itemsets = itemset_support(found, n)
     if arguments.save:
@@ -68,7 +71,7 @@ def mine_job(spark: SparkSession, arguments: argparse.Namespace) -> DataFrame:
         write_itemsets(
             itemsets, f"{target}_itemsets", arguments.format, mode, ordered=arguments.ordered
         )
-        rules = association_rules(found, n, arguments.min_confidence)
+        rules = association_rules(found, n, arguments.min_confidence, workspace=ws)
         write_rules(rules, f"{target}_rules", arguments.format, mode)
     return itemsets
 

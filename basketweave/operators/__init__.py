@@ -9,7 +9,6 @@ from basketweave.operators.counting import (
     frequent_items,
     item_counts,
     item_rank,
-    item_rank_sorted,
     itemset_support,
     prune_transactions,
     transaction_count,
@@ -39,7 +38,6 @@ __all__ = [
     "intersect_tid_lists",
     "item_counts",
     "item_rank",
-    "item_rank_sorted",
     "itemset_support",
     "kept_items",
     "pair_counts",

@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketweave.functions import dense_numbers, lookup_join
 from basketweave.sources.transactions import long_rows
 from basketweave.workspace import Table, Workspace
 
-# A dictionary up to this size is numbered by one window; a larger one by a sort.
-RANK_WINDOW_ROWS = 1_000_000
 # Estimated size of one dictionary entry in memory, besides the name itself.
 ENTRY_BYTES = 80
 
@@ -38,27 +35,33 @@ def frequent_items(data: DataFrame, min_support: int) -> DataFrame:
     return item_counts(data).filter(F.col("freq") >= min_support)
 
 
-def item_rank(items: DataFrame) -> DataFrame:
-    """Number the items 0, 1, … by count descending, then by name: ``(item, freq, rk)``.
+def frequent_lookup(ws: Workspace, rows: DataFrame, min_support: int) -> Table:
+    """The frequent items of distinct `rows`, written, with what a join must know.
 
-    The window runs in one task, over the item dictionary only. `rank_items`
-    picks the distributed way for a dictionary too large for that.
+    Observes `bytes`, the size of all names, and `most`, the greatest count.
     """
-    place = F.row_number().over(W.orderBy(F.desc("freq"), "item")) - 1
-    return items.select("item", "freq", place.cast("int").alias("rk"))
+    counts = count_items(rows).filter(F.col("freq") >= min_support)
+    return ws.write(
+        "frequent", counts, bytes=F.sum(F.octet_length(F.col("item").cast("string"))), most=F.max("freq")
+    )
 
 
-def item_rank_sorted(ws: Workspace, items: DataFrame) -> DataFrame:
-    """`item_rank` by a distributed sort, for a dictionary of any size."""
-    ordered = items.select("item", "freq").orderBy(F.desc("freq"), "item")
-    return dense_numbers(ws, ordered, "rk").select("item", "freq", F.col("rk").cast("int"))
+def keep_frequent(rows: DataFrame, frequent: Table) -> DataFrame:
+    """The `rows` whose item is in a lookup of `frequent_lookup`; hot items are split."""
+    row_bytes = ENTRY_BYTES + -(-frequent.stats["bytes"] // max(frequent.rows, 1))
+    items = frequent.df.select("item")
+    return lookup_join(rows, items, "item", frequent.rows, row_bytes, ["tid"], "left_semi")
+
 
+def item_rank(items: DataFrame, ws: Workspace | None = None) -> DataFrame:
+    """Number the items 0, 1, … by count descending, then by name: ``(item, freq, rk)``.
 
-def rank_items(ws: Workspace, items: Table) -> DataFrame:
-    """Rank a written dictionary, by the way its size asks for."""
-    if items.rows <= RANK_WINDOW_ROWS:
-        return item_rank(items.df)
-    return ws.write("ranked_items", item_rank_sorted(ws, items.df)).df
+    A distributed sort gives the order, so a dictionary of any size is ranked.
+    """
+    ws = ws or Workspace(items.sparkSession)
+    ordered = items.select("item", "freq").orderBy(F.desc("freq"), "item")
+    ranked = dense_numbers(ws, ordered, "rk").select("item", "freq", F.col("rk").cast("int"))
+    return ws.write("ranked_items", ranked).df
 
 
 def prune_transactions(
@@ -66,6 +69,7 @@ def prune_transactions(
 ) -> DataFrame:
     """Keep frequent items only, as ranks in rank order: ``(tid, items ARRAY<INT>)``.
 
+    `rank_rows` is the size of the dictionary, which is counted if it is not given.
     Items are looked up in long form and regrouped as integers, so the shuffle by
     transaction moves ranks, not names, and an array is never longer than the
     dictionary. Transactions without a frequent item have no row.
@@ -73,9 +77,8 @@ def prune_transactions(
     rows = long_rows(data, distinct=False)
     ranks = rank.select("item", "rk")
     if rank_rows is None:
-        coded = rows.join(ranks, "item")
-    else:
-        coded = lookup_join(rows, ranks, "item", rank_rows, row_bytes, salt_on=["tid"])
+        rank_rows = ranks.count()
+    coded = lookup_join(rows, ranks, "item", rank_rows, row_bytes, salt_on=["tid"])
     return coded.groupBy("tid").agg(F.sort_array(F.collect_set("rk")).alias("items"))
 
 

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketweave.functions import expand_positions, lookup_join, once, project
-from basketweave.operators.counting import count_items
+from basketweave.operators.counting import frequent_lookup, keep_frequent
 from basketweave.sources.transactions import long_rows
+from basketweave.workspace import Workspace
 
 
 def pattern_base(compressed: DataFrame) -> DataFrame:
@@ -79,29 +80,14 @@ def conditional_pattern_base(
 def extension_counts(base: DataFrame, min_support: int) -> DataFrame:
     """Weighted count of each item within each pattern base, thresholded.
 
-    ``(suffix, item, freq)`` and three size figures that add up over the items of
-    a suffix: `rows` (base rows with a kept item), `emits` (how many subsets those
-    rows have) and `width` (longest prefix, to be taken as a maximum).
+    ``(suffix, item, freq)`` and `width`, the longest prefix that holds the item.
     """
-    size = F.size("prefix")
-    share = F.lit(1.0) / size
-    power = F.pow(F.lit(2.0), F.least(size, F.lit(62)))
     return (
         base.select(
-            "suffix",
-            F.explode("prefix").alias("item"),
-            "w",
-            share.alias("share"),
-            (power * share).alias("power"),
-            size.alias("size"),
+            "suffix", F.explode("prefix").alias("item"), "w", F.size("prefix").alias("size")
         )
         .groupBy("suffix", "item")
-        .agg(
-            F.sum("w").alias("freq"),
-            F.sum("share").alias("rows"),
-            F.sum("power").alias("emits"),
-            F.max("size").alias("width"),
-        )
+        .agg(F.sum("w").alias("freq"), F.max("size").alias("width"))
         .filter(F.col("freq") >= min_support)
     )
 
@@ -124,12 +110,13 @@ def project_prefixes(
 ) -> DataFrame:
     """Drop the items that are infrequent within their pattern base.
 
-    `keep` comes from `kept_items`. Rows that lose all items go.
+    `keep` comes from `kept_items`; `keep_rows` and `row_bytes` are its measured size,
+    which is taken if it is not given. Rows that lose all items go.
     """
     if keep_rows is None:
-        rows = base.join(keep, "suffix")
-    else:
-        rows = lookup_join(base, keep, "suffix", keep_rows, row_bytes, salt_on=["prefix"])
+        keep_rows, kept = keep.agg(F.count(F.lit(1)), F.sum(F.size("keep"))).first()
+        row_bytes += 4 * -(-(kept or 0) // max(keep_rows, 1))
+    rows = lookup_join(base, keep, "suffix", keep_rows, row_bytes, salt_on=["prefix"])
     projected = once(project(F.col("prefix"), F.col("keep"))).alias("prefix")
     return rows.select("suffix", projected, "w").filter(F.size("prefix") > 0)
 
@@ -154,22 +141,27 @@ def count_pairs(base: DataFrame, min_support: int, width: int | None = None) ->
     )
 
 
-def pair_counts(data: DataFrame, min_support: int = 1) -> DataFrame:
+def pair_counts(
+    data: DataFrame, min_support: int = 1, workspace: Workspace | None = None
+) -> DataFrame:
     """Co-occurrence count of every item pair: ``(item_a, item_b, freq)``, a < b.
 
-    Items that are infrequent on their own go first, and equal baskets are merged,
-    so many copies of one basket are paired once.
+    Items that are infrequent on their own go first, and equal baskets are merged and
+    written, so many copies of one basket are paired once and a wide one is cut into
+    pieces for several tasks.
     """
+    ws = workspace or Workspace(data.sparkSession)
     rows = long_rows(data)
     if min_support > 1:
-        frequent = count_items(rows).filter(F.col("freq") >= min_support)
-        rows = rows.join(frequent, "item", "left_semi")
+        rows = keep_frequent(rows, frequent_lookup(ws, rows, min_support))
     merged = (
         rows.groupBy("tid")
         .agg(F.sort_array(F.collect_list("item")).alias("prefix"))
         .groupBy("prefix")
         .agg(F.count(F.lit(1)).alias("w"))
     )
-    return count_pairs(merged.withColumn("suffix", F.lit(0)), min_support).select(
+    baskets = ws.write("baskets", merged, width=F.max(F.size("prefix")))
+    base = baskets.df.withColumn("suffix", F.lit(0))
+    return count_pairs(base, min_support, baskets.stats["width"]).select(
         F.col("left").alias("item_a"), F.col("right").alias("item_b"), "freq"
     )

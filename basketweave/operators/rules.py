@@ -5,16 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketweave.functions import lookup_join
+from basketweave.workspace import Workspace
+
+
+# A frequent item with its count, besides its name.
+ITEM_BYTES = 200
+
 
 def association_rules(
-    itemsets: DataFrame, n: DataFrame, min_confidence: float = 0.0, lift: bool = False
+    itemsets: DataFrame,
+    n: DataFrame,
+    min_confidence: float = 0.0,
+    lift: bool = False,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """Rules from a complete frame of frequent itemsets ``(itemset, k, freq)``.
 
     Each member of an itemset of two or more is a consequent once, the others its
     antecedent. Both are themselves frequent, so inner joins find every count.
     `n` is the one-row frame of `transaction_count`.
+
+    The itemsets are written to `workspace` once, as three sides of the joins read
+    them. The commonest item is the consequent of most rules, so its count is looked up
+    by a broadcast, or by a join that splits it.
     """
+    ws = workspace or Workspace(itemsets.sparkSession)
+    written = ws.write("rule_itemsets", itemsets, singles=F.count_if(F.col("k") == 1))
+    itemsets = written.df
     total = n.select("n").scalar()
     wholes = (
         itemsets.filter("k > 1")
@@ -38,9 +56,11 @@ def association_rules(
     ]
     if lift:
         columns.append((confidence * total / F.col("consequent_freq")).alias("lift"))
+    joined = wholes.join(antecedents, "antecedent")
     return (
-        wholes.join(antecedents, "antecedent")
-        .join(consequents, "consequent")
+        lookup_join(
+            joined, consequents, "consequent", written.stats["singles"], ITEM_BYTES, ["antecedent"]
+        )
         .filter(confidence >= min_confidence)
         .select(*columns)
     )

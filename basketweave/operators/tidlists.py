@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketweave.functions import lookup_join
+from basketweave.operators.counting import frequent_lookup, keep_frequent
 from basketweave.sources.transactions import long_rows
+from basketweave.workspace import Workspace
 
 # Transactions per bucket, on average: the length limit of one tid array.
 BUCKET_TIDS = 131_072
@@ -20,15 +22,20 @@ def bucket_count(transactions: int, tasks: int) -> int:
     return max(1, bounded, min(tasks, -(-transactions // SMALL_BUCKET_TIDS)))
 
 
-def tid_lists(data: DataFrame, min_support: int, buckets: int = 1) -> DataFrame:
+def tid_lists(
+    data: DataFrame, min_support: int, buckets: int | None = None, workspace: Workspace | None = None
+) -> DataFrame:
     """Per frequent item its transactions: ``(itemset, bucket, tids)``.
 
     Tids are spread over `buckets` by hash, so the list of a very common item is
-    `buckets` short arrays. The threshold is on the sum over all buckets.
+    `buckets` short arrays; by default there are as many as the commonest item needs.
+    The threshold is on the sum over all buckets.
     """
     rows = long_rows(data)
-    frequent = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_support)
-    return bucketed_lists(rows.join(frequent, "item", "left_semi"), buckets)
+    frequent = frequent_lookup(workspace or Workspace(data.sparkSession), rows, min_support)
+    if buckets is None:
+        buckets = max(1, -(-frequent.stats["most"] // BUCKET_TIDS))
+    return bucketed_lists(keep_frequent(rows, frequent), buckets)
 
 
 def bucketed_lists(rows: DataFrame, buckets: int) -> DataFrame:

@@ -2,6 +2,7 @@ from basketweave.plans.apriori import mine_apriori
 from basketweave.plans.builtin import association_rules_builtin, mine_builtin
 from basketweave.plans.eclat import mine_eclat
 from basketweave.plans.growth import (
+    SUBSET_WIDTH,
     mine_fpgrowth,
     mine_pair_pruned,
     mine_prefix_array,
@@ -9,6 +10,7 @@ from basketweave.plans.growth import (
 )
 
 __all__ = [
+    "SUBSET_WIDTH",
     "association_rules_builtin",
     "mine_apriori",
     "mine_builtin",

@@ -7,50 +7,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketweave.plans.encode import empty_itemsets
-from basketweave.sources.transactions import transactions_from_rows
+from basketweave.workspace import Workspace
 
 RULES_SCHEMA = (
     "antecedent ARRAY<STRING>, consequent ARRAY<STRING>, confidence DOUBLE, lift DOUBLE, support DOUBLE"
 )
 
 
+def _baskets(data: DataFrame) -> DataFrame:
+    """All transactions as ``(items)``; one without items counts towards N too."""
+    if "items" not in data.columns:
+        data = data.groupBy("tid").agg(F.collect_set("item").alias("items"))
+    kept = F.filter(F.array_distinct("items"), lambda x: x.isNotNull() & (x != ""))
+    return data.select(kept.alias("items"))
+
+
 def fit_builtin(
-    data: DataFrame, min_support: int, num_groups: int | None = None, min_confidence: float = 0.0
+    data: DataFrame,
+    min_support: int,
+    num_groups: int | None = None,
+    min_confidence: float = 0.0,
+    ws: Workspace | None = None,
 ) -> FPGrowthModel | None:
     """Fit the model at an absolute threshold; None if no itemset can reach it.
 
     The model takes a ratio and rounds ratio times N up, so half a transaction
     less than `min_support` comes back as exactly `min_support`.
     """
-    if "items" in data.columns:
-        items = F.filter(F.array_distinct("items"), lambda x: x.isNotNull() & (x != ""))
-        baskets = data.select(items.alias("items"))
-    else:
-        baskets = transactions_from_rows(data, "tid", "item").select("items")
-    n = baskets.count()
-    if min_support > n:
+    ws = ws or Workspace(data.sparkSession)
+    baskets = ws.write("transactions", _baskets(data))
+    if min_support > baskets.rows:
         return None
     mining = FPGrowth(
-        itemsCol="items", minSupport=(min_support - 0.5) / n, minConfidence=min_confidence
+        itemsCol="items",
+        minSupport=(min_support - 0.5) / baskets.rows,
+        minConfidence=min_confidence,
     )
     if num_groups is not None:
         mining.setNumPartitions(num_groups)
-    return mining.fit(baskets)
+    return mining.fit(baskets.df)
 
 
 def mine_builtin(
+    ws: Workspace,
     data: DataFrame,
     min_support: int,
     max_len: int | None = None,
     num_groups: int | None = None,
 ) -> DataFrame:
-    model = fit_builtin(data, min_support, num_groups)
+    """The built-in model's itemsets, mined once and written; `max_len` saves no work."""
+    model = fit_builtin(data, min_support, num_groups, ws=ws)
     if model is None:
         return empty_itemsets(data.sparkSession)
     found = model.freqItemsets.select(
         F.sort_array("items").alias("itemset"), F.size("items").alias("k"), "freq"
     )
-    return found if max_len is None else found.filter(F.col("k") <= max_len)
+    found = found if max_len is None else found.filter(F.col("k") <= max_len)
+    return ws.write("itemsets", found).df
 
 
 def association_rules_builtin(
@@ -58,12 +71,21 @@ def association_rules_builtin(
     min_support: int,
     num_groups: int | None = None,
     min_confidence: float = 0.0,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
-    """The built-in model's rules: ``(antecedent, consequent, confidence, lift, support)``."""
-    model = fit_builtin(data, min_support, num_groups, min_confidence)
+    """The built-in model's rules: ``(antecedent, consequent, confidence, lift, support)``.
+
+    The rules read the itemsets several times; a cache makes the model mine them once.
+    """
+    ws = workspace or Workspace(data.sparkSession)
+    model = fit_builtin(data, min_support, num_groups, min_confidence, ws)
     if model is None:
         return empty_rules(data.sparkSession)
-    return model.associationRules.withColumn("antecedent", F.sort_array("antecedent"))
+    mined = model.freqItemsets.persist()
+    rules = model.associationRules.withColumn("antecedent", F.sort_array("antecedent"))
+    written = ws.write("rules", rules).df
+    mined.unpersist()
+    return written
 
 
 def empty_rules(spark: SparkSession) -> DataFrame:

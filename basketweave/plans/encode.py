@@ -13,8 +13,8 @@ from basketweave.operators.counting import (
     ENTRY_BYTES,
     compress_transactions,
     frequent_items,
+    item_rank,
     prune_transactions,
-    rank_items,
 )
 from basketweave.workspace import Table, Workspace
 
@@ -44,7 +44,7 @@ def rank_dictionary(ws: Workspace, data: DataFrame, min_support: int) -> Diction
     if not items.rows:
         return None
     row_bytes = ENTRY_BYTES + -(-items.stats["bytes"] // items.rows)
-    return Dictionary(rank_items(ws, items), items.rows, row_bytes)
+    return Dictionary(item_rank(items.df, ws), items.rows, row_bytes)
 
 
 def encode_baskets(ws: Workspace, data: DataFrame, items: Dictionary) -> Table:
@@ -52,14 +52,12 @@ def encode_baskets(ws: Workspace, data: DataFrame, items: Dictionary) -> Table:
 
     Reads `data` a second time rather than a copy of its distinct rows: infrequent
     items then go right after the scan, before anything is shuffled or written.
-    Observes `width` (longest array) and `emits` (number of subsets of all rows).
+    Observes `width`, the longest array.
     """
-    size = F.size("prefix")
     return ws.write(
         "baskets",
         compress_transactions(prune_transactions(data, items.df, items.rows, items.row_bytes)),
-        width=F.max(size),
-        emits=F.sum(F.pow(F.lit(2.0), F.least(size, F.lit(62)))),
+        width=F.max(F.size("prefix")),
     )
 
 

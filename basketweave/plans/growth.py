@@ -2,8 +2,9 @@
 
 A round counts the items of every pattern base (the next itemsets), drops the
 infrequent ones from the prefixes and turns each base into those of the suffixes
-one item longer. Bases that are small enough leave the rounds early: the subsets
-of their prefixes are counted directly, in one pass.
+one item longer, until nothing is left. With `finish_width`, which is off unless it
+is given, bases without a wider prefix leave the rounds early: the subsets of their
+prefixes are counted directly, in one pass.
 """
 
 from __future__ import annotations
@@ -36,24 +37,17 @@ from basketweave.plans.encode import (
 )
 from basketweave.workspace import Table, Workspace
 
-# Bases leave the rounds if no prefix is wider than this …
-FINISH_WIDTH = 16
-# … and their rows have at most this many subsets on average.
-FINISH_FACTOR = 32.0
 # The subset strategy enumerates all bases up to this width.
 SUBSET_WIDTH = 14
 
 
 def _write_base(ws: Workspace, base: DataFrame) -> Table:
-    """Write a pattern base, observing what `_is_small` asks for."""
-    size = F.size("prefix")
-    return ws.write(
-        "base", base, width=F.max(size), emits=F.sum(F.pow(F.lit(2.0), F.least(size, F.lit(62))))
-    )
+    """Write a pattern base, observing its longest prefix."""
+    return ws.write("base", base, width=F.max(F.size("prefix")))
 
 
-def _is_small(width: int, emits: float, rows: float, finish_width: int, finish_factor: float) -> bool:
-    return width <= finish_width and emits <= finish_factor * rows
+def _is_small(width: int, finish_width: int | None) -> bool:
+    return finish_width is not None and width <= finish_width
 
 
 def _count_subsets(
@@ -70,9 +64,9 @@ def _count_subsets(
     )
 
 
-def _keep_bytes(k: int, pairs: int, suffixes: int) -> int:
-    """Estimated size of one suffix with its array of kept items."""
-    return 100 + 4 * k + 4 * -(-pairs // max(suffixes, 1))
+def _keep_bytes(k: int, kept: int, suffixes: int) -> int:
+    """The size of one suffix with its kept items, of `kept` for all `suffixes`."""
+    return 100 + 4 * k + 4 * -(-kept // max(suffixes, 1))
 
 
 def grow(
@@ -81,8 +75,7 @@ def grow(
     k: int,
     min_support: int,
     max_len: int | None = None,
-    finish_width: int = FINISH_WIDTH,
-    finish_factor: float = FINISH_FACTOR,
+    finish_width: int | None = None,
 ) -> list[DataFrame]:
     """Frequent itemsets of more than `k` items from the bases of all k-suffixes."""
     levels: list[DataFrame] = []
@@ -96,14 +89,10 @@ def grow(
             .agg(
                 F.collect_list("item").alias("keep"),
                 F.collect_list("freq").alias("freqs"),
-                F.sum("rows").alias("rows"),
-                F.sum("emits").alias("emits"),
                 F.max("width").alias("width"),
             ),
-            found=F.sum(F.size("keep")),
             grows=F.count_if(grows),
-            rows_left=F.sum(F.when(grows, F.col("rows"))),
-            emits_left=F.sum(F.when(grows, F.col("emits"))),
+            kept=F.sum(F.when(grows, F.size("keep"))),
             width_left=F.max(F.when(grows, F.col("width"))),
         )
         stats = counts.stats
@@ -123,11 +112,9 @@ def grow(
             base.spread(),
             counts.df.filter(grows).select("suffix", "keep"),
             stats["grows"],
-            _keep_bytes(k, stats["found"], counts.rows),
+            _keep_bytes(k, stats["kept"], stats["grows"]),
         )
-        if _is_small(
-            stats["width_left"], stats["emits_left"], stats["rows_left"], finish_width, finish_factor
-        ):
+        if _is_small(stats["width_left"], finish_width):
             longest = None if max_len is None else max_len - k + 1
             levels.append(ws.write("direct", _count_subsets(projected, min_support, 2, longest)).df)
             break
@@ -139,7 +126,7 @@ def grow(
     return levels
 
 
-def _mine(ws, data, min_support, max_len, grow_rest, finish_width, finish_factor) -> DataFrame:
+def _mine(ws, data, min_support, max_len, grow_rest, finish_width) -> DataFrame:
     """Shared outline: dictionary, merged baskets, their longer itemsets, names.
 
     `grow_rest` takes the baskets unless their subsets can be counted directly.
@@ -151,7 +138,7 @@ def _mine(ws, data, min_support, max_len, grow_rest, finish_width, finish_factor
     if max_len is None or max_len > 1:
         baskets = encode_baskets(ws, data, items)
         stats = baskets.stats
-        if _is_small(stats["width"], stats["emits"], baskets.rows, finish_width, finish_factor):
+        if _is_small(stats["width"], finish_width):
             direct = _count_subsets(pattern_base(baskets.spread()), min_support, 2, max_len)
             levels.append(ws.write("direct", direct).df)
         else:
@@ -165,17 +152,16 @@ def mine_prefix_array(
     data: DataFrame,
     min_support: int,
     max_len: int | None = None,
-    finish_width: int = FINISH_WIDTH,
-    finish_factor: float = FINISH_FACTOR,
+    finish_width: int | None = None,
 ) -> DataFrame:
     """Growth keyed by suffix over merged rank arrays."""
 
     def grow_rest(baskets: Table) -> list[DataFrame]:
         first = conditional_pattern_base(pattern_base(baskets.spread()), baskets.stats["width"])
         base = _write_base(ws, first)
-        return grow(ws, base, 1, min_support, max_len, finish_width, finish_factor)
+        return grow(ws, base, 1, min_support, max_len, finish_width)
 
-    return _mine(ws, data, min_support, max_len, grow_rest, finish_width, finish_factor)
+    return _mine(ws, data, min_support, max_len, grow_rest, finish_width)
 
 
 def mine_fpgrowth(
@@ -184,8 +170,7 @@ def mine_fpgrowth(
     min_support: int,
     max_len: int | None = None,
     num_groups: int = 36,
-    finish_width: int = FINISH_WIDTH,
-    finish_factor: float = FINISH_FACTOR,
+    finish_width: int | None = None,
 ) -> DataFrame:
     """Growth sharded by item group: a group grows only the suffixes it owns."""
 
@@ -199,9 +184,9 @@ def mine_fpgrowth(
         owner = F.col("item") % num_groups == F.col("grp")
         first = conditional_pattern_base(sharded, baskets.stats["width"], owner)
         base = _write_base(ws, first)
-        return grow(ws, base, 1, min_support, max_len, finish_width, finish_factor)
+        return grow(ws, base, 1, min_support, max_len, finish_width)
 
-    return _mine(ws, data, min_support, max_len, grow_rest, finish_width, finish_factor)
+    return _mine(ws, data, min_support, max_len, grow_rest, finish_width)
 
 
 def mine_subsets(
@@ -216,7 +201,7 @@ def mine_subsets(
     Exponential in the prefix length, so bases are enumerated only once none is
     wider than `subset_width`; until then they grow by one suffix item.
     """
-    return mine_prefix_array(ws, data, min_support, max_len, subset_width, float("inf"))
+    return mine_prefix_array(ws, data, min_support, max_len, subset_width)
 
 
 def mine_pair_pruned(
@@ -224,8 +209,7 @@ def mine_pair_pruned(
     data: DataFrame,
     min_support: int,
     max_len: int | None = None,
-    finish_width: int = FINISH_WIDTH,
-    finish_factor: float = FINISH_FACTOR,
+    finish_width: int | None = None,
 ) -> DataFrame:
     """Growth where pair counts decide which items enter a pattern base.
 
@@ -241,9 +225,7 @@ def mine_pair_pruned(
         k = 0
         while base.rows:
             stats = base.stats
-            if k and _is_small(
-                stats["width"], stats["emits"], base.rows, finish_width, finish_factor
-            ):
+            if k and _is_small(stats["width"], finish_width):
                 longest = None if max_len is None else max_len - k
                 direct = _count_subsets(base.spread(), min_support, 2, longest)
                 levels.append(ws.write("direct", direct).df)
@@ -264,7 +246,7 @@ def mine_pair_pruned(
         ws.drop(base)
         return levels
 
-    return _mine(ws, data, min_support, max_len, grow_rest, finish_width, finish_factor)
+    return _mine(ws, data, min_support, max_len, grow_rest, finish_width)
 
 
 def _pruned_bases(ws: Workspace, base: Table, pairs: Table, k: int) -> DataFrame:

@@ -24,6 +24,28 @@ def order_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_part(spark, sf_dir, "p_type")
 
 
+def order_small_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The brands of the small parts in each order; other parts are no item.
+
+    Many orders have no small part: they are transactions without items.
+    """
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_partkey")
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_brand", "p_size")
+    item = F.when(F.col("p_size") <= 10, F.col("p_brand")).otherwise("")
+    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("l_orderkey").alias("tid"), item.alias("item")
+    )
+
+
+def customer_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The brands that each customer has ordered: dense baskets."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
+    bought = order_brand(spark, sf_dir)
+    return bought.join(orders, F.col("tid") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("tid"), "item"
+    )
+
+
 def userday_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event types of each user on each day."""
     day = F.date_format("ts", "yyyy-MM-dd")
@@ -43,6 +65,8 @@ def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 BASKET_VIEWS = {
     "order_brand": order_brand,
     "order_type": order_type,
+    "order_small_brand": order_small_brand,
+    "customer_brand": customer_brand,
     "userday_event": userday_event,
     "document_words": document_words,
 }

@@ -12,8 +12,8 @@ def _set_text(items: Column) -> Column:
     return F.concat(F.lit("Set("), F.array_join(items, ", "), F.lit(")"))
 
 
-def _ratio_text(ratio: Column) -> Column:
-    return ratio.cast("float").cast("string")
+def _ratio_text(ratio: Column, short: bool) -> Column:
+    return ratio.cast("float" if short else "double").cast("string")
 
 
 def _save(df: DataFrame, path: str, fmt: str, mode: str) -> None:
@@ -28,11 +28,12 @@ def write_itemsets(
     fmt: str = "parquet",
     mode: str = "errorifexists",
     ordered: bool = True,
+    short_ratios: bool = False,
 ) -> None:
     """Save ``(itemset, freq, support)``, by default sorted by count ascending.
 
-    `text` gives lines such as ``(Set(a, c),(3,0.6))``; `csv` joins each itemset
-    with commas.
+    `text` gives lines such as ``(Set(a, c),(3,0.6))``, with `short_ratios` as 32-bit
+    floats print; `csv` joins each itemset with commas.
     """
     out = itemsets.select("itemset", "freq", "support")
     if ordered:
@@ -45,7 +46,7 @@ def write_itemsets(
                 F.lit(",("),
                 F.col("freq").cast("string"),
                 F.lit(","),
-                _ratio_text(F.col("support")),
+                _ratio_text(F.col("support"), short_ratios),
                 F.lit("))"),
             ).alias("value")
         )
@@ -66,9 +67,16 @@ RULE_LABELS = {
 
 
 def write_rules(
-    rules: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists"
+    rules: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    mode: str = "errorifexists",
+    short_ratios: bool = False,
 ) -> None:
-    """Save association rules; `text` gives one labelled line per rule."""
+    """Save association rules; `text` gives one labelled line per rule.
+
+    With `short_ratios` its ratios are as 32-bit floats print.
+    """
     out = rules
     if fmt == "text":
         shown = {
@@ -77,7 +85,7 @@ def write_rules(
         }
         parts = []
         for name, label in RULE_LABELS.items():
-            parts += [F.lit(label), shown.get(name, _ratio_text(F.col(name)))]
+            parts += [F.lit(label), shown.get(name, _ratio_text(F.col(name), short_ratios))]
         out = rules.select(F.concat(*parts).alias("value"))
     elif fmt == "csv":
         out = rules.withColumn("antecedent", F.array_join("antecedent", ","))

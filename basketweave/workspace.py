@@ -8,7 +8,7 @@ figures come from the same job that writes the table, as observed metrics.
 
 from __future__ import annotations
 
-import tempfile
+import re
 from dataclasses import dataclass, field
 from uuid import uuid4
 
@@ -37,7 +37,7 @@ class Table:
         """
         limit = int(self.df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         tasks = min(limit, self.rows // rows_per_task)
-        if tasks < 2 or self.df.rdd.getNumPartitions() >= tasks:
+        if tasks < 2 or len(self.df.inputFiles()) >= tasks:
             return self.df
         return self.df.repartition(tasks, *self.df.columns)
 
@@ -45,28 +45,38 @@ class Table:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
-    ``spark.checkpoint.dir`` of the session if it is set, else the folder given
-    to ``SparkContext.setCheckpointDir``. Only a local master may fall back to a
-    temporary folder: on a cluster the executors would not share it.
+    ``spark.checkpoint.dir`` of the session if it is set, else the folder given to
+    ``SparkContext.setCheckpointDir``, else one in the session's warehouse, which all
+    executors share too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="basketweave-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/basketweave").rstrip("/")
 
 
 class Workspace:
-    """One folder of intermediate tables, for one mining run."""
+    """One folder of intermediate tables, for one run.
+
+    `close`, or the end of a ``with`` block, deletes the folder; frames that read from
+    it must have been used by then.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.path = f"{root or checkpoint_root(spark)}/basketweave-{uuid4().hex}"
+        path = self._hadoop_path(f"{root or checkpoint_root(spark)}/basketweave-{uuid4().hex}")
+        full = self._store(path).makeQualified(path).toString()
+        self.path = re.sub("^file:/+", "file:///", full)
         self._written = 0
 
+    def _hadoop_path(self, path: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _store(self, path):
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _delete(self, path: str) -> None:
+        at = self._hadoop_path(path)
+        self._store(at).delete(at, True)
+
     def write(self, name: str, df: DataFrame, **metrics: Column) -> Table:
         """Write `df`, count its rows and evaluate `metrics` in the same job."""
         path = f"{self.path}/{self._written:03d}_{name}"
@@ -74,15 +84,30 @@ class Workspace:
         seen = Observation()
         measures = [F.count(F.lit(1)).alias("rows")] + [m.alias(n) for n, m in metrics.items()]
         df.observe(seen, *measures).write.parquet(path)
-        stats = dict(seen.get)
-        rows = stats.pop("rows", 0) or 0
+        stats = _measured(seen, ["rows", *metrics])
         back = self.spark.read.schema(df.schema).parquet(path)
-        return Table(back, path, rows, {n: v or 0 for n, v in stats.items()})
+        return Table(back, path, stats.pop("rows"), {n: v or 0 for n, v in stats.items()})
 
     def drop(self, table: Table) -> None:
         """Delete a table that no later plan reads; a frame without a path is left."""
-        if not table.path:
-            return
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(table.path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        if table.path:
+            self._delete(table.path)
+
+    def close(self) -> None:
+        """Delete all tables of this run."""
+        self._delete(self.path)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
+def _measured(seen: Observation, names: list[str]) -> dict:
+    """The observed metrics; a lost one must not pass for zero rows."""
+    found = dict(seen.get)
+    missing = [n for n in names if n not in found]
+    if missing:
+        raise RuntimeError(f"Spark did not report {', '.join(missing)} of a written table")
+    return found

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import basketweave as bw
 from basketweave import operators as ops
+from basketweave import workspace
 from basketweave.functions import arrays, expand_positions, lookup_join, subsets, without_each
 from basketweave.functions import joins
 from basketweave.workspace import Workspace, checkpoint_root
@@ -49,7 +50,7 @@ def test_counts_and_ranks(spark, baskets):
     expected = {(x,): i for x, i in ranked(baskets, 1).items()}
     items = ops.item_counts(rows)
     assert as_dict(ops.item_rank(items), "item", value="rk") == expected
-    assert as_dict(ops.item_rank_sorted(Workspace(spark), items), "item", value="rk") == expected
+    assert as_dict(ops.item_rank(items, Workspace(spark)), "item", value="rk") == expected
 
 
 def test_prune_and_compress(spark, baskets):
@@ -212,7 +213,6 @@ def test_wide_rows_are_cut(spark, monkeypatch):
 
 @pytest.mark.parametrize("how", ["inner", "left_semi"])
 def test_lookup_join_with_a_hot_key(spark, monkeypatch, how):
-    monkeypatch.setattr(joins, "HOT_ROWS", 30)
     big = spark.range(300).select(
         F.when(F.col("id") < 200, "hot")
         .otherwise(F.concat(F.lit("k"), F.col("id") % 50))
@@ -231,15 +231,41 @@ def test_lookup_join_with_a_hot_key(spark, monkeypatch, how):
 
 
 def test_hot_key_is_spread_over_tasks(spark, monkeypatch):
-    monkeypatch.setattr(joins, "HOT_ROWS", 30)
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     big = spark.range(300).select(F.lit("hot").alias("key"), "id")
     small = spark.createDataFrame([("hot", 1)], "key STRING, v INT")
     found = lookup_join(big, small, "key", 1, 100, ["id"])
-    assert "_salt" in found._jdf.queryExecution().executedPlan().toString()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan and plan.count("Range (") == 1
     assert found.count() == 300
 
 
+def test_long_keep_arrays_prune(spark):
+    kept = list(range(1, 5001))
+    base = spark.createDataFrame(
+        [([7], [1, 2, 999_999], 1), ([7], [888_888], 2)], "suffix ARRAY<INT>, prefix ARRAY<INT>, w BIGINT"
+    )
+    keep = spark.createDataFrame([([7], kept)], "suffix ARRAY<INT>, keep ARRAY<INT>")
+    assert [r["prefix"] for r in ops.project_prefixes(base, keep).collect()] == [[1, 2]]
+
+
+def test_wide_rows_are_read_once_and_cut(spark):
+    frame = spark.range(1).select(F.sequence(F.lit(0), F.lit(4999)).alias("x"))
+    found = expand_positions(frame, "x", 5000)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1 and "RoundRobin" not in plan
+    assert sorted((r["pos"], r["item"]) for r in found.select("pos", "item").collect()) == [
+        (i, i) for i in range(5000)
+    ]
+
+
+def test_ranking_has_no_window_over_items(spark):
+    items = spark.createDataFrame([("a", 2), ("b", 2), ("c", 3)], "item STRING, freq BIGINT")
+    ranked = ops.item_rank(items)
+    assert {r["item"]: r["rk"] for r in ranked.collect()} == {"c": 0, "a": 1, "b": 2}
+    assert "Window" not in ranked._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_plan_has_a_cross_join(spark, baskets):
     rows = rows_frame(spark, baskets)
     level = ops.frequent_items(rows, 2).select(F.array("item").alias("itemset"), "freq")
@@ -259,7 +285,7 @@ def test_no_plan_has_a_cross_join(spark, baskets):
 
 def test_workspace(spark):
     ws = Workspace(spark)
-    assert ws.path.startswith(checkpoint_root(spark))
+    assert checkpoint_root(spark) in ws.path
     table = ws.write("numbers", spark.range(10), biggest=F.max("id"))
     assert (table.rows, table.stats) == (10, {"biggest": 9})
     assert table.df.count() == 10
@@ -269,3 +295,23 @@ def test_workspace(spark):
     ws.drop(table)
     with pytest.raises(Exception):
         spark.read.parquet(table.path)
+    ws.close()
+    with pytest.raises(Exception):
+        spark.read.parquet(empty.path)
+
+
+def test_workspace_as_a_context_leaves_nothing(spark):
+    with Workspace(spark) as ws:
+        path = ws.write("numbers", spark.range(3)).path
+        assert spark.read.parquet(path).count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(path)
+
+
+def test_a_lost_metric_raises():
+    class Lost:
+        get = {"rows": 3}
+
+    assert workspace._measured(Lost, ["rows"]) == {"rows": 3}
+    with pytest.raises(RuntimeError):
+        workspace._measured(Lost, ["rows", "width"])

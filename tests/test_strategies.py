@@ -90,16 +90,56 @@ def test_groups_do_not_matter(spark, algorithm, groups):
     assert collected(found) == brute_force(baskets, 5)
 
 
-@pytest.mark.parametrize("factor", [0.0, 3.0, 1e9])
+@pytest.mark.parametrize("width", [None, 2, 100])
 @pytest.mark.parametrize(
     "mine", [growth.mine_prefix_array, growth.mine_fpgrowth, growth.mine_pair_pruned]
 )
-def test_rounds_and_direct_counting_agree(spark, mine, factor):
+def test_rounds_and_direct_counting_agree(spark, mine, width):
     baskets = random_baskets(5, n=80)
-    found = mine(bw.Workspace(spark), rows_frame(spark, baskets), 3, finish_factor=factor)
+    found = mine(bw.Workspace(spark), rows_frame(spark, baskets), 3, finish_width=width)
     assert collected(found) == brute_force(baskets, 3)
 
 
+@pytest.mark.parametrize("algorithm", ["fpgrowth", "pair_pruned", "prefix_array"])
+def test_growth_strategies_run_their_own_rounds(spark, monkeypatch, algorithm):
+    written = []
+    write = bw.Workspace.write
+    monkeypatch.setattr(
+        bw.Workspace, "write", lambda ws, name, *a, **k: written.append(name) or write(ws, name, *a, **k)
+    )
+    baskets = [list("abcdef")] * 3 + [list("abc")] * 2
+    found = collected(bw.frequent_itemsets(rows_frame(spark, baskets), 3, algorithm))
+    assert max(map(len, found)) == 6 and found == brute_force(baskets, 3)
+    assert "direct" not in written
+    rounds = "pairs" if algorithm == "pair_pruned" else "counts"
+    assert written.count(rounds) >= 5
+
+
+@pytest.mark.parametrize("long_rows, joins_used", [(1, "broadcast"), (40, "shuffle")])
+def test_size_of_kept_items_decides_the_join(spark, monkeypatch, long_rows, joins_used):
+    """Suffixes that keep one item must not hide the size of a few long ones."""
+    from basketweave.functions import joins
+
+    asked = []
+    fits = joins.fits_broadcast
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 6_000)
+    monkeypatch.setattr(
+        joins, "fits_broadcast", lambda rows, size: asked.append(fits(rows, size)) or asked[-1]
+    )
+    items = [f"{i:03d}" for i in range(long_rows + 1)]
+    baskets = [items] * 2 + [[f"x{i}", f"y{i}"] for i in range(400) for _ in range(2)]
+    data = rows_frame(spark, baskets)
+    ws = bw.Workspace(spark)
+    base_of = growth.rank_dictionary(ws, data, 2)
+    encoded = growth.encode_baskets(ws, data, base_of)
+    base = growth._write_base(
+        ws, growth.conditional_pattern_base(growth.pattern_base(encoded.df), encoded.stats["width"])
+    )
+    asked.clear()
+    growth.grow(ws, base, 1, 2, max_len=3)
+    assert (False in asked) == (joins_used == "shuffle")
+
+
 @pytest.mark.parametrize("width", [1, 4])
 def test_subsets_of_wide_baskets_grow_first(spark, width):
     baskets = random_baskets(6)
@@ -157,12 +197,10 @@ def test_published_names(spark):
 def test_large_dictionary_and_unbroadcast_lookups(spark, monkeypatch):
     """The ways taken at scale, forced on small data."""
     from basketweave.functions import joins
-    from basketweave.operators import candidates, counting
+    from basketweave.operators import candidates
     from basketweave.plans import encode
 
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(joins, "HOT_ROWS", 4)
-    monkeypatch.setattr(counting, "RANK_WINDOW_ROWS", 0)
     monkeypatch.setattr(encode, "DICTIONARY_BYTES", 0)
     monkeypatch.setattr(candidates, "PAIR_BLOCK", 2)
     baskets = random_baskets(11, n=40, items="aaaabcdef")
