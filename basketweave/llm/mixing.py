@@ -121,10 +121,10 @@ def mix(
     kept = [c for c in docs.columns if c not in ("mix_tokens", "mix_epoch", "mix_position")]
     source = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit(""))
     rows = docs.select(
-        *kept,
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"),
         F.size(words(F.col("text").cast("string"))).cast("bigint").alias("mix_tokens"),
         source.alias("_source"),
-    ).withColumn("_key", F.concat_ws("|", F.col("doc_id").cast("string"), "mix_tokens"))
+    ).withColumn("_key", F.concat_ws("|", F.col("_row.doc_id").cast("string"), "mix_tokens"))
     sizes = rows.groupBy("_source").agg(
         F.sum("mix_tokens").alias("_total"), F.count(F.lit(1)).alias("_docs")
     )
@@ -172,7 +172,7 @@ def mix(
     return (
         read.where((at < F.col("_quota")) | (F.col("mix_tokens") == 0) & (at == F.col("_quota")))
         .withColumn("mix_position", F.when(F.col("_quota") > 0, at / F.col("_quota")).otherwise(0.0))
-        .select(*kept, "mix_tokens", "mix_epoch", "mix_position")
+        .select("_row.*", "mix_tokens", "mix_epoch", "mix_position")
     )
 
 

@@ -187,11 +187,12 @@ def find_pii(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
     for a column ``pii``, which is replaced.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    each = {f"_pii_{k.name}": _spans(text, i, k) for i, k in enumerate(KINDS)}
-    spans = F.concat(*[F.col(n) for n in each])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "pii"]).alias("row")
+    each = [_spans(text, i, k).alias(f"spans_{k.name}") for i, k in enumerate(KINDS)]
+    spans = F.concat(*[f"spans_{k.name}" for k in KINDS])
     if min_score > 0:
         spans = F.filter(spans, lambda s: s["score"] >= min_score)
-    return docs.withColumns(each).withColumn("pii", F.array_sort(spans)).drop(*each)
+    return docs.select(row, *each).select("row.*", F.array_sort(spans).alias("pii"))
 
 
 def redact(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
@@ -215,13 +216,11 @@ def redact(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
             .alias("out"),
         )
 
-    cut = F.aggregate(F.col("pii"), state, step)
-    rest = F.col("text").substr((F.col("_cut")["at"] + 1).cast("int"), F.length("text"))
-    return (
-        found.withColumn("_cut", cut)
-        .withColumn("text", F.concat(F.array_join(F.col("_cut")["out"], ""), rest))
-        .drop("_cut", "pii")
-    )
+    row = F.struct(*[F.col(f"`{c}`") for c in found.columns if c != "pii"]).alias("row")
+    cut = found.select(row, F.col("text"), F.aggregate("pii", state, step).alias("cut"))
+    rest = F.col("text").substr((F.col("cut")["at"] + 1).cast("int"), F.length("text"))
+    text = F.concat(F.array_join(F.col("cut")["out"], ""), rest)
+    return cut.select(F.col("row").withField("text", text).alias("row")).select("row.*")
 
 
 def count_of(spans: Column, kind: str) -> Column:
