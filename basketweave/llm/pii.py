@@ -142,7 +142,7 @@ def _spans(text: Column, rank: int, kind: Kind) -> Column:
     pairs = F.arrays_zip(
         between := F.split(text, kind.pattern, -1),
         F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)),
-        F.slice(between, 2, (1 << 31) - 1),
+        F.slice(between, 2, 1 << 30),
     ).cast("array<struct<gap:string,value:string,next:string>>")
     state = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPAN).alias("found"))
 
