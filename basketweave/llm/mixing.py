@@ -193,7 +193,7 @@ def _quotas(sources: DataFrame, a: float, budget: int | str) -> DataFrame:
         )
     else:
         tokens = whole if budget == "total" else int(budget)
-        quota = F.floor(F.col("_raised") / F.lit(norm or 1.0) * F.lit(tokens))
+        quota = F.round(F.col("_raised") / F.lit(norm or 1.0) * F.lit(tokens))
     blocks = F.ceil(F.col("_docs") / BLOCK_DOCS)
     return raised.select(
         "_source",
