@@ -74,6 +74,8 @@ BASE = [k.name for k in KINDS if k.base]
 # Characters before and after a span in which its cue words count.
 WINDOW = 48
 CUE_BONUS = 0.2
+# Matches that are worked on together.
+BLOCK = 256
 SPAN = (
     "array<struct<start:bigint,rank:int,kind:string,end:bigint,score:double,value:string>>"
 )
@@ -132,19 +134,47 @@ def valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(text: Column, rank: int, kind: Kind) -> Column:
+PAIR = "array<struct<gap:string,value:string,next:string>>"
+
+
+def _pairs(text: Column, kind: Kind) -> Column:
+    """Each match of a kind with the text before it and after it, up to other matches.
+
+    The text between matches and the matches themselves come from the same pattern. The
+    last pair has no match.
+    """
+    between = F.split(text, kind.pattern, -1)
+    matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+    pairs = F.arrays_zip(between, matches, F.slice(between, 2, 1 << 30)).cast(PAIR)
+    if kind.needs:
+        pairs = F.when(F.contains(text, F.lit(kind.needs)), pairs).otherwise(F.array().cast(PAIR))
+    return pairs
+
+
+def _blocks(pairs: str) -> Column:
+    """An array in blocks of at most BLOCK, as appending to a long array copies it."""
+    last = F.floor((F.size(pairs) - 1) / BLOCK).cast("int")
+    every = F.sequence(F.lit(0), F.greatest(last, F.lit(0)))
+    return F.transform(every, lambda b: F.slice(pairs, b * BLOCK + 1, BLOCK))
+
+
+def _spans(blocks: str, rank: int, kind: Kind) -> Column:
     """All confirmed spans of one kind, in order.
 
-    The text between matches and the matches themselves, by the same pattern, give
-    the places: the lengths of all that lies before. The gaps also hold the words
-    around a span.
+    The lengths of all that lies before give a span's place: first block by block, then
+    within each.
     """
-    pairs = F.arrays_zip(
-        between := F.split(text, kind.pattern, -1),
-        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)),
-        F.slice(between, 2, 1 << 30),
-    ).cast("array<struct<gap:string,value:string,next:string>>")
-    state = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPAN).alias("found"))
+    none = F.array().cast(SPAN)
+
+    def add(acc: Column, block: Column) -> Column:
+        length = F.aggregate(
+            block,
+            F.lit(0).cast("bigint"),
+            lambda a, p: a + F.length(p["gap"]) + F.coalesce(F.length(p["value"]), F.lit(0)),
+        )
+        return F.struct(
+            (acc["at"] + length).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")
+        )
 
     def step(acc: Column, pair: Column) -> Column:
         start = acc["at"] + F.length(pair["gap"])
@@ -169,10 +199,17 @@ def _spans(text: Column, rank: int, kind: Kind) -> Column:
             .alias("found"),
         )
 
-    found = F.aggregate(pairs, state, step, lambda acc: acc["found"])
-    if kind.needs:
-        found = F.when(F.contains(text, F.lit(kind.needs)), found).otherwise(F.array().cast(SPAN))
-    return found
+    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("all"))
+    starts = F.aggregate(blocks, zero, add, lambda acc: acc["all"])
+    return F.flatten(
+        F.zip_with(
+            blocks,
+            starts,
+            lambda block, at: F.aggregate(
+                block, F.struct(at.alias("at"), none.alias("found")), step, lambda acc: acc["found"]
+            ),
+        )
+    )
 
 
 def find_pii(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
@@ -188,11 +225,15 @@ def find_pii(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "pii"]).alias("row")
-    each = [_spans(text, i, k).alias(f"spans_{k.name}") for i, k in enumerate(KINDS)]
-    spans = F.concat(*[f"spans_{k.name}" for k in KINDS])
+    names = [k.name for k in KINDS]
+    # Each step is a projection of its own, so that what it reads twice is worked out once.
+    pairs = docs.select(row, *[_pairs(text, k).alias(k.name) for k in KINDS])
+    blocks = pairs.select("row", *[_blocks(n).alias(n) for n in names])
+    each = blocks.select("row", *[_spans(k.name, i, k).alias(k.name) for i, k in enumerate(KINDS)])
+    spans = F.concat(*names)
     if min_score > 0:
         spans = F.filter(spans, lambda s: s["score"] >= min_score)
-    return docs.select(row, *each).select("row.*", F.array_sort(spans).alias("pii"))
+    return each.select("row.*", F.array_sort(spans).alias("pii"))
 
 
 def redact(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
