@@ -272,8 +272,7 @@ def q_tid_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_tid_intersections(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = ops.tid_lists(brand(spark, sf_dir), BRAND, BUCKETS)
-    pairs = ops.generate_candidates(brand_singles(spark, sf_dir, BRAND))
-    met = ops.intersect_tid_lists(lists, pairs)
+    met = ops.intersect_tid_lists(lists, brand_pairs(spark, sf_dir, BRAND))
     return ops.tid_list_sizes(met, BRAND).select(joined("itemset"), "freq")
 
 
