@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketweave.llm import decontaminate, language, minhash, mixing, neighbours, pii, tokens, toxicity, urls, warc
+from basketweave.llm import (
+    decontaminate,
+    language,
+    minhash,
+    mixing,
+    neighbours,
+    pii,
+    sql,
+    tokens,
+    toxicity,
+    urls,
+    warc,
+)
 from basketweave.llm.common import table, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,4 +157,8 @@ QUERIES: dict[str, Query] = {
     "op10_warc_audit": op10_warc_audit,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_near_duplicates": sql.near_duplicates(),
+    "op7_mixing": sql.mixing_order(ENTROPY, REPEATS),
+    "op8_url_filters": sql.url_verdicts(RULES),
+}
