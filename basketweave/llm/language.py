@@ -146,8 +146,11 @@ def _sample(docs: DataFrame) -> list[tuple[str, list[str]]]:
         F.col("doc_id").cast("bigint").alias("id"),
         F.col("text").cast("string"),
         F.col("lang").cast("string"),
-    ).where(
-        ~F.coalesce(held_out(F.col("id")), F.lit(False)) & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    )
+    rows = rows.where(
+        ~F.coalesce(held_out(F.col("id")), F.lit(False))
+        & F.col("lang").isNotNull()
+        & F.col("text").isNotNull()
     )
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     known = sizes.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
@@ -157,7 +160,8 @@ def _sample(docs: DataFrame) -> list[tuple[str, list[str]]]:
         lang = F.col("lang") == row["lang"]
         ids = rows.where(lang).select("id", F.xxhash64("id").alias("h")).orderBy("h", "id")
         chosen += [r["id"] for r in ids.limit(SAMPLE_DOCS).collect() if r["id"] is not None]
-    picked = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in chosen], "id long")), "id", "left_semi") if chosen else rows.limit(0)
+    ids = docs.sparkSession.createDataFrame([(i,) for i in chosen], "id long")
+    picked = rows.join(F.broadcast(ids), "id", "left_semi")
 
     def make():
         def step(ids, texts, langs):
@@ -188,7 +192,9 @@ def _lexicon(sample: list[tuple[str, list[str]]]) -> dict[str, tuple[str, ...]]:
     return {w: tuple(x) for w, x in lists.items()}
 
 
-def _sequences(sample: list[tuple[str, list[str]]], index: dict[str, int], rng) -> list[list[tuple[str, int]]]:
+def _sequences(
+    sample: list[tuple[str, list[str]]], index: dict[str, int], rng: np.random.Generator
+) -> list[list[tuple[str, int]]]:
     """Training sequences of LENGTH words: stretches of one language after another."""
     stretches = []
     for lang, found in sample:

@@ -128,11 +128,9 @@ def _answer(vectors: pd.DataFrame, queries: pd.DataFrame, k: int, longest: float
             out["query_id"].append(np.full(len(ids), query_id))
             out["vec_id"].append(ids)
             out["score"].append(scores)
+    kinds = {"query_id": np.int64, "vec_id": np.int64, "score": float}
     return pd.DataFrame(
-        {
-            n: np.concatenate(x).astype(float if n == "score" else np.int64) if x else np.empty(0, float if n == "score" else np.int64)
-            for n, x in out.items()
-        }
+        {n: np.concatenate([np.empty(0, kind), *out[n]]) for n, kind in kinds.items()}
     )
 
 

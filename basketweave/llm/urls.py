@@ -116,7 +116,12 @@ def propagate(ws: Workspace, seeds: DataFrame, links: DataFrame) -> DataFrame:
         "weights",
         links.df.join(outgoing, "src")
         .join(incoming, "dst")
-        .select("src", "dst", (F.col("n") / F.col("out")).alias("go"), (F.col("n") / F.col("into")).alias("back")),
+        .select(
+            "src",
+            "dst",
+            (F.col("n") / F.col("out")).alias("go"),
+            (F.col("n") / F.col("into")).alias("back"),
+        ),
     ).df
     none = F.lit(0.0)
     ranks = start.select("host", F.col("good").alias("trust"), F.col("bad").alias("distrust"))

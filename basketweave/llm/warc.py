@@ -88,7 +88,8 @@ def write_archive(pages: DataFrame, ws: Workspace, folder: str) -> DataFrame:
                 if out is None:
                     store.create_dir(root, recursive=True)
                     name = f"{context.partitionId():06d}-{context.taskAttemptId()}-{number}.warc.gz"
-                    out, at, seq, number = store.open_output_stream(f"{root}/{name}", compression=None), 0, 0, number + 1
+                    out = store.open_output_stream(f"{root}/{name}", compression=None)
+                    at, seq, number = 0, 0, number + 1
                 data = gzip.compress(record(page_id, url, html), 6, mtime=0)
                 out.write(data)
                 rows.append((name, seq, page_id, at, at + len(data), hashlib.sha256(data).hexdigest()))
@@ -199,7 +200,10 @@ def audit(one: Tree, other: Tree, ws: Workspace) -> DataFrame:
         if suspects is not None:
             parent = F.expr(f"node div {FANOUT}")
             above = suspects.select("file", F.col("node").alias("parent"))
-            a, b = (x.withColumn("parent", parent).join(above, ["file", "parent"], "left_semi") for x in (a, b))
+            a, b = (
+                x.withColumn("parent", parent).join(above, ["file", "parent"], "left_semi")
+                for x in (a, b)
+            )
         same = ["file", "node", "start", "end", "hash"]
         suspects = ws.write("suspects", a.select(*same).join(b.select(*same), same, "left_anti")).df
     return suspects.select("file", "node", "start", "end")
