@@ -7,17 +7,18 @@ of the resemblance. Bands of equal values propose pairs; links are confirmed on
 full sets.
 
 Equal sets become one class first. In a band's bucket every class meets the bucket's
-smallest member, its hub, so a bucket gives as many pairs as it has members. What the
-links join is then one component; only classes of one bucket that are still in
-different components are compared with each other, so that no link is lost and a
-group of copies is never expanded into its pairs.
+hub, the member that meets most others in all its buckets, so a bucket gives as many
+pairs as it has members. What the links join is then one component. Classes of one
+bucket that are still in different components are compared with each other only where
+what they share besides their hub could suffice, so that no link is lost and a group
+of copies is never expanded into its pairs.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketweave.functions.joins import fits_broadcast
@@ -34,7 +35,8 @@ PERMUTATIONS = BANDS * ROWS // 2
 CHUNK = 1 << 15
 # Words whose hashes a worker remembers; it forgets them all beyond.
 CACHE_WORDS = 500_000
-ID_BYTES = 16
+# An id in a broadcast table.
+ID_BYTES = 96
 
 _ODD = np.random.default_rng(20).integers(1, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -145,16 +147,21 @@ def _sets(docs: DataFrame, ids: Table) -> DataFrame:
     return sets.dropDuplicates(["id"])
 
 
-def _confirmed(ws: Workspace, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of `pairs` (``a``, ``b``) whose full sets are similar enough."""
-    both = F.size(F.array_intersect("set_of_a", "set_of_b"))
-    union = F.size("set_of_a") + F.size("set_of_b") - both
-    return (
-        pairs.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_of_b")), "b")
-        .join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_of_a")), "a")
-        .where(100 * both >= SIMILARITY * union)
-        .select("a", "b")
-    )
+def _overlaps(pairs: DataFrame, sets: DataFrame, what: Column) -> DataFrame:
+    """`pairs` (``hub``, ``id`` and more) with `what` of ``set`` and ``hub_set``."""
+    of_hub = sets.select(F.col("id").alias("hub"), F.col("set").alias("hub_set"))
+    joined = pairs.join(sets, "id").join(of_hub, "hub")
+    return joined.select(*pairs.columns, what)
+
+
+def _shared() -> Column:
+    return F.size(F.array_intersect("set", "hub_set"))
+
+
+def _linked(n: str, other: str, shared: str) -> Column:
+    """Whether sets of so many members that share so many are similar enough."""
+    n, other, shared = F.col(n), F.col(other), F.col(shared)
+    return 100 * shared >= SIMILARITY * (n + other - shared)
 
 
 def components(ws: Workspace, edges: DataFrame) -> DataFrame:
@@ -193,6 +200,68 @@ def components(ws: Workspace, edges: DataFrame) -> DataFrame:
     return labels
 
 
+def _others(ws: Workspace, rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs that may be linked though neither is a hub: ``hub``, ``id``, ``n``, ``other``.
+
+    `rows` are the members of all hubs' buckets with ``shared``, what each shares with
+    the hub, and ``component``. Two members share at most what one of them shares with
+    the hub, and the parts outside the hub that both have. So a pair that may still be
+    linked either has such a part in common, or both share enough with the hub already,
+    which takes a second one smaller than the hub. Both are exact, and neither looks at
+    all pairs: copies differ from their hub in parts of their own.
+    """
+    of = rows.groupBy("hub").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    doubt = ws.write("doubt", rows.join(of.where("low < high").select("hub"), "hub")).df
+    outside = F.explode(F.array_except("set", "hub_set")).alias("part")
+    parts = ws.write("parts", _overlaps(doubt.select("hub", "id", "component"), sets, outside)).df
+
+    def foreign(parts: DataFrame) -> DataFrame:
+        """The parts that members of different components have."""
+        of = parts.groupBy("hub", "part").agg(
+            F.min("component").alias("low"), F.max("component").alias("high")
+        )
+        return parts.join(of.where("low < high").select("hub", "part"), ["hub", "part"])
+
+    parts = ws.write("foreign", foreign(parts)).df
+    most = parts.groupBy("hub", "id").agg(F.count(F.lit(1)).alias("more"))
+    least = doubt.groupBy("hub").agg(F.min("n").alias("least"))
+    smallest = F.greatest(F.col("least"), F.ceil(F.col("n") * SIMILARITY / 100))
+    reach = F.col("shared") + F.coalesce("more", F.lit(0))
+    hopeful = (
+        doubt.join(least, "hub")
+        .join(most, ["hub", "id"], "left")
+        .where((100 + SIMILARITY) * reach >= SIMILARITY * (F.col("n") + smallest))
+        .select(*doubt.columns, "least")
+    )
+    hopeful = ws.write("hopeful", hopeful).df
+    kept = foreign(parts.join(hopeful.select("hub", "id", "n"), ["hub", "id"]))
+    left, right = kept.alias("l"), kept.alias("r")
+    sizes = 100 * F.least("l.n", "r.n") >= SIMILARITY * F.greatest("l.n", "r.n")
+    pair = (
+        F.greatest("l.id", "r.id").alias("hub"),
+        F.least("l.id", "r.id").alias("id"),
+    )
+    together = left.join(
+        right,
+        (F.col("l.hub") == F.col("r.hub"))
+        & (F.col("l.part") == F.col("r.part"))
+        & (F.col("l.component") < F.col("r.component"))
+        & sizes,
+    ).select(*pair)
+    # Few members share so much with a hub that they miss only by their own or its size.
+    enough = (100 + SIMILARITY) * F.col("shared") >= SIMILARITY * (F.col("n") + F.col("least"))
+    left = hopeful.where(enough & ~_linked("n", "hub_n", "shared")).alias("l")
+    right = hopeful.where(enough & (F.col("n") < F.col("hub_n"))).alias("r")
+    both = (100 + SIMILARITY) * F.least("l.shared", "r.shared") >= SIMILARITY * (
+        F.col("l.n") + F.col("r.n")
+    )
+    small = left.join(
+        right,
+        (F.col("l.hub") == F.col("r.hub")) & (F.col("l.component") != F.col("r.component")) & both,
+    ).select(*pair)
+    return together.unionAll(small).distinct()
+
+
 def near_duplicates(docs: DataFrame, ws: Workspace) -> DataFrame:
     """Per document the size of its set and the group of near copies that it is in.
 
@@ -215,62 +284,43 @@ def near_duplicates(docs: DataFrame, ws: Workspace) -> DataFrame:
         .dropDuplicates(["id"])
         .select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     )
-    member = F.struct("id", "n")
-    hubs = banded.groupBy("key").agg(
-        F.min(member).alias("hub"), F.count(F.lit(1)).alias("size")
-    )
-    shared = hubs.where("size > 1").select("key", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"))
-    buckets = ws.write("buckets", banded.join(shared, "key")).df
-
-    def similar_sizes(a: str, b: str):
-        return 100 * F.least(a, b) >= SIMILARITY * F.greatest(a, b)
+    sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = ws.write("shared", banded.join(sizes, "key")).df
+    degrees = shared.groupBy("id").agg(F.sum("size").alias("degree"))
+    central = F.max_by(F.struct("id", "n"), F.struct("degree", -F.col("id")))
+    hubs = shared.join(degrees, "id").groupBy("key").agg(central.alias("hub"))
+    buckets = ws.write(
+        "buckets",
+        shared.join(hubs, "key").select(
+            "key", "id", "n", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n")
+        ),
+    ).df
 
-    first = (
-        buckets.where(F.col("hub") != F.col("id"))
-        .where(similar_sizes("n", "hub_n"))
-        .select(F.col("hub").alias("a"), F.col("id").alias("b"))
-        .distinct()
-    )
-    pairs = ws.write("pairs", first)
+    met = ws.write("met", buckets.where("hub <> id").drop("key").distinct()).df
     ids = ws.write("ids", buckets.select("id").distinct())
     sets = ws.write("sets", _sets(docs, ids)).df
-    nearest = pairs.df.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = ws.write("links", _confirmed(ws, nearest, sets)).df
-    groups = components(ws, links)
-
-    def across(candidates: DataFrame) -> DataFrame:
-        """Candidates whose ends are not yet in one component."""
-        for end in ("a", "b"):
-            of = groups.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
-            candidates = candidates.join(of, end, "left").withColumn(
-                f"of_{end}", F.coalesce(f"of_{end}", end)
-            )
-        return candidates.where("of_a <> of_b").select("a", "b")
-
-    rest = across(pairs.df.join(nearest, ["a", "b"], "left_anti"))
-    links = ws.write("links", links.unionAll(_confirmed(ws, rest, sets))).df
-    groups = components(ws, links)
+    measured = ws.write("measured", _overlaps(met, sets, _shared().alias("shared"))).df
 
-    labelled = buckets.join(groups, buckets["id"] == groups["node"], "left").select(
-        "key", "id", "n", "hub", F.coalesce("component", "id").alias("component")
+    links = measured.where(_linked("n", "hub_n", "shared")).select(
+        F.col("hub").alias("a"), F.col("id").alias("b")
     )
-    mixed = (
-        labelled.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high")
+    groups = components(ws, links)
+    labelled = measured.join(groups, measured["id"] == groups["node"], "left").select(
+        *measured.columns, F.coalesce("component", "id").alias("component")
     )
-    open_rows = ws.write("open", labelled.where("id <> hub").join(mixed, "key")).df
-    left, right = open_rows.alias("l"), open_rows.alias("r")
-    others = (
-        left.join(right, "key")
-        .where("l.component < r.component")
-        .where(similar_sizes("l.n", "r.n"))
-        .select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
-        .distinct()
+    others = _overlaps(
+        _others(ws, labelled, sets),
+        sets,
+        F.struct(
+            F.size("set").alias("n"), F.size("hub_set").alias("other"), _shared().alias("shared")
+        ).alias("sizes"),
+    ).select("hub", "id", "sizes.*")
+    more = others.where(_linked("n", "other", "shared")).select(
+        F.col("hub").alias("a"), F.col("id").alias("b")
     )
-    others = others.join(pairs.df, ["a", "b"], "left_anti")
-    links = ws.write("links", links.unionAll(_confirmed(ws, others, sets))).df
-    groups = components(ws, links)
+    more = ws.write("more_links", more)
+    if more.rows:
+        groups = components(ws, links.unionAll(more.df))
 
     found = classes.join(groups, classes["id"] == groups["node"], "left").select(
         *name, F.coalesce("component", "id").alias("component_id")
