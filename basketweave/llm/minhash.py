@@ -34,7 +34,7 @@ PERMUTATIONS = BANDS * ROWS // 2
 # Shingles that are hashed at once, so that they stay in the processor's cache.
 CHUNK = 1 << 15
 # Words whose hashes a worker remembers; it forgets them all beyond.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 # An id in a broadcast table.
 ID_BYTES = 96
 
