@@ -65,7 +65,7 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document, by a model of the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
-    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels"), workspace(spark)))
     return scored.select(
         "doc_id",
         toxicity.held_out(F.col("doc_id")).alias("held_out"),

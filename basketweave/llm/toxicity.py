@@ -26,7 +26,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketweave.functions.joins import fits_broadcast
 from basketweave.llm.common import filter_batches, map_batches
+from basketweave.workspace import Table, Workspace
 
 # Labels are learned where the CRC of the document's id, modulo FOLDS, is not HELD_OUT.
 FOLDS, HELD_OUT = 3, 1
@@ -42,8 +44,12 @@ BEGINNINGS = (4, 5, 6)
 MAX_FEATURES = 50_000
 # Segments with at most this expected number in clean text are significant.
 SIGNIFICANT = 0.01
+# The logarithm of the length that stands for a text without any segment.
+NOTHING = log(1 << 20)
 # Words whose scores a worker remembers; it forgets them all beyond.
 CACHE_WORDS = 500_000
+# A label and its document's id in a broadcast table.
+ID_BYTES = 96
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -60,12 +66,14 @@ class Model:
     key: str = field(default_factory=lambda: uuid4().hex)
 
     def evidence(self, top: float, tokens: int) -> float:
-        """Minus the logarithm of the expected number of such segments by chance."""
-        return max(-20.0, min(40.0, self.slope * top - self.size - log(max(tokens, 1))))
+        """Minus the logarithm of the expected number of such segments by chance.
+
+        Without a segment it is that of a very long text, whatever the length.
+        """
+        length = log(max(tokens, 1)) if top > 0 else NOTHING
+        return max(-20.0, min(40.0, self.slope * top - self.size - length))
 
     def probability(self, top: float, tokens: int) -> float:
-        if not tokens:
-            top, tokens = 0.0, 1 << 20
         value = self.intercept + self.weight * self.evidence(top, tokens)
         return 1 / (1 + exp(-max(-500.0, min(500.0, value))))
 
@@ -132,18 +140,30 @@ def _cached(model: Model) -> Scorer:
     return _scorer
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts that may be learned from, equal texts once, toxic if any label says so."""
+def _labelled(docs: DataFrame, labels: DataFrame, ws: Workspace) -> DataFrame:
+    """Texts that may be learned from, equal texts once, toxic if any label says so.
+
+    Only ids and hashes of texts are shuffled; the texts are looked up again.
+    """
     marks = (
-        labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
-        .where(~held_out(F.col("_id")) & F.col("toxic").isNotNull())
-        .groupBy("_id")
+        labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic"))
+        .where(~held_out(F.col("id")) & F.col("toxic").isNotNull())
+        .groupBy("id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    rows = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string")).join(marks, "_id")
-    rows = rows.where("text IS NOT NULL").withColumn("_copy", F.xxhash64("text", F.length("text")))
-    first = rows.groupBy("_copy").agg(F.min("_id").alias("_id"), F.max("toxic").alias("_toxic"))
-    return rows.join(first, ["_copy", "_id"]).select("text", F.col("_toxic").alias("toxic"))
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string")).where(
+        "text IS NOT NULL"
+    )
+
+    def marked(table: Table) -> DataFrame:
+        small = F.broadcast(table.df) if fits_broadcast(table.rows, ID_BYTES) else table.df
+        return texts.join(small, "id")
+
+    hashed = marked(ws.write("marks", marks)).select(
+        "id", "toxic", F.xxhash64("text").alias("hash"), F.length("text").alias("length")
+    )
+    first = hashed.groupBy("hash", "length").agg(F.min("id").alias("id"), F.max("toxic").alias("toxic"))
+    return marked(ws.write("first", first.select("id", "toxic"))).select("text", "toxic")
 
 
 def _counts(rows: DataFrame) -> DataFrame:
@@ -170,8 +190,9 @@ def _counts(rows: DataFrame) -> DataFrame:
     )
 
 
-def _log_odds(counts: DataFrame) -> dict[str, tuple[float, float]]:
-    n1, n0 = counts.agg(F.sum("y1"), F.sum("y0")).first()
+def _log_odds(table: Table) -> dict[str, tuple[float, float]]:
+    """The surest features of a table of counts, with |z| and score."""
+    counts, n1, n0 = table.df, table.stats["y1"], table.stats["y0"]
     if not n1 or not n0:
         return {}
     prior = EACH + PRIOR * (F.col("y1") + F.col("y0")) / (n1 + n0)
@@ -208,7 +229,7 @@ def _calibrate(model: Model, bins: Iterable) -> Model:
         spread = sqrt(np.average((rest - mean) ** 2, weights=clean))
         slope = min(5.0, max(0.2, pi / sqrt(6) / max(spread, 1e-6)))
     level = float(np.average(slope * top - size, weights=clean)) - np.euler_gamma
-    x = np.clip(slope * top - level - size, -20.0, 40.0)
+    x = np.clip(slope * top - level - np.where(top > 0, size, NOTHING), -20.0, 40.0)
     beta = np.zeros(2)
     design = np.stack([np.ones_like(x), x], axis=1)
     for _ in range(60):  # a small penalty keeps separable labels finite
@@ -219,15 +240,16 @@ def _calibrate(model: Model, bins: Iterable) -> Model:
     return Model(model.features, slope, level, float(beta[0]), float(max(beta[1], 0.0)))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, ws: Workspace) -> Model:
     """Learn from the documents that `labels` (``doc_id``, ``toxic``) marks.
 
     Held-out ids, null labels and null texts are left out; several labels of a document
     count as toxic if one is, and equal texts count once. Without documents of both
     classes the model scores everything low.
     """
-    rows = _labelled(docs, labels)
-    model = Model(_log_odds(_counts(rows)))
+    rows = _labelled(docs, labels, ws)
+    counts = ws.write("counts", _counts(rows), y1=F.sum("y1"), y0=F.sum("y0"))
+    model = Model(_log_odds(counts))
 
     def make():
         scorer = _cached(model)
