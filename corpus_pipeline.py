@@ -18,7 +18,8 @@ REPEATS = 2.0
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, fitted on the labels, does not reject."""
-    model = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    labels = table(spark, sf_dir, "labels")
+    model = toxicity.fit(table(spark, sf_dir, "documents"), labels, workspace(spark))
     return toxicity.drop_toxic(docs, model)
 
 
