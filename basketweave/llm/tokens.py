@@ -36,7 +36,7 @@ from basketweave.workspace import Workspace
 # Stands for a null doc_id in a .doc file.
 NO_ID = -(1 << 63)
 # Distinct pieces of text whose ids a worker remembers; it forgets them all beyond.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 500_000
 # Letters below this one have no special cases of case or composition.
 LATIN_END = "\u0180"
 # Documents that are encoded together.
@@ -103,12 +103,14 @@ class Encoder:
         cache, model, spelt = self._cache, self.tokenizer.model, self._letters
         if len(cache) + len(pieces) > CACHE_PIECES:
             cache.clear()
-        stops = {p: p[-1] for p in pieces if len(p) > 1 and p[-1] in ".,!?;:" and p[-2].isalpha()}
+        stops = {p: p[-1] for p in pieces if len(p) > 1 and p[-1] in ".,!?;:" and p[-2].lower().isalpha()}
         new = {p[:-1] if p in stops else p for p in pieces} | set(stops.values())
         other = []
-        for piece in new:
+        for piece in new.difference(cache):
             word = piece.lower()
-            if word.isalpha() and max(word) < LATIN_END and max(piece) < LATIN_END:
+            if word in cache and piece.isascii() and piece.isalpha():
+                cache[piece] = cache[word]
+            elif word.isalpha() and max(word) < LATIN_END and max(piece) < LATIN_END:
                 spelling = word if word.isascii() else "".join([spelt[c] for c in word])
                 cache[piece] = self.pack([x.id for x in model.tokenize(spelling)])
             else:
