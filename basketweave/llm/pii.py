@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 class Kind:
     """One kind of data: its pattern, score and the words that speak for it.
 
-    `needs` is a string that every match holds; a text without it is not searched.
+    `needs` is a string that every match holds; a text without it is not searched. With
+    `ahead` the pattern matches only the head of a value, and its group what follows.
     """
 
     name: str
@@ -30,6 +31,11 @@ class Kind:
     cues: str
     base: bool = True
     needs: str = ""
+    ahead: bool = False
+
+
+# Characters before and after a span in which its cue words count.
+WINDOW = 48
 
 
 def _run(chars: str, rest: str) -> str:
@@ -57,10 +63,11 @@ KINDS = (
     ),
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        rf"(?<![A-Za-z0-9])[A-Z]{{2}}[0-9]{{2}}(?=((?:\x20?[A-Z0-9]){{11,30}}+[\s\S]{{0,{WINDOW}}}))",
         0.8,
         "iban|bank|account|transfer",
         False,
+        ahead=True,
     ),
     Kind(
         "ssn",
@@ -71,8 +78,15 @@ KINDS = (
     ),
 )
 BASE = [k.name for k in KINDS if k.base]
-# Characters before and after a span in which its cue words count.
-WINDOW = 48
+# The characters of an IBAN by country. Other countries and lengths are found too, where
+# mod 97 holds.
+IBAN_LENGTHS = (
+    "AD24AE23AL28AT20AZ28BA20BE16BG22BH22BI27BR29BY28CH21CR22CY28CZ24DE22DJ27DK18DO28EE20EG29"
+    "ES24FI18FK18FO18FR27GB22GE22GI23GL18GR27GT28HN28HR21HU28IE22IL23IQ23IS26IT27JO30KW30KZ20"
+    "LB28LC32LI21LT20LU20LV21LY25MC27MD24ME22MK19MN20MR27MT31MU30NI28NL18NO15OM23PK24PL28PS29"
+    "PT25QA29RO24RS22RU33SA24SC31SD18SE24SI19SK24SM27SO23ST25SV28TL23TN24TR26UA29VA22VG24XK20"
+    "YE30"
+)
 CUE_BONUS = 0.2
 # Matches that are worked on together.
 BLOCK = 256
@@ -114,6 +128,29 @@ def mod97(value: Column) -> Column:
     return F.length(plain).between(15, 34) & (rest == 1)
 
 
+def _iban_rest(head: Column, ahead: Column) -> Column:
+    """How many characters of `ahead` end the IBAN that begins with `head`, or null.
+
+    Words that follow may look like parts of it, so each end of a word is tried. The
+    length of the country decides, then the longest that passes mod 97.
+    """
+    code = F.instr(F.lit(IBAN_LENGTHS), F.substring(head, 1, 2))
+    usual = F.when(
+        code > 0, F.substring(F.lit(IBAN_LENGTHS), code + 2, F.lit(2)).try_cast("int")
+    )
+    body = F.length(F.regexp_extract(ahead, r"^(?:\x20?[A-Z0-9])+", 0))
+
+    def whole(n: Column) -> Column:
+        return F.concat(head, F.substring(ahead, F.lit(1), n))
+
+    ends = F.filter(
+        F.sequence(F.lit(11), body),
+        lambda n: F.substring(ahead, n, F.lit(2)).rlike("^[A-Z0-9](?![A-Za-z0-9])") & mod97(whole(n)),
+    )
+    by_country = F.filter(ends, lambda n: F.length(F.replace(whole(n), F.lit(" "))) == usual)
+    return F.coalesce(F.array_max(by_country), F.array_max(ends))
+
+
 def octets(value: Column) -> Column:
     """Whether all parts of a dotted number are at most 255, leading zeros aside."""
     parts = F.transform(F.split(value, r"\."), lambda p: F.ltrim(p, F.lit("0")))
@@ -129,8 +166,6 @@ def valid(kind: str, value: Column) -> Column:
         return F.length(digits(value)).between(12, 19) & luhn(value)
     if kind == "phone":
         return F.length(digits(value)).between(9, 15)
-    if kind == "iban":
-        return mod97(value)
     return F.lit(True)
 
 
@@ -141,11 +176,14 @@ def _pairs(text: Column, kind: Kind) -> Column:
     """Each match of a kind with the text before it and after it, up to other matches.
 
     The text between matches and the matches themselves come from the same pattern. The
-    last pair has no match.
+    last pair has no match. Of heads, what the pattern saw ahead is the text after.
     """
     between = F.split(text, kind.pattern, -1)
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    pairs = F.arrays_zip(between, matches, F.slice(between, 2, 1 << 30)).cast(PAIR)
+    after = F.slice(between, 2, 1 << 30)
+    if kind.ahead:
+        after = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1))
+    pairs = F.arrays_zip(between, matches, after).cast(PAIR)
     if kind.needs:
         pairs = F.when(F.contains(text, F.lit(kind.needs)), pairs).otherwise(F.array().cast(PAIR))
     return pairs
@@ -178,10 +216,16 @@ def _spans(blocks: str, rank: int, kind: Kind) -> Column:
 
     def step(acc: Column, pair: Column) -> Column:
         start = acc["at"] + F.length(pair["gap"])
-        end = start + F.length(pair["value"])
-        near = F.concat(
-            F.substring(pair["gap"], -WINDOW, WINDOW), F.lit(" "), F.substring(pair["next"], 1, WINDOW)
-        )
+        through = start + F.length(pair["value"])
+        value, after, end = pair["value"], F.substring(pair["next"], 1, WINDOW), through
+        good = value.isNotNull() & valid(kind.name, value)
+        if kind.ahead:
+            rest = _iban_rest(value, pair["next"])
+            good = value.isNotNull() & rest.isNotNull()
+            value = F.concat(value, F.substring(pair["next"], F.lit(1), rest))
+            after = F.substring(pair["next"], rest + 1, F.lit(WINDOW))
+            end = through + rest
+        near = F.concat(F.substring(pair["gap"], -WINDOW, WINDOW), F.lit(" "), after)
         bonus = F.when(F.lower(near).rlike(rf"\b(?:{kind.cues})\b"), CUE_BONUS).otherwise(0.0)
         span = F.struct(
             start.alias("start"),
@@ -189,11 +233,10 @@ def _spans(blocks: str, rank: int, kind: Kind) -> Column:
             F.lit(kind.name).alias("kind"),
             end.alias("end"),
             F.least(F.lit(1.0), F.lit(kind.prior) + bonus).alias("score"),
-            pair["value"].alias("value"),
+            value.alias("value"),
         )
-        good = pair["value"].isNotNull() & valid(kind.name, pair["value"])
         return F.struct(
-            F.coalesce(end, acc["at"]).cast("bigint").alias("at"),
+            F.coalesce(through, acc["at"]).cast("bigint").alias("at"),
             F.when(good, F.concat(acc["found"], F.array(span).cast(SPAN)))
             .otherwise(acc["found"])
             .alias("found"),
@@ -212,13 +255,36 @@ def _spans(blocks: str, rank: int, kind: Kind) -> Column:
     )
 
 
+def _apart(blocks: str) -> Column:
+    """Spans without those that begin inside a span before them."""
+
+    def step(acc: Column, span: Column) -> Column:
+        clear = span["start"] >= acc["until"]
+        return F.struct(
+            F.when(clear, span["end"]).otherwise(acc["until"]).alias("until"),
+            F.when(clear, F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"),
+        )
+
+    def add(acc: Column, block: Column) -> Column:
+        zero = F.struct(acc["until"].alias("until"), F.array().cast(SPAN).alias("found"))
+        part = F.aggregate(block, zero, step)
+        return F.struct(
+            part["until"].alias("until"), F.concat(acc["all"], F.array(part["found"])).alias("all")
+        )
+
+    zero = F.struct(
+        F.lit(0).cast("bigint").alias("until"), F.array().cast(f"array<{SPAN}>").alias("all")
+    )
+    return F.flatten(F.aggregate(blocks, zero, add, lambda acc: acc["all"]))
+
+
 def find_pii(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
     """`docs` with ``pii``: the spans of personal data in each ``text``, by place.
 
     A span has ``start`` and ``end`` in code points (end exclusive), its ``kind``, the
     ``rank`` of the kind in KINDS, a ``score`` from 0 to 1 and the ``value``. Matches of
     one kind are the leftmost that do not overlap; one that its validator refuses is
-    dropped. Kinds may overlap each other; equal places stand in the order of KINDS.
+    dropped. An IBAN is tried at every head, so one that is refused hides none. Kinds may overlap each other; equal places stand in the order of KINDS.
     Spans below `min_score` are left out. A null or empty text has none; repeated rows
     are judged each; an empty table stays empty. Other columns stay as they are, but
     for a column ``pii``, which is replaced.
@@ -230,6 +296,8 @@ def find_pii(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
     pairs = docs.select(row, *[_pairs(text, k).alias(k.name) for k in KINDS])
     blocks = pairs.select("row", *[_blocks(n).alias(n) for n in names])
     each = blocks.select("row", *[_spans(k.name, i, k).alias(k.name) for i, k in enumerate(KINDS)])
+    for name in [k.name for k in KINDS if k.ahead]:
+        each = each.withColumn(name, _blocks(name)).withColumn(name, _apart(name))
     spans = F.concat(*names)
     if min_score > 0:
         spans = F.filter(spans, lambda s: s["score"] >= min_score)

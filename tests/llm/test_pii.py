@@ -72,6 +72,30 @@ def test_validators_and_context(spark):
     assert score[2] > score[3] and score[5] > score[6]
 
 
+def test_ibans_before_capitals_and_numbers(spark):
+    german, british = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    expected = {
+        f"IBAN {german} Please pay": [german],
+        "DE89 3704 0044 0532 0130 00 Bank": ["DE89 3704 0044 0532 0130 00"],
+        f"{british} 2024": [british],
+        f"to {british} AND MORE CAPITALS FOLLOW 12": [british],
+        f"{german} {british}": [german, british],
+        f"AB12 3456 7890 1234 {german} X": [german],
+        f"{german}X": [],
+        f"{german}x": [],
+        "MT84 MALT 0110 0001 2345 MTLC AST0 01S On": ["MT84 MALT 0110 0001 2345 MTLC AST0 01S"],
+        f"{german} " * 600: [german] * 600,
+    }
+    docs = documents(spark, list(expected))
+    rows = pii.find_pii(docs).orderBy("doc_id").collect()
+    for row, (text, values) in zip(rows, expected.items(), strict=True):
+        found = [s for s in row["pii"] if s["kind"] == "iban"]
+        assert [s["value"] for s in found] == values, text
+        assert all(text[s["start"] : s["end"]] == s["value"] for s in found)
+    clean = [r["text"] for r in pii.redact(docs).orderBy("doc_id").collect()]
+    assert clean[0] == "IBAN [IBAN] Please pay"
+
+
 def test_redaction(spark):
     texts = ["write a@b.co or 10.0.0.1!", None, "", "née a@b.co"]
     rows = pii.redact(documents(spark, texts)).orderBy("doc_id").collect()
