@@ -22,8 +22,9 @@ from basketweave.functions.joins import lookup_join
 from basketweave.workspace import Workspace
 
 DAMPING = 0.85
+# Rounds that the SQL repeats; propagate() goes on until the ranks have converged.
 MAX_ROUNDS = 20
-# The iterations stop when the ranks change by less than this in sum.
+# The iterations stop when the ranks change by less than this in sum and reach no new host.
 TOLERANCE = 1e-6
 # A host is blocked if its distrust is more than this share of its trust and distrust.
 LIMIT = 0.5
@@ -96,7 +97,8 @@ def propagate(ws: Workspace, seeds: DataFrame, links: DataFrame) -> DataFrame:
 
     `seeds` has ``host`` and the weights ``good`` and ``bad``. Trust that reaches a host
     without links, or distrust one that nobody links to, starts again at the seeds. The
-    sums of both stay 1, or 0 without a seed.
+    sums of both stay 1, or 0 without a seed. Damping shrinks the changes from round to
+    round, so no number of rounds is set.
     """
     links = ws.write("links", links)
     ends = links.df.select(F.col("src").alias("host")).unionAll(links.df.select("dst"))
@@ -125,7 +127,8 @@ def propagate(ws: Workspace, seeds: DataFrame, links: DataFrame) -> DataFrame:
     ).df
     none = F.lit(0.0)
     ranks = start.select("host", F.col("good").alias("trust"), F.col("bad").alias("distrust"))
-    for _ in range(MAX_ROUNDS if links.rows else 0):
+    old_table, reached = None, -1
+    while links.rows:
         forward = edges.join(ranks, edges["src"] == ranks["host"]).select(
             F.col("dst").alias("host"), (F.col("trust") * F.col("go")).alias("t"), none.alias("d")
         )
@@ -150,10 +153,15 @@ def propagate(ws: Workspace, seeds: DataFrame, links: DataFrame) -> DataFrame:
             .select("host", trust.alias("trust"), distrust.alias("distrust"))
             .join(old, "host"),
             change=F.sum(change),
+            reached=F.sum((F.col("trust") > 0).cast("int") + (F.col("distrust") > 0).cast("int")),
         )
-        ranks = table.df.drop("old_t", "old_d")
-        if table.stats["change"] < TOLERANCE:
+        ws.drop(moved)
+        if old_table:
+            ws.drop(old_table)
+        ranks, old_table = table.df.drop("old_t", "old_d"), table
+        if table.stats["change"] < TOLERANCE and table.stats["reached"] == reached:
             break
+        reached = table.stats["reached"]
     return ranks
 
 

@@ -114,6 +114,15 @@ def test_propagation(spark, ws, web, monkeypatch):
                 assert r["verdict"] == ("block" if d > t else "allow")
 
 
+def test_a_long_chain_converges(spark, ws):
+    """Production parameters; the chain ends at a blocked host."""
+    chain = [f"h{i}.org" for i in range(30)]
+    rows = [(i, f"http://{h}/", f'<a href="http://{n}/">') for i, (h, n) in enumerate(zip(chain, [*chain[1:], "bad.net"]))]
+    rows += [(30, "http://bad.net/es/1", ""), (31, "http://good.com/", ""), (32, "http://alone.org/", "")]
+    found = {r["host"]: r["verdict"] for r in urls.judge(spark.createDataFrame(rows, PAGE), ws, RULES).collect()}
+    assert found == {**dict.fromkeys([*chain, "bad.net"], "block"), "good.com": "allow", "alone.org": "allow"}
+
+
 def test_odd_tables(spark, ws, web):
     pages = with_clashes(spark.createDataFrame([*web[:20], *web[:3], (None, "http://a.net/en/", None)], PAGE))
     assert urls.judge(pages, ws, RULES).count() == 24
