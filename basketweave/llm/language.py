@@ -47,7 +47,10 @@ SPAN, BLOCK = 100_000, 64
 # Words whose emissions a worker remembers; it forgets them all beyond.
 CACHE_WORDS = 400_000
 
-_WORD = re.compile(r"[^\W\d_]+")
+# The letters of a word; a longer run is cut into successive words.
+WORD_LETTERS = 40
+
+_WORD = re.compile(rf"[^\W\d_]{{1,{WORD_LETTERS}}}")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -55,7 +58,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def words(text: str | None) -> list[str]:
-    """The runs of letters in a text, in lower case; none if it has no letter."""
+    """The runs of letters in a text, in lower case; none if it has no letter.
+
+    A run of more than WORD_LETTERS, as in scripts without blanks, gives several words.
+    """
     found = _WORD.findall(text.lower()) if text else []
     return found if any(map(str.isalpha, "".join(found[:64]))) else [
         w for w in found if any(map(str.isalpha, w))
@@ -64,7 +70,7 @@ def words(text: str | None) -> list[str]:
 
 def features(word: str, lexicon: dict[str, tuple[str, ...]]) -> list[int]:
     """Hashed features: the ends, n-grams of two and three characters, and lexicons."""
-    padded = f"^{word[:40]}$"
+    padded = f"^{word}$"
     names = [f"p{word[:n]}" for n in (1, 2, 3) if len(word) >= n]
     names += [f"s{word[-n:]}" for n in (1, 2, 3) if len(word) >= n]
     names += {padded[i : i + n] for n in (2, 3) for i in range(len(padded) - n + 1)}

@@ -76,3 +76,14 @@ def test_held_out_accuracy_and_odd_rows(spark):
     none = language.fit(docs.limit(0))
     assert {r["lang_pred"] for r in language.identify(docs, none).collect()} == {"und"}
     assert language.identify(docs.limit(0), model).collect() == []
+
+
+def test_a_run_without_blanks_counts_whole():
+    rng = random.Random(8)
+    sample = [(x, prose(rng, x, 150).split()) for x in SYLLABLES for _ in range(20)]
+    emitter = language.Emitter(language.train(sample))
+    run = "".join(rng.choices(SYLLABLES["aa"].split(), k=20))[:40]
+    run += "".join(rng.choices(SYLLABLES["cc"].split(), k=400))
+    assert "".join(language.words(run)) == run and max(map(len, language.words(run))) <= 40
+    (best, _, mixed), = language.label([run], emitter)
+    assert best == "cc" and float(dict(x.split(":") for x in mixed.split(","))["cc"]) > 0.8
