@@ -21,7 +21,7 @@ from uuid import uuid4
 from zlib import crc32
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketweave.llm.common import map_batches
@@ -32,8 +32,6 @@ UNKNOWN = "und"
 # The sample: documents of each language, by a hash of their ids, and words of each,
 # taken from a place that the hash gives.
 SAMPLE_DOCS, SAMPLE_WORDS = 300, 200
-# A model tells at most so many languages apart, the most frequent ones of the labels.
-MAX_LANGUAGES = 64
 # Words in a language's lexicon.
 LEXICON_WORDS = 300
 # Features are hashed to so many weights per language.
@@ -46,6 +44,9 @@ STRETCH = 16
 SPAN, BLOCK = 100_000, 64
 # Words whose emissions a worker remembers; it forgets them all beyond.
 CACHE_WORDS = 400_000
+# The two sizes above are for up to so many languages; with more, they shrink in
+# proportion, and a chain is followed word by word instead of in blocks.
+FEW_LANGUAGES = 16
 
 # The letters of a word; a longer run is cut into successive words.
 WORD_LETTERS = 40
@@ -105,6 +106,8 @@ def marginals(scores: np.ndarray, first: np.ndarray, transitions: np.ndarray) ->
     anew. Blocks of steps are multiplied out first, then entered in order.
     """
     n, size = scores.shape
+    if size > FEW_LANGUAGES:
+        return _word_by_word(scores, first, transitions)
     blocks = -(-n // BLOCK)
     emitted = np.ones((blocks * BLOCK, size))
     emitted[:n] = np.exp(scores - scores.max(axis=1, keepdims=True))
@@ -146,6 +149,22 @@ def marginals(scores: np.ndarray, first: np.ndarray, transitions: np.ndarray) ->
     return found / found.sum(axis=1, keepdims=True)
 
 
+def _word_by_word(scores: np.ndarray, first: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+    """The same as `marginals`, without a matrix for each word."""
+    emitted = np.exp(scores - scores.max(axis=1, keepdims=True))
+    moves = np.exp(transitions - transitions.max())
+    forward = np.empty_like(emitted)
+    for t in range(len(emitted)):
+        vector = emitted[t] if first[t] else vector @ moves * emitted[t]
+        vector = forward[t] = vector / vector.sum()
+    vector = np.ones(scores.shape[1])
+    for t in range(len(emitted) - 1, -1, -1):
+        forward[t] *= vector
+        vector = np.ones_like(vector) if first[t] else moves @ (emitted[t] * vector)
+        vector = vector / vector.sum()
+    return forward / forward.sum(axis=1, keepdims=True)
+
+
 def _sample(docs: DataFrame) -> list[tuple[str, list[str]]]:
     """Stretches of labelled words: at most SAMPLE_DOCS documents of each language."""
     rows = docs.select(
@@ -158,15 +177,11 @@ def _sample(docs: DataFrame) -> list[tuple[str, list[str]]]:
         & F.col("lang").isNotNull()
         & F.col("text").isNotNull()
     )
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    known = sizes.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    chosen = []
-    for row in sorted(known):
-        # Only ids are sorted, and only the best of each task reach the driver.
-        lang = F.col("lang") == row["lang"]
-        ids = rows.where(lang).select("id", F.xxhash64("id").alias("h")).orderBy("h", "id")
-        chosen += [r["id"] for r in ids.limit(SAMPLE_DOCS).collect() if r["id"] is not None]
-    ids = docs.sparkSession.createDataFrame([(i,) for i in chosen], "id long")
+    # Only ids are sorted; each task passes on its best of each language.
+    best = Window.partitionBy("lang").orderBy("h", "id")
+    known = rows.where("id IS NOT NULL").select("lang", "id", F.xxhash64("id").alias("h"))
+    chosen = known.withColumn("place", F.row_number().over(best)).where(F.col("place") <= SAMPLE_DOCS)
+    ids = docs.sparkSession.createDataFrame(chosen.select("id").distinct().collect(), "id long")
     picked = rows.join(F.broadcast(ids), "id", "left_semi")
 
     def make():
@@ -264,9 +279,9 @@ def _expected(scores: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.nda
         backward[:, t] = ahead / ahead.sum(axis=1, keepdims=True)
     nodes = forward * backward
     nodes /= nodes.sum(axis=2, keepdims=True)
-    joint = forward[:, :-1, :, None] * step * (emitted * backward)[:, 1:, None, :]
-    joint /= joint.sum(axis=(2, 3), keepdims=True)
-    return nodes, joint.sum(axis=(0, 1))
+    here, ahead = forward[:, :-1], (emitted * backward)[:, 1:]
+    here = here / (here @ step * ahead).sum(axis=2, keepdims=True)
+    return nodes, step * (here.reshape(-1, size).T @ ahead.reshape(-1, size))
 
 
 def fit(docs: DataFrame) -> Model:
@@ -282,6 +297,7 @@ class Emitter:
 
     def __init__(self, model: Model):
         self.model = model
+        self.limit = CACHE_WORDS * FEW_LANGUAGES // max(len(model.languages), FEW_LANGUAGES)
         self._clear()
 
     def _clear(self) -> None:
@@ -290,7 +306,7 @@ class Emitter:
 
     def scores(self, found: list[str]) -> np.ndarray:
         new = list(set(found).difference(self.rows))
-        if len(self.rows) + len(new) > CACHE_WORDS:
+        if len(self.rows) + len(new) > self.limit:
             self._clear()
             new = list(set(found))
         for at in range(0, len(new), 4096):
@@ -345,7 +361,7 @@ def label(texts: list[str | None], emitter: Emitter) -> list[tuple[str, float, s
         if found:
             pending.append((i, found))
             total += len(found)
-        if total >= SPAN:
+        if total * max(size, FEW_LANGUAGES) >= SPAN * FEW_LANGUAGES:
             flush()
             total = 0
     flush()

@@ -87,3 +87,35 @@ def test_a_run_without_blanks_counts_whole():
     assert "".join(language.words(run)) == run and max(map(len, language.words(run))) <= 40
     (best, _, mixed), = language.label([run], emitter)
     assert best == "cc" and float(dict(x.split(":") for x in mixed.split(","))["cc"]) > 0.8
+
+
+def test_more_languages_than_64(spark):
+    rng = random.Random(10)
+    letters = "bcdfghjklmnpqrstvwxz"
+    names = [f"l{i:02}" for i in range(70)]
+    own = {x: [letters[i % 20] + letters[i // 20 + j] + "a" for j in range(3)] for i, x in enumerate(names)}
+    rows = []
+    for x in names:
+        rows += [(len(rows) + i, " ".join(rng.choices(own[x], k=40)), x, "s", 0) for i in range(12)]
+    docs = spark.createDataFrame(rows, DOCUMENT)
+    sample = language._sample(docs)
+    kept = docs.where(~language.held_out(F.col("doc_id"))).count()
+    assert len(sample) == kept and {x for x, _ in sample} == set(names)
+    model = language.train(sample)
+    found = language.label([r[1] for r in rows], language.Emitter(model))
+    assert np.mean([f[0] == r[2] for f, r in zip(found, rows, strict=True)]) > 0.9
+
+
+def test_the_sample_is_bounded_for_each_language(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_DOCS", 5)
+    docs = spark.createDataFrame([(i, "to mi", f"l{i % 3}", "s", 0) for i in range(200)], DOCUMENT)
+    assert sorted(x for x, _ in language._sample(docs)) == ["l0"] * 5 + ["l1"] * 5 + ["l2"] * 5
+
+
+def test_marginals_of_many_languages(monkeypatch):
+    rng = np.random.default_rng(11)
+    scores, moves = rng.normal(size=(200, 5)) * 3, rng.normal(size=(5, 5)) * 2
+    first = np.arange(200) % 70 == 0
+    blocks = language.marginals(scores, first, moves)
+    monkeypatch.setattr(language, "FEW_LANGUAGES", 2)
+    assert np.allclose(language.marginals(scores, first, moves), blocks)
