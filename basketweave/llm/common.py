@@ -26,6 +26,7 @@ ARROW = {
     "boolean": pa.bool_(),
     "binary": pa.binary(),
     "array<bigint>": pa.list_(pa.int64()),
+    "array<string>": pa.list_(pa.string()),
 }
 
 
@@ -87,11 +88,11 @@ def map_batches(
 
 
 def filter_batches(
-    df: DataFrame, column: str, make: Callable[[], Callable[[list], list[bool]]]
+    df: DataFrame, columns: list[str], make: Callable[[], Callable[..., list[bool]]]
 ) -> DataFrame:
-    """The rows of `df` for which a Python function of `column` holds; all columns stay.
+    """The rows of `df` for which a Python function of `columns` holds; all columns stay.
 
-    `make` runs once per task and gives a function from the values of one Arrow batch
+    `make` runs once per task and gives a function from the columns of one Arrow batch
     to whether each row stays. No row is shuffled or matched by an id.
     """
 
@@ -99,6 +100,7 @@ def filter_batches(
         holds = make()
         for batch in batches:
             if batch.num_rows:
-                yield batch.filter(pa.array(holds(batch.column(column).to_pylist()), pa.bool_()))
+                values = [batch.column(c).to_pylist() for c in columns]
+                yield batch.filter(pa.array(holds(*values), pa.bool_()))
 
     return map_arrow(df, run, df.schema)

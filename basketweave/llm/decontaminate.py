@@ -241,5 +241,5 @@ def decontaminate(
             finder = finder_of()
             return lambda texts: [next(finder.matches(t), None) is None for t in texts]
 
-        docs = filter_batches(docs, "text", make)
+        docs = filter_batches(docs, ["text"], make)
     return docs

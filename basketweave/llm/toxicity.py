@@ -10,15 +10,17 @@ Karlin-Altschul statistics a segment of score `S` among `n` tokens has the expec
 number ``K n exp(-lambda S)`` in clean text; its logarithm makes documents of any
 length comparable, and a logistic curve over it gives the score of a document.
 
-Counting is done by Spark over all labelled rows. The model holds at most MAX_FEATURES
-features, so what is broadcast is bounded; the curve is fitted on a histogram.
+Counting is done by Spark over all labelled rows, and every feature with a score counts.
+Features are broadcast while they fit the bound of lookup tables; more of them stay in a
+table, and the words of the documents are looked up by shuffle joins before the scan, with
+the same result. The curve is fitted on a histogram.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from math import exp, log, pi, sqrt
 from uuid import uuid4
 
@@ -26,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketweave.functions.joins import fits_broadcast
+from basketweave.functions.joins import fits_broadcast, lookup_join
 from basketweave.llm.common import filter_batches, map_batches
 from basketweave.workspace import Table, Workspace
 
@@ -40,8 +42,9 @@ PRIOR, EACH, CAUTION = 500.0, 0.5, 1.96
 DRIFT = 0.5
 # Beginnings of a word that count as features, in characters.
 BEGINNINGS = (4, 5, 6)
-# The features with the surest log-odds that a model keeps.
-MAX_FEATURES = 50_000
+# What a feature takes in a worker's dictionary besides its characters; a row of words
+# that were looked up besides them.
+FEATURE_BYTES, ROW_BYTES = 280, 64
 # Segments with at most this expected number in clean text are significant.
 SIGNIFICANT = 0.01
 # The logarithm of the length that stands for a text without any segment.
@@ -64,6 +67,9 @@ class Model:
     intercept: float = -4.0
     weight: float = 0.0
     key: str = field(default_factory=lambda: uuid4().hex)
+    # Where the features are, with z and score, if they are too many to broadcast.
+    table: Table | None = None
+    ws: Workspace | None = None
 
     def evidence(self, top: float, tokens: int) -> float:
         """Minus the logarithm of the expected number of such segments by chance.
@@ -124,9 +130,13 @@ class Scorer(dict):
         self[word] = score
         return score
 
-    def scores(self, text: str | None) -> np.ndarray:
+    def scores(self, text: str | None, hits: list | None = None) -> np.ndarray:
+        """The scores of a text's tokens; `hits` are words that were looked up for it."""
         found = tokens(text)
-        return np.fromiter(map(self.__getitem__, found), float, len(found))
+        if hits is None:
+            return np.fromiter(map(self.__getitem__, found), float, len(found))
+        known = dict(hits)
+        return np.fromiter((known.get(w, 0.0) - DRIFT for w in found), float, len(found))
 
 
 _scorer: Scorer | None = None
@@ -190,11 +200,11 @@ def _counts(rows: DataFrame) -> DataFrame:
     )
 
 
-def _log_odds(table: Table) -> dict[str, tuple[float, float]]:
-    """The surest features of a table of counts, with |z| and score."""
+def _log_odds(table: Table, ws: Workspace) -> Model:
+    """All features of a table of counts that have a score, with |z| and score."""
     counts, n1, n0 = table.df, table.stats["y1"], table.stats["y0"]
     if not n1 or not n0:
-        return {}
+        return Model({})
     prior = EACH + PRIOR * (F.col("y1") + F.col("y0")) / (n1 + n0)
 
     def side(seen: str, whole: float) -> Column:
@@ -211,8 +221,58 @@ def _log_odds(table: Table) -> dict[str, tuple[float, float]]:
             "score"
         ),
     )
-    best = scored.where("score <> 0").orderBy(F.desc("z"), "feature").limit(MAX_FEATURES)
-    return {r["feature"]: (r["z"], r["score"]) for r in best.collect()}
+    kept = ws.write("features", scored.where("score <> 0"), size=F.sum(F.octet_length("feature")))
+    if fits_broadcast(1, kept.rows * FEATURE_BYTES + kept.stats["size"]):
+        return Model({r["feature"]: (r["z"], r["score"]) for r in kept.df.collect()})
+    return Model({}, table=kept, ws=ws)
+
+
+def _with_hits(rows: DataFrame, model: Model) -> DataFrame:
+    """`rows`, which have ``text``, with ``hits``: its words that have a score.
+
+    Null where the model holds its features. Words are joined once for each distinct
+    text, named by its hash.
+    """
+    kind, ws = "map<string,double>", model.ws
+    if not model.table:
+        return rows.withColumn("hits", F.lit(None).cast(kind))
+    key = F.unhex(F.md5("text"))
+
+    def make():
+        return lambda keys, texts: {"key": keys, "words": [list(set(tokens(t))) for t in texts]}
+
+    texts = rows.where("text IS NOT NULL").select(key.alias("key"), "text")
+    pairs = ws.write(
+        "pairs",
+        map_batches(texts, make, "key binary, words array<string>")
+        .select("key", F.explode("words").alias("word"))
+        .distinct(),
+    )
+    marked = [
+        F.when(F.length("word") > n, F.concat(F.substring("word", 1, n), F.lit("*")))
+        for n in BEGINNINGS
+    ]
+    votes = F.explode(F.array_compact(F.array(F.col("word"), *marked))).alias("feature")
+    asked = pairs.df.select("word").distinct().select("word", votes)
+    features = model.table
+    bytes_ = ROW_BYTES + features.stats["size"] // features.rows
+    known = lookup_join(asked, features.df, "feature", features.rows, bytes_, ["word"])
+    scores = ws.write(
+        "scores",
+        known.groupBy("word").agg(F.max(F.struct("z", "score")).alias("best")).select("word", "best.score"),
+        size=F.sum(F.octet_length("word")),
+    )
+    bytes_ = ROW_BYTES + scores.stats["size"] // max(scores.rows, 1)
+    found = lookup_join(pairs.df, scores.df, "word", scores.rows, bytes_, ["key"])
+    entries = F.map_from_entries(F.collect_list(F.struct("word", "score")))
+    hits = ws.write(
+        "hits", found.groupBy("key").agg(entries.alias("hits")), words=F.sum(F.size("hits"))
+    )
+    bytes_ *= 1 + hits.stats["words"] // max(hits.rows, 1)
+    columns = [c for c in rows.columns if c != "hits"]
+    spread = rows.select(*columns, key.alias("key"), F.monotonically_increasing_id().alias("at"))
+    joined = lookup_join(spread, hits.df, "key", hits.rows, bytes_, ["at"], "left")
+    return joined.select(*columns, F.coalesce("hits", F.create_map().cast(kind)).alias("hits"))
 
 
 def _calibrate(model: Model, bins: Iterable) -> Model:
@@ -237,7 +297,14 @@ def _calibrate(model: Model, bins: Iterable) -> Model:
         gradient = design.T @ (n * (toxic - p)) - 1e-2 * beta
         curve = (design * (n * p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(2)
         beta = beta + np.clip(np.linalg.solve(curve, gradient), -1, 1)
-    return Model(model.features, slope, level, float(beta[0]), float(max(beta[1], 0.0)))
+    return replace(
+        model,
+        slope=slope,
+        size=level,
+        intercept=float(beta[0]),
+        weight=float(max(beta[1], 0.0)),
+        key=uuid4().hex,
+    )
 
 
 def fit(docs: DataFrame, labels: DataFrame, ws: Workspace) -> Model:
@@ -249,13 +316,14 @@ def fit(docs: DataFrame, labels: DataFrame, ws: Workspace) -> Model:
     """
     rows = _labelled(docs, labels, ws)
     counts = ws.write("counts", _counts(rows), y1=F.sum("y1"), y0=F.sum("y0"))
-    model = Model(_log_odds(counts))
+    model = _log_odds(counts, ws)
+    sent = replace(model, table=None, ws=None)
 
     def make():
-        scorer = _cached(model)
+        scorer = _cached(sent)
 
-        def step(texts, toxic):
-            scores = [scorer.scores(t) for t in texts]
+        def step(texts, toxic, hits):
+            scores = [scorer.scores(t, h) for t, h in zip(texts, hits, strict=True)]
             tops = [max((s for *_, s in segments(x)), default=0.0) for x in scores]
             return {
                 "toxic": toxic,
@@ -265,7 +333,8 @@ def fit(docs: DataFrame, labels: DataFrame, ws: Workspace) -> Model:
 
         return step
 
-    scored = map_batches(rows.select("text", "toxic"), make, "toxic int, size double, top double")
+    looked_up = _with_hits(rows.select("text", "toxic"), model)
+    scored = map_batches(looked_up, make, "toxic int, size double, top double")
     bins = scored.groupBy("toxic", "size", "top").agg(F.count(F.lit(1)).alias("n"))
     return _calibrate(model, bins.collect())
 
@@ -278,15 +347,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     commas. A null or empty text scores as clean. One row per row of `docs`; other
     columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, table=None, ws=None))
 
     def make():
         scorer = _cached(shared.value)
 
-        def step(ids, texts):
+        def step(ids, texts, hits):
             out = {"doc_id": ids, "score": [], "top": [], "passages": []}
-            for text in texts:
-                values = scorer.scores(text)
+            for text, known in zip(texts, hits, strict=True):
+                values = scorer.scores(text, known)
                 found, n = segments(values), len(values)
                 top = max((s for *_, s in found), default=0.0)
                 out["score"].append(scorer.model.probability(top, n))
@@ -302,7 +371,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         return step
 
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return map_batches(texts, make, "doc_id bigint, score double, top double, passages string")
+    return map_batches(_with_hits(texts, model), make, "doc_id bigint, score double, top double, passages string")
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -310,16 +379,20 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
 
     The text alone decides: ids may be null or repeated, and a row without text stays.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, table=None, ws=None))
 
     def make():
         scorer = _cached(shared.value)
 
-        def clean(text):
-            values = scorer.scores(text)
+        def clean(text, hits=None):
+            values = scorer.scores(text, hits)
             top = max((s for *_, s in segments(values)), default=0.0)
             return scorer.model.probability(top, len(values)) < threshold
 
-        return lambda texts: [clean(t) for t in texts]
+        return lambda *columns: [clean(*x) for x in zip(*columns, strict=True)]
 
-    return filter_batches(docs, "text", make)
+    if not model.table:
+        return filter_batches(docs, ["text"], make)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    looked_up = _with_hits(docs.select(row, F.col("text").cast("string")), model)
+    return filter_batches(looked_up, ["text", "hits"], make).select("row.*")

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from basketweave.llm import toxicity
 from tests.llm.conftest import documents, with_clashes
@@ -90,3 +91,25 @@ def test_odd_rows(spark, vocabulary, ws):
     assert all(r["score"] < 0.5 for r in toxicity.score(docs, empty).collect())
     assert toxicity.score(docs.limit(0), model).collect() == []
     assert not toxicity.fit(docs, labels.limit(0), ws).features
+
+
+def test_every_feature_counts_however_many(spark, vocabulary, ws, monkeypatch):
+    docs, frame, _ = planted(spark, vocabulary, 200)
+    docs = with_clashes(docs.unionAll(documents(spark, [(900, None), (901, ""), (None, "vilezza grumqb"), (5, "to")])))
+    plain = toxicity.fit(docs, frame, ws)
+    kept = sorted(map(str, toxicity.drop_toxic(docs, plain).collect()))
+    monkeypatch.setattr(toxicity, "fits_broadcast", lambda *_: False)
+    large = toxicity.fit(docs, frame, ws)
+    assert plain.features and not plain.table and not large.features
+    assert {r["feature"] for r in large.table.df.collect()} == set(plain.features)
+    assert abs(large.weight - plain.weight) < 1e-9 and abs(large.slope - plain.slope) < 1e-9
+    found = {(r["doc_id"], round(r["score"], 9), r["passages"]) for r in toxicity.score(docs, large).collect()}
+    assert found == {(r["doc_id"], round(r["score"], 9), r["passages"]) for r in toxicity.score(docs, plain).collect()}
+    assert sorted(map(str, toxicity.drop_toxic(docs, large).collect())) == kept
+
+
+def test_more_features_than_fifty_thousand(spark, ws):
+    rows = [(f"w{i}", 100, 0) for i in range(50_100)]
+    counts = spark.createDataFrame(rows, "feature STRING, y1 BIGINT, y0 BIGINT")
+    table = ws.write("counts", counts, y1=F.sum("y1"), y0=F.lit(5_010_000).cast("bigint") + F.sum("y0"))
+    assert len(toxicity._log_odds(table, ws).features) == 50_100
