@@ -16,6 +16,11 @@ from basketweave.workspace import Workspace
 # A word is a run of characters that are no ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+# What a worker remembers between words, per operator, and what an entry takes besides its
+# characters; and the texts of an Arrow batch that are worked on at once.
+CACHE_BYTES, ENTRY_BYTES = 24 << 20, 160
+SLICE_BYTES = 4 << 20
+
 ROOT = str(Path(__file__).resolve().parents[2])
 
 ARROW = {
@@ -56,6 +61,46 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
 
 
+_held: dict[str, tuple] = {}
+
+
+def held(operator: str, key, make: Callable):
+    """What a worker keeps of one operator for its next task, made anew for another `key`.
+
+    Spark uses a worker again for the stages that follow, so whatever another operator
+    left there goes first.
+    """
+    if operator not in _held or _held[operator][0] != key:
+        _held.clear()
+        _held[operator] = key, make()
+    return _held[operator][1]
+
+
+class Memo(dict):
+    """What `work` gives for each word, remembered up to CACHE_BYTES, then forgotten."""
+
+    def __init__(self, work: Callable):
+        super().__init__()
+        self.work, self.room = work, CACHE_BYTES
+
+    def __missing__(self, word):
+        value = self.work(word)
+        size = ENTRY_BYTES + len(word)
+        if size > self.room:
+            self.clear()
+            self.room = CACHE_BYTES
+        self.room -= size
+        self[word] = value
+        return value
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about SLICE_BYTES, as Python objects take several times that."""
+    rows = max(1, SLICE_BYTES * batch.num_rows // max(batch.nbytes, 1))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` by a function of this package."""
     importable(df.sparkSession)
@@ -77,12 +122,12 @@ def map_batches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            out = step(*(column.to_pylist() for column in batch.columns))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[n], type=t) for n, t in zip(names, types, strict=True)], names=names
-            )
+            for part in _slices(batch):
+                out = step(*(column.to_pylist() for column in part.columns))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out[n], type=t) for n, t in zip(names, types, strict=True)],
+                    names=names,
+                )
 
     return map_arrow(df, run, schema)
 
@@ -99,8 +144,8 @@ def filter_batches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         holds = make()
         for batch in batches:
-            if batch.num_rows:
-                values = [batch.column(c).to_pylist() for c in columns]
-                yield batch.filter(pa.array(holds(*values), pa.bool_()))
+            for part in _slices(batch):
+                values = [part.column(c).to_pylist() for c in columns]
+                yield part.filter(pa.array(holds(*values), pa.bool_()))
 
     return map_arrow(df, run, df.schema)

@@ -22,7 +22,7 @@ import ahocorasick
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketweave.llm.common import filter_batches, map_batches
+from basketweave.llm.common import filter_batches, held, map_batches
 
 # Edits that are allowed, as a share of an item's normalised characters.
 ERROR_RATE = 0.06
@@ -147,15 +147,9 @@ class Finder:
         yield low, high
 
 
-_finder: tuple[str, Finder] | None = None
-
-
 def _cached(key: str, items: list[tuple[int, str]], error_rate: float) -> Finder:
     """The finder of a block, kept by the worker for its next task."""
-    global _finder
-    if _finder is None or _finder[0] != key:
-        _finder = key, Finder(items, error_rate)
-    return _finder[1]
+    return held("decontaminate", key, lambda: Finder(items, error_rate))
 
 
 def _blocks(items: DataFrame, limit: int) -> Iterator[list[tuple[int, str]]]:

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketweave.llm.common import map_batches
+from basketweave.llm.common import held, map_batches
 
 # Languages are learned where the CRC of the document's id, modulo FOLDS, is not HELD_OUT.
 FOLDS, HELD_OUT = 4, 2
@@ -320,15 +320,9 @@ class Emitter:
         return self.table[np.fromiter(map(self.rows.__getitem__, found), np.int64, len(found))]
 
 
-_emitter: Emitter | None = None
-
-
 def _cached(model: Model) -> Emitter:
     """The worker's emitter, kept for its next task."""
-    global _emitter
-    if _emitter is None or _emitter.model.key != model.key:
-        _emitter = Emitter(model)
-    return _emitter
+    return held("language", model.key, lambda: Emitter(model))
 
 
 def label(texts: list[str | None], emitter: Emitter) -> list[tuple[str, float, str]]:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketweave.functions.joins import fits_broadcast
-from basketweave.llm.common import map_batches
+from basketweave.llm.common import Memo, held, map_batches
 from basketweave.workspace import Table, Workspace
 
 SHINGLE = 5
@@ -33,8 +33,6 @@ BANDS, ROWS = 48, 5
 PERMUTATIONS = BANDS * ROWS // 2
 # Shingles that are hashed at once, so that they stay in the processor's cache.
 CHUNK = 1 << 15
-# Words whose hashes a worker remembers; it forgets them all beyond.
-CACHE_WORDS = 300_000
 # An id in a broadcast table.
 ID_BYTES = 96
 
@@ -49,17 +47,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Words(dict):
+def _words() -> Memo:
     """64-bit hashes of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_words = Words()
+    return held("minhash", None, lambda: Memo(xxhash.xxh3_64_intdigest))
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -71,7 +61,7 @@ def shingles(text: str | None) -> np.ndarray:
     found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not found:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_words.__getitem__, found), np.uint64, len(found))
+    hashes = np.fromiter(map(_words().__getitem__, found), np.uint64, len(found))
     size = min(SHINGLE, len(found))
     value = np.full(len(found) - size + 1, size, np.uint64)
     for i in range(size):

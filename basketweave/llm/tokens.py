@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basketweave.llm.common import map_arrow
+from basketweave.llm.common import held, map_arrow
 from basketweave.workspace import Workspace
 
 # Stands for a null doc_id in a .doc file.
 NO_ID = -(1 << 63)
 # Distinct pieces of text whose ids a worker remembers; it forgets them all beyond.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 200_000
 # Letters below this one have no special cases of case or composition.
 LATIN_END = "\u0180"
 # Documents that are encoded together.
@@ -132,14 +132,9 @@ class Encoder:
         return out
 
 
-_encoders: dict[tuple, Encoder] = {}
-
-
 def _encoder(path: str, words: bool) -> Encoder:
     """The worker's encoder, kept for its next task."""
-    if (path, words) not in _encoders:
-        _encoders[path, words] = Encoder(path, words)
-    return _encoders[path, words]
+    return held("tokens", (path, words), lambda: Encoder(path, words))
 
 
 @dataclass(frozen=True)

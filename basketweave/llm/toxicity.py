@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketweave.functions.joins import fits_broadcast, lookup_join
-from basketweave.llm.common import filter_batches, map_batches
+from basketweave.llm.common import Memo, filter_batches, held, map_batches
 from basketweave.workspace import Table, Workspace
 
 # Labels are learned where the CRC of the document's id, modulo FOLDS, is not HELD_OUT.
@@ -49,8 +49,6 @@ FEATURE_BYTES, ROW_BYTES = 280, 64
 SIGNIFICANT = 0.01
 # The logarithm of the length that stands for a text without any segment.
 NOTHING = log(1 << 20)
-# Words whose scores a worker remembers; it forgets them all beyond.
-CACHE_WORDS = 500_000
 # A label and its document's id in a broadcast table.
 ID_BYTES = 96
 
@@ -114,40 +112,30 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, right - left) for a, b, left, right, _ in found]
 
 
-class Scorer(dict):
+class Scorer:
     """The scores of words, worked out once each."""
 
     def __init__(self, model: Model):
-        super().__init__()
         self.model = model
+        self.known = Memo(self._score)
 
-    def __missing__(self, word: str) -> float:
+    def _score(self, word: str) -> float:
         found = [self.model.features.get(word)]
         found += [self.model.features.get(word[:n] + "*") for n in BEGINNINGS if len(word) > n]
-        score = max((f for f in found if f), default=(0.0, 0.0))[1] - DRIFT
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = score
-        return score
+        return max((f for f in found if f), default=(0.0, 0.0))[1] - DRIFT
 
     def scores(self, text: str | None, hits: list | None = None) -> np.ndarray:
         """The scores of a text's tokens; `hits` are words that were looked up for it."""
         found = tokens(text)
         if hits is None:
-            return np.fromiter(map(self.__getitem__, found), float, len(found))
+            return np.fromiter(map(self.known.__getitem__, found), float, len(found))
         known = dict(hits)
         return np.fromiter((known.get(w, 0.0) - DRIFT for w in found), float, len(found))
 
 
-_scorer: Scorer | None = None
-
-
 def _cached(model: Model) -> Scorer:
     """The worker's scorer, kept for its next task."""
-    global _scorer
-    if _scorer is None or _scorer.model.key != model.key:
-        _scorer = Scorer(model)
-    return _scorer
+    return held("toxicity", model.key, lambda: Scorer(model))
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, ws: Workspace) -> DataFrame:
