@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketweave.llm import (
+    align,
     decontaminate,
     language,
     minhash,
@@ -144,6 +145,20 @@ def op10_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers cover every document, and how usual its links are."""
+    paths = [public_tokenizers.path(name) for name in (FIRST, SECOND)]
+    groups = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    aligned = align.align(table(spark, sf_dir, "documents"), *paths)
+    rated = align.rate_links(
+        aligned.withColumn("groups", groups), align.vocabulary(paths[1]), workspace(spark)
+    )
+    return rated.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_near_duplicates": op2_near_duplicates,
@@ -155,6 +170,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filters": op8_url_filters,
     "op9_language": op9_language,
     "op10_warc_audit": op10_warc_audit,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 SQL: dict[str, str] = {

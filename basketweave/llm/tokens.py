@@ -60,6 +60,10 @@ class Letters(dict):
         rest = [b for b in range(256) if b not in set(shown)]
         self._of = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
+    def bytes(self) -> dict[str, int]:
+        """The byte that each letter of the alphabet stands for."""
+        return {letter: byte for byte, letter in self._of.items()}
+
     def __missing__(self, letter: str) -> str:
         self[letter] = "".join(self._of[b] for b in letter.encode())
         return self[letter]
