@@ -15,6 +15,7 @@ from basketweave.llm import (
     minhash,
     mixing,
     neighbours,
+    phrases,
     pii,
     sql,
     tokens,
@@ -145,6 +146,14 @@ def op10_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOP_PHRASES = 2000
+
+
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of two and three words that cohere most, per language."""
+    return phrases.top_phrases(table(spark, sf_dir, "documents"), workspace(spark), TOP_PHRASES)
+
+
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
@@ -170,6 +179,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filters": op8_url_filters,
     "op9_language": op9_language,
     "op10_warc_audit": op10_warc_audit,
+    "op11_phrases": op11_phrases,
     "op12_token_alignment": op12_token_alignment,
 }
 
@@ -177,4 +187,5 @@ SQL: dict[str, str] = {
     "op2_near_duplicates": sql.near_duplicates(),
     "op7_mixing": sql.mixing_order(ENTROPY, REPEATS),
     "op8_url_filters": sql.url_verdicts(RULES),
+    "op11_phrases": sql.phrases(TOP_PHRASES),
 }

@@ -139,3 +139,47 @@ s AS MATERIALIZED (
 SELECT page_id, j.host, path, rule, coalesce(verdict,
   CASE WHEN r.d > 0 AND r.d > {urls.LIMIT} * (r.t + r.d) THEN 'block' ELSE 'allow' END) AS verdict
 FROM j LEFT JOIN r{urls.MAX_ROUNDS} AS r ON r.host = j.host"""
+
+
+def phrases(top: int, longest: int = 3, least: int = 10, absorbed: int = 50) -> str:
+    """Phrases by their cohesion; every n-gram is listed, so for small tables."""
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array({lower}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (
+  SELECT lang, unnest([w[i:i + k] FOR k IN range(0, {longest}) IF i + k <= len(w)]) AS phrase FROM starts),
+f AS (
+  SELECT lang, array_to_string(phrase, ' ') AS phrase, any_value(phrase) AS w, count(*) AS f
+  FROM grams GROUP BY lang, array_to_string(phrase, ' ')),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE len(w) = 1 GROUP BY lang),
+found AS (SELECT * FROM f WHERE len(w) > 1 AND f >= {least}),
+cuts AS (SELECT lang, phrase, w, f AS a, unnest(range(1, len(w))) AS k FROM found),
+parts AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r,
+    CAST(1000000::HUGEINT * c.a * c.a // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:len(c.w)], ' ')),
+best AS (
+  SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, f, w, unnest(range(1, len(w))) AS i FROM found WHERE len(w) > 2),
+absorbing AS (
+  SELECT lang, array_to_string(part, ' ') AS phrase, max(f) AS longer
+  FROM (SELECT lang, f, unnest([w[i:j] FOR j IN range(i + 1, len(w) + 1) IF j - i < len(w) - 1]) AS part FROM inside)
+  GROUP BY lang, array_to_string(part, ' ')),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN absorbing x ON x.lang = b.lang AND x.phrase = b.phrase
+  WHERE x.longer IS NULL OR 100 * x.longer < {absorbed} * b.a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT k.lang, row_number() OVER (
+      PARTITION BY k.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+    phrase, a, l, r, n, score
+  FROM kept k JOIN n ON n.lang = k.lang)
+WHERE rank <= {top}"""
