@@ -17,6 +17,7 @@ from basketweave.llm import (
     neighbours,
     phrases,
     pii,
+    quality,
     sql,
     tokens,
     toxicity,
@@ -168,6 +169,19 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.withColumnRenamed("groups", "groups_sha256")
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, by a model of the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels"), workspace(spark)))
+    return scored.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+        "margin",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_near_duplicates": op2_near_duplicates,
@@ -181,6 +195,7 @@ QUERIES: dict[str, Query] = {
     "op10_warc_audit": op10_warc_audit,
     "op11_phrases": op11_phrases,
     "op12_token_alignment": op12_token_alignment,
+    "op13_quality": op13_quality,
 }
 
 SQL: dict[str, str] = {
