@@ -5,10 +5,11 @@ leads, so each word begins one window, which ends early where its piece of text
 Every shorter phrase is a prefix of windows, and ROLLUP sums the windows by successively
 shorter prefixes, down to all words of the language.
 
-A task sums the windows of its rows before they are shuffled by all words but the last.
-Prefixes of words that are all common are dealt to several tasks by their last word. What
-meets in one task is final for any other prefix, and so a prefix below the threshold is
-cut to its first words before the sums, which all that is wanted of it needs.
+A task sums the windows of its rows and passes on one row for each first word, which lists
+the other words of its windows. Those of a common first word are dealt to several tasks by
+the second word, or by all others where every word but the last is common. For the other
+prefixes what meets in one task is final, and so a prefix below the threshold is cut by
+its last word before the sums: only its first words are still wanted.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,7 +35,7 @@ SCALE = 1_000_000
 UNKNOWN = "und"
 # Words with this share of all words are common: at most as many as its inverse.
 COMMON = 1 / 256
-# Tasks that share the windows of a prefix of common words.
+# Tasks that share the windows of a common first word.
 PIECES = 32
 # Words that a task holds before it sums their windows.
 BUFFER = 1 << 20
@@ -80,27 +82,44 @@ class Windows:
         self.parts.append(np.array([*map(codes.__getitem__, words), 0], np.int32))
         return len(words)
 
-    def sums(self) -> tuple[list[pa.Array], np.ndarray, np.ndarray]:
-        """The distinct windows by word, the task that each goes to, and their counts."""
+    def sums(self) -> tuple[pa.Array, np.ndarray, pa.Array]:
+        """By first word and piece: the distinct windows as texts of the other words.
+
+        Each ends with its count, unless that is one; commas part them.
+        """
         column = np.concatenate([*self.parts, np.zeros(self.longest, np.int32)])
         leads = [column[i : len(column) - self.longest + i] for i in range(self.longest)]
         leads = [lead[leads[0] > 0] for lead in leads]
         for i in range(1, self.longest):  # a window ends at its first pad
             leads[i] = np.where(leads[i - 1] > 0, leads[i], 0)
-        order = np.lexsort(leads[::-1])
-        leads = [lead[order] for lead in leads]
-        first = np.ones(len(order), bool)
-        if len(order):
-            first[1:] = reduce(np.logical_or, (lead[1:] != lead[:-1] for lead in leads))
-        starts = np.flatnonzero(first)
-        counts = np.diff(np.append(starts, len(order)))
-        leads = [lead[starts] for lead in leads]
         words = list(self.codes)
         common = np.array([w in self.common for w in words])
-        hashed = np.array([1 + zlib.crc32(w) % PIECES for w in words], np.int32)
-        hot = reduce(np.logical_and, (common[lead] for lead in leads[:-1]))
+        hashed = np.array([zlib.crc32(w) % PIECES for w in words], np.int32)
+        every = reduce(np.logical_and, (common[lead] for lead in leads[:-1]))
+        second, mixed = hashed[leads[1]], sum(hashed[lead] for lead in leads[1:]) % PIECES
+        piece = np.where(common[leads[0]], np.where(every, 1 + PIECES + mixed, 1 + second), 0)
+
+        order = np.lexsort([*leads[:0:-1], piece, leads[0]])
+        leads, piece = [lead[order] for lead in leads], piece[order]
+        starts = np.flatnonzero(_changes([piece, *leads]))
+        counts = np.diff(np.append(starts, len(order)))
+        leads, piece = [lead[starts] for lead in leads], piece[starts]
         spelt = pa.array([b"", *words[1:]], pa.binary()).cast(pa.string())
-        return [spelt.take(pa.array(x)) for x in leads], np.where(hot, hashed[leads[-1]], 0), counts
+        shown = pc.if_else(counts == 1, "", pc.binary_join_element_wise("", pa.array(counts).cast(pa.string()), " "))
+        tails = [spelt.take(pa.array(lead)) for lead in leads[1:]]
+        tails[-1] = pc.binary_join_element_wise(tails[-1], shown, "")
+        tails = pc.binary_join_element_wise(*tails, " ")
+        groups = np.flatnonzero(_changes([piece, leads[0]]))
+        lists = pa.ListArray.from_arrays(np.append(groups, len(starts)).astype(np.int32), tails)
+        return spelt.take(pa.array(leads[0][groups])), piece[groups], pc.binary_join(lists, ",")
+
+
+def _changes(columns: list[np.ndarray]) -> np.ndarray:
+    """Where a row differs from the one before, the first row included."""
+    found = np.ones(len(columns[0]), bool)
+    if len(found):
+        found[1:] = reduce(np.logical_or, (c[1:] != c[:-1] for c in columns))
+    return found
 
 
 def _names(n: int) -> list[str]:
@@ -108,10 +127,8 @@ def _names(n: int) -> list[str]:
 
 
 def windows(docs: DataFrame, longest: int, common: set[str], buffer: int = BUFFER) -> DataFrame:
-    """The padded windows of `longest` words: ``(lang, w1, …, piece, n)``, partly summed."""
+    """The padded windows of `longest` words, summed in part: ``(lang, w1, piece, tails)``."""
     hot = frozenset(w.encode("utf-8", "surrogatepass") for w in common)
-    names = _names(longest)
-    columns = ["lang", *names, "piece", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Windows] = {}
@@ -119,12 +136,14 @@ def windows(docs: DataFrame, longest: int, common: set[str], buffer: int = BUFFE
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, of in held.items():
-                spelt, piece, counts = of.sums()
-                langs = pa.array([lang] * len(counts), pa.string())
-                arrays = [langs, *spelt, pa.array(piece, pa.int32()), pa.array(counts, pa.int64())]
-                whole = pa.RecordBatch.from_arrays(arrays, names=columns)
-                for at in range(0, len(counts), 1 << 16):
-                    yield whole.slice(at, 1 << 16)
+                firsts, piece, tails = of.sums()
+                langs = pa.array([lang] * len(firsts), pa.string())
+                whole = pa.RecordBatch.from_arrays(
+                    [langs, firsts, pa.array(piece, pa.int32()), tails],
+                    names=["lang", "w1", "piece", "tails"],
+                )
+                for at in range(0, len(firsts), 1 << 12):
+                    yield whole.slice(at, 1 << 12)
             held.clear()
 
         for batch in batches:
@@ -138,9 +157,8 @@ def windows(docs: DataFrame, longest: int, common: set[str], buffer: int = BUFFE
                     size = 0
         yield from flush()
 
-    schema = "lang string, " + ", ".join(f"{n} string" for n in names) + ", piece int, n bigint"
     texts = docs.select(_language().alias("lang"), F.col("text").cast("string")).where("text <> ''")
-    return map_arrow(texts, run, schema)
+    return map_arrow(texts, run, "lang string, w1 string, piece int, tails string")
 
 
 def phrase_counts(
@@ -153,9 +171,18 @@ def phrase_counts(
     """
     names = _names(longest)
     *firsts, last = names
+    tail = F.split("tail", " ")
     counted = (
         windows(docs, longest, common_words(docs), buffer)
-        .repartition("lang", *firsts, "piece")
+        .repartition("lang", "w1", "piece")
+        .select("lang", "w1", "piece", F.explode(F.split("tails", ",")).alias("tail"))
+        .select(
+            "lang",
+            "w1",
+            *[F.get(tail, F.lit(i)).alias(n) for i, n in enumerate(names[1:])],
+            "piece",
+            F.coalesce(F.get(tail, F.lit(longest - 1)).cast("bigint"), F.lit(1)).alias("n"),
+        )
         .groupBy("lang", *firsts, "piece", last)
         .agg(F.sum("n").alias("f"))
     )
@@ -164,7 +191,7 @@ def phrase_counts(
     )
     # All windows of a prefix are in one task, unless it is of common words.
     prefixes = counted.groupBy("lang", *firsts, "piece").agg(F.sum("f").alias("f"))
-    hopeless = (F.col("f") < least) & (F.col("piece") == 0)
+    hopeless = (F.col("f") < least) & (F.col("piece") <= PIECES)
     end = [F.when(hopeless, "").otherwise(F.col(n)).alias(n) for n in firsts[1:][-1:]]
     sums = (
         prefixes.select("lang", *firsts[: len(firsts) - len(end)], *end, "f")
