@@ -309,6 +309,24 @@ def q_project_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projected.groupBy(joined("suffix"), joined("prefix")).agg(F.sum("w").alias("w"))
 
 
+def q_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree of all baskets, every node with its path and the number of its children."""
+    ws = bw.Workspace(spark)
+    merged = ops.compress_transactions(brand_pruned(spark, sf_dir))
+    tree = ws.write("tree", ops.prefix_tree(merged)).df
+    children = tree.groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("children"))
+    return (
+        tree.join(ops.tree_paths(tree, ws).select("node", "path"), "node")
+        .join(children, "node", "left")
+        .select(
+            joined("path"),
+            *[F.col(c).cast("bigint").alias(c) for c in ("item", "depth")],
+            "w",
+            F.coalesce("children", F.lit(0)).alias("children"),
+        )
+    )
+
+
 # --- strategies and rules --------------------------------------------------
 
 
@@ -410,6 +428,7 @@ def queries() -> dict[str, Query]:
             brand_base(s, d, BRAND_HIGH)
         ).select(joined("suffix"), joined("prefix"), "w"),
         "conditional_item_counts": q_conditional_item_counts,
+        "prefix_tree": q_prefix_tree,
         "projected_prefixes": q_project_prefixes,
         "pair_counts": lambda s, d: ops.pair_counts(brand(s, d)),
         "pair_counts_words": lambda s, d: ops.pair_counts(
@@ -646,6 +665,17 @@ def oracle_sql() -> dict[str, str]:
             " FROM g JOIN h USING (suffix, rk) GROUP BY 1, 2)",
         )
         + "SELECT CAST(suffix AS VARCHAR) AS suffix, prefix, count(*) AS w FROM i GROUP BY 1, 2",
+        "prefix_tree": with_baskets(
+            "order_brand",
+            *ranks(BRAND),
+            "a AS (SELECT list(rk ORDER BY rk) AS l FROM p GROUP BY tid)",
+            "n AS (SELECT l[1:i] AS path, count(*) AS w"
+            " FROM (SELECT l, unnest(range(1, len(l) + 1)) AS i FROM a) GROUP BY 1)",
+            "c AS (SELECT path[1:len(path) - 1] AS path, count(*) AS children FROM n GROUP BY 1)",
+        )
+        + "SELECT array_to_string(path, ',') AS path, path[len(path)] AS item,"
+        " CAST(len(path) AS BIGINT) AS depth, w, coalesce(children, 0) AS children"
+        " FROM n LEFT JOIN c USING (path)",
         "pair_counts": base + PAIRS,
         "pair_counts_words": with_baskets(
             "document_words",

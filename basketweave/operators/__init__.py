@@ -24,6 +24,7 @@ from basketweave.operators.patterns import (
 )
 from basketweave.operators.rules import association_rules
 from basketweave.operators.tidlists import intersect_tid_lists, tid_list_sizes, tid_lists
+from basketweave.operators.trees import prefix_tree, tree_paths
 
 __all__ = [
     "association_rules",
@@ -42,10 +43,12 @@ __all__ = [
     "kept_items",
     "pair_counts",
     "pattern_base",
+    "prefix_tree",
     "project_prefixes",
     "prune_candidates",
     "prune_transactions",
     "tid_list_sizes",
     "tid_lists",
     "transaction_count",
+    "tree_paths",
 ]

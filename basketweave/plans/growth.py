@@ -9,7 +9,10 @@ prefixes are counted directly, in one pass.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketweave.functions import (
@@ -164,6 +167,31 @@ def mine_prefix_array(
     return _mine(ws, data, min_support, max_len, grow_rest, finish_width)
 
 
+def grow_in_group(base: DataFrame, min_support: int, owner: Column | None = None) -> DataFrame:
+    """One round of growth that stays within each group: the bases of longer suffixes.
+
+    `base` is ``(grp, suffix, prefix, w)``, and so is the result, for the frequent
+    suffixes that are one item longer. Every step groups by ``grp`` and more, so a frame
+    that is partitioned by ``grp`` is neither shuffled nor joined: the counts of a base's
+    items, and then the items worth keeping, stand beside its rows as window aggregates.
+    Rows whose prefix becomes empty stay, so that the weights of a suffix sum to its
+    count. `owner` restricts the new items.
+    """
+    rows = base.select("grp", "suffix", F.posexplode("prefix").alias("pos", "item"), "prefix", "w")
+    of_item = W.partitionBy("grp", "suffix", "item")
+    counted = rows.withColumn("freq", F.sum("w").over(of_item)).filter(F.col("freq") >= min_support)
+    # Sorted by item already, so the second window needs no further sort.
+    kept = counted.withColumn("keep", F.collect_set("item").over(W.partitionBy("grp", "suffix")))
+    if owner is not None:
+        kept = kept.filter(owner)
+    shorter = project(F.slice("prefix", F.lit(1), F.col("pos")), F.col("keep"))
+    return (
+        kept.select("grp", F.concat(F.array("item"), "suffix").alias("suffix"), shorter.alias("prefix"), "w")
+        .groupBy("grp", "suffix", "prefix")
+        .agg(F.sum("w").alias("w"))
+    )
+
+
 def mine_fpgrowth(
     ws: Workspace,
     data: DataFrame,
@@ -172,19 +200,46 @@ def mine_fpgrowth(
     num_groups: int = 36,
     finish_width: int | None = None,
 ) -> DataFrame:
-    """Growth sharded by item group: a group grows only the suffixes it owns."""
+    """Growth sharded by item group: a group grows only the suffixes it owns.
+
+    Baskets are shuffled once, cut for each group to the longest prefix that it needs.
+    From then on a group's rows stay where they are: each round is one job from one table
+    bucketed by group to the next, without an exchange. Each task holds whole groups, so
+    the groups should be many more than the tasks; the other growth strategies deal rows
+    by suffix instead and split hot ones.
+    """
 
     def grow_rest(baskets: Table) -> list[DataFrame]:
+        tasks = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(1, min(num_groups, tasks))
+        width = F.max(F.size("prefix"))
         sharded = (
             conditional_transactions(baskets.spread(), num_groups, array="prefix")
-            .groupBy("grp", "prefix")
-            .agg(F.sum("w").alias("w"))
             .withColumn("suffix", F.array().cast("array<int>"))
+            .repartition(buckets, "grp")
+            .groupBy("grp", "suffix", "prefix")
+            .agg(F.sum("w").alias("w"))
         )
+        # A single item is frequent; only what is longer is found here.
         owner = F.col("item") % num_groups == F.col("grp")
-        first = conditional_pattern_base(sharded, baskets.stats["width"], owner)
-        base = _write_base(ws, first)
-        return grow(ws, base, 1, min_support, max_len, finish_width)
+        base = grow_in_group(sharded, 1, owner)
+        rounds = [ws.write_bucketed("base", base, "grp", buckets, width=width)]
+        k, parts = 1, []
+        while rounds[-1].stats["width"] and (max_len is None or k < max_len):
+            if _is_small(rounds[-1].stats["width"], finish_width):
+                longest = None if max_len is None else max_len - k
+                parts.append(_count_subsets(rounds[-1].df, min_support, 1, longest))
+                break
+            base = grow_in_group(rounds[-1].df, min_support)
+            rounds.append(ws.write_bucketed("base", base, "grp", buckets, width=width))
+            k += 1
+        for table in rounds[1:]:
+            counts = table.df.groupBy("grp", "suffix").agg(F.sum("w").alias("freq"))
+            parts.append(counts.select(F.col("suffix").alias("itemset"), "freq"))
+        found = [ws.write("itemsets", reduce(DataFrame.unionByName, parts)).df] if parts else []
+        for table in rounds:
+            ws.drop(table)
+        return found
 
     return _mine(ws, data, min_support, max_len, grow_rest, finish_width)
 

@@ -66,6 +66,8 @@ class Workspace:
         full = self._store(path).makeQualified(path).toString()
         self.path = re.sub("^file:/+", "file:///", full)
         self._written = 0
+        # Catalog tables by the path of their files.
+        self._catalogued: dict[str, str] = {}
 
     def _hadoop_path(self, path: str):
         return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -77,24 +79,57 @@ class Workspace:
         at = self._hadoop_path(path)
         self._store(at).delete(at, True)
 
+    def _next_path(self, name: str) -> str:
+        self._written += 1
+        return f"{self.path}/{self._written - 1:03d}_{name}"
+
     def write(self, name: str, df: DataFrame, **metrics: Column) -> Table:
         """Write `df`, count its rows and evaluate `metrics` in the same job."""
-        path = f"{self.path}/{self._written:03d}_{name}"
-        self._written += 1
+        path = self._next_path(name)
+        seen = Observation()
+        observed = df.observe(seen, *_measures(metrics))
+        observed.write.parquet(path)
+        return self._read_back(self.spark.read.schema(df.schema).parquet(path), path, seen, metrics)
+
+    def write_bucketed(
+        self, name: str, df: DataFrame, key: str, buckets: int, **metrics: Column
+    ) -> Table:
+        """`write`, with the rows in `buckets` files by the hash of `key`.
+
+        A plan that groups by `key` and more reads them without an exchange. Spark knows
+        buckets of catalog tables only, so the session's catalog holds one until `drop` or
+        `close`, over files in this folder. `df` should be partitioned by `key`, else
+        every task writes a file for each bucket.
+        """
+        path = self._next_path(name)
+        table = f"basketweave_{uuid4().hex}"
         seen = Observation()
-        measures = [F.count(F.lit(1)).alias("rows")] + [m.alias(n) for n, m in metrics.items()]
-        df.observe(seen, *measures).write.parquet(path)
+        observed = df.observe(seen, *_measures(metrics))
+        writer = observed.write.format("parquet").option("path", path)
+        writer.bucketBy(buckets, key).saveAsTable(table)
+        self._catalogued[path] = table
+        return self._read_back(self.spark.table(table), path, seen, metrics)
+
+    @staticmethod
+    def _read_back(back: DataFrame, path: str, seen: Observation, metrics: dict) -> Table:
         stats = _measured(seen, ["rows", *metrics])
-        back = self.spark.read.schema(df.schema).parquet(path)
         return Table(back, path, stats.pop("rows"), {n: v or 0 for n, v in stats.items()})
 
     def drop(self, table: Table) -> None:
         """Delete a table that no later plan reads; a frame without a path is left."""
         if table.path:
+            self._forget(table.path)
             self._delete(table.path)
 
+    def _forget(self, path: str) -> None:
+        """Take a table out of the catalog, if it is there."""
+        if path in self._catalogued:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._catalogued.pop(path)}")
+
     def close(self) -> None:
         """Delete all tables of this run."""
+        for path in [*self._catalogued]:
+            self._forget(path)
         self._delete(self.path)
 
     def __enter__(self) -> Workspace:
@@ -104,6 +139,10 @@ class Workspace:
         self.close()
 
 
+def _measures(metrics: dict[str, Column]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows")] + [m.alias(n) for n, m in metrics.items()]
+
+
 def _measured(seen: Observation, names: list[str]) -> dict:
     """The observed metrics; a lost one must not pass for zero rows."""
     found = dict(seen.get)

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import basketweave as bw
 from basketweave.plans import growth
@@ -65,7 +66,9 @@ def test_equal_baskets_duplicates_and_blanks(spark, algorithm):
     assert found[("a", "b", "c")] == 6 and found[("a",)] == 7
 
 
-@pytest.mark.parametrize("algorithm", ["apriori", "eclat", "pair_pruned", "prefix_array"])
+@pytest.mark.parametrize(
+    "algorithm", ["apriori", "eclat", "pair_pruned", "prefix_array", "cells", "fpgrowth"]
+)
 def test_single_items_only(spark, algorithm):
     found = collected(bw.frequent_itemsets(baskets_frame(spark, [["a"], ["a"], ["b"]]), 1, algorithm))
     assert found == {("a",): 2, ("b",): 1}
@@ -83,7 +86,7 @@ def test_one_basket_holds_a_third_of_all_rows(spark, algorithm):
 
 
 @pytest.mark.parametrize("algorithm", ["fpgrowth", "builtin"])
-@pytest.mark.parametrize("groups", [1, 36])
+@pytest.mark.parametrize("groups", [1, 4, 36])
 def test_groups_do_not_matter(spark, algorithm, groups):
     baskets = random_baskets(4)
     found = bw.frequent_itemsets(rows_frame(spark, baskets), 5, algorithm, num_groups=groups)
@@ -100,21 +103,48 @@ def test_rounds_and_direct_counting_agree(spark, mine, width):
     assert collected(found) == brute_force(baskets, 3)
 
 
-@pytest.mark.parametrize("algorithm", ["fpgrowth", "pair_pruned", "prefix_array"])
+@pytest.mark.parametrize("algorithm", ["fpgrowth", "pair_pruned", "prefix_array", "cells"])
 def test_growth_strategies_run_their_own_rounds(spark, monkeypatch, algorithm):
     written = []
-    write = bw.Workspace.write
-    monkeypatch.setattr(
-        bw.Workspace, "write", lambda ws, name, *a, **k: written.append(name) or write(ws, name, *a, **k)
-    )
+    for way in ("write", "write_bucketed"):
+        monkeypatch.setattr(
+            bw.Workspace,
+            way,
+            lambda ws, name, *a, write=getattr(bw.Workspace, way), **k: written.append(name)
+            or write(ws, name, *a, **k),
+        )
     baskets = [list("abcdef")] * 3 + [list("abc")] * 2
     found = collected(bw.frequent_itemsets(rows_frame(spark, baskets), 3, algorithm))
     assert max(map(len, found)) == 6 and found == brute_force(baskets, 3)
     assert "direct" not in written
-    rounds = "pairs" if algorithm == "pair_pruned" else "counts"
+    rounds = {"pair_pruned": "pairs", "fpgrowth": "base"}.get(algorithm, "counts")
     assert written.count(rounds) >= 5
 
 
+def test_groups_grow_where_they_are(spark):
+    """From the second round on nothing is shuffled, joined or broadcast."""
+    ws = bw.Workspace(spark)
+    baskets = [sorted(b) for b in random_baskets(12)]
+    ranked = spark.createDataFrame(
+        [([ord(x) - 97 for x in sorted(set(b) - {""})], 1) for b in baskets], "prefix ARRAY<INT>, w BIGINT"
+    )
+    sharded = growth.conditional_transactions(ranked, 5, array="prefix").withColumn(
+        "suffix", F.array().cast("array<int>")
+    )
+    owner = F.col("item") % 5 == F.col("grp")
+    first = growth.grow_in_group(sharded.repartition(3, "grp"), 1, owner)
+    base = ws.write_bucketed("base", first, "grp", 3)
+    again = growth.grow_in_group(base.df, 2)
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "Window" in plan
+    counts = base.df.groupBy("grp", "suffix").agg(F.sum("w"))
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert base.df.select("grp").distinct().count() == 5
+    (table,) = ws._catalogued.values()
+    ws.close()
+    assert not spark.catalog.tableExists(table)
+
+
 @pytest.mark.parametrize("long_rows, joins_used", [(1, "broadcast"), (40, "shuffle")])
 def test_size_of_kept_items_decides_the_join(spark, monkeypatch, long_rows, joins_used):
     """Suffixes that keep one item must not hide the size of a few long ones."""
@@ -204,6 +234,6 @@ def test_large_dictionary_and_unbroadcast_lookups(spark, monkeypatch):
     monkeypatch.setattr(encode, "DICTIONARY_BYTES", 0)
     monkeypatch.setattr(candidates, "PAIR_BLOCK", 2)
     baskets = random_baskets(11, n=40, items="aaaabcdef")
-    for algorithm in ("apriori", "eclat", "pair_pruned", "prefix_array"):
+    for algorithm in ("apriori", "eclat", "pair_pruned", "prefix_array", "cells"):
         found = bw.frequent_itemsets(rows_frame(spark, baskets), 3, algorithm)
         assert collected(found) == brute_force(baskets, 3), algorithm
