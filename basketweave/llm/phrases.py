@@ -15,6 +15,7 @@ its last word before the sums: only its first words are still wanted.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -45,20 +46,50 @@ PHRASE_BYTES = 96
 # Stands between pieces; a comma is never part of a word.
 _PAD = b","
 _CUTS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
-_SEPARATORS = r"[\x20\x09.,;:!?\x0A-\x0D]+"
 
 
 def _language(lang: str = "lang") -> Column:
     return F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN))
 
 
-def common_words(docs: DataFrame, share: float = COMMON) -> set[str]:
-    """The words that make up `share` of all words or more: at most ``1 / share``."""
-    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = docs.select(F.explode(F.split(lowered, _SEPARATORS)).alias("word")).where("word <> ''")
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    least = counts.agg((F.sum("n") * share).alias("least"))
-    return {r["word"] for r in counts.where(F.col("n") >= least.scalar()).collect()}
+def common_words(docs: DataFrame, share: float = COMMON, buffer: int = BUFFER) -> set[str]:
+    """At most ``2 / share`` words, among them all that make up `share` of all words.
+
+    A task names the words that make up half of that in a stretch of its words; where a
+    word is rarer it loses less than half, so what is named of it is at least the rest.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[bytes] = Counter()
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            named = [(w.decode(), n) for w, n in counts.items() if 2 * n >= share * size]
+            words, n = zip((None, size), *named, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n, pa.int64())], ["word", "n"])
+
+        for batch in batches:
+            for text in batch.column(0):
+                words = _words(text.as_py()).split()
+                counts.update(words)
+                size += len(words) - counts.pop(_PAD, 0)
+                if size >= buffer:
+                    yield flush()
+                    counts.clear()
+                    size = 0
+        yield flush()
+
+    texts = docs.select(F.col("text").cast("string")).where("text <> ''")
+    named = map_arrow(texts, run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    least = F.coalesce(F.max(F.when(F.col("word").isNull(), F.col("n"))).over(W.partitionBy()), F.lit(0)) * share / 2
+    found = named.withColumn("least", least).where(F.col("word").isNotNull() & (F.col("n") >= F.col("least")))
+    return {r["word"] for r in found.select("word").collect()}
+
+
+def _words(text: str) -> bytes:
+    """A text in lower case, pads between its pieces."""
+    data = text.encode("utf-8", "surrogatepass").lower().translate(_CUTS)
+    return data.replace(b"\n", b" , ")
 
 
 class Windows:
@@ -74,9 +105,7 @@ class Windows:
 
     def add(self, text: str) -> int:
         """Take the words of a text; gives their number, pads included."""
-        data = text.encode("utf-8", "surrogatepass").lower().translate(_CUTS)
-        words = data.replace(b"\n", b" , ").split()
-        codes = self.codes
+        words, codes = _words(text).split(), self.codes
         new = set(words).difference(codes)
         codes.update(zip(new, range(len(codes), len(codes) + len(new)), strict=True))
         self.parts.append(np.array([*map(codes.__getitem__, words), 0], np.int32))
@@ -85,7 +114,7 @@ class Windows:
     def sums(self) -> tuple[pa.Array, np.ndarray, pa.Array]:
         """By first word and piece: the distinct windows as texts of the other words.
 
-        Each ends with its count, unless that is one; commas part them.
+        A tab and the count follow, unless that is one; commas part the windows.
         """
         column = np.concatenate([*self.parts, np.zeros(self.longest, np.int32)])
         leads = [column[i : len(column) - self.longest + i] for i in range(self.longest)]
@@ -105,7 +134,7 @@ class Windows:
         counts = np.diff(np.append(starts, len(order)))
         leads, piece = [lead[starts] for lead in leads], piece[starts]
         spelt = pa.array([b"", *words[1:]], pa.binary()).cast(pa.string())
-        shown = pc.if_else(counts == 1, "", pc.binary_join_element_wise("", pa.array(counts).cast(pa.string()), " "))
+        shown = pc.if_else(counts == 1, "", pc.binary_join_element_wise("", pa.array(counts).cast(pa.string()), "\t"))
         tails = [spelt.take(pa.array(lead)) for lead in leads[1:]]
         tails[-1] = pc.binary_join_element_wise(tails[-1], shown, "")
         tails = pc.binary_join_element_wise(*tails, " ")
@@ -171,26 +200,29 @@ def phrase_counts(
     """
     names = _names(longest)
     *firsts, last = names
-    tail = F.split("tail", " ")
-    counted = (
+    words = F.substring_index("tail", "\t", 1)
+    count = F.substring_index("tail", "\t", -1).cast("bigint")
+    others = [F.substring_index(F.substring_index(words, " ", i), " ", -1) for i in range(1, longest)]
+    dealt = (
         windows(docs, longest, common_words(docs), buffer)
         .repartition("lang", "w1", "piece")
         .select("lang", "w1", "piece", F.explode(F.split("tails", ",")).alias("tail"))
         .select(
             "lang",
             "w1",
-            *[F.get(tail, F.lit(i)).alias(n) for i, n in enumerate(names[1:])],
+            *[w.alias(n) for w, n in zip(others, names[1:], strict=True)],
             "piece",
-            F.coalesce(F.get(tail, F.lit(longest - 1)).cast("bigint"), F.lit(1)).alias("n"),
+            F.when(F.contains("tail", F.lit("\t")), count).otherwise(1).alias("n"),
         )
-        .groupBy("lang", *firsts, "piece", last)
-        .agg(F.sum("n").alias("f"))
     )
-    longer = counted.where((F.col("f") >= least) & (F.col(last) != "")).select(
-        "lang", F.array(*names).alias("phrase"), "f"
+    longer = (
+        dealt.groupBy("lang", *firsts, "piece", last)
+        .agg(F.sum("n").alias("f"))
+        .where((F.col("f") >= least) & (F.col(last) != ""))
+        .select("lang", F.array(*names).alias("phrase"), "f")
     )
     # All windows of a prefix are in one task, unless it is of common words.
-    prefixes = counted.groupBy("lang", *firsts, "piece").agg(F.sum("f").alias("f"))
+    prefixes = dealt.groupBy("lang", *firsts, "piece").agg(F.sum("n").alias("f"))
     hopeless = (F.col("f") < least) & (F.col("piece") <= PIECES)
     end = [F.when(hopeless, "").otherwise(F.col(n)).alias(n) for n in firsts[1:][-1:]]
     sums = (

@@ -99,14 +99,24 @@ def test_tails_hold_every_window(spark, texts):
     n = 0
     for row in phrases.windows(df, 3, {"the", "of"}).collect():
         for tail in row["tails"].split(","):
-            parts = tail.split(" ")
-            assert len(parts) in (2, 3)
-            n += int(parts[2]) if len(parts) == 3 else 1
+            words, _, count = tail.partition("\t")
+            assert len(words.split(" ")) == 2
+            n += int(count or 1)
         assert (row["piece"] > 0) == (row["w1"] in ("the", "of"))
     words = [re.findall(r"[^\s.,;:!?]+", t or "") for t in texts]
     assert n == sum(map(len, words))
 
 
+def test_common_words(spark, texts):
+    df = documents(spark, texts).repartition(3)
+    words = Counter(w for t in texts for w in re.findall(r"[^\s.,;:!?]+", (t or "").translate(LOWER)))
+    for share in (0.3, 0.1, 0.02):
+        found = phrases.common_words(df, share, buffer=70)
+        assert {w for w, n in words.items() if n >= share * words.total()} <= found
+        assert len(found) <= 2 / share
+    assert phrases.common_words(documents(spark, []), 0.1) == set()
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     a, left, right = 3_000_000_007, 5_000_000_029, 7_000_000_001
     got = spark.range(1).select(*[F.lit(x).alias(n) for n, x in zip("alr", (a, left, right), strict=True)])
