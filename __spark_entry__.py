@@ -284,6 +284,34 @@ def q_tid_intersections_k3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.tid_list_sizes(met).select(joined("itemset"), "freq")
 
 
+def q_class_intersections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists met within their equivalence classes, from single items to triples."""
+    lists = ops.tid_lists(brand(spark, sf_dir), BRAND_HIGH, BUCKETS).select(
+        F.array().cast("array<string>").alias("stem"),
+        F.element_at("itemset", 1).alias("last"),
+        "bucket",
+        "tids",
+    )
+    triples = ops.intersect_classes(ops.intersect_classes(lists))
+    sizes = ops.tid_list_sizes(
+        triples.withColumn("itemset", F.concat("stem", F.array("last"))), BRAND_HIGH
+    )
+    return sizes.select(joined("itemset"), "freq")
+
+
+def q_tid_bitmap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs counted by intersecting the bitmaps of their items."""
+    ws = bw.Workspace(spark)
+    bitmaps = ws.write("bitmaps", ops.tid_bitmaps(brand(spark, sf_dir), BRAND, ws)).df
+    pairs = ops.intersect_bitmap_classes(
+        bitmaps.select(F.array().cast("array<string>").alias("stem"), F.col("item").alias("last"), "block", "bits")
+    )
+    sizes = ops.bitmap_sizes(
+        pairs.withColumn("itemset", F.concat("stem", F.array("last"))), "itemset", BRAND
+    )
+    return sizes.select(joined("itemset"), "freq")
+
+
 # --- pattern growth --------------------------------------------------------
 
 
@@ -420,6 +448,11 @@ def queries() -> dict[str, Query]:
         "tid_list_sizes": q_tid_list_sizes,
         "tid_intersections_k2": q_tid_intersections,
         "tid_intersections_k3": q_tid_intersections_k3,
+        "tid_bitmaps": lambda s, d: ops.bitmap_sizes(
+            ops.tid_bitmaps(brand(s, d), BRAND), "item"
+        ).select(F.col("item").alias("itemset"), "freq"),
+        "tid_bitmap_pairs": q_tid_bitmap_pairs,
+        "class_intersections_k3": q_class_intersections,
         "conditional_transactions": q_conditional_transactions,
         "conditional_pattern_base": lambda s, d: brand_base(s, d, BRAND).select(
             joined("suffix"), joined("prefix"), "w"
@@ -620,6 +653,18 @@ def oracle_sql() -> dict[str, str]:
         "tid_list_sizes": base
         + "SELECT item AS itemset, count(*) AS freq FROM b GROUP BY item"
         f" HAVING count(*) >= {BRAND}",
+        "tid_bitmaps": base
+        + "SELECT item AS itemset, count(*) AS freq FROM b GROUP BY item"
+        f" HAVING count(*) >= {BRAND}",
+        "tid_bitmap_pairs": base
+        + "SELECT x.item || ',' || y.item AS itemset, count(*) AS freq"
+        " FROM b AS x JOIN b AS y ON x.tid = y.tid AND x.item < y.item"
+        f" GROUP BY 1 HAVING count(*) >= {BRAND}",
+        "class_intersections_k3": base
+        + "SELECT x.item || ',' || y.item || ',' || z.item AS itemset, count(*) AS freq"
+        " FROM b AS x JOIN b AS y ON x.tid = y.tid AND x.item < y.item"
+        " JOIN b AS z ON z.tid = y.tid AND y.item < z.item"
+        f" GROUP BY 1 HAVING count(*) >= {BRAND_HIGH}",
         "tid_intersections_k2": base
         + "SELECT x.item || ',' || y.item AS itemset, count(*) AS freq"
         " FROM b AS x JOIN b AS y ON x.tid = y.tid AND x.item < y.item"

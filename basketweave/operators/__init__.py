@@ -1,3 +1,4 @@
+from basketweave.operators.bitmaps import bitmap_sizes, intersect_bitmap_classes, tid_bitmaps
 from basketweave.operators.candidates import (
     count_candidates,
     extend_occurrences,
@@ -23,11 +24,17 @@ from basketweave.operators.patterns import (
     project_prefixes,
 )
 from basketweave.operators.rules import association_rules
-from basketweave.operators.tidlists import intersect_tid_lists, tid_list_sizes, tid_lists
+from basketweave.operators.tidlists import (
+    intersect_classes,
+    intersect_tid_lists,
+    tid_list_sizes,
+    tid_lists,
+)
 from basketweave.operators.trees import prefix_tree, tree_paths
 
 __all__ = [
     "association_rules",
+    "bitmap_sizes",
     "compress_transactions",
     "conditional_item_counts",
     "conditional_pattern_base",
@@ -36,6 +43,8 @@ __all__ = [
     "extend_occurrences",
     "frequent_items",
     "generate_candidates",
+    "intersect_bitmap_classes",
+    "intersect_classes",
     "intersect_tid_lists",
     "item_counts",
     "item_rank",
@@ -47,6 +56,7 @@ __all__ = [
     "project_prefixes",
     "prune_candidates",
     "prune_transactions",
+    "tid_bitmaps",
     "tid_list_sizes",
     "tid_lists",
     "transaction_count",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketweave.functions import lookup_join
+from basketweave.functions import lookup_join, once
 from basketweave.operators.counting import frequent_lookup, keep_frequent
 from basketweave.sources.transactions import long_rows
 from basketweave.workspace import Workspace
@@ -14,6 +14,8 @@ from basketweave.workspace import Workspace
 BUCKET_TIDS = 131_072
 # Smaller buckets are used down to this size while there are fewer than tasks.
 SMALL_BUCKET_TIDS = 8_192
+# Lists of one stem that are intersected with each other in one place.
+CLASS_LISTS = 512
 
 
 def bucket_count(transactions: int, tasks: int) -> int:
@@ -88,3 +90,45 @@ def tid_list_sizes(lists: DataFrame, min_support: int = 1) -> DataFrame:
         .agg(F.sum(F.size("tids")).alias("freq"))
         .filter(F.col("freq") >= min_support)
     )
+
+
+def intersect_classes(
+    lists: DataFrame, classes: DataFrame | None = None, class_rows: int = 0, row_bytes: int = 256, largest: int = 0
+) -> DataFrame:
+    """Tid lists one item longer, each from two lists of its equivalence class.
+
+    `lists` are ``(stem, last, bucket, tids)``, the itemset being the stem and the last
+    item. All lists of a stem and bucket meet in one place and are intersected there, so a
+    list is shuffled once, however many candidates it is in. `classes` (``stem``,
+    ``lasts``) restricts them to its members; `class_rows` and `row_bytes` are its size.
+    A stem with more than CLASS_LISTS members, up to `largest`, is cut into blocks; each
+    pair of blocks meets in a place of its own.
+    """
+    key = ["stem", "bucket"]
+    if classes is not None:
+        lists = lookup_join(lists, classes, "stem", class_rows, row_bytes, ["last", "bucket"])
+        lists = lists.filter((F.size("lasts") > 1) & F.array_contains("lasts", F.col("last")))
+    if largest <= CLASS_LISTS:
+        lists = lists.select(*key, "last", "tids")
+        left, right = lists, lists
+    else:
+        cut = F.ceil(F.size("lasts") / CLASS_LISTS).cast("int")
+        blocks = lists.withColumn("_own", F.pmod(F.xxhash64("last"), cut)).withColumn(
+            "_other", F.explode(F.sequence(F.lit(0), cut - 1))
+        )
+        left = blocks.select(*key, F.col("_own").alias("i"), F.col("_other").alias("j"), "last", "tids")
+        right = blocks.select(*key, F.col("_other").alias("i"), F.col("_own").alias("j"), "last", "tids")
+        key = [*key, "i", "j"]
+    left = left.withColumnsRenamed({"last": "a", "tids": "one"})
+    right = right.withColumnsRenamed({"last": "b", "tids": "two"})
+    return (
+        left.join(right, key)
+        .filter("a < b")
+        .select(
+            F.concat("stem", F.array("a")).alias("stem"),
+            F.col("b").alias("last"),
+            "bucket",
+            once(F.array_intersect("one", "two")).alias("tids"),
+        )
+        .filter(F.size("tids") > 0)
+    )

@@ -5,15 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketweave.operators.candidates import next_candidates
+from basketweave.functions import expand_positions, lookup_join
 from basketweave.operators.counting import prune_transactions
 from basketweave.operators.patterns import count_pairs
-from basketweave.operators.tidlists import (
-    bucket_count,
-    bucketed_lists,
-    intersect_tid_lists,
-    tid_list_sizes,
-)
+from basketweave.operators.tidlists import bucket_count, intersect_classes
 from basketweave.plans.encode import (
     decode,
     empty_itemsets,
@@ -22,14 +17,48 @@ from basketweave.plans.encode import (
 )
 from basketweave.workspace import Table, Workspace
 
+# Tid arrays that are worth a task of their own; an equivalence class in memory, besides
+# its members.
+LISTS_PER_TASK, CLASS_BYTES = 8, 100
+
+
+def _write_classes(ws: Workspace, counts: DataFrame) -> Table:
+    """Frequent itemsets ``(stem, last, freq)`` as equivalence classes, a row per stem."""
+    members = F.collect_list("last").alias("lasts"), F.collect_list("freq").alias("freqs")
+    return ws.write(
+        "classes",
+        counts.groupBy("stem").agg(*members),
+        grows=F.count_if(F.size("lasts") > 1),
+        largest=F.max(F.size("lasts")),
+        members=F.sum(F.size("lasts")),
+    )
+
+
+def _itemsets(classes: Table) -> DataFrame:
+    found = F.explode(F.arrays_zip("lasts", "freqs")).alias("found")
+    return classes.df.select("stem", found).select(
+        F.concat("stem", F.array("found.lasts")).alias("itemset"), F.col("found.freqs").alias("freq")
+    )
+
 
-# Tid arrays that are worth a task of their own.
-LISTS_PER_TASK = 8
+def _class_bytes(classes: Table, k: int) -> int:
+    return CLASS_BYTES + 4 * k + 4 * -(-classes.stats["members"] // max(classes.rows, 1))
 
 
-def _intersect(lists: Table, candidates: DataFrame, rows: int, k: int) -> DataFrame:
-    spread = lists.spread(LISTS_PER_TASK)
-    return intersect_tid_lists(lists.df, candidates, rows, k, spread)
+def _pair_lists(baskets: Table, classes: Table, buckets: int) -> DataFrame:
+    """The tid lists of the frequent pairs, read off the baskets."""
+    rows = expand_positions(baskets.spread(), "items", baskets.stats["width"])
+    stems = classes.df.filter(F.size("lasts") > 1).select(
+        F.col("stem")[0].alias("item"), "stem", F.col("lasts").alias("_members")
+    )
+    met = lookup_join(rows, stems, "item", classes.rows, _class_bytes(classes, 2), ["tid"])
+    # A basket's items after the stem item that make a frequent pair with it.
+    after = F.slice("items", F.col("pos") + 2, F.size("items"))
+    return (
+        met.select("tid", "stem", F.explode(F.array_intersect(after, "_members")).alias("last"))
+        .groupBy("stem", "last", F.pmod(F.xxhash64("tid"), F.lit(buckets)).cast("int").alias("bucket"))
+        .agg(F.collect_list("tid").alias("tids"))
+    )
 
 
 def mine_eclat(
@@ -41,9 +70,10 @@ def mine_eclat(
 ) -> DataFrame:
     """Intersect the tid lists of two parents to get each candidate's list.
 
-    Lists are cut into buckets of transactions, so no array grows with the data.
-    The frequent pairs are counted from the baskets first: lists are intersected
-    only for pairs that are frequent, never for every pair of items.
+    Lists are cut into buckets of transactions, so no array grows with the data. The
+    frequent pairs are counted from the baskets first, and their lists are made there;
+    from then on the lists of one equivalence class, which share all items but the last,
+    meet in one place per bucket and are intersected with each other.
     """
     items = rank_dictionary(ws, data, min_support)
     if items is None:
@@ -58,32 +88,28 @@ def mine_eclat(
     )
     baskets = ws.write("baskets", numbered, width=F.max(F.size("items")))
     merged = baskets.spread().groupBy(F.col("items").alias("prefix")).agg(F.count(F.lit(1)).alias("w"))
-    pairs = count_pairs(
-        merged.withColumn("suffix", F.lit(0)), min_support, baskets.stats["width"]
-    ).select(F.array("left", "right").alias("itemset"), "freq")
-    level = ws.write("level", pairs)
-    if level.rows:
-        levels.append(level.df)
-
+    pairs = count_pairs(merged.withColumn("suffix", F.lit(0)), min_support, baskets.stats["width"])
+    classes = _write_classes(
+        ws, pairs.select(F.array("left").alias("stem"), F.col("right").alias("last"), "freq")
+    )
     lists, k = None, 2
-    # A (k+1)-itemset has k + 1 subsets of k items, all of them in the level.
-    while level.rows > k and (max_len is None or k < max_len):
-        candidates, bound = next_candidates(ws, level, k + 1)
-        if not bound:
+    while classes.rows:
+        levels.append(_itemsets(classes))
+        if not classes.stats["grows"] or (max_len is not None and k >= max_len):
             break
         if lists is None:
-            held = baskets.df.select("tid", F.explode("items").alias("item"))
             tasks = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
             cut = buckets or bucket_count(baskets.rows, tasks)
-            singles = ws.write("lists", bucketed_lists(held, cut))
-            lists = ws.write("lists", _intersect(singles, level.df, level.rows, k))
-            ws.drop(singles)
-        k += 1
-        before, lists = lists, ws.write("lists", _intersect(lists, candidates, bound, k))
+            lists = ws.write("lists", _pair_lists(baskets, classes, cut))
+        members = classes.df.select("stem", "lasts")
+        longer = intersect_classes(
+            lists.spread(LISTS_PER_TASK), members, classes.rows, _class_bytes(classes, k), classes.stats["largest"]
+        )
+        before, lists = lists, ws.write("lists", longer)
         ws.drop(before)
-        level = ws.write("level", tid_list_sizes(lists.df, min_support))
-        if level.rows:
-            levels.append(level.df)
+        k += 1
+        counts = lists.df.groupBy("stem", "last").agg(F.sum(F.size("tids")).alias("freq"))
+        classes = _write_classes(ws, counts.filter(F.col("freq") >= min_support))
     if lists is not None:
         ws.drop(lists)
     ws.drop(baskets)

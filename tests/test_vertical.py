@@ -1,0 +1,110 @@
+"""Bitmaps and equivalence classes against plain sets."""
+
+import itertools
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import basketweave as bw
+from basketweave import operators as ops
+from basketweave.operators import bitmaps, tidlists
+from basketweave.plans import mine_eclat
+from tests.conftest import brute_force, collected, rows_frame
+
+
+def random_baskets(seed, n, items="abcdefghij"):
+    rng = random.Random(seed)
+    return [rng.sample(items, rng.randint(0, 6)) for _ in range(n)]
+
+
+def sizes(frame):
+    return {r["item"]: r["freq"] for r in frame.collect()}
+
+
+def test_bitmaps_count_what_the_lists_count(spark):
+    baskets = random_baskets(1, 300) + [["rare"]]
+    data = rows_frame(spark, baskets)
+    found = sizes(ops.bitmap_sizes(ops.tid_bitmaps(data, 5), "item"))
+    assert found == {s[0]: n for s, n in brute_force(baskets, 5, 1).items()}
+
+
+def test_more_than_one_block(spark):
+    n = 2 * bitmaps.BLOCK_TIDS + 7
+    data = spark.range(n).select(
+        F.col("id").alias("tid"), F.explode(F.when(F.col("id") % 3 == 0, F.array(F.lit("x"), F.lit("y"))).otherwise(F.array(F.lit("x")))).alias("item")
+    )
+    table = bw.Workspace(spark).write("bitmaps", ops.tid_bitmaps(data, 2)).df
+    assert sizes(ops.bitmap_sizes(table, "item")) == {"x": n, "y": -(-n // 3)}
+    assert {r["block"] for r in table.collect()} == {1, 2, 3}
+    pair = ops.intersect_bitmap_classes(
+        table.select(F.array().cast("array<string>").alias("stem"), F.col("item").alias("last"), "block", "bits")
+    )
+    assert pair.agg(F.sum(F.bitmap_count("bits"))).first()[0] == -(-n // 3)
+
+
+def test_bitmaps_of_common_items_are_smaller_than_lists(spark, tmp_path):
+    """The commonest item of the widest view, as written."""
+    n = 60_000
+    data = spark.range(n).select(
+        F.concat(F.lit("order-"), F.hash("id").cast("string")).alias("tid"), F.explode(F.array(F.lit("x"), (F.col("id") % 5).cast("string"))).alias("item")
+    )
+    ops.tid_bitmaps(data, 2).coalesce(1).write.parquet(f"{tmp_path}/bits")
+    ops.tid_lists(data, 2, 1).coalesce(1).write.parquet(f"{tmp_path}/lists")
+    written = {k: sum(p.stat().st_size for p in (tmp_path / k).glob("*.parquet")) for k in ("bits", "lists")}
+    assert written["bits"] * 5 < written["lists"]
+
+
+def class_rows(spark, baskets, items="abcdefghij", buckets=3):
+    """Tid lists of all single items as the class of the empty stem."""
+    rows = [
+        ([], x, b, [t for t, basket in enumerate(baskets) if x in basket and t % buckets == b])
+        for x in items
+        for b in range(buckets)
+    ]
+    return spark.createDataFrame(rows, "stem ARRAY<STRING>, last STRING, bucket INT, tids ARRAY<BIGINT>")
+
+
+@pytest.mark.parametrize("members", [2, 512])
+def test_classes_meet_all_pairs_once(spark, monkeypatch, members):
+    monkeypatch.setattr(tidlists, "CLASS_LISTS", members)
+    baskets = random_baskets(3, 120)
+    classes = spark.createDataFrame([([], list("abcdefgh"))], "stem ARRAY<STRING>, lasts ARRAY<STRING>")
+    found = ops.intersect_classes(class_rows(spark, baskets), classes, 1, 256, 8).collect()
+    lists = {}
+    for r in found:
+        key = (*r["stem"], r["last"])
+        assert not set(r["tids"]) & lists.get(key, set()) and r["tids"]
+        lists.setdefault(key, set()).update(r["tids"])
+    want = {}
+    for pair in itertools.combinations("abcdefgh", 2):
+        tids = {t for t, basket in enumerate(baskets) if set(pair) <= set(basket)}
+        if tids:
+            want[pair] = tids
+    assert lists == want
+
+
+def test_a_list_is_shuffled_once_for_all_its_candidates(spark):
+    lists = bw.Workspace(spark).write("lists", class_rows(spark, random_baskets(4, 50))).df
+    # Small sides would be broadcast; the plan at scale shuffles.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = ops.intersect_classes(lists)
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("ReusedExchange") == 1 and plan.count("Exchange hashpartitioning(stem") <= 2
+
+
+@pytest.mark.parametrize("members", [2, 512])
+def test_eclat_cuts_large_classes(spark, monkeypatch, members):
+    monkeypatch.setattr(tidlists, "CLASS_LISTS", members)
+    baskets = random_baskets(5, 90)
+    found = mine_eclat(bw.Workspace(spark), rows_frame(spark, baskets), 3, buckets=2)
+    assert collected(found) == brute_force(baskets, 3)
+
+
+def test_empty_bitmaps(spark):
+    none = rows_frame(spark, [["a"]])
+    assert ops.tid_bitmaps(none, 2).collect() == []
