@@ -1,15 +1,16 @@
 """Approximate nearest neighbours by collision counting.
 
 Vectors are mapped so that the largest inner product is the smallest distance. Each of
-PROJECTIONS random lines gives a sorted array of the vectors' places on it. A query
-opens a window around its own place on every line; the windows widen round by round
-(virtual rehashing: nothing is hashed anew), and a vector that is inside often enough
-is verified by its exact inner product. A query stops when its nearest verified vectors
-are closer than the windows reach, or when a share of all vectors has been verified.
-
-Spark deals the vectors and the queries into blocks of a bounded size; a task indexes
-one block of vectors and answers one block of queries, and the best of all blocks are
-merged. All vectors are indexed.
+PROJECTIONS random lines gives a sorted array of the vectors' places on it, cut into
+equal buckets. A query opens a window around its own place on every line; the windows
+widen in small steps (virtual rehashing: nothing is hashed anew), and the vectors that
+are inside often enough are verified by their exact inner product. The windows are the
+narrowest ones in which as many vectors as the budget asks for collide that often. The
+budget grows with the root of the number of vectors, so the share that is verified falls.
+
+All vectors are indexed. Spark deals them into blocks of a bounded size, and each block's
+index is built once and written; the queries, which are far fewer, go to the blocks, in
+blocks of their own, and the best of all blocks are merged.
 """
 
 from __future__ import annotations
@@ -24,15 +25,19 @@ from basketweave.llm.common import importable
 from basketweave.workspace import Workspace
 
 # Vectors and queries in a block, on average.
-BLOCK_VECTORS, BLOCK_QUERIES = 16_384, 1024
-PROJECTIONS = 64
-# Half the widths of the windows, round by round; the last one holds everything.
-WIDTHS = np.append(0.08 * 1.5 ** np.arange(11), np.inf)
+BLOCK_VECTORS, BLOCK_QUERIES = 8_192, 16_384
+# Lines, fewer than the counts that a byte holds, and buckets of a line, as many as it names.
+PROJECTIONS, BUCKETS = 240, 256
+# Half the widths of the windows, step by step; the last one holds everything.
+WIDTHS = np.append(0.02 * 1.04 ** np.arange(132), np.inf)
 # A vector is verified once it is inside this share of the windows.
-COLLISIONS = 0.62
-# A query has seen enough when it has verified this share of a block's vectors.
-VERIFIED = 0.12
-FOUND = "query_id long, vec_id long, score double"
+COLLISIONS = 0.75
+# A query verifies so many vectors for each root of their number, and k + 1 of each block.
+BUDGET = 5.0
+FOUND = "query long, query_id long, vec_id long, score double, verified long"
+INDEX = (
+    "dimension int, wide long, ids binary, vectors binary, single boolean, codes binary, edges binary"
+)
 
 
 def usable(vector: Column) -> Column:
@@ -50,88 +55,102 @@ def lines(dimension: int) -> np.ndarray:
 
 
 class Index:
-    """The sorted projections of a block of vectors."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
-        unit = self.vectors / longest
+    """The bucketed projections of a block of vectors."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, edges: np.ndarray):
+        self.ids, self.vectors, self.codes, self.edges = ids, vectors, codes, edges
+        self.lines = lines(vectors.shape[1])[:-1]
+        self._moved, self._inside = np.empty_like(codes), np.empty(codes.shape, bool)
+
+    @classmethod
+    def build(cls, ids: np.ndarray, vectors: np.ndarray, longest: float) -> Index:
+        """Sort the places on each line; a bucket holds an equal share of the array."""
+        n = len(ids)
+        unit = vectors.astype(float) / longest
         rest = np.sqrt(np.maximum(0.0, 1.0 - (unit**2).sum(axis=1)))
-        self.lines = lines(vectors.shape[1])
-        places = (unit @ self.lines[:-1] + rest[:, None] * self.lines[-1]).T
-        self.order = np.argsort(places, axis=1, kind="stable")
-        self.places = np.take_along_axis(places, self.order, axis=1)
-        self.longest = longest
-
-    def windows(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where each query's windows begin and end: by line, query and round."""
-        at = (queries / np.linalg.norm(queries, axis=1, keepdims=True)) @ self.lines[:-1]
-        edges = np.concatenate((-WIDTHS[::-1], WIDTHS))
-        cuts = np.stack(
-            [
-                np.searchsorted(p, (x[:, None] + edges).ravel()).reshape(len(queries), -1)
-                for p, x in zip(self.places, at.T, strict=True)
-            ]
+        random = lines(vectors.shape[1])
+        places = np.ascontiguousarray((unit @ random[:-1] + rest[:, None] * random[-1]).T)
+        order = np.argsort(places, axis=1, kind="stable")
+        bucket = np.arange(n) * min(BUCKETS, n) // n
+        codes = np.empty(places.shape, np.uint8)
+        np.put_along_axis(codes, order, np.broadcast_to(bucket, places.shape).astype(np.uint8), axis=1)
+        first = order[:, np.flatnonzero(np.diff(bucket, prepend=-1))]
+        return cls(ids, vectors, codes, np.take_along_axis(places, first, axis=1))
+
+    def row(self) -> dict:
+        """The arrays as bytes, for a table."""
+        return {
+            "ids": self.ids.astype("<i8").tobytes(),
+            "vectors": self.vectors.tobytes(),
+            "single": self.vectors.dtype == np.float32,
+            "codes": self.codes.tobytes(),
+            "edges": self.edges.tobytes(),
+        }
+
+    @classmethod
+    def read(cls, row: dict) -> Index:
+        ids = np.frombuffer(row["ids"], "<i8")
+        kind = np.float32 if row["single"] else np.float64
+        return cls(
+            ids,
+            np.frombuffer(row["vectors"], kind).reshape(len(ids), -1),
+            np.frombuffer(row["codes"], np.uint8).reshape(PROJECTIONS, -1),
+            np.frombuffer(row["edges"], np.float64).reshape(PROJECTIONS, -1),
         )
-        return cuts[:, :, len(WIDTHS) - 1 :: -1], cuts[:, :, len(WIDTHS) :]
+
+    def colliding(self, at: np.ndarray, width: float) -> np.ndarray:
+        """The vectors inside enough of the windows of half a `width` around `at`."""
+        low = np.maximum((self.edges < (at - width)[:, None]).sum(axis=1) - 1, 0)
+        high = np.maximum((self.edges <= (at + width)[:, None]).sum(axis=1) - 1, 0)
+        # Bytes wrap around, so one comparison tests both ends.
+        np.subtract(self.codes, low.astype(np.uint8)[:, None], out=self._moved)
+        np.less_equal(self._moved, (high - low).astype(np.uint8)[:, None], out=self._inside)
+        counts = np.add.reduce(self._inside.view(np.uint8), axis=0, dtype=np.uint8)
+        return np.flatnonzero(counts >= COLLISIONS * PROJECTIONS)
 
     def nearest(
-        self, query_id: int, query: np.ndarray, low: np.ndarray, high: np.ndarray, k: int
-    ) -> tuple[np.ndarray, np.ndarray]:
+        self, query_id: int, query: np.ndarray, k: int, budget: int, start: int
+    ) -> tuple[np.ndarray, np.ndarray, int, int]:
         """The ids and inner products of the `k` best vectors found, best first.
 
-        `low` and `high` are the query's windows, by line and round.
+        Then the step at which `budget` vectors collide, the first one wherever the search
+        starts, and how many were verified.
         """
-        n, length = len(self.ids), float(np.linalg.norm(query))
-        need, enough = int(COLLISIONS * len(self.order)), k + 1 + int(VERIFIED * n)
-        counts = np.zeros(n, np.int64)
-        seen = np.zeros(n, bool)
-        scores = np.full(n, -np.inf)
-        done = 0
-        for turn, width in enumerate(WIDTHS):
-            inner = (low[:, turn - 1], high[:, turn - 1]) if turn else (low[:, 0], low[:, 0])
-            left, right = low[:, turn].tolist(), high[:, turn].tolist()
-            new = [o[i:j] for o, i, j in zip(self.order, left, inner[0].tolist(), strict=True)]
-            new += [o[i:j] for o, i, j in zip(self.order, inner[1].tolist(), right, strict=True)]
-            counts += np.bincount(np.concatenate(new), minlength=n)
-            fresh = np.flatnonzero((counts >= need) & ~seen)
-            if len(fresh):
-                seen[fresh] = True
-                scores[fresh] = self.vectors[fresh] @ query
-                scores[fresh[self.ids[fresh] == query_id]] = -np.inf
-                done += len(fresh)
-            if done >= min(enough, n):
-                break
-            if done > k:
-                # An inner product s is the squared distance 2 - 2 s / (length * longest).
-                best = np.partition(scores, n - k)[n - k]
-                if 2 - 2 * best / (length * self.longest) <= width**2:
-                    break
-        found = np.flatnonzero(scores > -np.inf)
-        kth = np.partition(scores[found], len(found) - k)[len(found) - k] if len(found) > k else -np.inf
-        found = found[scores[found] >= kth]
-        exact = (self.vectors[found] * query).sum(axis=1)
+        at = (query / np.linalg.norm(query)) @ self.lines
+        step, budget = start, min(budget, len(self.ids))
+        found = self.colliding(at, WIDTHS[step])
+        while len(found) < budget:
+            step += 1
+            found = self.colliding(at, WIDTHS[step])
+        while step and len(fewer := self.colliding(at, WIDTHS[step - 1])) >= budget:
+            step, found = step - 1, fewer
+        verified = len(found)
+        found = found[self.ids[found] != query_id]
+        exact = (self.vectors[found].astype(float) * query).sum(axis=1)
         best = np.lexsort((self.ids[found], -exact))[:k]
-        return self.ids[found[best]], exact[best]
+        return self.ids[found[best]], exact[best], step, verified
 
 
-def _answer(vectors: pd.DataFrame, queries: pd.DataFrame, k: int, longest: float) -> pd.DataFrame:
-    out = {"query_id": [], "vec_id": [], "score": []}
-    if len(vectors) and len(queries):
-        index = Index(
-            vectors["vec_id"].to_numpy(), np.stack(vectors["vector"]).astype(float), longest
-        )
-        asked = np.stack(queries["vector"]).astype(float)
-        low, high = index.windows(asked)
-        for i, query_id in enumerate(queries["vec_id"]):
-            ids, scores = index.nearest(query_id, asked[i], low[:, i], high[:, i], k)
-            out["query_id"].append(np.full(len(ids), query_id))
+def _index_block(block: pd.DataFrame, longest: float) -> pd.DataFrame:
+    block = block.sort_values("vec_id", kind="stable")
+    index = Index.build(block["vec_id"].to_numpy(), np.stack(block["vector"]), longest)
+    return pd.DataFrame([{"dimension": block["dimension"].iloc[0], "wide": block["wide"].iloc[0]} | index.row()])
+
+
+def _answer(blocks: pd.DataFrame, queries: pd.DataFrame, k: int, share: float) -> pd.DataFrame:
+    """The answers of one block of vectors, to a block of queries."""
+    out = {n: [] for n in ("query", "query_id", "vec_id", "score", "verified")}
+    for row in blocks.to_dict("records"):
+        index, step = Index.read(row), len(WIDTHS) * 3 // 4
+        budget = k + 1 + int(share * len(index.ids))
+        for query, query_id, vector in zip(queries["query"], queries["vec_id"], queries["vector"], strict=True):
+            ids, scores, step, verified = index.nearest(query_id, vector.astype(float), k, budget, step)
+            for name, value in (("query", query), ("query_id", query_id), ("verified", verified)):
+                out[name].append(np.full(len(ids), value))
             out["vec_id"].append(ids)
             out["score"].append(scores)
-    kinds = {"query_id": np.int64, "vec_id": np.int64, "score": float}
-    return pd.DataFrame(
-        {n: np.concatenate([np.empty(0, kind), *out[n]]) for n, kind in kinds.items()}
-    )
+    kinds = {n: float if n == "score" else np.int64 for n in out}
+    return pd.DataFrame({n: np.concatenate([np.empty(0, kinds[n]), *v]) for n, v in out.items()})
 
 
 def search(
@@ -146,15 +165,17 @@ def search(
 
     `vectors` has ``vec_id`` and ``embedding``; `queries` is a condition that picks the
     rows that ask. Result: ``query_id``, ``rank`` from 1, ``vec_id``, ``score``; equal
-    scores stand by smaller id. Candidates are all rows but those with the query's id.
+    scores stand by smaller id. ``verified`` is how many vectors of the answer's block were
+    verified for the query. Candidates are all rows but those with the query's id.
     Rows without an id, and vectors that are null, zero, or hold a null or a number that
     is not finite, take no part; vectors of different dimensions do not meet. Repeated
-    rows count each. An empty table gives an empty frame. Other columns are ignored.
+    rows count each as candidates, but equal ones ask once. An empty table gives an empty frame. Other columns are ignored.
     """
     rows = vectors.select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
         F.col("embedding").cast("array<double>").alias("vector"),
         queries.alias("asks"),
+        F.monotonically_increasing_id().alias("row"),
     ).where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     rows = rows.select(
         "vec_id",
@@ -162,6 +183,7 @@ def search(
         if dict(vectors.dtypes)["embedding"] == "array<float>"
         else "vector",
         "asks",
+        "row",
         F.size("vector").alias("dimension"),
     )
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
@@ -174,25 +196,38 @@ def search(
     wide = max(1, -(-table.rows // block_vectors))
     deep = max(1, -(-int(table.stats["asking"]) // block_queries))
     longest = float(table.stats["longest"]) or 1.0
+    share = BUDGET / max(table.rows, 1) ** 0.5
 
-    def cells(df: DataFrame, blocks: int, others: int, own: str, other: str) -> DataFrame:
-        """`df` in `blocks` blocks, each of which meets `others` blocks."""
-        return df.withColumn(own, F.pmod(F.xxhash64("vec_id", F.lit(own)), F.lit(blocks))).withColumn(
-            other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(others - 1).cast("bigint")))
-        )
+    def block(count: int, of: str, name: str) -> Column:
+        return F.pmod(F.xxhash64(of), F.lit(count)).alias(name)
 
-    data = cells(table.df.drop("asks"), wide, deep, "wide", "deep")
-    asked = cells(table.df.where("asks").drop("asks"), deep, wide, "deep", "wide")
-    cell = ["dimension", "wide", "deep"]
-
-    def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return _answer(left, right, k, longest)
+    def each(count: int, name: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint"))).alias(name)
 
     importable(ws.spark)
-    found = data.groupBy(*cell).cogroup(asked.groupBy(*cell)).applyInPandas(answer, FOUND)
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    indexed = table.df.select("vec_id", "vector", "dimension", block(wide, "row", "wide"))
+    index = ws.write(
+        "index",
+        indexed.groupBy("dimension", "wide").applyInPandas(lambda b: _index_block(b, longest), INDEX),
+    )
+    # Equal rows ask once; rows that share an id only are told apart by the vector.
+    asked = (
+        table.df.where("asks")
+        .select("vec_id", "vector", "dimension")
+        .dropDuplicates(["vec_id", "vector"])
+        .withColumn("query", F.xxhash64("vec_id", "vector"))
+        .select("*", block(deep, "query", "deep"), each(wide, "wide"))
+    )
+    cell = ["dimension", "wide", "deep"]
+    found = (
+        index.df.select("*", each(deep, "deep"))
+        .groupBy(*cell)
+        .cogroup(asked.groupBy(*cell))
+        .applyInPandas(lambda blocks, queries: _answer(blocks, queries, k, share), FOUND)
+    )
+    best = W.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .select("query_id", "rank", "vec_id", "score", "verified")
     )

@@ -28,7 +28,7 @@ def brute_force(vectors, k, asks):
 def answers(df):
     out = {}
     for r in sorted(df.collect(), key=lambda r: (r["query_id"], r["rank"])):
-        out.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        out.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))  # one query for each id
         assert len(out[r["query_id"]]) == r["rank"]
     return out
 
@@ -70,3 +70,39 @@ def test_odd_rows_and_ties(spark, ws):
     few = answers(neighbours.search(frame(spark, rows[:3]), F.col("vec_id") == 1, ws, 5))
     assert few == {1: [(0, 5.0), (2, 5.0)]}
     assert neighbours.search(table.limit(0), F.col("vec_id") == 0, ws).collect() == []
+
+
+def test_repeated_queries_ask_once(spark, ws):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0])] + [(i, [1.0, i / 10]) for i in range(1, 6)]
+    found = answers(neighbours.search(frame(spark, rows), F.col("vec_id") == 0, ws, 4))
+    assert [i for i, _ in found[0]] == [1, 2, 3, 4]
+    twice = rows + [(3, [1.0, 0.3])]
+    found = answers(neighbours.search(frame(spark, twice), F.col("vec_id") == 0, ws, 4))
+    assert [i for i, _ in found[0]] == [1, 2, 3, 3]
+
+
+def test_the_share_that_is_verified_falls(spark, ws):
+    """Weak neighbours in 64 dimensions; the budget follows the root of the table."""
+    shares = []
+    for n in (1000, 6000):
+        data = np.random.default_rng(n).standard_normal((n, 64))
+        data /= np.linalg.norm(data, axis=1, keepdims=True)
+        vectors = list(enumerate(data))
+        asks = F.col("vec_id") % 50 == 0
+        whole = neighbours.search(frame(spark, vectors), asks, ws, 20, block_vectors=n)
+        shares.append(whole.agg(F.avg("verified")).first()[0] / n)
+        best = brute_force(vectors, 20, lambda i: i % 50 == 0)
+        found = answers(whole)
+        assert np.mean([len({i for i, _ in found[q]} & {i for i, _ in best[q]}) / 20 for q in best]) >= 0.85
+    assert shares[0] < 0.35 and shares[1] < 0.12 and shares[1] < shares[0] / 2
+
+
+def test_the_step_does_not_depend_on_the_start():
+    rng = np.random.default_rng(2)
+    data = rng.standard_normal((500, 16))
+    index = neighbours.Index.build(np.arange(500), data, float(np.linalg.norm(data, axis=1).max()))
+    again = neighbours.Index.read(index.row())
+    for start in (0, 60, len(neighbours.WIDTHS) - 1):
+        for i in (3, 77):
+            a, b = (x.nearest(i, data[i], 5, 60, s) for x, s in ((index, start), (again, 30)))
+            assert a[0].tolist() == b[0].tolist() and a[2:] == b[2:] and a[3] >= 60
