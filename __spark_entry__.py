@@ -255,6 +255,23 @@ def q_candidate_counts(k: int) -> Query:
     return run
 
 
+def q_candidate_counts_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candidate triples counted by walking their tree."""
+    ws = bw.Workspace(spark)
+    ranked = ws.write("rank", brand_rank(spark, sf_dir, BRAND_HIGH)).df
+    names = F.array_sort(F.collect_list(F.struct("rk", "item")))
+    lookup = ranked.agg(F.transform(names, lambda e: e["item"])).scalar()
+    merged = ops.compress_transactions(brand_pruned(spark, sf_dir, BRAND_HIGH))
+    ranks = F.transform("itemset", lambda x: F.array_position(F.col("names"), x).cast("int") - 1)
+    coded = brand_candidates_k3(spark, sf_dir).withColumn("names", lookup)
+    candidates = ws.write("candidates", coded.select(F.sort_array(ranks).alias("itemset")))
+    counts = ops.count_candidates_tree(merged, candidates.df, candidates.rows, 3, 3)
+    named = F.transform("itemset", lambda r: F.get(F.col("names"), r))
+    return counts.withColumn("names", lookup).select(
+        F.array_join(F.sort_array(named), ",").alias("itemset"), "freq"
+    )
+
+
 # --- vertical --------------------------------------------------------------
 
 
@@ -444,6 +461,7 @@ def queries() -> dict[str, Query]:
         ),
         "candidate_counts_k2": q_candidate_counts(2),
         "candidate_counts_k3": q_candidate_counts(3),
+        "candidate_counts_tree": q_candidate_counts_tree,
         "tid_lists": q_tid_lists,
         "tid_list_sizes": q_tid_list_sizes,
         "tid_intersections_k2": q_tid_intersections,
@@ -647,6 +665,10 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT a || ',' || c.b || ',' || c AS itemset, count(*) AS freq FROM c"
         " JOIN b AS x ON x.item = a JOIN b AS y ON y.tid = x.tid AND y.item = c.b"
         " JOIN b AS z ON z.tid = x.tid AND z.item = c GROUP BY 1",
+        "candidate_counts_tree": with_baskets("order_brand", pairs_high, triples)
+        + "SELECT a || ',' || c.b || ',' || c AS itemset, count(*) AS freq FROM c"
+        " JOIN b AS x ON x.item = a JOIN b AS y ON y.tid = x.tid AND y.item = c.b"
+        " JOIN b AS z ON z.tid = x.tid AND z.item = c GROUP BY 1",
         "tid_lists": with_baskets("userday_event")
         + "SELECT item, tid FROM b WHERE item IN"
         f" (SELECT item FROM b GROUP BY item HAVING count(*) >= {EVENT})",

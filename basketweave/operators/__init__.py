@@ -1,6 +1,7 @@
 from basketweave.operators.bitmaps import bitmap_sizes, intersect_bitmap_classes, tid_bitmaps
 from basketweave.operators.candidates import (
     count_candidates,
+    count_candidates_tree,
     extend_occurrences,
     generate_candidates,
     prune_candidates,
@@ -40,6 +41,7 @@ __all__ = [
     "conditional_pattern_base",
     "conditional_transactions",
     "count_candidates",
+    "count_candidates_tree",
     "extend_occurrences",
     "frequent_items",
     "generate_candidates",

@@ -127,3 +127,53 @@ def count_candidates(
     counts = grown.groupBy("itemset").agg(F.sum("w").alias("freq"))
     counts = counts.filter(F.col("freq") >= min_support)
     return counts if first else counts.join(candidates, "itemset", "left_semi")
+
+
+def count_candidates_tree(
+    baskets: DataFrame,
+    candidates: DataFrame,
+    candidate_rows: int,
+    shortest: int,
+    longest: int,
+    min_support: int = 1,
+) -> DataFrame:
+    """How many transactions hold each candidate: ``(itemset, freq)``, in one scan.
+
+    `baskets` are ``(prefix, w)`` and the candidates have `shortest` to `longest` items,
+    in the order of the baskets. The candidates are a tree: the items that may follow each
+    beginning. A basket walks down from the root and meets, of what is left of it, only
+    the children of the node it has reached, so its subsets are never listed. A row that
+    reaches a candidate counts it and goes on. The levels of the tree are broadcast if
+    `candidate_rows` of that length fit the limit.
+    """
+    rows = baskets.select("prefix", "w", F.lit(0).alias("at"), F.array().cast("array<int>").alias("itemset"))
+    rows = rows.filter(F.size("prefix") >= shortest)
+    nothing = F.array().cast("array<int>")
+    for depth in range(longest):
+        node = F.slice("itemset", F.lit(1), F.lit(depth)).alias("itemset")
+        nodes = (
+            candidates.filter(F.size("itemset") > depth)
+            .select(node, F.col("itemset")[depth].alias("next"))
+            .groupBy("itemset")
+            .agg(F.collect_set("next").alias("children"))
+        )
+        met = lookup_join(
+            rows, nodes, "itemset", candidate_rows, itemset_bytes(depth + 1), ["prefix"], "left"
+        )
+        # What is left of the basket; nothing once the row has stopped to count.
+        left = F.when(F.col("at") >= 0, F.slice("prefix", F.col("at") + 1, F.size("prefix")))
+        children = F.coalesce(F.array_intersect(left, F.col("children")), nothing)
+        if depth >= shortest:
+            children = F.concat(F.array(F.lit(None).cast("int")), children)
+        stopped = F.col("item").isNull()
+        rows = met.withColumn("item", F.explode(children)).select(
+            "prefix",
+            "w",
+            F.when(stopped, -1).otherwise(F.array_position("prefix", F.col("item"))).cast("int").alias("at"),
+            F.when(stopped, F.col("itemset")).otherwise(F.concat("itemset", F.array("item"))).alias("itemset"),
+        )
+    counts = rows.groupBy("itemset").agg(F.sum("w").alias("freq")).filter(F.col("freq") >= min_support)
+    known = candidates.select("itemset")
+    return lookup_join(
+        counts, known, "itemset", candidate_rows, itemset_bytes(longest), ["freq"], "left_semi"
+    )

@@ -1,0 +1,55 @@
+"""Candidates counted as a tree, one or two levels at a time."""
+
+import itertools
+import random
+from collections import Counter
+
+import pytest
+
+import basketweave as bw
+from basketweave.functions import joins
+from basketweave.operators import count_candidates_tree
+from basketweave.plans import mine_apriori
+from tests.conftest import brute_force, collected, rows_frame
+
+
+def merged(spark, seed=1):
+    rng = random.Random(seed)
+    counts = Counter(tuple(sorted(rng.sample(range(9), rng.randint(0, 7)))) for _ in range(120))
+    return spark.createDataFrame([(list(p), w) for p, w in counts.items()], "prefix ARRAY<INT>, w BIGINT"), counts
+
+
+@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 0])
+def test_candidates_of_several_lengths(spark, monkeypatch, limit):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
+    baskets, counts = merged(spark)
+    rng = random.Random(2)
+    wanted = [c for k in (3, 4) for c in rng.sample(list(itertools.combinations(range(10), k)), 40)]
+    candidates = spark.createDataFrame([(list(c),) for c in wanted], "itemset ARRAY<INT>")
+    found = count_candidates_tree(baskets, candidates, len(wanted), 3, 4).collect()
+    want = {c: sum(w for b, w in counts.items() if set(c) <= set(b)) for c in wanted}
+    assert {tuple(r["itemset"]): r["freq"] for r in found} == {c: n for c, n in want.items() if n}
+    assert len(found) == len({tuple(r["itemset"]) for r in found})
+
+
+def test_no_candidates_and_no_baskets(spark):
+    baskets, _ = merged(spark)
+    none = spark.createDataFrame([], "itemset ARRAY<INT>")
+    assert count_candidates_tree(baskets, none, 0, 3, 3).collect() == []
+    one = spark.createDataFrame([([0, 1, 2],)], "itemset ARRAY<INT>")
+    assert count_candidates_tree(baskets.limit(0), one, 1, 3, 3).collect() == []
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+@pytest.mark.parametrize("max_len", [None, 3, 4, 5])
+def test_levels_counted_together(spark, monkeypatch, few, max_len):
+    written = []
+    write = bw.Workspace.write
+    monkeypatch.setattr(
+        bw.Workspace, "write", lambda ws, name, *a, **k: written.append(name) or write(ws, name, *a, **k)
+    )
+    baskets = [list("abcdefg")] * 3 + [list("abcd"), list("bcde"), list("xy"), []]
+    found = collected(mine_apriori(bw.Workspace(spark), rows_frame(spark, baskets), 3, max_len, few))
+    assert found == brute_force(baskets, 3, max_len)
+    if max_len is None:  # levels 3 to 7 one by one, or as 3 and 4, 5 and 6, 7
+        assert written.count("level") == (6 if few == 0 else 4)
