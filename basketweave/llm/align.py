@@ -3,7 +3,9 @@
 Every text is tokenised whole by both. Where the next token of both begins with a space
 and both have covered the same bytes, an anchor cuts the text; between two anchors lies a
 window, mostly a word, as a tuple of ids on either side. What a window's groups and links
-are depends on its ids only, so each pair of tuples is aligned once and remembered.
+are depends on its ids only: the windows of a batch of texts are looked up by a hash of
+their ids, compared with the first window of that hash, and each distinct pair of tuples
+is aligned once.
 
 A group is a stretch between two byte offsets at which tokens of both end and none lies
 between; a link joins two tokens that end at one offset. How often two ids are linked is
@@ -12,11 +14,13 @@ counted over the whole corpus, and tells how well a link fits.
 
 from __future__ import annotations
 
+import json
 import os
-from collections import Counter
-from itertools import accumulate
+from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,16 +29,25 @@ from basketweave.llm.common import held, map_batches
 from basketweave.llm.tokens import Letters
 from basketweave.workspace import Workspace
 
-# Texts that are tokenised together; wider windows are aligned anew each time.
-TEXTS, WIDE = 64, 64
-# What a worker remembers of windows; what one takes, and each of its ids besides, in the
-# tuples, the text and the pairs; and a broadcast row of counts.
-WINDOW_BYTES, ENTRY_BYTES, ID_BYTES = 64 << 20, 350, 40
+# Characters of the texts that are aligned together; a longer one is by itself.
+BATCH_CHARS = 1 << 20
+# A broadcast row of counts.
 COUNT_BYTES = 48
 
+_MIXERS = np.random.default_rng(12).integers(1, 1 << 63, 3, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+# How byte-level tokenizers part a text if they use their built-in pattern.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 
 class ByteLevel:
-    """A file of the tokenizers library with a byte-level alphabet."""
+    """A file of the tokenizers library with a byte-level alphabet.
+
+    If the file merges in the order of its ids and uses the built-in pattern without any
+    normaliser, as is checked, its ids are ranks. A faster library then gives the same
+    ids; a text that is too much for its pattern goes through the file's own.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
@@ -48,12 +61,48 @@ class ByteLevel:
         for token, i in vocabulary.items():
             known = all(c in byte_of for c in token)
             self.pieces[i] = bytes(byte_of[c] for c in token) if known else token.encode()
+        self._ranks = self._ranked(json.loads(self._tokenizer.to_str()))
+
+    def _ranked(self, file: dict):
+        """The encoder by ranks, if the file allows it."""
+        import tiktoken
+
+        model, parts, vocabulary = file["model"], file["pre_tokenizer"] or {}, file["model"]["vocab"]
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
+        made = [vocabulary.get("".join(m)) for m in merges]
+        plain = (
+            model["type"] == "BPE"
+            and file["normalizer"] is None
+            and parts.get("type") == "ByteLevel"
+            and parts.get("use_regex", True)
+            and not parts.get("add_prefix_space")
+            and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+            and None not in made
+            and made == sorted(set(made))
+            and {i for i in vocabulary.values() if len(self.pieces[i]) > 1} >= set(made)
+            and all(t["special"] for t in file["added_tokens"])
+        )
+        if not plain:
+            return None
+        single = {self.pieces[i]: i for i in vocabulary.values() if len(self.pieces[i]) == 1}
+        ranks = single | {self.pieces[i]: i for i in made}
+        if len(single) != 256 or len(ranks) != 256 + len(made):
+            return None
+        return tiktoken.Encoding("file", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
+
+    def _one(self, text: str) -> list[int]:
+        try:
+            return self._ranks.encode_ordinary(text)
+        except BaseException as error:  # a panic is no Exception
+            if isinstance(error, (KeyboardInterrupt, SystemExit)):
+                raise
+            return self._tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self._tokenizer.encode_batch_fast(
-            [" " + t for t in texts], add_special_tokens=False
-        )
-        return [x.ids for x in found]
+        spaced = [" " + t for t in texts]
+        if self._ranks:
+            return [self._one(t) for t in spaced]
+        return [x.ids for x in self._tokenizer.encode_batch_fast(spaced, add_special_tokens=False)]
 
 
 class Pieces:
@@ -85,91 +134,145 @@ def vocabulary(path: str) -> int:
     return len(reader(path).pieces)
 
 
+@dataclass(frozen=True)
+class Aligned:
+    """Aligned stretches, one after another: how many groups and links, and these."""
+
+    groups: np.ndarray
+    texts: pa.Array  # each group of a stretch, ended by a semicolon
+    links: np.ndarray
+
+
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    """Where stretches of these sizes begin, and where the last one ends."""
+    return np.concatenate(([0], np.cumsum(sizes)))
+
+
+def _members(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all members of stretches that begin and are as long as given."""
+    ends = _starts(sizes)
+    return np.arange(ends[-1]) + np.repeat(starts - ends[:-1], sizes)
+
+
+def _joined(texts: pa.Array, sizes: np.ndarray) -> pa.Array:
+    """Neighbouring texts as one, so many at a time."""
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1]
+    kept = pa.py_buffer(np.ascontiguousarray(offsets[_starts(sizes)]))
+    return pa.LargeStringArray.from_buffers(len(sizes), kept, texts.buffers()[2])
+
+
 class Aligner:
-    """Aligns the ids of two tokenizers, remembering windows."""
+    """Aligns the ids of two tokenizers. Every token has a byte at least."""
 
     def __init__(self, first: str, second: str):
-        self.first, self.second = reader(first), reader(second)
-        self.size = len(self.second.pieces)
-        self._sizes, self._shown, self._lengths, self._spaced = [], [], [], []
-        for side in (self.first, self.second):
-            self._sizes.append([len(p) for p in side.pieces])
-            self._shown.append([str(i) for i in range(len(side.pieces))])
-            self._lengths.append(np.array(self._sizes[-1], np.int64))
-            self._spaced.append(np.array([p[:1] == b" " for p in side.pieces]))
-        self._windows: dict[tuple, tuple] = {}
-        self._room = WINDOW_BYTES
+        self.sides = reader(first), reader(second)
+        self.size = len(self.sides[1].pieces)
+        self.pairs = len(self.sides[0].pieces) * self.size
+        self._lengths = [np.array([len(p) for p in s.pieces], np.int64) for s in self.sides]
+        self._spaced = [np.array([p[:1] == b" " for p in s.pieces]) for s in self.sides]
+        # An id with what follows it: another one of its side, or the end of it.
+        self._shown = [
+            pa.array([f"{i}{mark}" for i in range(len(s.pieces)) for mark in (",", end)])
+            for s, end in zip(self.sides, "|;", strict=True)
+        ]
 
     def tokens(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """The ids of both per text; none where either does not give back the bytes."""
         out = []
-        for text, a, b in zip(texts, self.first.encode(texts), self.second.encode(texts), strict=True):
+        for text, *ids in zip(texts, *(s.encode(texts) for s in self.sides), strict=True):
             whole = b" " + text.encode()
             same = text and all(
-                b"".join(map(side.pieces.__getitem__, ids)) == whole
-                for side, ids in ((self.first, a), (self.second, b))
+                b"".join(map(side.pieces.__getitem__, found)) == whole
+                for side, found in zip(self.sides, ids, strict=True)
             )
-            out.append((a, b) if same else ([], []))
+            out.append(tuple(ids) if same else ([], []))
         return out
 
-    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[int, str, tuple[int, ...]]:
-        """How many groups two id tuples over the same bytes have, their text, their links.
-
-        Every token has a byte at least, so one token of each side ends at an offset.
-        """
-        sizes_a, sizes_b = self._sizes
-        shown_a, shown_b = self._shown
-        ends_b = list(accumulate([sizes_b[i] for i in b]))
-        common = set(ends_b)
-        groups, links, text, end, at = 0, [], "", 0, 0
-        for i in a:
-            end += sizes_a[i]
-            text += shown_a[i]
-            if end in common:
-                after = ends_b.index(end, at) + 1
-                text += "|" + ",".join([shown_b[j] for j in b[at:after]]) + ";"
-                links.append(i * self.size + b[after - 1])
-                at = after
-                groups += 1
-            else:
-                text += ","
-        return groups, text[:-1], tuple(links)
-
-    def _known(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[int, str, tuple[int, ...]]:
-        found = self.window(a, b)
-        ids = len(a) + len(b)
-        if ids <= WIDE:
-            size = ENTRY_BYTES + ID_BYTES * ids
-            if size > self._room:
-                self._windows.clear()
-                self._room = WINDOW_BYTES
-            self._room -= size
-            self._windows[a, b] = found
-        return found
-
-    def _anchors(self, ids: list[int], side: int) -> tuple[np.ndarray, np.ndarray]:
-        """The offset at which each token ends, and those that a spaced token follows."""
-        ids = np.array(ids, np.int64)
-        ends = np.cumsum(self._lengths[side][ids])
-        return ends, ends[:-1][self._spaced[side][ids[1:]]]
-
-    def align(self, a: list[int], b: list[int]) -> tuple[int, str, list[int]]:
-        """The groups of a document: their number, their text and all links."""
-        if not a:
-            return 0, "", []
-        ends_a, marked_a = self._anchors(a, 0)
-        ends_b, marked_b = self._anchors(b, 1)
-        shared = np.intersect1d(marked_a, marked_b)
-        cuts_a = [0, *np.searchsorted(ends_a, shared, "right").tolist(), len(a)]
-        cuts_b = [0, *np.searchsorted(ends_b, shared, "right").tolist(), len(b)]
-        known, parts, links, groups, a, b = self._windows.get, [], [], 0, tuple(a), tuple(b)
-        for i, to_i, j, to_j in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:], strict=False):
-            key = a[i:to_i], b[j:to_j]
-            found = known(key) or self._known(*key)
-            groups += found[0]
-            parts.append(found[1])
-            links += found[2]
-        return groups, ";".join(parts), links
+    def groups(self, ids: list[np.ndarray], sizes: list[np.ndarray]) -> Aligned:
+        """Align stretches of so many ids each, over the same bytes."""
+        ends = [np.cumsum(n[i]) for n, i in zip(self._lengths, ids, strict=True)]
+        common = np.intersect1d(*ends, assume_unique=True)
+        last = [np.searchsorted(e, common) for e in ends]
+        links = ids[0][last[0]] * self.size + ids[1][last[1]]
+        stretch = np.searchsorted(_starts(sizes[0])[1:], last[0], "right")
+        counts = np.bincount(stretch, minlength=len(sizes[0]))
+        # The texts of all ids in the order of their groups, the first side before the second.
+        shown, order = [], []
+        for side, (i, e, at) in enumerate(zip(ids, ends, last, strict=True)):
+            ended = np.zeros(len(i), np.int64)
+            ended[at] = 1
+            shown.append(self._shown[side].take(pa.array(2 * i + ended)))
+            order.append(2 * np.searchsorted(common, e) + side)
+        keys = np.concatenate(order)
+        texts = pa.concat_arrays(shown).take(pa.array(np.argsort(keys, kind="stable")))
+        return Aligned(counts, _joined(texts, sizes[0] + sizes[1]), links)
+
+    def _windows(self, ids: list[np.ndarray]) -> list[np.ndarray]:
+        """How many ids of each side the windows between anchors have."""
+        ends = [np.cumsum(n[i]) for n, i in zip(self._lengths, ids, strict=True)]
+        marked = [
+            e[np.append(spaced[i[1:]], True)] for e, i, spaced in zip(ends, ids, self._spaced, strict=True)
+        ]
+        anchors = np.intersect1d(*marked, assume_unique=True)
+        return [np.diff(np.searchsorted(e, anchors, "right"), prepend=0) for e in ends]
+
+    @staticmethod
+    def _distinct(ids: list[np.ndarray], sizes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The first of each kind of window, and the kind of every window."""
+        key = np.zeros(len(sizes[0]), np.uint64)
+        starts = [_starts(n)[:-1] for n in sizes]
+        for i, n, at, odd in zip(ids, sizes, starts, _MIXERS, strict=False):
+            place = (np.arange(len(i)) - np.repeat(at, n)).astype(np.uint64)
+            mixed = (i.astype(np.uint64) + np.uint64(1)) * odd
+            mixed = (mixed ^ (mixed >> np.uint64(29))) * (place * _MIXERS[2] | np.uint64(1))
+            key = key * odd + np.add.reduceat(mixed ^ (mixed >> np.uint64(32)), at)
+        _, first, kind = np.unique(key, return_index=True, return_inverse=True)
+        of = first[kind]
+        same = all(np.array_equal(n[of], n) for n in sizes) and all(
+            np.array_equal(i[_members(at[of], n)], i) for i, at, n in zip(ids, starts, sizes, strict=True)
+        )
+        # Windows that share a hash only are not told apart by it; then each stands alone.
+        every = np.arange(len(key))
+        return (first, kind) if same else (every, every)
+
+    def align(self, tokens: list[tuple[list[int], list[int]]]) -> Aligned:
+        """The groups of texts, from the ids of both sides of each."""
+        ids = [np.concatenate([np.empty(0, np.int64), *(t[side] for t in tokens)]).astype(np.int64) for side in (0, 1)]
+        per_text = [np.array([len(t[side]) for t in tokens], np.int64) for side in (0, 1)]
+        if not len(ids[0]):
+            return Aligned(np.zeros(len(tokens), np.int64), pa.array([""] * len(tokens)), np.empty(0, np.int64))
+        sizes = self._windows(ids)
+        first, kind = self._distinct(ids, sizes)
+        known = self.groups(
+            [i[_members(_starts(n)[first], n[first])] for i, n in zip(ids, sizes, strict=True)],
+            [n[first] for n in sizes],
+        )
+        # The alignments of the kinds, window by window, then text by text.
+        groups = known.groups[kind]
+        links = known.links[_members(_starts(known.groups)[kind], groups)]
+        cuts = np.searchsorted(_starts(sizes[0]), _starts(per_text[0]))
+        texts = _joined(known.texts.take(pa.array(kind)), np.diff(cuts))
+        return Aligned(np.diff(_starts(groups)[cuts]), pc.utf8_slice_codeunits(texts, 0, -1), links)
+
+    def counted(self, aligned: Aligned) -> tuple[pa.Array, pa.Array]:
+        """The distinct links of each text and how often it has them, as lists."""
+        text = np.repeat(np.arange(len(aligned.groups)), aligned.groups)
+        found, times = np.unique(text * self.pairs + aligned.links, return_counts=True)
+        cuts = np.searchsorted(found, np.arange(len(aligned.groups) + 1) * self.pairs).astype(np.int32)
+        return tuple(pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (found % self.pairs, times))
+
+
+def _batches(texts: list[str]):
+    """Where batches of about BATCH_CHARS begin and end."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > BATCH_CHARS:
+            yield start, i
+            start, size = i, 0
+        size += len(text)
+    if start < len(texts):
+        yield start, len(texts)
 
 
 def align(docs: DataFrame, first: str, second: str) -> DataFrame:
@@ -188,15 +291,17 @@ def align(docs: DataFrame, first: str, second: str) -> DataFrame:
 
         def step(ids, texts):
             names = ("n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times")
-            out = {"doc_id": ids} | {n: [] for n in names}
-            for at in range(0, len(ids), TEXTS):
-                for a, b in aligner.tokens([t or "" for t in texts[at : at + TEXTS]]):
-                    groups, text, links = aligner.align(a, b)
-                    counts = Counter(links)
-                    row = (len(a), len(b), groups, len(links), text, list(counts), list(counts.values()))
-                    for name, value in zip(names, row, strict=True):
-                        out[name].append(value)
-            return out
+            out = {n: [] for n in names}
+            texts = [t or "" for t in texts]
+            for start, end in _batches(texts):
+                tokens = aligner.tokens(texts[start:end])
+                found = aligner.align(tokens)
+                sizes = [pa.array([len(t[side]) for t in tokens], pa.int64()) for side in (0, 1)]
+                groups = pa.array(found.groups, pa.int64())
+                columns = (*sizes, groups, groups, found.texts.cast(pa.string()), *aligner.counted(found))
+                for name, column in zip(names, columns, strict=True):
+                    out[name].append(column)
+            return {"doc_id": ids} | {n: pa.concat_arrays(c) for n, c in out.items()}
 
         return step
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -84,26 +85,59 @@ def test_agrees_with_brute_force(spark, ws, noise):
     assert sum(r["n_a"] > 0 for r in rows) >= len(texts) - 5
 
 
-def test_windows_that_were_forgotten_align_alike(noise):
-    aligner, small = align.Aligner(FIRST, SECOND), align.Aligner(FIRST, SECOND)
-    small._room = 0
-    for a, b in aligner.tokens(noise):
-        found = aligner.align(a, b)
-        small._windows.clear()
-        assert small.align(a, b) == found
-        assert found[1] == aligner.window(tuple(a), tuple(b))[1]
+def test_windows_align_as_whole_texts_do(noise, monkeypatch):
+    """Through distinct windows, through all windows where a hash is shared, and at once."""
+    aligner = align.Aligner(FIRST, SECOND)
+    tokens = aligner.tokens([*noise, "", "x" * 50])
+    found = aligner.align(tokens)
+    for t, text, n in zip(tokens, found.texts.to_pylist(), found.groups, strict=True):
+        if t[0]:
+            whole = aligner.groups([np.array(i) for i in t], [np.array([len(i)]) for i in t])
+            assert whole.texts.to_pylist() == [text + ";"] and whole.groups.tolist() == [n]
+    monkeypatch.setattr(align, "_MIXERS", align._MIXERS * np.uint64(0))
+    again = aligner.align(tokens)
+    assert again.texts.equals(found.texts) and again.links.tolist() == found.links.tolist()
+
+
+def test_equal_windows_are_aligned_once(monkeypatch):
+    aligner, asked = align.Aligner(FIRST, SECOND), []
+    groups = align.Aligner.groups
+    monkeypatch.setattr(
+        align.Aligner, "groups", lambda self, ids, sizes: asked.append(len(sizes[0])) or groups(self, ids, sizes)
+    )
+    aligner.align(aligner.tokens(["word another " * 50, "another word " * 30]))
+    assert asked[0] <= 6
+
+
+def test_ranks_give_the_ids_of_the_file(noise):
+    """The faster encoder against the library, on odd, random and overlong texts."""
+    from tokenizers import Tokenizer
+
+    side = align.ByteLevel(FIRST)
+    assert side._ranks
+    rng = random.Random(8)
+    letters = "aZé漢🙂 '  \t\n\r\u00a0\u2003x09.,'s'll<|>-_\x00\x85\u3000Ⅷ½ǅ"
+    texts = ["".join(rng.choices(letters, k=rng.randint(1, 80))) for _ in range(800)]
+    texts += [t or "" for t in TEXTS] + noise + ["a" * 100_000, " " * 50_000 + "x", "\n" * 30_000, "ab" * 40_000]
+    library = Tokenizer.from_file(FIRST)
+    library.encode_special_tokens = True
+    want = [x.ids for x in library.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    assert side.encode(texts) == want
+    side._ranks = None
+    assert side.encode(texts) == want
 
 
 def test_special_strings_are_plain_text():
     aligner = align.Aligner(FIRST, SECOND)
     (a, b), = aligner.tokens(["<|endoftext|> <s>"])
-    assert 50256 not in a and 1 not in b and a and b
+    assert a and b and 50256 not in a and 1 not in b
 
 
 def test_long_text_and_links_past_the_broadcast(spark, ws, noise, monkeypatch):
     texts = [" ".join(noise * 40), *noise]
     whole = run(spark, documents(spark, texts), ws).orderBy("doc_id").collect()
     monkeypatch.setattr(align, "COUNT_BYTES", 1 << 40)
+    monkeypatch.setattr(align, "BATCH_CHARS", 500)
     assert run(spark, documents(spark, texts), ws).orderBy("doc_id").collect() == whole
     assert whole[0]["n_a"] > 30_000
 
