@@ -125,7 +125,7 @@ j AS (SELECT u.page_id, host, path, rule, verdict FROM u LEFT JOIN f USING (n)),
 e AS (
   SELECT src, dst, count(*) AS n FROM (
     SELECT host AS src, coalesce({host.format("CASE WHEN starts_with(l, '//') THEN 'x:' || l ELSE l END")}, '') AS dst FROM (
-      SELECT host, unnest(regexp_extract_all(html, '{link}', 1)) AS l FROM u) WHERE contains(l, '//'))
+      SELECT host, unnest(regexp_extract_all(html, '{link}', 1)) AS l FROM u) WHERE regexp_matches(l, '{urls.ABSOLUTE}'))
   WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY 1, 2),
 w AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS go, n / sum(n) OVER (PARTITION BY dst) AS back FROM e),
 z AS (

@@ -30,6 +30,7 @@ TOLERANCE = 1e-6
 LIMIT = 0.5
 HOST_BYTES = 96
 
+ABSOLUTE = r"^([A-Za-z][A-Za-z0-9+.\-]*:)?//"
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
 
 
@@ -77,14 +78,18 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def host_links(pages: DataFrame) -> DataFrame:
-    """``src``, ``dst`` and ``n``: the links of `pages` between different hosts."""
+    """``src``, ``dst`` and ``n``: the links of `pages` between different hosts.
+
+    A link names a host if it begins with ``//`` or a scheme and ``://``; any other one
+    stays on its host, whatever stands in its path or query.
+    """
     links = F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)))
     full = F.when(F.startswith("link", F.lit("//")), F.concat(F.lit("x:"), F.col("link"))).otherwise(
         F.col("link")
     )
     return (
         pages.select(host_of(F.col("url")).alias("src"), links.alias("link"))
-        .where(F.contains("link", F.lit("//")))
+        .where(F.col("link").rlike(ABSOLUTE))
         .select("src", host_of(full).alias("dst"))
         .where("src <> '' AND dst <> '' AND src <> dst")
         .groupBy("src", "dst")

@@ -131,3 +131,19 @@ def test_odd_tables(spark, ws, web):
     assert {(r["rule"], r["verdict"]) for r in free} == {(None, "allow")}
     plan = urls.judge(pages, ws, RULES)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Cartesian" not in plan
+
+
+def test_relative_links_name_no_host(spark, ws):
+    """An address in the query or the path of a link is not where the link goes."""
+    html = " ".join(
+        f'<a href="{u}">x</a>'
+        for u in ("/go?u=http://bad.net/es/", "next//bad.net/es/", "?//bad.net", "#http://bad.net/es/")
+    )
+    out = '<a href="//far.org/x"></a><a href="HTTPS://Far.org/y"></a>'
+    pages = spark.createDataFrame(
+        [(1, "http://a.org/", html), (2, "http://bad.net/es/", None), (3, "http://b.org/", out)], PAGE
+    )
+    links = [tuple(r) for r in urls.host_links(pages).collect()]
+    assert links == [("b.org", "far.org", 2)]
+    found = {r["page_id"]: r["verdict"] for r in urls.judge(pages, ws, RULES).collect()}
+    assert found == {1: "allow", 2: "block", 3: "allow"}
