@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketweave.llm.common import map_arrow
@@ -137,29 +138,69 @@ def copy_archive(ledger: DataFrame, ws: Workspace, source: str, target: str, dri
     ws.write("copied", map_arrow(rows.df.repartition(max(1, rows.rows)), run, "file string, size long"))
 
 
+def _digest(file, start: int, end: int | None) -> str:
+    """The hash of a file's bytes from `start` to `end`, or to where the file ends."""
+    file.seek(start)
+    found, left = hashlib.sha256(), end
+    while data := file.read(COPY_BYTES if left is None else min(COPY_BYTES, left - start)):
+        found.update(data)
+        start += len(data)
+    return found.hexdigest()
+
+
 def hash_records(ledger: DataFrame, folder: str) -> DataFrame:
-    """The leaves of a replica: per record of `ledger` the hash of its bytes in `folder`.
+    """The leaves of a replica: for each record of `ledger` the hash of its bytes in `folder`.
 
-    Records are read by their offset ranges, in parallel and in any order. What is
-    missing from a file, or a missing file, hashes as what is there.
+    Every byte is in a leaf: that of a record begins where the record before it ends, and
+    that of the last one goes on to the end of the file. A file in the folder that the
+    ledger does not have is a leaf of its own. What is missing from a file, or a missing
+    file, hashes as what is there. Files are read in parallel, each in order.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
-        name, file = None, None
+        name, file = None, io.BytesIO()
         for batch in batches:
             rows = []
-            for of, seq, start, end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for of, seq, start, end, begin, stop in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if of != name:
+                    file.close()
                     info = store.get_file_info(f"{root}/{of}")
                     missing = info.type != fs.FileType.File
                     name, file = of, io.BytesIO() if missing else store.open_input_file(f"{root}/{of}")
-                file.seek(start)
-                rows.append((of, seq, start, end, hashlib.sha256(file.read(end - start)).hexdigest()))
+                rows.append((of, seq, start, end, _digest(file, begin, stop)))
             yield _batch(rows, LEAF)
+        file.close()
+
+    order = W.partitionBy("file").orderBy("seq")
+    places = ledger.select(
+        "file",
+        "seq",
+        "start",
+        "end",
+        F.coalesce(F.lag("end").over(order), F.lit(0)).alias("begin"),
+        F.when(F.lead("seq").over(order).isNotNull(), F.col("end")).alias("stop"),
+    )
+    return map_arrow(places.unionAll(_strays(ledger, folder)), run, LEAF)
+
 
-    places = ledger.select("file", "seq", "start", "end")
-    return map_arrow(places, run, LEAF)
+def _strays(ledger: DataFrame, folder: str) -> DataFrame:
+    """The files in a folder that are not in `ledger`, as one place each.
+
+    Names that begin with a dot or an underscore do not count, as Spark reads none.
+    """
+    spark = ledger.sparkSession
+    store, root = fs.FileSystem.from_uri(folder)
+    nothing = "file string, seq long, start long, end long, begin long, stop long"
+    if store.get_file_info(root).type != fs.FileType.Directory:
+        return spark.createDataFrame([], nothing)
+    zero = F.lit(0).cast("bigint")
+    listed = spark.read.format("binaryFile").load(folder).select(
+        F.substring_index("path", "/", -1).alias("file"), F.col("length").alias("end")
+    )
+    return listed.join(ledger.select("file").distinct(), "file", "left_anti").select(
+        "file", zero.alias("seq"), zero.alias("start"), "end", zero.alias("begin"), F.lit(None).cast("bigint").alias("stop")
+    )
 
 
 @dataclass(frozen=True)
@@ -192,8 +233,8 @@ def build_tree(leaves: DataFrame, ws: Workspace) -> Tree:
 def audit(one: Tree, other: Tree, ws: Workspace) -> DataFrame:
     """The records in which two replicas differ: ``file``, ``node``, ``start``, ``end``.
 
-    Both trees stand over the same ledger. Below the roots, only children of nodes that
-    differ are compared.
+    The trees stand over the same ledger; a file that only one replica has beyond it
+    differs, too. Below the roots, only children of nodes that differ are compared.
     """
     suspects = None
     for a, b in zip(reversed(one.levels), reversed(other.levels), strict=True):
@@ -205,5 +246,8 @@ def audit(one: Tree, other: Tree, ws: Workspace) -> DataFrame:
                 for x in (a, b)
             )
         same = ["file", "node", "start", "end", "hash"]
-        suspects = ws.write("suspects", a.select(*same).join(b.select(*same), same, "left_anti")).df
+        a, b = a.select(*same), b.select(*same)
+        differ = a.join(b, same, "left_anti").unionAll(b.join(a, same, "left_anti"))
+        places = F.min("start").alias("start"), F.max("end").alias("end")
+        suspects = ws.write("suspects", differ.groupBy("file", "node").agg(*places)).df
     return suspects.select("file", "node", "start", "end")

@@ -91,6 +91,39 @@ def test_cut_and_missing_files(archive, spark):
     assert found == differ and len(found) > 200
 
 
+def test_bytes_and_files_outside_the_ledger(archive, spark):
+    places = []
+
+    def hurt(folder, ledger):
+        path = sorted(folder.glob("*.gz"))[0]
+        path.write_bytes(path.read_bytes() + b"more")
+        (folder / "stray.bin").write_bytes(b"x" * 10)
+        last = ledger.where(F.col("file") == path.name).agg(F.max("seq")).first()[0]
+        places.extend([(path.name, last), ("stray.bin", 0)])
+
+    found, differ = damaged(archive, spark, hurt)
+    assert not differ and found == set(places)
+
+
+def test_bytes_between_records(archive, spark):
+    """A ledger that leaves some records out; their bytes are still audited."""
+    rows, ws, folder, ledger = archive
+    sparse = ledger.where("seq % 5 <> 2")
+    found, _ = damaged((rows, ws, folder, sparse), spark, lambda at, _: [
+        flip(at / r["file"], [r["start"]]) for r in ledger.where("seq = 7").collect()
+    ])
+    assert found == {(r["file"], 8) for r in ledger.where("seq = 7").collect()}
+
+
+def test_a_very_long_page(spark, monkeypatch):
+    monkeypatch.setattr(warc, "COPY_BYTES", 1 << 16)
+    ws = Workspace(spark)
+    pages = spark.createDataFrame([(1, "u", "".join(map(str, range(200_000)))), (2, "v", "short")], PAGE).coalesce(1)
+    ledger = warc.write_archive(pages, ws, f"{ws.path}/one")
+    rows = {r["node"]: r["hash"] for r in warc.hash_records(ledger, f"{ws.path}/one").collect()}
+    assert rows == {r["seq"]: r["sha256"] for r in ledger.collect()}
+
+
 def test_the_drill(archive, spark):
     from zlib import crc32
 
