@@ -26,6 +26,8 @@ from basketweave.llm.common import filter_batches, held, map_batches
 
 # Edits that are allowed, as a share of an item's normalised characters.
 ERROR_RATE = 0.06
+# An item with fewer normalised characters says nothing about where it comes from.
+LEAST_CHARS = 8
 # Characters of normalised items in one broadcast block.
 BLOCK_CHARS = 2_000_000
 
@@ -127,6 +129,11 @@ class Finder:
                 starts.setdefault(n, []).append(last + 1 - size - place)
         for n, found in starts.items():
             pattern, best = self.patterns[n], None
+            if not pattern.k:
+                whole = (s for s in sorted(found) if self._is_whole(text, s, s + pattern.size))
+                if (start := next(whole, None)) is not None:
+                    yield self.ids[n], 0, start, start + pattern.size
+                continue
             for start, end in self._windows(sorted(found), pattern):
                 hit = pattern.best(text, max(0, start), end)
                 if hit and (best is None or hit[0] < best[0]):
@@ -134,6 +141,11 @@ class Finder:
             if best:
                 yield self.ids[n], *best
 
+    @staticmethod
+    def _is_whole(text: str, start: int, end: int) -> bool:
+        """Whether a stretch begins and ends with a word of the text."""
+        return text[start - 1 : start] in ("", " ") and text[end : end + 1] in ("", " ")
+
     @staticmethod
     def _windows(starts: list[int], pattern: Pattern) -> Iterator[tuple[int, int]]:
         """The stretches that the hits allow, overlapping ones as one."""
@@ -158,7 +170,7 @@ def _blocks(items: DataFrame, limit: int) -> Iterator[list[tuple[int, str]]]:
     rows = items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL")
     for row in rows.dropDuplicates().orderBy("item_id", "text").toLocalIterator():
         text = normalise(row["text"])
-        if not text:
+        if len(text) < LEAST_CHARS:
             continue
         if block and size + len(text) > limit:
             yield block
@@ -190,7 +202,8 @@ def find_matches(
     end among equals). Rows of either table without text or letters, and items without
     an id, match nothing; a repeated row gives repeated matches, items that share an id
     count as one, by their closest text. An item too short for one edit must occur
-    exactly. Empty tables give an empty frame.
+    exactly, as whole words, and one of fewer than LEAST_CHARS normalised characters
+    matches nothing. Empty tables give an empty frame.
     """
     schema = "doc_id bigint, item_id bigint, distance int, start int, end int"
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))

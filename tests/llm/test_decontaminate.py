@@ -95,3 +95,14 @@ def test_empty_tables(spark, cases):
     assert dc.decontaminate(docs, bench).count() == len(texts)
     bench = spark.createDataFrame([(0, items[0])], "item_id BIGINT, text STRING")
     assert dc.find_matches(docs.limit(0), bench).collect() == []
+
+
+def test_short_items_match_whole_words_only(spark):
+    texts = ["yesterday was fine", "yes", "the red house", "the red houses", "a red house!", "xred house"]
+    bench = spark.createDataFrame([(0, "yes"), (1, "a"), (2, "Red house")], "item_id BIGINT, text STRING")
+    found = dc.find_matches(documents(spark, texts), bench).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["distance"], r["start"], r["end"]) for r in found) == [
+        (2, 2, 0, 4, 13), (4, 2, 0, 2, 11),
+    ]
+    kept = dc.decontaminate(documents(spark, texts), bench).collect()
+    assert sorted(r["doc_id"] for r in kept) == [0, 1, 3, 5]
