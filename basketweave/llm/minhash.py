@@ -19,9 +19,10 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basketweave.functions.joins import fits_broadcast
+from basketweave.functions.joins import fits_broadcast, lookup_join
 from basketweave.llm.common import Memo, held, map_batches
 from basketweave.workspace import Table, Workspace
 
@@ -87,6 +88,12 @@ def bands(sets: list[np.ndarray]) -> np.ndarray:
     return keys
 
 
+def _name(shingle_set: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set, as two signed numbers."""
+    name = xxhash.xxh3_128_intdigest(shingle_set.tobytes())
+    return (name >> 64) - (1 << 63), (name & (1 << 64) - 1) - (1 << 63)
+
+
 def _chunks(sets: list[np.ndarray]):
     chunk, size = [], 0
     for s in sets:
@@ -100,48 +107,76 @@ def _chunks(sets: list[np.ndarray]):
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles``, a 128-bit name of the set and its band keys."""
+    """``doc_id``, ``n_shingles``, a 128-bit name of the set, its band keys, a hash of the text."""
 
     def make():
-        def step(ids, texts):
-            out = {"doc_id": ids, "n_shingles": [], "set_a": [], "set_b": [], "bands": []}
+        def step(ids, texts, hashes):
+            out = {"doc_id": ids, "n_shingles": [], "set_a": [], "set_b": [], "bands": [], "text_hash": hashes}
             for at in range(0, len(ids), 256):
                 sets = [shingles(t) for t in texts[at : at + 256]]
                 keys = [k for c in _chunks([s for s in sets if len(s)]) for k in bands(c).view(np.int64)]
                 keys = iter(keys)
                 for s in sets:
-                    name = xxhash.xxh3_128_intdigest(s.tobytes())
+                    a, b = _name(s)
                     out["n_shingles"].append(len(s))
-                    out["set_a"].append((name >> 64) - (1 << 63))
-                    out["set_b"].append((name & (1 << 64) - 1) - (1 << 63))
+                    out["set_a"].append(a)
+                    out["set_b"].append(b)
                     out["bands"].append(next(keys) if len(s) else [])
             return out
 
         return step
 
-    schema = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
-    return map_batches(
-        docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), make, schema
+    schema = (
+        "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, "
+        "text_hash bigint"
     )
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("bigint"), text, F.xxhash64(text).alias("hash"))
+    return map_batches(rows, make, schema)
 
 
-def _sets(docs: DataFrame, ids: Table) -> DataFrame:
-    """The full sets of the documents `ids`, whose texts are read again."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string"))
-    wanted = F.broadcast(ids.df) if fits_broadcast(ids.rows, ID_BYTES) else ids.df
+def _sets(docs: DataFrame, wanted: Table) -> DataFrame:
+    """The full sets of classes, ``id`` and ``set``, whose texts are read again.
+
+    `wanted` has the ``id`` of each class, its name and the ``doc_id`` of a document in it;
+    an id may stand on other texts too, which the name leaves out.
+    """
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
+    ids = wanted.df.select("doc_id").distinct()
+    ids = F.broadcast(ids) if fits_broadcast(wanted.rows, ID_BYTES) else ids
 
     def make():
-        return lambda ids, texts: {"id": ids, "set": [shingles(t).view(np.int64) for t in texts]}
+        def step(texts):
+            sets = [shingles(t) for t in texts]
+            names = [_name(s) for s in sets]
+            return {
+                "set_a": [a for a, _ in names],
+                "set_b": [b for _, b in names],
+                "set": [s.view(np.int64) for s in sets],
+            }
+
+        return step
+
+    found = texts.join(ids, "doc_id", "left_semi").select("text")
+    sets = map_batches(found, make, "set_a bigint, set_b bigint, set array<bigint>")
+    name = F.struct("set_a", "set_b").alias("name")
+    classes = wanted.df.select(name, "id")
+    named = lookup_join(sets.select(name, "set"), classes, "name", wanted.rows, ID_BYTES, ["set"])
+    return named.select("id", "set").dropDuplicates(["id"])
 
-    sets = map_batches(texts.join(wanted, "id", "left_semi"), make, "id bigint, set array<bigint>")
-    return sets.dropDuplicates(["id"])
 
+def _overlaps(pairs: DataFrame, sets: DataFrame, what: Column, hubs: Table | None = None) -> DataFrame:
+    """`pairs` (``hub``, ``id`` and more) with `what` of ``set`` and ``hub_set``.
 
-def _overlaps(pairs: DataFrame, sets: DataFrame, what: Column) -> DataFrame:
-    """`pairs` (``hub``, ``id`` and more) with `what` of ``set`` and ``hub_set``."""
-    of_hub = sets.select(F.col("id").alias("hub"), F.col("set").alias("hub_set"))
-    joined = pairs.join(sets, "id").join(of_hub, "hub")
-    return joined.select(*pairs.columns, what)
+    `hubs` are the sets of the hubs, if few meet many: a hub's members are then dealt to
+    several tasks, each with a copy of its set.
+    """
+    joined = pairs.join(sets, "id")
+    if hubs is None:
+        of_hub = sets.select(F.col("id").alias("hub"), F.col("set").alias("hub_set"))
+        return joined.join(of_hub, "hub").select(*pairs.columns, what)
+    size = ID_BYTES + 8 * -(-hubs.stats["parts"] // max(hubs.rows, 1))
+    return lookup_join(joined, hubs.df, "hub", hubs.rows, size, ["id"]).select(*pairs.columns, what)
 
 
 def _shared() -> Column:
@@ -190,27 +225,47 @@ def components(ws: Workspace, edges: DataFrame) -> DataFrame:
     return labels
 
 
-def _others(ws: Workspace, rows: DataFrame, sets: DataFrame) -> DataFrame:
+def _others(
+    ws: Workspace,
+    rows: DataFrame,
+    sets: DataFrame,
+    hubs: Table | None = None,
+    keys: DataFrame | None = None,
+) -> DataFrame:
     """Pairs that may be linked though neither is a hub: ``hub``, ``id``, ``n``, ``other``.
 
     `rows` are the members of all hubs' buckets with ``shared``, what each shares with
     the hub, and ``component``. Two members share at most what one of them shares with
     the hub, and the parts outside the hub that both have. So a pair that may still be
-    linked either has such a part in common, or both share enough with the hub already,
-    which takes a second one smaller than the hub. Both are exact, and neither looks at
-    all pairs: copies differ from their hub in parts of their own.
+    linked either has such parts in common, or both share enough with the hub already,
+    which takes a second one smaller than the hub. Both are exact. What a member shares
+    with the hub says how many such parts a pair must have in common; so it is enough to
+    pair members on the rarest ones, all but as many less one. `keys` (``hub``, ``id``,
+    ``key``) are the buckets in which members meet their hub; with them, only members of
+    one bucket are paired.
     """
+
+    def placed(members: DataFrame) -> DataFrame:
+        """Where `members` may meet: their buckets, or all of their hub's."""
+        if keys is None:
+            return members.withColumn("key", F.col("hub"))
+        return members.join(keys, ["hub", "id"])
+
+
     of = rows.groupBy("hub").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     doubt = ws.write("doubt", rows.join(of.where("low < high").select("hub"), "hub")).df
     outside = F.explode(F.array_except("set", "hub_set")).alias("part")
-    parts = ws.write("parts", _overlaps(doubt.select("hub", "id", "component"), sets, outside)).df
+    parts = ws.write("parts", _overlaps(doubt.select("hub", "id", "component"), sets, outside, hubs)).df
 
     def foreign(parts: DataFrame) -> DataFrame:
-        """The parts that members of different components have."""
-        of = parts.groupBy("hub", "part").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
+        """The parts that members of different components have, and how many have each."""
+        of = parts.drop("members").groupBy("hub", "part").agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.count(F.lit(1)).alias("members"),
         )
-        return parts.join(of.where("low < high").select("hub", "part"), ["hub", "part"])
+        shared = of.where("low < high").select("hub", "part", "members")
+        return parts.drop("members").join(shared, ["hub", "part"])
 
     parts = ws.write("foreign", foreign(parts)).df
     most = parts.groupBy("hub", "id").agg(F.count(F.lit(1)).alias("more"))
@@ -224,8 +279,19 @@ def _others(ws: Workspace, rows: DataFrame, sets: DataFrame) -> DataFrame:
         .select(*doubt.columns, "least")
     )
     hopeful = ws.write("hopeful", hopeful).df
-    kept = foreign(parts.join(hopeful.select("hub", "id", "n"), ["hub", "id"]))
-    left, right = kept.alias("l"), kept.alias("r")
+    kept = foreign(parts.join(hopeful.select("hub", "id", "n", "shared", "least"), ["hub", "id"]))
+    # What the smallest possible partner must have in common with a member, less the hub's.
+    overlap = F.ceil(SIMILARITY * (F.col("n") + smallest) / (100 + SIMILARITY))
+    needed = F.greatest(overlap - F.col("shared"), F.lit(1))
+    member = W.partitionBy("hub", "id")
+    rarest = kept.select(
+        "*",
+        F.row_number().over(member.orderBy("members", "part")).alias("place"),
+        F.count(F.lit(1)).over(member).alias("held"),
+    ).where(F.col("place") <= F.col("held") - needed + 1)
+    rarest = placed(rarest.select("hub", "part", "id", "n", "component"))
+    rarest = ws.write("rarest", rarest.drop("hub")).df
+    left, right = rarest.alias("l"), rarest.alias("r")
     sizes = 100 * F.least("l.n", "r.n") >= SIMILARITY * F.greatest("l.n", "r.n")
     pair = (
         F.greatest("l.id", "r.id").alias("hub"),
@@ -233,21 +299,21 @@ def _others(ws: Workspace, rows: DataFrame, sets: DataFrame) -> DataFrame:
     )
     together = left.join(
         right,
-        (F.col("l.hub") == F.col("r.hub"))
+        (F.col("l.key") == F.col("r.key"))
         & (F.col("l.part") == F.col("r.part"))
         & (F.col("l.component") < F.col("r.component"))
         & sizes,
     ).select(*pair)
     # Few members share so much with a hub that they miss only by their own or its size.
     enough = (100 + SIMILARITY) * F.col("shared") >= SIMILARITY * (F.col("n") + F.col("least"))
-    left = hopeful.where(enough & ~_linked("n", "hub_n", "shared")).alias("l")
-    right = hopeful.where(enough & (F.col("n") < F.col("hub_n"))).alias("r")
+    left = placed(hopeful.where(enough & ~_linked("n", "hub_n", "shared"))).alias("l")
+    right = placed(hopeful.where(enough & (F.col("n") < F.col("hub_n")))).alias("r")
     both = (100 + SIMILARITY) * F.least("l.shared", "r.shared") >= SIMILARITY * (
         F.col("l.n") + F.col("r.n")
     )
     small = left.join(
         right,
-        (F.col("l.hub") == F.col("r.hub")) & (F.col("l.component") != F.col("r.component")) & both,
+        (F.col("l.key") == F.col("r.key")) & (F.col("l.component") != F.col("r.component")) & both,
     ).select(*pair)
     return together.unionAll(small).distinct()
 
@@ -261,18 +327,27 @@ def near_duplicates(docs: DataFrame, ws: Workspace) -> DataFrame:
     nothing. Rows that share an id are one document if their sets are equal; each row
     comes out. Other columns are ignored; an empty table gives an empty frame.
     """
-    all_docs = ws.write("signatures", signatures(docs)).df
+    found = _grouped(docs, ws)
+    return found.drop("text_hash")
+
+
+def _grouped(docs: DataFrame, ws: Workspace) -> DataFrame:
+    """`near_duplicates` with a hash of each row's text."""
+    signed = ws.write("signatures", signatures(docs))
+    all_docs = signed.df
     named = all_docs.where("n_shingles > 0 AND doc_id IS NOT NULL")
     name = ["set_a", "set_b"]
+    # A class is named by a number of its own, as an id may stand on several texts.
     classes = ws.write(
         "classes",
-        named.groupBy(*name).agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n")),
+        named.groupBy(*name)
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
+        .withColumn("id", F.monotonically_increasing_id()),
     ).df
     banded = (
-        named.withColumnRenamed("doc_id", "id")
-        .join(classes.select(*name, "id"), [*name, "id"], "left_semi")
+        named.join(classes.select(*name, "doc_id", "id", "n"), [*name, "doc_id"])
         .dropDuplicates(["id"])
-        .select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+        .select("id", "n", F.explode("bands").alias("key"))
     )
     sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = ws.write("shared", banded.join(sizes, "key")).df
@@ -286,10 +361,17 @@ def near_duplicates(docs: DataFrame, ws: Workspace) -> DataFrame:
         ),
     ).df
 
-    met = ws.write("met", buckets.where("hub <> id").drop("key").distinct()).df
-    ids = ws.write("ids", buckets.select("id").distinct())
-    sets = ws.write("sets", _sets(docs, ids)).df
-    measured = ws.write("measured", _overlaps(met, sets, _shared().alias("shared"))).df
+    members = buckets.where("hub <> id")
+    met = ws.write("met", members.drop("key").distinct()).df
+    wanted = ws.write("ids", classes.join(buckets.select("id").distinct(), "id", "left_semi"))
+    sets = ws.write("sets", _sets(docs, wanted)).df
+    of_hubs = met.select(F.col("hub").alias("id")).distinct().join(sets, "id")
+    hub_sets = ws.write(
+        "hub_sets",
+        of_hubs.select(F.col("id").alias("hub"), F.col("set").alias("hub_set")),
+        parts=F.sum(F.size("hub_set")),
+    )
+    measured = ws.write("measured", _overlaps(met, sets, _shared().alias("shared"), hub_sets)).df
 
     links = measured.where(_linked("n", "hub_n", "shared")).select(
         F.col("hub").alias("a"), F.col("id").alias("b")
@@ -299,7 +381,7 @@ def near_duplicates(docs: DataFrame, ws: Workspace) -> DataFrame:
         *measured.columns, F.coalesce("component", "id").alias("component")
     )
     others = _overlaps(
-        _others(ws, labelled, sets),
+        _others(ws, labelled, sets, hub_sets, members.select("hub", "id", "key")),
         sets,
         F.struct(
             F.size("set").alias("n"), F.size("hub_set").alias("other"), _shared().alias("shared")
@@ -312,25 +394,34 @@ def near_duplicates(docs: DataFrame, ws: Workspace) -> DataFrame:
     if more.rows:
         groups = components(ws, links.unionAll(more.df))
 
-    found = classes.join(groups, classes["id"] == groups["node"], "left").select(
-        *name, F.coalesce("component", "id").alias("component_id")
+    labelled = classes.join(groups, classes["id"] == groups["node"], "left").select(
+        *name, "doc_id", F.coalesce("component", "id").alias("component")
     )
+    least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    found = ws.write("found", labelled.join(least, "component").select(*name, "component_id"))
     apart = all_docs.where("n_shingles = 0 OR doc_id IS NULL").withColumn("component_id", F.col("doc_id"))
     columns = [
         "doc_id",
         "n_shingles",
         "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        "text_hash",
     ]
-    return named.join(found, name).select(*columns).unionAll(apart.select(*columns))
+    key = F.struct(*name).alias("name")
+    keyed = named.select(key, "doc_id", "n_shingles", "text_hash")
+    of = found.df.select(key, "component_id")
+    grouped = lookup_join(keyed, of, "name", found.rows, ID_BYTES, ["doc_id", "text_hash"])
+    return grouped.select(*columns).unionAll(apart.select(*columns))
 
 
 def deduplicate(docs: DataFrame, ws: Workspace) -> DataFrame:
     """One document of each group of near copies, with all columns.
 
-    The one with the smallest id stays; rows without an id all stay.
+    The one with the smallest id stays; rows without an id all stay. A row is dropped for
+    its own text: another text under the same id stays, if it is no copy.
     """
-    copies = near_duplicates(docs, ws).where(~F.col("kept")).select(F.col("doc_id").alias("_copy"))
-    dropped = ws.write("copies", copies.distinct())
+    copies = _grouped(docs, ws).where(~F.col("kept")).select("doc_id", "text_hash")
+    dropped = ws.write("copies", copies.distinct().toDF("_copy", "_copied"))
     found = F.broadcast(dropped.df) if fits_broadcast(dropped.rows, ID_BYTES) else dropped.df
-    return docs.join(found, docs["doc_id"] == found["_copy"], "left_anti")
+    same = F.xxhash64(docs["text"].cast("string")) == found["_copied"]
+    return docs.join(found, (docs["doc_id"] == found["_copy"]) & same, "left_anti")

@@ -145,3 +145,43 @@ def test_odd_rows(spark, ws):
     empty = docs.limit(0)
     assert minhash.near_duplicates(empty, ws).collect() == []
     assert minhash.deduplicate(empty, ws).where(F.lit(True)).collect() == []
+
+
+def test_an_id_on_several_texts(spark, ws, vocabulary):
+    """Each text counts for itself: no link is lost, and no other text of the id is dropped."""
+    rng = random.Random(11)
+    x, y, z = (" ".join(rng.choices(vocabulary, k=40)) for _ in range(3))
+    rows = [(2, x), (2, y), (5, y + " more"), (1, z), (7, z), (7, "quite another text of some words")]
+    docs = documents(spark, rows)
+    found = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs, ws).collect()}
+    assert found[5, 37] == (2, False) and found[2, 36] == (2, True)
+    assert found[7, 36] == (1, False) and found[7, 2] == (7, True)
+    kept = sorted((r["doc_id"], r["text"]) for r in minhash.deduplicate(docs, ws).collect())
+    assert kept == sorted([(2, x), (2, y), (1, z), rows[-1]])
+
+
+def pooled(n, vocabulary):
+    """Texts of one common passage and 7 of 24 pooled ones; every tenth repeats another's."""
+    rng = random.Random(5)
+    pool = [" ".join(rng.choices(vocabulary, k=14)) for _ in range(25)]
+    texts = []
+    for i in range(n):
+        picked = rng.sample(range(1, 25), 7) if i % 10 else picked[:6] + [rng.choice(range(1, 25))] if texts else [*range(1, 8)]
+        texts.append(" ".join(pool[p] for p in (0, *sorted(picked))))
+    return texts
+
+
+def test_pooled_passages_do_not_meet_in_all_pairs(spark, ws, vocabulary, monkeypatch):
+    pairs, others = [], minhash._others
+
+    def counted(ws, *more):
+        found = ws.write("others", others(ws, *more))
+        pairs.append(found.rows)
+        return found.df
+
+    monkeypatch.setattr(minhash, "_others", counted)
+    texts = pooled(300, vocabulary)
+    found = minhash.near_duplicates(documents(spark, texts), ws).collect()
+    expected = groups(dict(enumerate(texts)))
+    assert {r["doc_id"]: r["component_id"] for r in found} == expected
+    assert len(set(expected.values())) < 300 and pairs[0] < 300 * 299 / 2 / 20
