@@ -38,7 +38,7 @@ BUCKETS = 1 << 18
 WORD_ORDER, SHAPE_ORDER = 2, 3
 # Labelled texts of a class that the linear model sees, and the bound on the features of
 # all of them together; every CHECK-th of them fits the curve instead.
-SAMPLE, SAMPLE_FEATURES, CHECK = 4_000, 12_000_000, 5
+SAMPLE, SAMPLE_FEATURES, CHECK = 3_000, 8_000_000, 5
 # Added to the counts of both classes; the cost of a violated margin; passes over the
 # sample at most; the change that ends them; the share of the fitted weights in the model.
 SMOOTHING, COST, PASSES, TOLERANCE, FITTED = 1.0, 1.0, 30, 1e-3, 0.5
@@ -172,10 +172,11 @@ def _counts(rows: DataFrame) -> DataFrame:
     return partial.groupBy("bucket").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0"))
 
 
-def _sample(rows: DataFrame, ws: Workspace) -> list:
-    """Up to SAMPLE texts of each class as bucket lists, drawn by hash, in that order.
+def _sample(rows: DataFrame, ws: Workspace) -> tuple[list[np.ndarray], np.ndarray]:
+    """The bucket lists and labels of up to SAMPLE texts of each class, drawn by hash.
 
-    Lists are taken until SAMPLE_FEATURES are held, so long texts cannot fill the driver.
+    Lists are taken in that order until SAMPLE_FEATURES are held, 4 bytes each, so long
+    texts cannot fill the driver.
     """
     drawn = W.partitionBy("label").orderBy("key")
     keys = rows.select("key", "label").distinct().withColumn("at", F.row_number().over(drawn))
@@ -195,7 +196,10 @@ def _sample(rows: DataFrame, ws: Workspace) -> list:
     before = F.sum(F.size("buckets")).over(W.orderBy("at", "label"))
     small = table.select("at", "label", before.alias("held")).where(F.col("held") <= SAMPLE_FEATURES)
     kept = table.select("at", "label", F.col("buckets").cast("array<int>").alias("buckets"))
-    return kept.join(F.broadcast(small.select("at", "label")), ["at", "label"]).orderBy("at", "label").collect()
+    kept = kept.join(F.broadcast(small.select("at", "label")), ["at", "label"])
+    found = kept.orderBy("at", "label").toArrow()
+    lists = [x.values.to_numpy() for x in found.column("buckets")]
+    return lists, found.column("label").to_numpy().astype(float)
 
 
 def descend(sets: list[np.ndarray], signs: np.ndarray, ratios: np.ndarray, costs: np.ndarray) -> np.ndarray:
@@ -205,8 +209,8 @@ def descend(sets: list[np.ndarray], signs: np.ndarray, ratios: np.ndarray, costs
     dual variables, one for each row.
     """
     weights, bias, alphas = np.zeros(len(ratios)), 0.0, np.zeros(len(sets))
-    values = [ratios[s] / np.sqrt(max(len(s), 1)) for s in sets]
-    norms = np.array([v @ v + 1 for v in values])
+    values = [(ratios[s] / np.sqrt(max(len(s), 1))).astype(np.float32) for s in sets]
+    norms = np.array([float(v @ v) + 1 for v in values])
     rng = np.random.default_rng(13)
     for _ in range(PASSES):
         widest = 0.0
@@ -244,21 +248,17 @@ def fit(docs: DataFrame, labels: DataFrame, ws: Workspace) -> Model:
     several labels has the least. Without texts of both classes every score is 0.5.
     """
     rows = _labelled(docs, labels, ws)
-    counts = ws.write("counts", _counts(rows)).df.collect()  # a row for each bucket at most
+    counts = ws.write("counts", _counts(rows)).df.toArrow()  # a row for each bucket at most
+    bucket, y1, y0 = (counts.column(c).to_numpy() for c in ("bucket", "y1", "y0"))
     seen, texts = np.zeros((2, BUCKETS)), np.zeros(2)
-    for r in counts:
-        if r["bucket"] < 0:
-            texts[:] = r["y0"], r["y1"]
-        else:
-            seen[:, r["bucket"]] = r["y0"], r["y1"]
+    seen[0, bucket[bucket >= 0]], seen[1, bucket[bucket >= 0]] = y0[bucket >= 0], y1[bucket >= 0]
+    texts[:] = y0[bucket < 0].sum(), y1[bucket < 0].sum()
     if not texts.all():
         return Model(np.zeros(BUCKETS, np.float32), slope=0.0)
     smoothed = (seen + SMOOTHING) / (texts[:, None] + 2 * SMOOTHING)
     ratios = np.where(seen.any(axis=0), np.log(smoothed[1] / smoothed[0]), 0.0)
 
-    sample = _sample(rows, ws)
-    sets = [np.array(r["buckets"], np.int64) for r in sample]
-    labels_ = np.array([r["label"] for r in sample], float)
+    sets, labels_ = _sample(rows, ws)
     # Each class weighs as much as the other in the model, and as in the corpus in the curve.
     sizes = np.array([(labels_ == y).sum() for y in (0, 1)])
     share = texts / texts.sum() / np.maximum(sizes, 1) * sizes.sum()

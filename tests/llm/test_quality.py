@@ -123,8 +123,9 @@ def test_one_class_empty_tables_and_odd_rows(spark, ws, rows, fitted):
 def test_sample_is_bounded(spark, ws, rows, monkeypatch):
     monkeypatch.setattr(quality, "SAMPLE", 40)
     labelled = quality._labelled(*frames(spark, rows), ws)
-    whole = quality._sample(labelled, ws)
-    assert sorted(r["label"] for r in whole) == [0] * 40 + [1] * 40
+    whole, marks = quality._sample(labelled, ws)
+    assert sorted(marks) == [0] * 40 + [1] * 40
     monkeypatch.setattr(quality, "SAMPLE_FEATURES", 2000)
-    part = quality._sample(labelled, ws)
-    assert part == whole[: len(part)] and 0 < sum(len(r["buckets"]) for r in part) <= 2000
+    part, _ = quality._sample(labelled, ws)
+    assert [p.tolist() for p in part] == [w.tolist() for w in whole[: len(part)]]
+    assert 0 < sum(map(len, part)) <= 2000
