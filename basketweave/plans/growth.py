@@ -42,6 +42,8 @@ from basketweave.workspace import Table, Workspace
 
 # The subset strategy enumerates all bases up to this width.
 SUBSET_WIDTH = 14
+# Items that two integer masks name, and how many of them go before equal masks merge.
+MASK_ITEMS, MERGE_ITEMS = 30, 3
 
 
 def _write_base(ws: Workspace, base: DataFrame) -> Table:
@@ -53,10 +55,70 @@ def _is_small(width: int, finish_width: int | None) -> bool:
     return finish_width is not None and width <= finish_width
 
 
+def superset_sums(masks: DataFrame, key: list[str], items: int) -> DataFrame:
+    """For each set the weight of all sets that hold it: ``(*key, high, low, w)`` to the same.
+
+    Sets of up to `items` items are two masks, ``low`` for the first half of the items and
+    ``high`` for the others. Item by item a set that has the item also counts for the set
+    without it, and equal sets merge on the way, so the subsets of a row are never listed
+    and what many rows have in common is passed on once. While the items of one half go,
+    the other half of a set does not change: partitioned by that, all steps of a half are
+    local, and there are two shuffles however many items there are.
+    """
+    half = -(-items // 2)
+    for part, other, bits in (("low", "high", half), ("high", "low", items - half)):
+        masks = masks.groupBy(*key, "high", "low").agg(F.sum("w").alias("w"))
+        masks = masks.repartition(*key, other)
+        for bit in range(bits):
+            has = F.getbit(part, F.lit(bit)) == 1
+            less = F.col(part).bitwiseXOR(F.lit(1 << bit))
+            both = F.when(has, F.array(F.col(part), less)).otherwise(F.array(part))
+            masks = masks.select(*key, other, F.explode(both).alias(part), "w")
+            if bit % MERGE_ITEMS == MERGE_ITEMS - 1 or bit == bits - 1:
+                masks = masks.groupBy(*key, "high", "low").agg(F.sum("w").alias("w"))
+    return masks
+
+
+def _mask(prefix: str, start: int, stop: int) -> Column:
+    """The items of an array from `start` to `stop` as bits, the first one lowest."""
+    own = F.filter(prefix, lambda x: (x >= start) & (x < stop))
+    return F.aggregate(
+        own,
+        F.lit(0),
+        lambda mask, x: mask.bitwiseOR(F.call_function("shiftleft", F.lit(1), x - start)),
+    )
+
+
+def _count_masks(base: DataFrame, min_support: int, shortest: int, items: int) -> DataFrame:
+    """`_count_subsets` by superset sums, for ranks below `items`."""
+    half = -(-items // 2)
+    coded = base.select("suffix", _mask("prefix", 0, half).alias("low"), _mask("prefix", half, items).alias("high"), "w")
+    frequent = superset_sums(coded, ["suffix"], items).filter(F.col("w") >= min_support)
+
+    def held(mask: str, n: int) -> Column:
+        """The bits of a mask."""
+        if not n:
+            return F.array().cast("array<int>")
+        return F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda bit: F.getbit(mask, bit) == 1)
+
+    bits = F.concat(held("low", half), held("high", items - half))
+    ranks = F.transform(bits, lambda x, i: F.when(i < F.bit_count("low"), x).otherwise(x + half))
+    found = frequent.select(ranks.alias("found"), "suffix", F.col("w").alias("freq"))
+    return found.filter(F.size("found") >= shortest).select(
+        F.concat("found", "suffix").alias("itemset"), "freq"
+    )
+
+
 def _count_subsets(
-    base: DataFrame, min_support: int, shortest: int, longest: int | None
+    base: DataFrame, min_support: int, shortest: int, longest: int | None, items: int | None = None
 ) -> DataFrame:
-    """Frequent itemsets among the prefix subsets of at least `shortest` items."""
+    """Frequent itemsets among the prefix subsets of at least `shortest` items.
+
+    With no `longest`, and no more than MASK_ITEMS `items` in all, they are summed as bit
+    masks; otherwise the subsets of each prefix are listed, up to `longest` items.
+    """
+    if longest is None and items is not None and items <= MASK_ITEMS:
+        return _count_masks(base.filter(F.size("prefix") >= shortest), min_support, shortest, items)
     found = F.filter(subsets(F.col("prefix"), longest), lambda s: F.size(s) >= shortest)
     return (
         base.filter(F.size("prefix") >= shortest)
@@ -79,8 +141,12 @@ def grow(
     min_support: int,
     max_len: int | None = None,
     finish_width: int | None = None,
+    items: int | None = None,
 ) -> list[DataFrame]:
-    """Frequent itemsets of more than `k` items from the bases of all k-suffixes."""
+    """Frequent itemsets of more than `k` items from the bases of all k-suffixes.
+
+    `items` is the number of all frequent items, if known.
+    """
     levels: list[DataFrame] = []
     while base.rows:
         # One row per suffix; one that keeps a single item cannot grow further.
@@ -119,7 +185,7 @@ def grow(
         )
         if _is_small(stats["width_left"], finish_width):
             longest = None if max_len is None else max_len - k + 1
-            levels.append(ws.write("direct", _count_subsets(projected, min_support, 2, longest)).df)
+            levels.append(ws.write("direct", _count_subsets(projected, min_support, 2, longest, items)).df)
             break
         before, base = base, _write_base(
             ws, conditional_pattern_base(projected, base.stats["width"])
@@ -142,10 +208,10 @@ def _mine(ws, data, min_support, max_len, grow_rest, finish_width) -> DataFrame:
         baskets = encode_baskets(ws, data, items)
         stats = baskets.stats
         if _is_small(stats["width"], finish_width):
-            direct = _count_subsets(pattern_base(baskets.spread()), min_support, 2, max_len)
+            direct = _count_subsets(pattern_base(baskets.spread()), min_support, 2, max_len, items.rows)
             levels.append(ws.write("direct", direct).df)
         else:
-            levels += grow_rest(baskets)
+            levels += grow_rest(baskets, items.rows)
         ws.drop(baskets)
     return decode(items, levels)
 
@@ -159,10 +225,10 @@ def mine_prefix_array(
 ) -> DataFrame:
     """Growth keyed by suffix over merged rank arrays."""
 
-    def grow_rest(baskets: Table) -> list[DataFrame]:
+    def grow_rest(baskets: Table, items: int) -> list[DataFrame]:
         first = conditional_pattern_base(pattern_base(baskets.spread()), baskets.stats["width"])
         base = _write_base(ws, first)
-        return grow(ws, base, 1, min_support, max_len, finish_width)
+        return grow(ws, base, 1, min_support, max_len, finish_width, items)
 
     return _mine(ws, data, min_support, max_len, grow_rest, finish_width)
 
@@ -209,7 +275,7 @@ def mine_fpgrowth(
     by suffix instead and split hot ones.
     """
 
-    def grow_rest(baskets: Table) -> list[DataFrame]:
+    def grow_rest(baskets: Table, items: int) -> list[DataFrame]:
         tasks = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
         buckets = max(1, min(num_groups, tasks))
         width = F.max(F.size("prefix"))
@@ -228,7 +294,7 @@ def mine_fpgrowth(
         while rounds[-1].stats["width"] and (max_len is None or k < max_len):
             if _is_small(rounds[-1].stats["width"], finish_width):
                 longest = None if max_len is None else max_len - k
-                parts.append(_count_subsets(rounds[-1].df, min_support, 1, longest))
+                parts.append(_count_subsets(rounds[-1].df, min_support, 1, longest, items))
                 break
             base = grow_in_group(rounds[-1].df, min_support)
             rounds.append(ws.write_bucketed("base", base, "grp", buckets, width=width))
@@ -251,9 +317,10 @@ def mine_subsets(
     max_len: int | None = None,
     subset_width: int = SUBSET_WIDTH,
 ) -> DataFrame:
-    """Enumerate the subsets of each prefix and sum their weights.
+    """Sum the weights of the subsets of all prefixes.
 
-    Exponential in the prefix length, so bases are enumerated only once none is
+    With up to MASK_ITEMS frequent items and no `max_len`, prefixes are bit masks, merged
+    and summed over their supersets item by item. Exponential in the prefix length, so bases are enumerated only once none is
     wider than `subset_width`; until then they grow by one suffix item.
     """
     return mine_prefix_array(ws, data, min_support, max_len, subset_width)
@@ -274,7 +341,7 @@ def mine_pair_pruned(
     need no counting pass of their own.
     """
 
-    def grow_rest(baskets: Table) -> list[DataFrame]:
+    def grow_rest(baskets: Table, items: int) -> list[DataFrame]:
         levels: list[DataFrame] = []
         base = Table(pattern_base(baskets.df), "", baskets.rows, baskets.stats)
         k = 0
@@ -282,7 +349,7 @@ def mine_pair_pruned(
             stats = base.stats
             if k and _is_small(stats["width"], finish_width):
                 longest = None if max_len is None else max_len - k
-                direct = _count_subsets(base.spread(), min_support, 2, longest)
+                direct = _count_subsets(base.spread(), min_support, 2, longest, items)
                 levels.append(ws.write("direct", direct).df)
                 break
             pairs = ws.write("pairs", count_pairs(base.spread(), min_support, stats["width"]))
