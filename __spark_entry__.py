@@ -354,6 +354,20 @@ def q_project_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projected.groupBy(joined("suffix"), joined("prefix")).agg(F.sum("w").alias("w"))
 
 
+def q_pair_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs of frequent words, summed in blocks of the triangular matrix."""
+    ws, words = bw.Workspace(spark), src.basket_view(spark, sf_dir, "document_words")
+    support = word_support(spark, sf_dir)
+    ranked = ws.write("rank", ops.item_rank(ops.frequent_items(words, support), ws)).df
+    merged = ops.compress_transactions(ops.prune_transactions(words, ranked))
+    baskets = ws.write("baskets", merged, width=F.max(F.size("prefix")))
+    pairs = ops.matrix_pairs(ops.pair_matrix(baskets.df, baskets.stats["width"]), support)
+    left, right = (ranked.select(F.col("rk").alias(s), F.col("item").alias(n)) for s, n in (("left", "x"), ("right", "y")))
+    return pairs.join(left, "left").join(right, "right").select(
+        F.least("x", "y").alias("item_a"), F.greatest("x", "y").alias("item_b"), "freq"
+    )
+
+
 def q_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tree of all baskets, every node with its path and the number of its children."""
     ws = bw.Workspace(spark)
@@ -418,9 +432,9 @@ def ruled_builtin(view: str, min_support: int) -> Query:
     return run
 
 
-def entry(spark: SparkSession) -> DataFrame:
+def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:
     """Association rules between the part brands of an order, at sf0.001."""
-    return ruled("order_brand", 5)(spark, "/root/testdata/sf0.001")
+    return ruled("order_brand", 5)(spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
@@ -480,6 +494,7 @@ def queries() -> dict[str, Query]:
         ).select(joined("suffix"), joined("prefix"), "w"),
         "conditional_item_counts": q_conditional_item_counts,
         "prefix_tree": q_prefix_tree,
+        "pair_matrix": q_pair_matrix,
         "projected_prefixes": q_project_prefixes,
         "pair_counts": lambda s, d: ops.pair_counts(brand(s, d)),
         "pair_counts_words": lambda s, d: ops.pair_counts(
@@ -751,6 +766,13 @@ def oracle_sql() -> dict[str, str]:
         )
         + PAIRS.replace("FROM b AS x JOIN b AS y", "FROM d AS x JOIN d AS y")
         + f" HAVING count(*) >= {WORD_SUPPORT}",
+        "pair_matrix": with_baskets(
+            "document_words",
+            "d AS (SELECT * FROM b WHERE item IN"
+            f" (SELECT item FROM b GROUP BY item HAVING count(*) >= {WORD_SUPPORT}))",
+        )
+        + PAIRS.replace("FROM b AS x JOIN b AS y", "FROM d AS x JOIN d AS y")
+        + f" HAVING count(*) >= {WORD_SUPPORT}",
         "association_rules": rules_sql("order_brand", BRAND, RULE_COLUMNS),
         "association_rules_lift": rules_sql("userday_event", EVENT, RULE_COLUMNS + ", lift"),
         "association_rules_confident": rules_sql("order_type", TYPE, RULE_COLUMNS, 0.5),

@@ -15,6 +15,7 @@ from basketweave.operators.counting import (
     prune_transactions,
     transaction_count,
 )
+from basketweave.operators.matrix import matrix_pairs, pair_matrix
 from basketweave.operators.patterns import (
     conditional_item_counts,
     conditional_pattern_base,
@@ -52,7 +53,9 @@ __all__ = [
     "item_rank",
     "itemset_support",
     "kept_items",
+    "matrix_pairs",
     "pair_counts",
+    "pair_matrix",
     "pattern_base",
     "prefix_tree",
     "project_prefixes",

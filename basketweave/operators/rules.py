@@ -27,11 +27,16 @@ def association_rules(
     `n` is the one-row frame of `transaction_count`.
 
     The itemsets are written to `workspace` once, as three sides of the joins read
-    them. The commonest item is the consequent of most rules, so its count is looked up
-    by a broadcast, or by a join that splits it.
+    them. The commonest item is the consequent of most rules, and the antecedent of many, so
+    counts are looked up by a broadcast, or by a join that splits hot keys.
     """
     ws = workspace or Workspace(itemsets.sparkSession)
-    written = ws.write("rule_itemsets", itemsets, singles=F.count_if(F.col("k") == 1))
+    written = ws.write(
+        "rule_itemsets",
+        itemsets,
+        singles=F.count_if(F.col("k") == 1),
+        bytes=F.sum(F.octet_length(F.array_join("itemset", ","))),
+    )
     itemsets = written.df
     total = n.select("n").scalar()
     wholes = (
@@ -56,7 +61,11 @@ def association_rules(
     ]
     if lift:
         columns.append((confidence * total / F.col("consequent_freq")).alias("lift"))
-    joined = wholes.join(antecedents, "antecedent")
+    # A common item is the antecedent of very many rules, too.
+    row_bytes = ITEM_BYTES + -(-written.stats["bytes"] // max(written.rows, 1))
+    joined = lookup_join(
+        wholes, antecedents, "antecedent", written.rows, row_bytes, ["consequent"]
+    )
     return (
         lookup_join(
             joined, consequents, "consequent", written.stats["singles"], ITEM_BYTES, ["antecedent"]

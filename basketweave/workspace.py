@@ -46,11 +46,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
     ``spark.checkpoint.dir`` of the session if it is set, else the folder given to
-    ``SparkContext.setCheckpointDir``, else one in the session's warehouse, which all
-    executors share too.
+    ``SparkContext.setCheckpointDir``, else one in the session's warehouse. A warehouse on
+    the driver's own disk is refused unless the session is local: executors of a cluster
+    could not read it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/basketweave").rstrip("/")
+    if not root:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/basketweave"
+        local = re.match(r"local(\[|$)", spark.sparkContext.master)
+        if not local and re.match(r"(file:|/|[^:/]+(/|$))", root):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return root.rstrip("/")
 
 
 class Workspace:
