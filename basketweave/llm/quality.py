@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketweave.functions.joins import fits_broadcast
-from basketweave.llm.common import Memo, held, map_arrow, map_batches
+from basketweave.llm.common import CACHE_BYTES, ENTRY_BYTES, held, map_arrow, map_batches
 from basketweave.workspace import Workspace
 
 # Labels are learned where the CRC of the document's id, modulo FOLDS, is not HELD_OUT.
@@ -85,10 +85,35 @@ def shape(token: str) -> str:
     return "".join(sorted(set(token)))[:4] + (size if len(token) > 1 else "")
 
 
-def _hashes(token: str) -> tuple[int, int]:
-    """Of a token's lower-case form and of its shape."""
-    word = xxhash.xxh3_64_intdigest(token.lower().encode("utf-8", "surrogatepass"))
-    return word, xxhash.xxh3_64_intdigest("s" + shape(token))
+class Tokens(dict):
+    """Numbers of tokens, and by number the hashes of a token's lower-case form and shape.
+
+    Beyond CACHE_BYTES all tokens are forgotten, between two texts.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.room = CACHE_BYTES
+        self.hashes = np.zeros((1024, 2), np.uint64)
+        self.kinds = np.zeros((1024, 2), bool)  # letters, capitals
+
+    def __missing__(self, token: str) -> int:
+        number = len(self)
+        if number == len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
+            self.kinds = np.concatenate([self.kinds, np.zeros_like(self.kinds)])
+        word = xxhash.xxh3_64_intdigest(token.lower().encode("utf-8", "surrogatepass"))
+        self.hashes[number] = word, xxhash.xxh3_64_intdigest("s" + shape(token))
+        self.kinds[number] = token[0].isalpha(), token.isupper()
+        self.room -= ENTRY_BYTES + len(token)
+        self[token] = number
+        return number
+
+    def numbers(self, found: list[str]) -> np.ndarray:
+        if self.room < 0:
+            self.clear()
+            self.room = CACHE_BYTES
+        return np.fromiter(map(self.__getitem__, found), np.int64, len(found))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -96,22 +121,27 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted; faster on short arrays than hashing them."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])[: len(values)]]
+
+
 def _share(part: int, whole: int) -> int:
     """A share in steps of a tenth."""
     return 10 * part // max(whole, 1)
 
 
-def _whole(text: str, found: list[str]) -> list[str]:
+def _whole(text: str, tokens: int, distinct: int, letters: int, capitals: int) -> list[str]:
     """What the text is like as a whole: its size, its repeats and its marks."""
     lines = [line for line in text.split("\n") if line.strip()]
-    letters = sum(t[0].isalpha() for t in found)
     return [
-        f"size {len(found).bit_length()}",
-        f"new {_share(len(set(found)), len(found))}",
+        f"size {tokens.bit_length()}",
+        f"new {_share(distinct, tokens)}",
         f"lines {_share(len(set(lines)), len(lines))} {min(len(lines), 4)}",
-        f"letters {_share(letters, len(found))}",
-        f"capitals {_share(sum(t.isupper() for t in found), len(found))}",
-        f"short {_share(len(found), len(lines)) // 20 if lines else -1}",
+        f"letters {_share(letters, tokens)}",
+        f"capitals {_share(capitals, tokens)}",
+        f"short {_share(tokens, len(lines)) // 20 if lines else -1}",
     ]
 
 
@@ -119,19 +149,20 @@ def features(text: str | None) -> np.ndarray:
     """The distinct buckets of a text's n-grams, sorted; those of an empty one if null."""
     text = text or ""
     found = _TOKEN.findall(text)
+    known = held("quality", None, Tokens)
+    numbers = known.numbers(found)
+    hashed = known.hashes[numbers]
     rows = []
-    if found:
-        known = held("quality words", None, lambda: Memo(_hashes))
-        hashed = np.array([known[t] for t in found], np.uint64)
-        for column, order in ((0, WORD_ORDER), (1, SHAPE_ORDER)):
-            value = np.full(len(found), column, np.uint64)
-            for n in range(min(order, len(found))):
-                value = value[: len(found) - n] * _STEP + hashed[n:, column]
-                rows.append(_mixed(value))
-    rows.append(
-        np.array([xxhash.xxh3_64_intdigest(w) for w in _whole(text, found)], np.uint64)
-    )
-    return np.unique((np.concatenate(rows) >> np.uint64(20)).astype(np.int64) % BUCKETS)
+    for column, order in ((0, WORD_ORDER), (1, SHAPE_ORDER)):
+        value = np.full(len(found), column, np.uint64)
+        for n in range(min(order, len(found))):
+            value = value[: len(found) - n] * _STEP + hashed[n:, column]
+            rows.append(_mixed(value))
+    letters, capitals = known.kinds[numbers].sum(axis=0).tolist()
+    marks = _whole(text, len(found), len(_distinct(numbers)), letters, capitals)
+    rows.append(np.array([xxhash.xxh3_64_intdigest(w) for w in marks], np.uint64))
+    buckets = (np.concatenate(rows) >> np.uint64(20)) % np.uint64(BUCKETS)
+    return _distinct(buckets.astype(np.int32))
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, ws: Workspace) -> DataFrame:
