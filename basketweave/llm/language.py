@@ -29,9 +29,9 @@ from basketweave.llm.common import held, map_batches
 # Languages are learned where the CRC of the document's id, modulo FOLDS, is not HELD_OUT.
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
-# The sample: documents of each language, by a hash of their ids, and words of each,
-# taken from a place that the hash gives.
-SAMPLE_DOCS, SAMPLE_WORDS = 300, 200
+# The sample: documents of each language, by a hash of their ids, and the characters of
+# all of them, whose texts are taken whole; a longer text is not drawn.
+SAMPLE_DOCS, SAMPLE_CHARS = 300, 400_000
 # Words in a language's lexicon.
 LEXICON_WORDS = 300
 # Features are hashed to so many weights per language.
@@ -166,7 +166,10 @@ def _word_by_word(scores: np.ndarray, first: np.ndarray, transitions: np.ndarray
 
 
 def _sample(docs: DataFrame) -> list[tuple[str, list[str]]]:
-    """Stretches of labelled words: at most SAMPLE_DOCS documents of each language."""
+    """The words of labelled texts: at most SAMPLE_DOCS of each language, each text whole.
+
+    An id counts once in a language, by one of its texts.
+    """
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("id"),
         F.col("text").cast("string"),
@@ -174,26 +177,22 @@ def _sample(docs: DataFrame) -> list[tuple[str, list[str]]]:
     )
     rows = rows.where(
         ~F.coalesce(held_out(F.col("id")), F.lit(False))
+        & F.col("id").isNotNull()
         & F.col("lang").isNotNull()
-        & F.col("text").isNotNull()
+        & (F.length("text") <= SAMPLE_CHARS)
     )
     # Only ids are sorted; each task passes on its best of each language.
     best = Window.partitionBy("lang").orderBy("h", "id")
-    known = rows.where("id IS NOT NULL").select("lang", "id", F.xxhash64("id").alias("h"))
+    known = rows.select("lang", "id", F.xxhash64("id").alias("h"), F.length("text").alias("size"))
     chosen = known.withColumn("place", F.row_number().over(best)).where(F.col("place") <= SAMPLE_DOCS)
-    ids = docs.sparkSession.createDataFrame(chosen.select("id").distinct().collect(), "id long")
-    picked = rows.join(F.broadcast(ids), "id", "left_semi")
+    held = chosen.withColumn("held", F.sum("size").over(best)).where(F.col("held") <= SAMPLE_CHARS)
+    ids = docs.sparkSession.createDataFrame(held.select("id").distinct().collect(), "id long")
+    picked = rows.join(F.broadcast(ids), "id", "left_semi").dropDuplicates(["id", "lang"])
 
     def make():
-        def step(ids, texts, langs):
-            out = {"id": ids, "lang": langs, "words": []}
-            for doc_id, text in zip(ids, texts, strict=True):
-                found = words(text)
-                start = crc32(b"%d" % doc_id) % max(1, len(found) - SAMPLE_WORDS + 1)
-                out["words"].append(" ".join(found[start : start + SAMPLE_WORDS]))
-            return out
-
-        return step
+        return lambda ids, texts, langs: {
+            "id": ids, "lang": langs, "words": [" ".join(words(t)) for t in texts],
+        }
 
     taken = map_batches(picked, make, "id bigint, lang string, words string").collect()
     return [(r["lang"], r["words"].split(" ")) for r in sorted(taken) if r["words"]]
