@@ -386,6 +386,14 @@ def q_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_project_prefixes_local(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern bases without infrequent items, each in the order of its own counts."""
+    base = brand_base(spark, sf_dir, BRAND_HIGH)
+    keep = ops.kept_items(ops.conditional_item_counts(base, BRAND_HIGH))
+    projected = ops.project_prefixes(base, keep, local_order=True)
+    return projected.groupBy(joined("suffix"), joined("prefix")).agg(F.sum("w").alias("w"))
+
+
 # --- strategies and rules --------------------------------------------------
 
 
@@ -496,6 +504,7 @@ def queries() -> dict[str, Query]:
         "prefix_tree": q_prefix_tree,
         "pair_matrix": q_pair_matrix,
         "projected_prefixes": q_project_prefixes,
+        "projected_prefixes_local": q_project_prefixes_local,
         "pair_counts": lambda s, d: ops.pair_counts(brand(s, d)),
         "pair_counts_words": lambda s, d: ops.pair_counts(
             src.basket_view(s, d, "document_words"), word_support(s, d)
@@ -747,6 +756,17 @@ def oracle_sql() -> dict[str, str]:
             " FROM g JOIN h USING (suffix, rk) GROUP BY 1, 2)",
         )
         + "SELECT CAST(suffix AS VARCHAR) AS suffix, prefix, count(*) AS w FROM i GROUP BY 1, 2",
+        "projected_prefixes_local": with_baskets(
+            "order_brand",
+            *ranks(BRAND_HIGH),
+            "g AS (SELECT x.tid, x.rk AS suffix, y.rk FROM p AS x"
+            " JOIN p AS y ON x.tid = y.tid AND y.rk < x.rk)",
+            "h AS (SELECT suffix, rk, count(*) AS n FROM g GROUP BY 1, 2"
+            f" HAVING count(*) >= {BRAND_HIGH})",
+            "i AS (SELECT tid, suffix, string_agg(rk, ',' ORDER BY n DESC, rk) AS prefix"
+            " FROM g JOIN h USING (suffix, rk) GROUP BY 1, 2)",
+        )
+        + "SELECT CAST(suffix AS VARCHAR) AS suffix, prefix, count(*) AS w FROM i GROUP BY 1, 2",
         "prefix_tree": with_baskets(
             "order_brand",
             *ranks(BRAND),

@@ -98,8 +98,19 @@ def conditional_item_counts(base: DataFrame, min_support: int) -> DataFrame:
 
 
 def kept_items(counts: DataFrame) -> DataFrame:
-    """The frequent items of each suffix as one array: ``(suffix, keep)``."""
-    return counts.groupBy("suffix").agg(F.collect_list("item").alias("keep"))
+    """The frequent items of each suffix as one array: ``(suffix, keep)``.
+
+    They stand in the suffix's own order, the most frequent with it first, then by rank.
+    """
+    return counts.groupBy("suffix").agg(
+        F.transform(ordered_items("item", "freq"), lambda x: x["item"]).alias("keep")
+    )
+
+
+def ordered_items(item: str, freq: str) -> Column:
+    """An aggregate: all items with their counts, ``(item, freq)``, the most frequent first."""
+    entries = F.array_sort(F.collect_list(F.struct((-F.col(freq)).alias("order"), F.col(item).alias("item"))))
+    return F.transform(entries, lambda x: F.struct(x["item"].alias("item"), (-x["order"]).alias("freq")))
 
 
 def project_prefixes(
@@ -107,9 +118,14 @@ def project_prefixes(
     keep: DataFrame,
     keep_rows: int | None = None,
     row_bytes: int = 256,
+    local_order: bool = False,
 ) -> DataFrame:
     """Drop the items that are infrequent within their pattern base.
 
+    With `local_order` what is left stands in the order of `keep`, as `kept_items` gives
+    it. Prefixes that begin with what is frequent there have longer beginnings in common,
+    so more of them are equal once they are cut at an item.
+
     `keep` comes from `kept_items`; `keep_rows` and `row_bytes` are its measured size,
     which is taken if it is not given. Rows that lose all items go.
     """
@@ -117,7 +133,8 @@ def project_prefixes(
         keep_rows, kept = keep.agg(F.count(F.lit(1)), F.sum(F.size("keep"))).first()
         row_bytes += 4 * -(-(kept or 0) // max(keep_rows, 1))
     rows = lookup_join(base, keep, "suffix", keep_rows, row_bytes, salt_on=["prefix"])
-    projected = once(project(F.col("prefix"), F.col("keep"))).alias("prefix")
+    sides = (F.col("keep"), F.col("prefix")) if local_order else (F.col("prefix"), F.col("keep"))
+    projected = once(project(*sides)).alias("prefix")
     return rows.select("suffix", projected, "w").filter(F.size("prefix") > 0)
 
 

@@ -28,6 +28,7 @@ from basketweave.operators.patterns import (
     conditional_transactions,
     count_pairs,
     extension_counts,
+    ordered_items,
     pattern_base,
     project_prefixes,
 )
@@ -155,10 +156,12 @@ def grow(
             "counts",
             extension_counts(base.spread(), min_support)
             .groupBy("suffix")
-            .agg(
-                F.collect_list("item").alias("keep"),
-                F.collect_list("freq").alias("freqs"),
-                F.max("width").alias("width"),
+            .agg(ordered_items("item", "freq").alias("found"), F.max("width").alias("width"))
+            .select(
+                "suffix",
+                F.transform("found", lambda x: x["item"]).alias("keep"),
+                F.transform("found", lambda x: x["freq"]).alias("freqs"),
+                "width",
             ),
             grows=F.count_if(grows),
             kept=F.sum(F.when(grows, F.size("keep"))),
@@ -182,6 +185,7 @@ def grow(
             counts.df.filter(grows).select("suffix", "keep"),
             stats["grows"],
             _keep_bytes(k, stats["kept"], stats["grows"]),
+            local_order=True,
         )
         if _is_small(stats["width_left"], finish_width):
             longest = None if max_len is None else max_len - k + 1

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import basketweave as bw
+from basketweave.operators import patterns
 from basketweave.plans import growth
 from tests.conftest import baskets_frame, brute_force, collected, rows_frame
 from tests.data import DEMO, DEMO_ITEMSETS, LETTER_SIZES
@@ -145,6 +146,26 @@ def test_groups_grow_where_they_are(spark):
     assert not spark.catalog.tableExists(table)
 
 
+def test_local_order_merges_more(spark):
+    """Items that are rare in all but frequent with a suffix come first there."""
+    rng = random.Random(21)
+    baskets = []
+    for _ in range(400):  # with item 9 the rare items are common, and the common ones rare
+        inner = [i for i in range(9) if rng.random() < (0.9 if i > 5 else 0.3)]
+        baskets.append((inner + [9], 1))
+    base = spark.createDataFrame([([9], b[:-1], w) for b, w in baskets], "suffix ARRAY<INT>, prefix ARRAY<INT>, w BIGINT")
+    keep = patterns.kept_items(growth.extension_counts(base, 5).select("suffix", "item", "freq"))
+    rows, itemsets = {}, {}
+    for local in (False, True):
+        longer = growth.conditional_pattern_base(growth.project_prefixes(base, keep, local_order=local))
+        rows[local] = longer.count()
+        itemsets[local] = {
+            (frozenset(r["suffix"]) | {r["item"]}): r["freq"] for r in growth.extension_counts(longer, 5).collect()
+        }
+    assert rows[True] < 0.9 * rows[False]
+    assert itemsets[True] == itemsets[False] and len(itemsets[True]) > 30
+
+
 @pytest.mark.parametrize("long_rows, joins_used", [(1, "broadcast"), (40, "shuffle")])
 def test_size_of_kept_items_decides_the_join(spark, monkeypatch, long_rows, joins_used):
     """Suffixes that keep one item must not hide the size of a few long ones."""
