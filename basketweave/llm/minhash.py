@@ -34,8 +34,8 @@ BANDS, ROWS = 48, 5
 PERMUTATIONS = BANDS * ROWS // 2
 # Shingles that are hashed at once, so that they stay in the processor's cache.
 CHUNK = 1 << 15
-# An id in a broadcast table.
-ID_BYTES = 96
+# Members of a hub that meet it in one place; an id in a broadcast table.
+HUB_MEMBERS, ID_BYTES = 1000, 96
 
 _ODD = np.random.default_rng(20).integers(1, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -138,45 +138,34 @@ def signatures(docs: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, wanted: Table) -> DataFrame:
     """The full sets of classes, ``id`` and ``set``, whose texts are read again.
 
-    `wanted` has the ``id`` of each class, its name and the ``doc_id`` of a document in it;
-    an id may stand on other texts too, which the name leaves out.
+    `wanted` has the ``id`` of each class, and the ``doc_id`` and ``text_hash`` of a row in
+    it: an id may stand on other texts too.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
-    ids = wanted.df.select("doc_id").distinct()
-    ids = F.broadcast(ids) if fits_broadcast(wanted.rows, ID_BYTES) else ids
+    texts = texts.withColumn("text_hash", F.xxhash64("text"))
+    rows = wanted.df.select("id", "doc_id", "text_hash")
+    rows = F.broadcast(rows) if fits_broadcast(wanted.rows, ID_BYTES) else rows
 
     def make():
-        def step(texts):
-            sets = [shingles(t) for t in texts]
-            names = [_name(s) for s in sets]
-            return {
-                "set_a": [a for a, _ in names],
-                "set_b": [b for _, b in names],
-                "set": [s.view(np.int64) for s in sets],
-            }
+        return lambda ids, texts: {"id": ids, "set": [shingles(t).view(np.int64) for t in texts]}
 
-        return step
-
-    found = texts.join(ids, "doc_id", "left_semi").select("text")
-    sets = map_batches(found, make, "set_a bigint, set_b bigint, set array<bigint>")
-    name = F.struct("set_a", "set_b").alias("name")
-    classes = wanted.df.select(name, "id")
-    named = lookup_join(sets.select(name, "set"), classes, "name", wanted.rows, ID_BYTES, ["set"])
-    return named.select("id", "set").dropDuplicates(["id"])
+    found = texts.join(rows, ["doc_id", "text_hash"]).select("id", "text")
+    return map_batches(found, make, "id bigint, set array<bigint>").dropDuplicates(["id"])
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame, what: Column, hubs: Table | None = None) -> DataFrame:
+def _overlaps(pairs: DataFrame, sets: DataFrame, what: Column, hubs: DataFrame | None = None) -> DataFrame:
     """`pairs` (``hub``, ``id`` and more) with `what` of ``set`` and ``hub_set``.
 
-    `hubs` are the sets of the hubs, if few meet many: a hub's members are then dealt to
-    several tasks, each with a copy of its set.
+    `hubs` are the sets of the hubs, ``(hub, pieces, hub_set)``, if few meet many: the
+    members of a hub, dealt to its pieces as ``piece`` says, then meet a copy in each.
     """
     joined = pairs.join(sets, "id")
     if hubs is None:
         of_hub = sets.select(F.col("id").alias("hub"), F.col("set").alias("hub_set"))
         return joined.join(of_hub, "hub").select(*pairs.columns, what)
-    size = ID_BYTES + 8 * -(-hubs.stats["parts"] // max(hubs.rows, 1))
-    return lookup_join(joined, hubs.df, "hub", hubs.rows, size, ["id"]).select(*pairs.columns, what)
+    pieces = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)).alias("piece")
+    copies = hubs.select("hub", pieces, "hub_set")
+    return joined.join(copies, ["hub", "piece"]).select(*pairs.columns, what)
 
 
 def _shared() -> Column:
@@ -229,7 +218,7 @@ def _others(
     ws: Workspace,
     rows: DataFrame,
     sets: DataFrame,
-    hubs: Table | None = None,
+    hubs: DataFrame | None = None,
     keys: DataFrame | None = None,
 ) -> DataFrame:
     """Pairs that may be linked though neither is a hub: ``hub``, ``id``, ``n``, ``other``.
@@ -255,7 +244,8 @@ def _others(
     of = rows.groupBy("hub").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     doubt = ws.write("doubt", rows.join(of.where("low < high").select("hub"), "hub")).df
     outside = F.explode(F.array_except("set", "hub_set")).alias("part")
-    parts = ws.write("parts", _overlaps(doubt.select("hub", "id", "component"), sets, outside, hubs)).df
+    columns = ["hub", "id", "component"] + (["piece"] if hubs is not None else [])
+    parts = ws.write("parts", _overlaps(doubt.select(*columns), sets, outside, hubs).drop("piece")).df
 
     def foreign(parts: DataFrame) -> DataFrame:
         """The parts that members of different components have, and how many have each."""
@@ -341,11 +331,11 @@ def _grouped(docs: DataFrame, ws: Workspace) -> DataFrame:
     classes = ws.write(
         "classes",
         named.groupBy(*name)
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
-        .withColumn("id", F.monotonically_increasing_id()),
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("n_shingles").alias("n"))
+        .select(*name, "least.*", "n", F.monotonically_increasing_id().alias("id")),
     ).df
     banded = (
-        named.join(classes.select(*name, "doc_id", "id", "n"), [*name, "doc_id"])
+        named.join(classes.select("doc_id", "text_hash", "id", "n"), ["doc_id", "text_hash"])
         .dropDuplicates(["id"])
         .select("id", "n", F.explode("bands").alias("key"))
     )
@@ -362,15 +352,19 @@ def _grouped(docs: DataFrame, ws: Workspace) -> DataFrame:
     ).df
 
     members = buckets.where("hub <> id")
-    met = ws.write("met", members.drop("key").distinct()).df
+    of_hub = members.groupBy("hub").agg(
+        F.ceil(F.count_distinct("id") / HUB_MEMBERS).alias("pieces")
+    )
+    dealt = ws.write("pieces", of_hub)
+    met = lookup_join(
+        members.drop("key").distinct(), dealt.df, "hub", dealt.rows, ID_BYTES, ["id"]
+    )
+    piece = F.pmod(F.xxhash64("id"), F.col("pieces")).alias("piece")
+    met = ws.write("met", met.select("hub", "id", "n", "hub_n", piece)).df
     wanted = ws.write("ids", classes.join(buckets.select("id").distinct(), "id", "left_semi"))
     sets = ws.write("sets", _sets(docs, wanted)).df
-    of_hubs = met.select(F.col("hub").alias("id")).distinct().join(sets, "id")
-    hub_sets = ws.write(
-        "hub_sets",
-        of_hubs.select(F.col("id").alias("hub"), F.col("set").alias("hub_set")),
-        parts=F.sum(F.size("hub_set")),
-    )
+    own = sets.select(F.col("id").alias("hub"), F.col("set").alias("hub_set"))
+    hub_sets = ws.write("hub_sets", dealt.df.join(own, "hub")).df
     measured = ws.write("measured", _overlaps(met, sets, _shared().alias("shared"), hub_sets)).df
 
     links = measured.where(_linked("n", "hub_n", "shared")).select(
