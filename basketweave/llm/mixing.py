@@ -124,7 +124,12 @@ def mix(
         F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"),
         F.size(words(F.col("text").cast("string"))).cast("bigint").alias("mix_tokens"),
         source.alias("_source"),
-    ).withColumn("_key", F.concat_ws("|", F.col("_row.doc_id").cast("string"), "mix_tokens"))
+    )
+    # Rows without an id are told apart by their texts, so they do not share one block.
+    named = F.coalesce(
+        F.col("_row.doc_id").cast("string"), F.xxhash64(F.col("_row.text").cast("string")).cast("string")
+    )
+    rows = rows.withColumn("_key", F.concat_ws("|", named, "mix_tokens"))
     sizes = rows.groupBy("_source").agg(
         F.sum("mix_tokens").alias("_total"), F.count(F.lit(1)).alias("_docs")
     )

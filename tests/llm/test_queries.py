@@ -35,7 +35,7 @@ def texts(duck):
 
 def test_all_operators_and_the_pipeline_are_registered():
     names = entry.queries().keys()
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 14))
     assert QUERIES.keys() | {"pipeline"} <= names and SQL.keys() <= entry.oracle_sql().keys()
 
 
@@ -124,6 +124,56 @@ def check_tokens(rows, pairs):
         start += len(ids)
 
 
+def test_op12(spark, texts):
+    from tests.llm.test_align import brute_force
+
+    rows = sorted(QUERIES["op12_token_alignment"](spark, SF_DIR).collect(), key=lambda r: r["doc_id"])
+    ids = sorted(texts)
+    assert [r["doc_id"] for r in rows] == ids
+    short = [(r, texts[r["doc_id"]]) for r in rows if len(texts[r["doc_id"]] or "") < 1500]
+    for (r, _), want in zip(short, brute_force([t for _, t in short]), strict=True):
+        # The counts are of the whole corpus, so they are no less than those of the short texts.
+        assert all(r[k] == want[k] for k in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256"))
+        assert r["count_sum"] >= want["count_sum"] and r["n_best"] <= r["n_links"]
+
+
+def test_op13(spark, duck, texts):
+    labels = dict(duck.execute("SELECT doc_id, quality FROM labels WHERE quality IS NOT NULL").fetchall())
+    rows = QUERIES["op13_quality"](spark, SF_DIR).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    right = []
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5)
+        if r["held_out"] and r["doc_id"] in labels:
+            right.append(r["predicted"] == labels[r["doc_id"]])
+    assert np.mean(right) > 0.9
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path, vocabulary):
+    """Nulls in every column, repeated ids and rows, a very long text, a further column; no rows."""
+    from tests.llm.conftest import documents, with_clashes
+
+    prose = [" ".join(vocabulary[30 * i : 30 * i + 30]) for i in range(12)]
+    rows = [*enumerate(prose), (None, None), (None, prose[0] + " x"), (3, "another text under the id"), (40, ""), (41, None)]
+    rows += [(50, " ".join(f"long{i}" for i in range(50_000))), (51, prose[1]), (52, "you idiot moron loser"), (7, prose[7])]
+    docs = with_clashes(documents(spark, rows))
+    labels = "doc_id BIGINT, quality INT, toxic INT"
+    for name, frame in (("some", docs), ("none", docs.limit(0))):
+        folder = f"{tmp_path}/{name}"
+        frame.write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(0, 1, 0), (52, 0, 1), (None, 1, 1), (3, None, None)], labels).write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(0, prose[4]), (1, None), (None, prose[5])], "item_id BIGINT, text STRING").write.parquet(f"{folder}/benchmark.parquet")
+        out = [(r["doc_id"], r["n_tokens"]) for r in corpus_pipeline.run(spark, folder).collect()]
+        if name == "none":
+            assert out == []
+            continue
+        ids = [i for i, _ in out]
+        assert {0, 1, 2, 3, 5, 6, 7, 8, 9, 10, 11, 40, 41, 50, None} <= set(ids)
+        assert 51 not in ids and 4 not in ids
+        assert min(n for i, n in out if i == 50) > 50_000
+
+
 def test_op10(spark):
     rows = QUERIES["op10_warc_audit"](spark, SF_DIR).collect()
     assert len({r["page_id"] for r in rows}) == len(rows) > 0
