@@ -15,6 +15,7 @@ import basketweave as bw
 from basketweave import job
 from basketweave import operators as ops
 from basketweave import sources as src
+from basketweave.sources.writers import RULE_LABELS
 
 # The driver may delete corpus_pipeline.py and basketweave/llm; all else works without them.
 try:
@@ -162,21 +163,17 @@ def q_write_rules_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_rule_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of `write_rules`, taken apart at their labels."""
     lines = spark.read.schema(LINE_SCHEMA).text(path)
-    part = (
-        r"Set\((.*)\) Successivo: Set\((.*)\) Supporto antecedente: (.*)"
-        r" Supporto successivo: (.*) Supporto: (.*) Confidence: (.*)$"
-    )
-    sets = [F.replace(F.regexp_extract("value", part, i), F.lit(", "), F.lit(",")) for i in (1, 2)]
-    names = ("antecedent_support", "consequent_support", "support", "confidence")
-    return lines.select(
-        sets[0].alias("antecedent"),
-        sets[1].alias("consequent"),
-        *[
-            F.round(F.regexp_extract("value", part, i).cast("double"), 6).alias(name)
-            for i, name in enumerate(names, 3)
-        ],
-    )
+    values = {n: r"Set\((.*)\)" if n in ("antecedent", "consequent") else "(.*)" for n in RULE_LABELS}
+    part = "".join(label + values[n] for n, label in RULE_LABELS.items()) + "$"
+    columns = []
+    for i, name in enumerate(RULE_LABELS, 1):
+        text = F.regexp_extract("value", part, i)
+        is_set = name in ("antecedent", "consequent")
+        shown = F.replace(text, F.lit(", "), F.lit(",")) if is_set else F.round(text.cast("double"), 6)
+        columns.append(shown.alias(name))
+    return lines.select(*columns)
 
 
 def q_mine_job(spark: SparkSession, sf_dir: str) -> DataFrame:
