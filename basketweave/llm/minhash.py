@@ -245,7 +245,8 @@ def _others(
     doubt = ws.write("doubt", rows.join(of.where("low < high").select("hub"), "hub")).df
     outside = F.explode(F.array_except("set", "hub_set")).alias("part")
     columns = ["hub", "id", "component"] + (["piece"] if hubs is not None else [])
-    parts = ws.write("parts", _overlaps(doubt.select(*columns), sets, outside, hubs).drop("piece")).df
+    every = ws.write("parts", _overlaps(doubt.select(*columns), sets, outside, hubs).drop("piece"))
+    parts = every.df
 
     def foreign(parts: DataFrame) -> DataFrame:
         """The parts that members of different components have, and how many have each."""
@@ -258,6 +259,7 @@ def _others(
         return parts.drop("members").join(shared, ["hub", "part"])
 
     parts = ws.write("foreign", foreign(parts)).df
+    ws.drop(every)
     most = parts.groupBy("hub", "id").agg(F.count(F.lit(1)).alias("more"))
     least = doubt.groupBy("hub").agg(F.min("n").alias("least"))
     smallest = F.greatest(F.col("least"), F.ceil(F.col("n") * SIMILARITY / 100))
@@ -340,7 +342,8 @@ def _grouped(docs: DataFrame, ws: Workspace) -> DataFrame:
         .select("id", "n", F.explode("bands").alias("key"))
     )
     sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = ws.write("shared", banded.join(sizes, "key")).df
+    in_buckets = ws.write("shared", banded.join(sizes, "key"))
+    shared = in_buckets.df
     degrees = shared.groupBy("id").agg(F.sum("size").alias("degree"))
     central = F.max_by(F.struct("id", "n"), F.struct("degree", -F.col("id")))
     hubs = shared.join(degrees, "id").groupBy("key").agg(central.alias("hub"))
@@ -351,6 +354,7 @@ def _grouped(docs: DataFrame, ws: Workspace) -> DataFrame:
         ),
     ).df
 
+    ws.drop(in_buckets)
     members = buckets.where("hub <> id")
     of_hub = members.groupBy("hub").agg(
         F.ceil(F.count_distinct("id") / HUB_MEMBERS).alias("pieces")
@@ -360,12 +364,13 @@ def _grouped(docs: DataFrame, ws: Workspace) -> DataFrame:
         members.drop("key").distinct(), dealt.df, "hub", dealt.rows, ID_BYTES, ["id"]
     )
     piece = F.pmod(F.xxhash64("id"), F.col("pieces")).alias("piece")
-    met = ws.write("met", met.select("hub", "id", "n", "hub_n", piece)).df
+    met = ws.write("met", met.select("hub", "id", "n", "hub_n", piece))
     wanted = ws.write("ids", classes.join(buckets.select("id").distinct(), "id", "left_semi"))
     sets = ws.write("sets", _sets(docs, wanted)).df
     own = sets.select(F.col("id").alias("hub"), F.col("set").alias("hub_set"))
     hub_sets = ws.write("hub_sets", dealt.df.join(own, "hub")).df
-    measured = ws.write("measured", _overlaps(met, sets, _shared().alias("shared"), hub_sets)).df
+    measured = ws.write("measured", _overlaps(met.df, sets, _shared().alias("shared"), hub_sets)).df
+    ws.drop(met)
 
     links = measured.where(_linked("n", "hub_n", "shared")).select(
         F.col("hub").alias("a"), F.col("id").alias("b")
