@@ -69,7 +69,8 @@ def prune_transactions(
 ) -> DataFrame:
     """Keep frequent items only, as ranks in rank order: ``(tid, items ARRAY<INT>)``.
 
-    `rank_rows` is the size of the dictionary, which is counted if it is not given.
+    `rank_rows` and `row_bytes` are the size of the dictionary, which is measured if it is
+    not given.
     Items are looked up in long form and regrouped as integers, so the shuffle by
     transaction moves ranks, not names, and an array is never longer than the
     dictionary. Transactions without a frequent item have no row.
@@ -77,7 +78,9 @@ def prune_transactions(
     rows = long_rows(data, distinct=False)
     ranks = rank.select("item", "rk")
     if rank_rows is None:
-        rank_rows = ranks.count()
+        names = F.octet_length(F.col("item").cast("string"))
+        rank_rows, size = ranks.agg(F.count(F.lit(1)), F.sum(names)).first()
+        row_bytes = ENTRY_BYTES + -(-(size or 0) // max(rank_rows, 1))
     coded = lookup_join(rows, ranks, "item", rank_rows, row_bytes, salt_on=["tid"])
     return coded.groupBy("tid").agg(F.sort_array(F.collect_set("rk")).alias("items"))
 
