@@ -43,8 +43,9 @@ from basketweave.workspace import Table, Workspace
 
 # The subset strategy enumerates all bases up to this width.
 SUBSET_WIDTH = 14
-# Items that two integer masks name, and how many of them go before equal masks merge.
-MASK_ITEMS, MERGE_ITEMS = 30, 3
+# Subsets are summed as masks for up to so many items, each of which is a step; of more,
+# narrow prefixes have few. And how many items go before equal masks merge.
+MASK_ITEMS, MERGE_ITEMS = 12, 3
 
 
 def _write_base(ws: Workspace, base: DataFrame) -> Table:

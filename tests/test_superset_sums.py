@@ -32,7 +32,7 @@ def test_every_set_gets_the_weight_of_its_supersets(spark, items):
 
 def test_two_shuffles_and_no_listed_subsets(spark):
     frame = spark.createDataFrame([([0, 1, 2, 3, 4, 5], [9], 1)], "prefix ARRAY<INT>, suffix ARRAY<INT>, w BIGINT")
-    plan = growth._count_subsets(frame, 1, 2, None, 20)._jdf.queryExecution().executedPlan().toString()
+    plan = growth._count_subsets(frame, 1, 2, None, growth.MASK_ITEMS)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 4
     assert "explode(filter(aggregate" not in plan and "reduce" not in plan.split("explode(")[-1]
     listed = growth._count_subsets(frame, 1, 2, None)._jdf.queryExecution().executedPlan().toString()
