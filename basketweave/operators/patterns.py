@@ -165,7 +165,8 @@ def pair_counts(
 
     Items that are infrequent on their own go first, and equal baskets are merged and
     written, so many copies of one basket are paired once and a wide one is cut into
-    pieces for several tasks.
+    pieces for several tasks. Before that a basket is one array in one task, of its
+    frequent items only.
     """
     ws = workspace or Workspace(data.sparkSession)
     rows = long_rows(data)

@@ -45,7 +45,11 @@ def assign_tids(
 
 
 def transactions_from_rows(rows: DataFrame, key: str, item: str) -> DataFrame:
-    """Relational rows to ``(tid, items)``: one basket per `key`, items sorted."""
+    """Relational rows to ``(tid, items)``: one basket per `key`, items sorted.
+
+    A basket is one array, made in one task. Where single baskets may be huge, keep the
+    long rows, which all strategies take, or prune infrequent items first.
+    """
     kept = rows.filter(F.col(item).isNotNull() & (F.col(item) != ""))
     return kept.groupBy(F.col(key).alias("tid")).agg(
         F.sort_array(F.collect_set(item)).alias("items")
