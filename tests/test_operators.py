@@ -240,6 +240,16 @@ def test_hot_key_is_spread_over_tasks(spark, monkeypatch):
     assert found.count() == 300
 
 
+def test_a_side_with_small_files_is_not_broadcast(spark, tmp_path):
+    """Spark would take a few KB of files for a small side, whatever comes out of its rows."""
+    spark.range(20).select(F.sequence(F.lit(1), F.lit(5000)).alias("x")).write.parquet(f"{tmp_path}/big")
+    big = spark.read.parquet(f"{tmp_path}/big").select(F.explode("x").alias("key"))
+    small = spark.range(3).withColumnRenamed("id", "key")
+    found = lookup_join(big, small, "key", 10**7, 100, ["key"])
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 40
+
+
 def test_long_keep_arrays_prune(spark):
     kept = list(range(1, 5001))
     base = spark.createDataFrame(
