@@ -46,6 +46,8 @@ SUBSET_WIDTH = 14
 # Subsets are summed as masks for up to so many items, each of which is a step; of more,
 # narrow prefixes have few. And how many items go before equal masks merge.
 MASK_ITEMS, MERGE_ITEMS = 12, 3
+# Merged baskets up to which a group is one task's work; of more it is dealt to pieces.
+GROUP_BASKETS = 32_768
 
 
 def _write_base(ws: Workspace, base: DataFrame) -> Table:
@@ -136,6 +138,41 @@ def _keep_bytes(k: int, kept: int, suffixes: int) -> int:
     return 100 + 4 * k + 4 * -(-kept // max(suffixes, 1))
 
 
+def _write_extensions(ws: Workspace, base: DataFrame, min_support: int) -> Table:
+    """The frequent items of each suffix with their counts: ``(suffix, keep, freqs, width)``.
+
+    One row per suffix; one that keeps a single item cannot grow further.
+    """
+    grows = F.size("keep") > 1
+    return ws.write(
+        "counts",
+        extension_counts(base, min_support)
+        .groupBy("suffix")
+        .agg(ordered_items("item", "freq").alias("found"), F.max("width").alias("width"))
+        .select(
+            "suffix",
+            F.transform("found", lambda x: x["item"]).alias("keep"),
+            F.transform("found", lambda x: x["freq"]).alias("freqs"),
+            "width",
+        ),
+        grows=F.count_if(grows),
+        kept=F.sum(F.when(grows, F.size("keep"))),
+        width_left=F.max(F.when(grows, F.col("width"))),
+    )
+
+
+def _extended(counts: Table) -> DataFrame:
+    """The itemsets that `_write_extensions` has counted."""
+    found = F.explode(F.arrays_zip("keep", "freqs")).alias("found")
+    return counts.df.select("suffix", found).select(
+        F.concat(F.array("found.keep"), "suffix").alias("itemset"), F.col("found.freqs").alias("freq")
+    )
+
+
+def _growing(counts: Table) -> DataFrame:
+    return counts.df.filter(F.size("keep") > 1).select("suffix", "keep")
+
+
 def grow(
     ws: Workspace,
     base: Table,
@@ -151,39 +188,17 @@ def grow(
     """
     levels: list[DataFrame] = []
     while base.rows:
-        # One row per suffix; one that keeps a single item cannot grow further.
-        grows = F.size("keep") > 1
-        counts = ws.write(
-            "counts",
-            extension_counts(base.spread(), min_support)
-            .groupBy("suffix")
-            .agg(ordered_items("item", "freq").alias("found"), F.max("width").alias("width"))
-            .select(
-                "suffix",
-                F.transform("found", lambda x: x["item"]).alias("keep"),
-                F.transform("found", lambda x: x["freq"]).alias("freqs"),
-                "width",
-            ),
-            grows=F.count_if(grows),
-            kept=F.sum(F.when(grows, F.size("keep"))),
-            width_left=F.max(F.when(grows, F.col("width"))),
-        )
+        counts = _write_extensions(ws, base.spread(), min_support)
         stats = counts.stats
         if counts.rows:
-            found = F.explode(F.arrays_zip("keep", "freqs")).alias("found")
-            levels.append(
-                counts.df.select("suffix", found).select(
-                    F.concat(F.array("found.keep"), "suffix").alias("itemset"),
-                    F.col("found.freqs").alias("freq"),
-                )
-            )
+            levels.append(_extended(counts))
         k += 1
         if not stats["grows"] or (max_len is not None and k >= max_len):
             break
 
         projected = project_prefixes(
             base.spread(),
-            counts.df.filter(grows).select("suffix", "keep"),
+            _growing(counts),
             stats["grows"],
             _keep_bytes(k, stats["kept"], stats["grows"]),
             local_order=True,
@@ -263,6 +278,74 @@ def grow_in_group(base: DataFrame, min_support: int, owner: Column | None = None
     )
 
 
+def _cut_in_place(rows: DataFrame) -> DataFrame:
+    """``(shard, suffix, pos, item, prefix, w)`` to the bases of the longer suffixes, by shard."""
+    return (
+        rows.filter("pos > 0")
+        .select(
+            "shard",
+            F.concat(F.array("item"), "suffix").alias("suffix"),
+            F.slice("prefix", F.lit(1), F.col("pos")).alias("prefix"),
+            "w",
+        )
+        .groupBy("shard", "suffix", "prefix")
+        .agg(F.sum("w").alias("w"))
+    )
+
+
+def _grow_pieces(
+    ws: Workspace,
+    baskets: Table,
+    items: int,
+    pieces: int,
+    min_support: int,
+    max_len: int | None,
+    num_groups: int,
+    finish_width: int | None,
+) -> list[DataFrame]:
+    """The rounds of `mine_fpgrowth` where a group is more than one task's work.
+
+    The rows of a group are dealt to `pieces` by their prefixes and stay where they are. A
+    piece's counts are not final, so a round sums them over all pieces and tells each what
+    its suffixes keep; the rows are shuffled again only if that is too much to broadcast.
+    """
+    buckets = min(num_groups, items) * pieces
+    piece = F.pmod(F.xxhash64("prefix"), F.lit(pieces)).cast("int")
+    sharded = (
+        conditional_transactions(baskets.spread(), num_groups, array="prefix")
+        .select("grp", (F.col("grp") * pieces + piece).alias("shard"), "prefix", "w")
+        .repartition(buckets, "shard")
+        .withColumn("suffix", F.array().cast("array<int>"))
+    )
+    owned = sharded.select("*", F.posexplode("prefix").alias("pos", "item")).filter(
+        F.col("item") % num_groups == F.col("grp")
+    )
+    base = ws.write_bucketed("base", _cut_in_place(owned), "shard", buckets)
+    k, levels = 1, []
+    while base.rows:
+        counts = _write_extensions(ws, base.df, min_support)
+        stats = counts.stats
+        if counts.rows:
+            levels.append(_extended(counts))
+        k += 1
+        if not stats["grows"] or (max_len is not None and k >= max_len):
+            break
+        row_bytes = _keep_bytes(k, stats["kept"], stats["grows"])
+        kept = lookup_join(base.df, _growing(counts), "suffix", stats["grows"], row_bytes, ["prefix"])
+        projected = kept.select("shard", "suffix", once(project(F.col("keep"), F.col("prefix"))).alias("prefix"), "w")
+        if _is_small(stats["width_left"], finish_width):
+            longest = None if max_len is None else max_len - k + 1
+            levels.append(ws.write("direct", _count_subsets(projected, min_support, 2, longest, items)).df)
+            break
+        if not fits_broadcast(stats["grows"], row_bytes):
+            projected = projected.repartition(buckets, "shard")
+        longer = _cut_in_place(projected.select("*", F.posexplode("prefix").alias("pos", "item")))
+        before, base = base, ws.write_bucketed("base", longer, "shard", buckets)
+        ws.drop(before)
+    ws.drop(base)
+    return levels
+
+
 def mine_fpgrowth(
     ws: Workspace,
     data: DataFrame,
@@ -277,10 +360,14 @@ def mine_fpgrowth(
     From then on a group's rows stay where they are: each round is one job from one table
     bucketed by group to the next, without an exchange. Each task holds whole groups, so
     the groups should be many more than the tasks; the other growth strategies deal rows
-    by suffix instead and split hot ones.
+    by suffix instead and split hot ones. With more than GROUP_BASKETS merged baskets a
+    group is dealt to several tasks, and only its counts leave them.
     """
 
     def grow_rest(baskets: Table, items: int) -> list[DataFrame]:
+        pieces = -(-baskets.rows // GROUP_BASKETS)
+        if pieces > 1:
+            return _grow_pieces(ws, baskets, items, pieces, min_support, max_len, num_groups, finish_width)
         tasks = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
         buckets = max(1, min(num_groups, tasks))
         width = F.max(F.size("prefix"))

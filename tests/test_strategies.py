@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import basketweave as bw
+from basketweave.functions import joins
 from basketweave.operators import patterns
 from basketweave.plans import growth
 from tests.conftest import baskets_frame, brute_force, collected, rows_frame
@@ -146,6 +147,27 @@ def test_groups_grow_where_they_are(spark):
     assert not spark.catalog.tableExists(table)
 
 
+@pytest.mark.parametrize("groups, width, limit", [(2, 2, None), (1, None, 0), (2, None, 3)])
+def test_a_large_group_is_dealt_to_pieces(spark, monkeypatch, groups, width, limit):
+    monkeypatch.setattr(growth, "GROUP_BASKETS", 10)
+    if limit == 0:  # nothing is broadcast
+        monkeypatch.setattr(growth, "fits_broadcast", lambda *_: False)
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    tables = []
+    write = bw.Workspace.write_bucketed
+
+    def counted(ws, name, df, key, buckets, **metrics):
+        table = write(ws, name, df, key, buckets, **metrics)
+        tables.append(len(table.df.inputFiles()))
+        return table
+
+    monkeypatch.setattr(bw.Workspace, "write_bucketed", counted)
+    baskets = random_baskets(31, n=90)
+    found = growth.mine_fpgrowth(bw.Workspace(spark), rows_frame(spark, baskets), 3, limit or None, groups, width)
+    assert collected(found) == brute_force(baskets, 3, limit or None)
+    assert tables[0] > groups and max(tables) <= 9 * groups
+
+
 def test_local_order_merges_more(spark):
     """Items that are rare in all but frequent with a suffix come first there."""
     rng = random.Random(21)
