@@ -108,3 +108,21 @@ def test_eclat_cuts_large_classes(spark, monkeypatch, members):
 def test_empty_bitmaps(spark):
     none = rows_frame(spark, [["a"]])
     assert ops.tid_bitmaps(none, 2).collect() == []
+
+
+def test_equal_baskets_are_one_tid(spark, monkeypatch):
+    """Weights with several bits, in lists no longer than there are different baskets."""
+    longest = []
+    write = bw.Workspace.write
+
+    def seen(ws, name, *a, **k):
+        table = write(ws, name, *a, **k)
+        if name == "lists":
+            longest.append(table.df.agg(F.max(F.size("tids"))).first()[0])
+        return table
+
+    monkeypatch.setattr(bw.Workspace, "write", seen)
+    baskets = [list("abcd")] * 23 + [list("abc")] * 6 + [list("acd")] * 5 + [["a"]]
+    found = mine_eclat(bw.Workspace(spark), rows_frame(spark, baskets), 5)
+    assert collected(found) == brute_force(baskets, 5)
+    assert longest and max(n or 0 for n in longest) <= 3
