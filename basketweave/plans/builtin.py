@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.ml.fpm import FPGrowth, FPGrowthModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketweave.plans.encode import empty_itemsets
+from basketweave.operators.counting import prune_transactions
+from basketweave.plans.encode import decode, empty_itemsets, rank_dictionary
 from basketweave.workspace import Workspace
 
 RULES_SCHEMA = (
     "antecedent ARRAY<STRING>, consequent ARRAY<STRING>, confidence DOUBLE, lift DOUBLE, support DOUBLE"
 )
 
+# Items that a basket may have for all its subsets to be mined where only short ones are
+# wanted, and the most blocks that wider baskets are cut into.
+BLOCK_ITEMS, MOST_BLOCKS = 15, 36
+
 
 def _baskets(data: DataFrame) -> DataFrame:
     """All transactions as ``(items)``; one without items counts towards N too."""
@@ -48,6 +56,20 @@ def fit_builtin(
     return mining.fit(baskets.df)
 
 
+def _covers(items: int, max_len: int) -> tuple[int, list[list[int]]]:
+    """A number of parts for the ranks, and blocks of parts that hold any `max_len` items together."""
+    parts = max_len + 2
+    while math.comb(parts + 1, max_len) <= MOST_BLOCKS and max_len * -(-items // parts) > BLOCK_ITEMS:
+        parts += 1
+    return parts, [[*block] for block in itertools.combinations(range(parts), max_len)]
+
+
+def _coded(i: int, block: list[int], parts: int, items: int) -> Column:
+    """The ranks of ``items`` that are in a block, as its own codes."""
+    own = F.filter("items", lambda x: (x % parts).isin(block))
+    return F.transform(own, lambda x: x.cast("bigint") + i * items)
+
+
 def mine_builtin(
     ws: Workspace,
     data: DataFrame,
@@ -55,15 +77,32 @@ def mine_builtin(
     max_len: int | None = None,
     num_groups: int | None = None,
 ) -> DataFrame:
-    """The built-in model's itemsets, mined once and written; `max_len` saves no work."""
-    model = fit_builtin(data, min_support, num_groups, ws=ws)
-    if model is None:
+    """The built-in model's itemsets, mined once and written.
+
+    Infrequent items go before the baskets are built, so the model sees ranks only. It mines
+    all lengths, of which there are too many in wide baskets. With `max_len` those are
+    therefore cut into blocks of items, such that any `max_len` items are in some block, and
+    the blocks are mined side by side under codes of their own; what several blocks hold
+    has the same count in each.
+    """
+    items = rank_dictionary(ws, data, min_support)
+    if items is None:
         return empty_itemsets(data.sparkSession)
-    found = model.freqItemsets.select(
-        F.sort_array("items").alias("itemset"), F.size("items").alias("k"), "freq"
-    )
-    found = found if max_len is None else found.filter(F.col("k") <= max_len)
-    return ws.write("itemsets", found).df
+    pruned = prune_transactions(data, items.df, items.rows, items.row_bytes).select("items")
+    baskets = ws.write("transactions", pruned, width=F.max(F.size("items")))
+    if max_len is not None and baskets.stats["width"] > max(BLOCK_ITEMS, max_len):
+        parts, blocks = _covers(items.rows, max_len)
+        cut = F.explode(F.array(*[_coded(i, block, parts, items.rows) for i, block in enumerate(blocks)]))
+        before, baskets = baskets, ws.write("blocks", baskets.df.select(cut.alias("items")).filter(F.size("items") > 0))
+        ws.drop(before)
+    mining = FPGrowth(itemsCol="items", minSupport=(min_support - 0.5) / baskets.rows)
+    if num_groups is not None:
+        mining.setNumPartitions(num_groups)
+    found = mining.fit(baskets.df).freqItemsets
+    found = found if max_len is None else found.filter(F.size("items") <= max_len)
+    ranks = F.sort_array(F.transform("items", lambda x: (x % items.rows).cast("int")))
+    mined = ws.write("itemsets", found.select(ranks.alias("itemset"), "freq").distinct()).df
+    return decode(items, [mined])
 
 
 def association_rules_builtin(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import basketweave as bw
 from basketweave.functions import joins
 from basketweave.operators import patterns
-from basketweave.plans import growth
+from basketweave.plans import builtin, growth
 from tests.conftest import baskets_frame, brute_force, collected, rows_frame
 from tests.data import DEMO, DEMO_ITEMSETS, LETTER_SIZES
 
@@ -280,3 +280,24 @@ def test_large_dictionary_and_unbroadcast_lookups(spark, monkeypatch):
     for algorithm in ("apriori", "eclat", "pair_pruned", "prefix_array", "cells"):
         found = bw.frequent_itemsets(rows_frame(spark, baskets), 3, algorithm)
         assert collected(found) == brute_force(baskets, 3), algorithm
+
+
+def test_builtin_cuts_wide_baskets_to_blocks(spark, monkeypatch):
+    """Short itemsets are mined in blocks, and the model never sees a whole wide basket."""
+    monkeypatch.setattr(builtin, "BLOCK_ITEMS", 6)
+    widest = []
+    write = bw.Workspace.write
+
+    def seen(ws, name, *a, **k):
+        table = write(ws, name, *a, **k)
+        if name == "blocks":
+            widest.append(table.df.agg(F.max(F.size("items"))).first()[0])
+        return table
+
+    monkeypatch.setattr(bw.Workspace, "write", seen)
+    rng = random.Random(41)
+    baskets = [rng.sample("abcdefghijklm", rng.randint(0, 11)) for _ in range(60)] + [["rare", ""]]
+    for max_len in (2, 3):
+        found = bw.frequent_itemsets(rows_frame(spark, baskets), 4, "builtin", max_len=max_len)
+        assert collected(found) == brute_force(baskets, 4, max_len)
+    assert len(widest) == 2 and max(widest) <= 9
