@@ -7,6 +7,9 @@ widen in small steps (virtual rehashing: nothing is hashed anew), and the vector
 are inside often enough are verified by their exact inner product. The windows are the
 narrowest ones in which as many vectors as the budget asks for collide that often. The
 budget grows with the root of the number of vectors, so the share that is verified falls.
+In a large block, collisions are first counted on the few lines where the query lies
+farthest out, as the fewest vectors are near it there. Those that collide most often, several
+times the budget, go on to the windows on all lines.
 
 All vectors are indexed. Spark deals them into blocks of a bounded size, and each block's
 index is built once and written; the queries, which are far fewer, go to the blocks, in
@@ -34,6 +37,11 @@ WIDTHS = np.append(0.02 * 1.04 ** np.arange(132), np.inf)
 COLLISIONS = 0.75
 # A query verifies so many vectors for each root of their number, and k + 1 of each block.
 BUDGET = 5.0
+# The lines of the first round, and the buckets on either side of a query's own. How many
+# vectors go on: so many times the budget, and so many at least. A block that has no more of
+# them has no first round.
+FIRST_LINES, NEAR = 32, 64
+KEPT, LEAST_KEPT = 6, 1_024
 FOUND = "query long, query_id long, vec_id long, score double, verified long"
 INDEX = (
     "dimension int, wide long, ids binary, vectors binary, single boolean, codes binary, edges binary"
@@ -54,13 +62,24 @@ def lines(dimension: int) -> np.ndarray:
     return np.random.default_rng(dimension).standard_normal((dimension + 1, PROJECTIONS))
 
 
+def windows(above: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first bucket of the window from `low` to `high` on each line, and how many follow it."""
+    first = np.add.reduce((above < low).view(np.uint8), axis=0, dtype=np.uint8)
+    last = np.add.reduce((above <= high).view(np.uint8), axis=0, dtype=np.uint8)
+    return first, last - first
+
+
 class Index:
     """The bucketed projections of a block of vectors."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, edges: np.ndarray):
         self.ids, self.vectors, self.codes, self.edges = ids, vectors, codes, edges
         self.lines = lines(vectors.shape[1])[:-1]
-        self._moved, self._inside = np.empty_like(codes), np.empty(codes.shape, bool)
+        # Edges by number, then by line; the first bucket also holds what is below it.
+        self._above = np.ascontiguousarray(edges[:, 1:].T)
+        # The codes of a vector side by side, to pick vectors.
+        self._by_vector = np.ascontiguousarray(codes.T)
+        self._scratch = np.empty((2, codes.size), np.uint8)
 
     @classmethod
     def build(cls, ids: np.ndarray, vectors: np.ndarray, longest: float) -> Index:
@@ -98,14 +117,34 @@ class Index:
             np.frombuffer(row["edges"], np.float64).reshape(PROJECTIONS, -1),
         )
 
-    def colliding(self, at: np.ndarray, width: float) -> np.ndarray:
-        """The vectors inside enough of the windows of half a `width` around `at`."""
-        low = np.maximum((self.edges < (at - width)[:, None]).sum(axis=1) - 1, 0)
-        high = np.maximum((self.edges <= (at + width)[:, None]).sum(axis=1) - 1, 0)
+    def _inside(self, codes: np.ndarray, low: np.ndarray, more: np.ndarray) -> np.ndarray:
+        """1 for each code from `low` on, and up to `more` further; held until the next call."""
+        moved, inside = (x[: codes.size].reshape(codes.shape) for x in self._scratch)
         # Bytes wrap around, so one comparison tests both ends.
-        np.subtract(self.codes, low.astype(np.uint8)[:, None], out=self._moved)
-        np.less_equal(self._moved, (high - low).astype(np.uint8)[:, None], out=self._inside)
-        counts = np.add.reduce(self._inside.view(np.uint8), axis=0, dtype=np.uint8)
+        np.subtract(codes, low, out=moved)
+        np.less_equal(moved, more, out=inside.view(bool))
+        return inside
+
+    def first_round(self, at: np.ndarray, wanted: int) -> np.ndarray:
+        """The `wanted` vectors, or some more, that are near `at` most often.
+
+        Near are the buckets that hold `at` and NEAR on either side, with all that begin at
+        the same place; only the lines where `at` lies farthest out are looked at.
+        """
+        last = len(self._above)
+        first, more = (x.astype(int) for x in windows(self._above, at, at))
+        out = np.argsort(-np.abs(2 * first + more - last), kind="stable")[:FIRST_LINES]
+        low = np.maximum(first[out] - NEAR - 1, 0)
+        high = np.minimum(first[out] + more[out] + NEAR, last) - 1
+        low, more = windows(self._above[:, out], self._above[low, out], self._above[high, out])
+        counts = self._inside(self.codes[out], low[:, None], more[:, None]).sum(axis=0, dtype=np.uint8)
+        as_often = np.cumsum(np.bincount(counts, minlength=FIRST_LINES + 1)[::-1])[::-1]
+        return np.flatnonzero(counts >= np.flatnonzero(as_often >= wanted)[-1])
+
+    def colliding(self, codes: np.ndarray, at: np.ndarray, width: float) -> np.ndarray:
+        """The rows of `codes` inside enough of the windows of half a `width` around `at`."""
+        low, more = windows(self._above, at - width, at + width)
+        counts = self._inside(codes, low, more).sum(axis=1, dtype=np.uint8)
         return np.flatnonzero(counts >= COLLISIONS * PROJECTIONS)
 
     def nearest(
@@ -117,13 +156,20 @@ class Index:
         starts, and how many were verified.
         """
         at = (query / np.linalg.norm(query)) @ self.lines
-        step, budget = start, min(budget, len(self.ids))
-        found = self.colliding(at, WIDTHS[step])
+        budget = min(budget, len(self.ids))
+        codes, kept, keep = self._by_vector, None, max(LEAST_KEPT, KEPT * budget)
+        if keep < len(self.ids):
+            kept = self.first_round(at, keep)
+            codes = codes[kept]
+        step, found = start, self.colliding(codes, at, WIDTHS[start])
         while len(found) < budget:
             step += 1
-            found = self.colliding(at, WIDTHS[step])
-        while step and len(fewer := self.colliding(at, WIDTHS[step - 1])) >= budget:
-            step, found = step - 1, fewer
+            found = self.colliding(codes, at, WIDTHS[step])
+        # What collides in narrower windows collides in these, so no other vector is counted.
+        codes = codes[found]
+        while step and len(fewer := self.colliding(codes, at, WIDTHS[step - 1])) >= budget:
+            step, found, codes = step - 1, found[fewer], codes[fewer]
+        found = found if kept is None else kept[found]
         verified = len(found)
         found = found[self.ids[found] != query_id]
         exact = (self.vectors[found].astype(float) * query).sum(axis=1)

@@ -106,3 +106,42 @@ def test_the_step_does_not_depend_on_the_start():
         for i in (3, 77):
             a, b = (x.nearest(i, data[i], 5, 60, s) for x, s in ((index, start), (again, 30)))
             assert a[0].tolist() == b[0].tolist() and a[2:] == b[2:] and a[3] >= 60
+
+
+class Counting(neighbours.Index):
+    """An index that adds up how many codes its queries look at."""
+
+    seen = 0
+
+    def _inside(self, codes, low, more):
+        self.seen += codes.size
+        return super()._inside(codes, low, more)
+
+
+def test_a_large_block_is_counted_on_few_lines_first():
+    """Vectors of one cloud and of many lengths: what is near is found, and little is looked at."""
+    n, k, rng = 8000, 20, np.random.default_rng(11)
+    data = rng.standard_normal((n, 48)) + rng.standard_normal(48)
+    data *= rng.uniform(0.7, 1.3, (n, 1))
+    index = Counting.build(np.arange(n), data, float(np.linalg.norm(data, axis=1).max()))
+    budget, step, hits = 200, 60, []
+    for i in range(0, n, 100):
+        near, scores, step, verified = index.nearest(i, data[i], k, budget, step)
+        exact = data @ data[i]
+        exact[i] = -np.inf
+        hits.append(len(set(near.tolist()) & set(np.argsort(-exact)[:k].tolist())) / k)
+        assert budget <= verified and np.allclose(scores, exact[near])
+    assert np.mean(hits) >= 0.9
+    # Every vector on every line is as much as one look at all windows.
+    assert index.seen / len(hits) < 0.75 * n * neighbours.PROJECTIONS
+
+
+def test_copies_in_a_large_block_stand_by_id():
+    """More copies of a query than the first round keeps, and than its buckets hold."""
+    rng = np.random.default_rng(5)
+    data = rng.standard_normal((6000, 16))
+    data[1000:5500] = data[0]
+    data[5500] = 2 * data[0]
+    index = neighbours.Index.build(np.arange(6000), data, float(np.linalg.norm(data, axis=1).max()))
+    near, _, _, verified = index.nearest(5000, data[5000], 5, 100, 60)
+    assert near.tolist() == [5500, 0, 1000, 1001, 1002] and verified > 4500
