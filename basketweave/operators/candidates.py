@@ -10,6 +10,8 @@ from basketweave.workspace import Table, Workspace
 
 # A group of itemsets with a common stem is paired in blocks of this many.
 PAIR_BLOCK = 5000
+# Size of a child in a node of the candidate tree.
+CHILD_BYTES = 4
 
 
 def itemset_bytes(k: int) -> int:
@@ -136,16 +138,21 @@ def count_candidates_tree(
     shortest: int,
     longest: int,
     min_support: int = 1,
+    node_rows: list[int] | None = None,
 ) -> DataFrame:
     """How many transactions hold each candidate: ``(itemset, freq)``, in one scan.
 
     `baskets` are ``(prefix, w)`` and the candidates have `shortest` to `longest` items,
     in the order of the baskets. The candidates are a tree: the items that may follow each
     beginning. A basket walks down from the root and meets, of what is left of it, only
-    the children of the node it has reached, so its subsets are never listed. A row that
-    reaches a candidate counts it and goes on. The levels of the tree are broadcast if
-    `candidate_rows` of that length fit the limit.
+    the children of the node it has reached, so its subsets are never listed, and only
+    those that leave enough of it for the shortest candidate. A row that
+    reaches a candidate counts it and goes on. A level of the tree is broadcast if its nodes
+    fit the limit: `node_rows` bounds the beginnings of 0, 1, ..., `longest` items; without
+    it there are taken to be `candidate_rows` of each.
     """
+    if node_rows is None:
+        node_rows = [candidate_rows] * (longest + 1)
     rows = baskets.select("prefix", "w", F.lit(0).alias("at"), F.array().cast("array<int>").alias("itemset"))
     rows = rows.filter(F.size("prefix") >= shortest)
     nothing = F.array().cast("array<int>")
@@ -157,11 +164,13 @@ def count_candidates_tree(
             .groupBy("itemset")
             .agg(F.collect_set("next").alias("children"))
         )
-        met = lookup_join(
-            rows, nodes, "itemset", candidate_rows, itemset_bytes(depth + 1), ["prefix"], "left"
-        )
+        own = max(1, node_rows[depth])
+        node_bytes = itemset_bytes(depth) + CHILD_BYTES * -(-node_rows[depth + 1] // own)
+        met = lookup_join(rows, nodes, "itemset", own, node_bytes, ["prefix"], "left")
         # What is left of the basket; nothing once the row has stopped to count.
-        left = F.when(F.col("at") >= 0, F.slice("prefix", F.col("at") + 1, F.size("prefix")))
+        needed = max(0, shortest - depth - 1)
+        rest = F.slice("prefix", F.col("at") + 1, F.size("prefix") - F.col("at") - needed)
+        left = F.when(F.col("at") >= 0, rest)
         children = F.coalesce(F.array_intersect(left, F.col("children")), nothing)
         if depth >= shortest:
             children = F.concat(F.array(F.lit(None).cast("int")), children)

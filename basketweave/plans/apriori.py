@@ -85,7 +85,8 @@ def mine_apriori(
     if level.rows > 2 and (max_len is None or max_len > 2):
         near = _candidates(ws, level, 3)
         if fits_broadcast(near.rows, itemset_bytes(3)):
-            levels += _count_trees(ws, baskets, near, min_support, max_len, few)
+            sizes = [1, items.rows, level.rows]
+            levels += _count_trees(ws, baskets, near, sizes, min_support, max_len, few)
         else:
             levels += _extend(ws, baskets, level, near, min_support, max_len)
     ws.drop(baskets)
@@ -99,12 +100,22 @@ def _candidates(ws: Workspace, level: Table, k: int) -> Table:
 
 
 def _count_trees(
-    ws: Workspace, baskets: Table, near: Table, min_support: int, max_len: int | None, few: int
+    ws: Workspace,
+    baskets: Table,
+    near: Table,
+    sizes: list[int],
+    min_support: int,
+    max_len: int | None,
+    few: int,
 ) -> list[DataFrame]:
-    """The frequent itemsets from the candidates `near` of three items on."""
+    """The frequent itemsets from the candidates `near` of three items on.
+
+    `sizes` says how many frequent itemsets of 0, 1 and 2 items there are. What a pruned
+    candidate begins with is frequent too, so these bound the nodes of the tree.
+    """
     levels, k = [], 3
     while near.rows:
-        wanted, rows, longest = near.df, near.rows, k
+        wanted, rows, longest, nodes = near.df, near.rows, k, [*sizes, near.rows]
         if near.rows <= few and near.rows > k and (max_len is None or k < max_len):
             far = prune_candidates(
                 generate_candidates(near.df, near.rows), near.df, near.rows, k
@@ -112,10 +123,14 @@ def _count_trees(
             # Written, as every step of the walk reads them.
             both = ws.write("candidates", near.df.unionByName(far))
             wanted, rows, longest = both.df, both.rows, k + 1
-        counts = count_candidates_tree(baskets.spread(), wanted, rows, k, longest, min_support)
+            nodes.append(both.rows - near.rows)
+        counts = count_candidates_tree(
+            baskets.spread(), wanted, rows, k, longest, min_support, nodes
+        )
         level = ws.write("level", counts, last=F.count_if(F.size("itemset") == longest))
         if level.rows:
             levels.append(level.df)
+        sizes = nodes[:-1] + [level.stats["last"]]
         k = longest + 1
         if level.stats["last"] < k or (max_len is not None and k > max_len):
             break

@@ -8,6 +8,7 @@ import pytest
 
 import basketweave as bw
 from basketweave.functions import joins
+from basketweave.operators import candidates as steps
 from basketweave.operators import count_candidates_tree
 from basketweave.plans import mine_apriori
 from tests.conftest import brute_force, collected, rows_frame
@@ -53,3 +54,38 @@ def test_levels_counted_together(spark, monkeypatch, few, max_len):
     assert found == brute_force(baskets, 3, max_len)
     if max_len is None:  # levels 3 to 7 one by one, or as 3 and 4, 5 and 6, 7
         assert written.count("level") == (6 if few == 0 else 4)
+
+
+@pytest.fixture
+def lookups(monkeypatch):
+    """What the walks down the tree look up: rows, nodes, and the bound on the nodes."""
+    seen, join = [], steps.lookup_join
+
+    def spy(big, small, key, small_rows, row_bytes, salt_on, how="inner"):
+        if how == "left":
+            seen.append((big, small, small_rows))
+        return join(big, small, key, small_rows, row_bytes, salt_on, how)
+
+    monkeypatch.setattr(steps, "lookup_join", spy)
+    return seen
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_the_frequent_beginnings_bound_the_nodes(spark, lookups, few):
+    """Not the candidates, of which there are far more: the root is one row in any tree."""
+    baskets = [list("abcdefgh")] * 3 + [list("abcd"), list("ij"), list("abij")]
+    found = collected(mine_apriori(bw.Workspace(spark), rows_frame(spark, baskets), 2, None, few))
+    assert found == brute_force(baskets, 2)
+    assert [bound for _, _, bound in lookups].count(1) >= (6 if few == 0 else 3)
+    for _, nodes, bound in lookups:
+        assert nodes.count() <= bound <= 70
+
+
+def test_a_walk_keeps_enough_of_the_basket(spark, lookups):
+    """Seven of the first eight items: one may be left out, and no path leaves out two."""
+    baskets = spark.createDataFrame([(list(range(8)), 5), (list(range(6)), 3)], "prefix ARRAY<INT>, w BIGINT")
+    wanted = list(itertools.combinations(range(12), 7))
+    candidates = spark.createDataFrame([(list(c),) for c in wanted], "itemset ARRAY<INT>")
+    found = count_candidates_tree(baskets, candidates, len(wanted), 7, 7).collect()
+    assert {tuple(r["itemset"]): r["freq"] for r in found} == dict.fromkeys(itertools.combinations(range(8), 7), 5)
+    assert [rows.count() for rows, _, _ in lookups] == [1, 2, 3, 4, 5, 6, 7]
